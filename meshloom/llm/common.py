@@ -46,6 +46,12 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for k in range(len(taken) + 1) if (n := f"__{name}{k or ''}") not in taken)
+
+
 def is_remainder(of: Column, divisor: int, remainder: int) -> Column:
     """crc32 of the value as text, modulo; a null value counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(of.cast("string"), F.lit("")).cast("binary")), F.lit(divisor)) == remainder

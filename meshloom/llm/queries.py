@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import decontaminate, quality_rules, secret_scan, simhash
 from .common import table
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 QUERIES = {
+    "op6_decontaminate": op6_decontaminate,
+    "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
