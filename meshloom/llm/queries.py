@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality_rules, secret_scan, simhash
+from . import decontaminate, license_scan, mixing, quality_rules, secret_scan, simhash
 from .common import table
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
 
@@ -20,15 +24,48 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 QUERIES = {
+    "op4_mixing": op4_mixing,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
+    "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP4_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT source, source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, 2.0::DOUBLE * source_size AS cap
+  FROM totals
+), ordered AS (
+  SELECT *, cap / weight AS ratio,
+    coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+    sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heft,
+    sum(source_size) OVER () AS words
+  FROM weighed
+), level AS (
+  SELECT coalesce(min_by((1.5::DOUBLE * words - capped) / heft, ratio), 0) AS level FROM ordered WHERE (1.5::DOUBLE * words - capped) / heft <= ratio
+), targets AS (
+  SELECT source, source_size, least(cap, weight * level) AS target, CASE WHEN source_size > 0 THEN least(cap, weight * level) / source_size ELSE 0 END AS rate
+  FROM weighed, level
+), taken AS (
+  SELECT doc_id, size, source_size, target,
+    (floor(rate) + CASE WHEN ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM taken
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
