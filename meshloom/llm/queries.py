@@ -3,9 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, mixing, quality_rules, secret_scan, simhash
-from .common import table
+from . import decontaminate, license_scan, mixing, quality_rules, secret_scan, simhash, suffix_tree, token_counts, toxicity
+from .common import is_remainder, table
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), is_remainder(F.col("doc_id"), 4, 2))
+
+
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"), is_remainder(F.col("doc_id"), 5, 1))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +46,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_mixing": op4_mixing,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
