@@ -1,30 +1,31 @@
-"""LM scoring by a probabilistic suffix tree.
-
-Symbols are the bytes of the tokens, a space for the end of a word and a line feed for the end of a text. The next symbol is
-predicted from the longest context in the tree that ends here; contexts reach back to the start of the word and hold up to
-``depth`` symbols. A context is counted if it makes up ``p_min`` of all symbols or more (so there are at most 1 / p_min of each
-length, whatever the corpus), and stays in the tree if its next-symbol distribution differs from that of the context one symbol
-shorter: a relative entropy of ``min_kl`` bits or more a symbol. Distributions are smoothed into those of the next shorter
-context (Witten and Bell), at the root into equal chances, so every text has a positive probability and all texts' add up to 1.
-
-All counts cover all training texts. They are made from the table of training words with their counts, which is never collected:
-substrings are counted by Spark jobs, a few lengths at a time. What reaches the driver is the tree, bounded by p_min and depth.
-
-For the base score each token's training count is needed: words that make up ``head`` of all tokens or more (at most 1 / head of
-them) are broadcast, all others are looked up by a join.
-
-Defined cases: a null text counts as empty; an empty text is its end alone; words of any length are scored whole; repeated rows
-score alike, and count as often as they stand in the training rows; without training rows all symbols are equally likely; an
-empty table gives no rows; other columns are ignored.
+"""LM scoring by a probabilistic suffix tree over words.
+
+Symbols are the tokens: words in lower case and the end of a text, which also stands before the first word. The next token is
+predicted from the longest context in the tree that ends here; contexts hold up to ``depth`` tokens. Candidates are contexts and
+continuations that make up ``p_min`` of all tokens or more, so there are at most 1 / p_min of each length, whatever the corpus.
+A continuation is kept if it is ``ratio`` times as likely as after the context one token shorter, and a context if the divergence
+of its distribution from that of the shorter one, over all its occurrences, is ``min_bits`` bits or more. Kept counts are
+discounted, and what that leaves goes to the distribution of the next shorter context; at the root stands the base
+distribution, with one share for all unknown words. So the chances of all continuations add up to 1, and a text's score is
+its base score where no context applies.
+
+All counts cover all training texts: words, pairs and longer runs are counted by Spark jobs, and what reaches the driver are the
+frequent ones and the tree, bounded by p_min. Each token's training count is needed for the root: frequent words' are broadcast,
+all others are looked up by a join.
+
+Defined cases: a null text counts as empty; an empty text is its end alone; words of any length are whole tokens; repeated rows
+score alike, and count as often as they stand in the training rows; without training rows every token is unknown; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log10
+from math import log2, log10
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,21 +33,21 @@ from pyspark.sql import types as T
 
 from .common import many_rows, materialise, row_id, slices, to_batch
 
-SPACE, END = 0x20, 0x0A
-#: bytes that a word can hold (256 less the six of white space), the end of a word and the end of a text
-SYMBOLS = 256 - 6 + 2
+#: the end of a text, as a word that no text holds
+END = b""
 
 
 @dataclass(frozen=True)
 class Settings:
-    depth: int = 10
-    p_min: float = 2e-5
-    min_kl: float = 0.02
-    head: float = 5e-6
-    #: lengths counted in one job
-    at_once: int = 3
-    #: distinct entries after which a task sends its counts on
+    depth: int = 2
+    p_min: float = 1e-6
+    least: int = 8
+    ratio: float = 4.0
+    discount: float = 0.75
+    min_bits: float = 64.0
+    #: distinct words, or runs of words, after which a task sends its counts on
     flush: int = 400_000
+    flush_runs: int = 4_000_000
 
 
 def count_words(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -68,191 +69,212 @@ def count_words(docs: DataFrame, settings: Settings) -> DataFrame:
     return many_rows(docs, make, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_substrings(words: DataFrame, shortest: int, longest: int, frequent: frozenset[bytes] | None, settings: Settings) -> DataFrame:
-    """(sub, n): how often each context and next symbol stand in the words, for contexts of shortest..longest symbols.
+class Ids(dict):
+    """Numbers of frequent words; -1 for all others."""
 
-    frequent: the contexts of shortest - 1 symbols that longer ones must end in.
-    """
-    sent = words.sparkSession.sparkContext.broadcast(frequent)
+    def __missing__(self, word: bytes) -> int:
+        return -1
 
-    def make():
-        known = sent.value
 
-        def run(it: Iterator[tuple]) -> Iterator[tuple]:
-            counts: dict[bytes, int] = {}
-            for word, n in it:
-                s = b" %b " % word if word else b" \n"
-                for i in range(1, len(s)):
-                    if known is not None and (i < shortest or s[i - shortest + 1 : i] not in known):
-                        continue
-                    for d in range(shortest, min(i, longest) + 1):
-                        sub = s[i - d : i + 1]
-                        counts[sub] = counts.get(sub, 0) + n
-                if len(counts) > settings.flush:
-                    yield from counts.items()
-                    counts = {}
-            yield from counts.items()
+def numbered(texts: list[bytes | None], ids: Ids) -> np.ndarray:
+    """The tokens of texts one after another, each text between ends."""
+    out = [0]
+    for text in texts:
+        if text:
+            out.extend(map(ids.__getitem__, text.lower().split()))
+        out.append(0)
+    return np.array(out, np.int64)
+
+
+def runs(tokens: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
+    """Numbers of the frequent runs of len(levels) + 1 tokens that end at each place of tokens; -1 where there is none.
+
+    levels[k] holds the frequent (number of a run of k + 1 tokens) << 32 | next token, sorted.
+    """
+    at = tokens
+    for level in levels:
+        at = lookup(extended(at, tokens), level)
+    return at
 
-        return run
 
-    return many_rows(words, make, "sub binary, n long").groupBy("sub").agg(F.sum("n").alias("n"))
+def extended(at: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The run that ends one place before, and the token here; -1 unless both are frequent and the run is within one text."""
+    out = np.full(len(tokens), -1, np.int64)
+    good = (at[:-1] >= 0) & (tokens[1:] >= 0)
+    if at is not tokens:
+        good &= tokens[:-1] != 0
+    out[1:][good] = (at[:-1][good] << 32) | tokens[1:][good]
+    return out
 
 
-def context(sub: str = "sub") -> Column:
-    return F.substring(F.col(sub), F.lit(1), F.length(sub) - 1)
+def lookup(keys: np.ndarray, level: np.ndarray) -> np.ndarray:
+    if not len(level):
+        return np.full(len(keys), -1, np.int64)
+    i = np.minimum(np.searchsorted(level, keys), len(level) - 1)
+    return np.where(level[i] == keys, i, -1)
 
 
-def learn(words: DataFrame, settings: Settings = Settings()) -> dict[bytes, dict[int, int]]:
-    """The tree: contexts kept, with the counts of their next symbols. words(word, n) is a written table."""
-    total = words.agg(F.sum((F.length("word") + 1) * F.col("n"))).first()[0] or 0
-    least = max(2.0, settings.p_min * total)
-    levels, frequent = [], None
-    for shortest in range(0, settings.depth + 1, settings.at_once):
-        longest = min(settings.depth, shortest + settings.at_once - 1)
-        counted = materialise(count_substrings(words, shortest, longest, frequent, settings), "tree-substrings").withColumn("ctx", context())
-        often = counted.groupBy("ctx").agg(F.sum("n").alias("total")).where((F.col("total") >= least) | (F.length("ctx") == 0))
-        levels.append(materialise(counted.join(often.withColumnRenamed("ctx", "__ctx"), F.col("ctx") == F.col("__ctx")).select("sub", "ctx", "n", "total"), "tree-level"))
+def count_runs(docs: DataFrame, sent, settings: Settings) -> DataFrame:
+    """(run, n): frequent runs with a frequent next token, over all rows of docs(text); sent: (words' numbers, levels)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, levels = sent.value
+        held, n = [], 0
+
+        def out() -> pa.RecordBatch:
+            keys, times = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times.astype(np.int64))], names=["run", "n"])
+
+        for (texts,) in slices(batches):
+            tokens = numbered(texts, ids)
+            keys = extended(runs(tokens, levels), tokens)
+            held.append(keys[keys >= 0])
+            n += len(held[-1])
+            if n >= settings.flush_runs:
+                yield out()
+                held, n = [], 0
+        if n:
+            yield out()
+
+    return docs.mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class Node:
+    """A context: the chance left to the shorter context, and of each kept next token its own share."""
+
+    left: float
+    own: dict[int, float]
+
+
+class Tree:
+    """levels[k]: sorted keys of frequent runs of k + 2 tokens. nodes[k]: by the number of a run of k + 1 tokens."""
+
+    def __init__(self, levels: list[np.ndarray], nodes: list[dict[int, Node]], suffix: list[list[int]]):
+        self.levels, self.nodes, self.suffix = levels, nodes, suffix
+
+    def chance(self, k: int, run: int, token: int, root: float) -> float:
+        """Of token after a run of k + 1 tokens; root: its base chance."""
+        if k < 0 or run < 0:
+            return root
+        shorter = self.suffix[k][run] if k else -1
+        node = self.nodes[k].get(run)
+        below = self.chance(k - 1, shorter, token, root)
+        return below if node is None else node.own.get(token, 0.0) + node.left * below
+
+
+def grow(docs: DataFrame, often: list[tuple[bytes, int]], tokens: int, floor: float, settings: Settings = Settings()) -> tuple[Ids, Tree]:
+    """The tree over docs(text). often: the frequent words and their counts, the end first."""
+    ids = Ids({w: i for i, (w, _) in enumerate(often)})
+    least = max(settings.least, settings.p_min * tokens)
+    root = [(n + 0.5) / floor for _, n in often]
+    totals = [n for _, n in often]
+    tree = Tree([], [], [])
+    # of each run: the number of the run one token shorter at its front
+    suffix: list[int] = []
+    for k in range(settings.depth):
+        sent = docs.sparkSession.sparkContext.broadcast((ids, tree.levels))
         # at most 1 / p_min rows
-        frequent = frozenset(bytes(r.ctx) for r in levels[-1].where(F.length("ctx") == longest).select("ctx").distinct().collect())
-        if not frequent:
+        found = sorted((r.run, r.n) for r in count_runs(docs, sent, settings).where(F.col("n") >= least).collect())
+        tree.suffix.append(suffix)
+        by: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for key, n in found:
+            by[key >> 32].append((key & 0xFFFFFFFF, n))
+        nodes: dict[int, Node] = {}
+        for run, after in by.items():
+            total = totals[run]
+            parent = suffix[run] if k else -1
+            below = {t: tree.chance(k - 1, parent, t, root[t]) for t, _ in after}
+            kept = {t: n for t, n in after if n >= settings.ratio * total * below[t]}
+            own = {t: (n - settings.discount) / total for t, n in kept.items()}
+            left = 1.0 - sum(own.values())
+            bits = sum(n * log2((own[t] + left * below[t]) / below[t]) for t, n in kept.items()) + (total - sum(kept.values())) * log2(max(left, 1e-12))
+            if kept and bits >= settings.min_bits:
+                nodes[run] = Node(left, own)
+        tree.nodes.append(nodes)
+        keys = np.array([key for key, _ in found], np.int64)
+        tree.levels.append(keys)
+        if not len(keys):
             break
-    rows = levels[0]
-    for level in levels[1:]:
-        rows = rows.unionByName(level)
-    shorter = rows.select(F.col("sub").alias("p_sub"), (F.col("n") / F.col("total")).alias("q"))
-    tail = F.substring(F.col("sub"), F.lit(2), F.length("sub"))
-    p = F.col("n") / F.col("total")
-    gains = rows.where(F.length("ctx") > 0).withColumn("p_key", tail).join(shorter, F.col("p_key") == F.col("p_sub")).groupBy(F.col("ctx").alias("kept")).agg(F.sum(p * F.log2(p / F.col("q"))).alias("kl"))
-    kept = gains.where(F.col("kl") >= settings.min_kl).select("kept").unionByName(rows.where(F.length("ctx") == 0).select(F.col("ctx").alias("kept")).distinct())
-    tree: dict[bytes, dict[int, int]] = {}
-    for r in rows.join(kept, F.col("ctx") == F.col("kept")).select("sub", "n").collect():  # the tree, bounded by p_min and depth
-        sub = bytes(r.sub)
-        tree.setdefault(sub[:-1], {})[sub[-1]] = r.n
-    return tree
-
-
-class Scorer:
-    """Log probabilities by walking from one longest suffix state to the next; states and steps are made when first needed."""
-
-    def __init__(self, tree: dict[bytes, dict[int, int]], depth: int):
-        self.tree, self.depth = {c: (sum(n.values()), n) for c, n in tree.items()}, depth
-        self.tree.setdefault(b"", (0, {}))
-        self.steps: dict[bytes, dict[int, tuple[bytes, float]]] = {}
-
-    def longest(self, s: bytes) -> bytes:
-        """The longest context in the tree that s ends in."""
-        s = s[max(0, len(s) - self.depth) :]
-        while s not in self.tree:
-            s = s[1:]
-        return s
-
-    def chance(self, ctx: bytes, symbol: int) -> float:
-        total, n = self.tree[ctx]
-        below = self.chance(self.longest(ctx[1:]), symbol) if ctx else 1 / SYMBOLS
-        kinds = len(n)
-        return (n.get(symbol, 0) + kinds * below) / (total + kinds) if total else below
-
-    def word(self, word: bytes) -> float:
-        """log10 of the chance of word and its end after the start of a word."""
-        # what the walk keeps of the past is its longest possible context, so a longer state is never missed
-        s, total = b" ", 0.0
-        for symbol in word + b" ":
-            known = self.steps.get(s)
-            if known is None:
-                if len(self.steps) > 300_000:
-                    self.steps.clear()
-                known = self.steps[s] = {}
-            step = known.get(symbol)
-            if step is None:
-                step = known[symbol] = (self.history(s + bytes((symbol,))), log10(self.chance(self.longest(s), symbol)))
-            s, lp = step
-            total += lp
-        return total
-
-    def history(self, s: bytes) -> bytes:
-        """The shortest suffix of s that still decides all later states: the longest that begins a context of the tree."""
-        s = s[max(0, len(s) - self.depth) :]
-        while s and s not in self.begins:
-            s = s[1:]
-        return s
-
-    @property
-    def begins(self) -> set[bytes]:
-        got = self.__dict__.get("_begins")
-        if got is None:
-            got = self.__dict__["_begins"] = {c[:i] for c in self.tree for i in range(len(c) + 1)}
-        return got
-
-    def end(self) -> float:
-        return log10(self.chance(self.longest(b" "), END))
-
-
-class Kept(dict):
-    def __init__(self, f, bound: int):
-        self.f, self.bound = f, bound
-
-    def __missing__(self, key):
-        if len(self) >= self.bound:
-            self.clear()
-        got = self[key] = self.f(key)
-        return got
-
-
-SCORED = "n_tokens long, n_head long, base_head double, score double, tail_hash array<long>, tail_n array<int>"
+        # the longest proper suffix of the run (a, b) is b, that of (a, b, c) is the run (b, c)
+        if k == 0:
+            suffix = [key & 0xFFFFFFFF for key, _ in found]
+        else:
+            fronts = np.array([suffix[key >> 32] for key, _ in found], np.int64)
+            suffix = lookup((fronts << 32) | (keys & 0xFFFFFFFF), tree.levels[k - 1]).tolist()
+        totals = [n for _, n in found]
+    return ids, tree
+
+
+def advantages(tree: Tree, tokens: np.ndarray, root: list[float]) -> np.ndarray:
+    """For each place log10 of the tree's chance of the token over its base chance; 0 where no context applies."""
+    out, done = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
+    at = [tokens]
+    for level in tree.levels[:-1]:
+        at.append(lookup(extended(at[-1], tokens), level))
+    for k in range(len(tree.nodes) - 1, -1, -1):
+        known = np.array(sorted(tree.nodes[k]), np.int64)
+        before = at[k][:-1]
+        if k:  # a context of several tokens ends within the text
+            before = np.where(tokens[:-1] != 0, before, -1)
+        for i in (np.flatnonzero((lookup(before, known) >= 0) & ~done[1:]) + 1).tolist():
+            t, done[i] = int(tokens[i]), True
+            base = root[t] if t >= 0 else 1.0  # an unkept token only loses what the contexts keep for others
+            out[i] = log10(tree.chance(k, int(before[i - 1]), t, base) / base)
+    return out
+
+
+SCORED = "n_tokens long, n_head long, base_head double, advantage double, tail_hash array<long>, tail_n array<int>"
 
 
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each row of docs."""
     source = docs.select(F.col(key), held_out.alias("held_out"), F.col(text).cast("binary").alias("__text"))
-    words = materialise(count_words(source.where("NOT held_out").select("__text"), settings), "tree-words")
+    training = source.where("NOT held_out").select("__text")
+    words = materialise(count_words(training, settings), "tree-words")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     floor = tokens + 0.5 * (kinds + 1)
-    # at most 1 / head rows
-    often = {bytes(r.word): r.n for r in words.where((F.col("n") >= settings.head * tokens) | (F.col("word") == F.lit(b""))).collect()}
-    sent = docs.sparkSession.sparkContext.broadcast((learn(words, settings), often))
+    least = max(settings.least, settings.p_min * tokens)
+    is_often = (F.col("n") >= least) | (F.col("word") == F.lit(END))
+    # at most 1 / p_min rows, and the end
+    often = sorted(((bytes(r.word), r.n) for r in words.where(is_often).collect()), key=lambda x: (x[0] != END, -x[1], x[0])) or [(END, 0)]
+    ids, tree = grow(training, often, tokens, floor, settings)
+    sent = docs.sparkSession.sparkContext.broadcast((ids, tree, [n for _, n in often]))
     schema = T.StructType([T.StructField("__rid", T.LongType()), docs.schema[key], T.StructField("held_out", T.BooleanType()), *T.StructType.fromDDL(SCORED)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        tree, head = sent.value
-        scorer = Scorer(tree, settings.depth)
-        chance, digest = Kept(scorer.word, settings.flush), xxhash.xxh64_intdigest
-        logs = {w: log10((n + 0.5) / floor) for w, n in head.items()}
-        # the end is a token of every text; without training rows it is unknown
-        end_chance, end_base = scorer.end(), logs.get(b"", log10(0.5 / floor))
-
-        def one(rid, doc, held, raw):
-            n_tokens, n_head, base, total, hashes, times = 1, int(b"" in logs), end_base, end_chance, [], []
-            for w, n in Counter(raw.lower().split() if raw else ()).items():
-                n_tokens += n
-                total += n * chance[w]
-                b = logs.get(w)
-                if b is None:
-                    h = digest(w, 42)
-                    hashes.append(h - (1 << 64) if h >> 63 else h)
-                    times.append(n)
-                else:
-                    n_head += n
-                    base += n * b
-            return rid, doc, held, n_tokens, n_head, base, total, hashes, times
-
-        for columns in slices(batches):
-            yield to_batch([one(*row) for row in zip(*columns, strict=True)], schema)
+        ids, tree, counts = sent.value
+        root = [(n + 0.5) / floor for n in counts]
+        logs, digest = [log10(x) for x in root], xxhash.xxh64_intdigest
+        for rids, keys, held, texts in slices(batches):
+            tokens = numbered(texts, ids)
+            gains = np.concatenate(([0.0], np.cumsum(advantages(tree, tokens, root))))
+            out, at = [], 1
+            for rid, doc, is_held, raw in zip(rids, keys, held, texts, strict=True):
+                n_tokens, n_head, base, hashes, times = 1, int(counts[0] > 0), logs[0], [], []
+                for w, n in Counter(raw.lower().split() if raw else ()).items():
+                    n_tokens += n
+                    if (t := ids[w]) >= 0:
+                        n_head += n
+                        base += n * logs[t]
+                    else:
+                        h = digest(w, 42)
+                        hashes.append(h - (1 << 64) if h >> 63 else h)
+                        times.append(n)
+                out.append((rid, doc, is_held, n_tokens, n_head, base, float(gains[at + n_tokens] - gains[at]), hashes, times))
+                at += n_tokens
+            yield to_batch(out, schema)
 
     scored = materialise(source.select(row_id().alias("__rid"), key, "held_out", "__text").mapInArrow(run, schema), "tree-scored")
     unknown = log10(0.5 / floor)
     tail = scored.select("__rid", F.explode(F.arrays_zip("tail_hash", "tail_n")).alias("x")).select("__rid", F.col("x.tail_hash").alias("h"), F.col("x.tail_n").alias("times"))
-    counts = words.where(F.col("n") < settings.head * tokens).select(F.xxhash64("word").alias("__h"), F.col("n").alias("c"))
+    counts = words.where(~is_often).select(F.xxhash64("word").alias("__h"), F.col("n").alias("c"))
     # words that training never saw need no row: all tail words count as unknown at first
     found = tail.join(counts, F.col("h") == F.col("__h")).groupBy("__rid").agg(F.sum("times").alias("n_tail"), F.sum(F.col("times") * (F.log10((F.col("c") + 0.5) / F.lit(floor)) - F.lit(unknown))).alias("gain"))
-    out = scored.drop("tail_hash").withColumnRenamed("__rid", "__row").withColumn("n_rest", F.aggregate("tail_n", F.lit(0).cast("long"), lambda a, x: a + x)).drop("tail_n").join(found, F.col("__row") == F.col("__rid"), "left")
-    return out.select(
-        key,
-        "held_out",
-        "n_tokens",
-        (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"),
-        F.lit(int(tokens)).cast("long").alias("train_tokens"),
-        (F.col("base_head") + F.col("n_rest") * F.lit(unknown) + F.coalesce("gain", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+    rest = F.aggregate("tail_n", F.lit(0).cast("long"), lambda a, x: a + x)
+    out = scored.withColumnRenamed("__rid", "__row").withColumn("n_rest", rest).drop("tail_hash", "tail_n").join(found, F.col("__row") == F.col("__rid"), "left")
+    out = out.withColumn("base_score", F.col("base_head") + F.col("n_rest") * F.lit(unknown) + F.coalesce("gain", F.lit(0.0)))
+    known = (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known")
+    return out.select(key, "held_out", "n_tokens", known, F.lit(int(tokens)).cast("long").alias("train_tokens"), "base_score", (F.col("base_score") + F.col("advantage")).alias("score"))
