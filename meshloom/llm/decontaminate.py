@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .automaton import SuffixAutomaton
 from .common import ALNUM, materialise, per_row, row_id, spare, text_udf
 
 
@@ -38,66 +39,34 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(ALNUM).split() if text else []
 
 
-class Automaton:
-    """Generalised suffix automaton over word ids; each state knows the items that hold its strings."""
+class Automaton(SuffixAutomaton):
+    """Of all items' word ids; each state knows the items that hold its strings."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+        super().__init__()
         self.window = window
         self.names = [name for name, _ in items]
         self.vocabulary: dict[bytes, int] = {}
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        holders: list[set[int]] = [set()]
-        short: dict[int, list[tuple[int, int]]] = {}
+        held: list[tuple[int, list[int]]] = []
+        #: state of a whole short item: its words and number
+        self.short: dict[int, list[tuple[int, int]]] = {}
         for k, (_, words) in enumerate(items):
-            last = 0
-            for w in words:
-                last = self.extend(last, self.vocabulary.setdefault(w, len(self.vocabulary)), holders)
-                holders[last].add(k)
+            states = self.add([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words])
+            held.append((k, states))
             if 0 < len(words) < window:
-                short.setdefault(last, []).append((len(words), k))
-        order = sorted(range(1, len(self.link)), key=self.length.__getitem__)
+                self.short.setdefault(states[-1], []).append((len(words), k))
+        holders: list[set[int]] = [set() for _ in self.link]
+        for k, states in held:
+            for s in states:
+                holders[s].add(k)
+        order = self.shortest_first()
         for s in reversed(order):
-            if self.link[s] > 0:
-                holders[self.link[s]] |= holders[s]
+            holders[self.link[s]] |= holders[s]
         self.holders = [tuple(x) for x in holders]
-        self.short = short
         #: nearest state on the way to the root, itself included, that ends a whole short item
         self.ends = [-1] * len(self.link)
         for s in order:
-            self.ends[s] = s if s in short else self.ends[self.link[s]]
-
-    def extend(self, last: int, c: int, holders: list[set[int]]) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        if c in nxt[last]:
-            q = nxt[last][c]
-            return q if length[q] == length[last] + 1 else self.clone(last, c, q, holders)
-        cur = self.state({}, length[last] + 1, holders, set())
-        p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
-            p = link[p]
-        if p < 0:
-            link[cur] = 0
-        else:
-            q = nxt[p][c]
-            link[cur] = q if length[q] == length[p] + 1 else self.clone(p, c, q, holders)
-        return cur
-
-    def clone(self, p: int, c: int, q: int, holders: list[set[int]]) -> int:
-        new = self.state(dict(self.next[q]), self.length[p] + 1, holders, set(holders[q]))
-        self.link[new], self.link[q] = self.link[q], new
-        while p >= 0 and self.next[p].get(c) == q:
-            self.next[p][c] = new
-            p = self.link[p]
-        return new
-
-    def state(self, edges: dict[int, int], n: int, holders: list[set[int]], held: set[int]) -> int:
-        self.next.append(edges)
-        self.link.append(0)
-        self.length.append(n)
-        holders.append(held)
-        return len(self.next) - 1
+            self.ends[s] = s if s in self.short else self.ends[self.link[s]]
 
     def stream(self, words: list[bytes]) -> tuple[np.ndarray, set[int]]:
         """Which words are hit, and the items with occurring windows."""

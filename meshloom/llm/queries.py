@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, mixing, quality_rules, secret_scan, simhash, suffix_tree, token_counts, toxicity
+from . import decontaminate, license_scan, mixing, quality_rules, secret_scan, simhash, substring_dedup, suffix_tree, token_counts, toxicity
 from .common import is_remainder, table
 
 
@@ -25,6 +25,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_suffix_tree": op3_suffix_tree,
     "op4_mixing": op4_mixing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,

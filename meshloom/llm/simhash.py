@@ -128,6 +128,8 @@ def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
         a, b = spanning(group["fp"].to_numpy(), radius, tile)
         return pd.DataFrame({"a": a, "b": b})
 
+    # dealt by number: groups are small in bytes but long in time, and would be put together in one task
+    dealt = dealt.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "pair", "k", "i", "j")
     return dealt.groupBy("pair", "k", "i", "j").applyInPandas(compare, "a long, b long")
 
 
