@@ -90,7 +90,7 @@ def artifact_or_none(spark: SparkSession, root: str, module: str, batch: int | N
 
 
 def final_dataset(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    df = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").parquet(root)
+    df = spark.read.option("pathGlobFilter", pattern).parquet(root)
     if df.isEmpty():
         raise FileNotFoundError(f"{root}/{pattern}")
     return df
