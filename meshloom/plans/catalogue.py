@@ -204,7 +204,7 @@ def lon_normalize(spark, sf_dir):
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
-@query("""SELECT o_orderkey, CASE WHEN l_orderkey IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 END AS pos, l_extendedprice AS value
+@query("""SELECT o_orderkey, CASE WHEN l_orderkey IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 END AS pos, l_extendedprice AS value
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""")
 def ragged_gather(spark, sf_dir):
     groups = gather.ragged_gather(read(spark, sf_dir, "lineitem"), "l_orderkey", LINE_ORDER, ["l_extendedprice"])
@@ -218,7 +218,7 @@ def ragged_semi_ids(spark, sf_dir):
     return gather.only_groups_of(read(spark, sf_dir, "lineitem"), done, "l_orderkey").select("l_orderkey", *LINE_ORDER)
 
 
-@query("""WITH g AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos FROM lineitem)
+@query("""WITH g AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax) - 1 AS pos FROM lineitem)
 SELECT l_orderkey, pos, level, CASE level WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END AS value FROM g, (SELECT unnest([0, 1, 2]) AS level)""")
 def layered_gather(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").withColumn("levels", F.array("l_quantity", "l_discount", "l_tax"))
