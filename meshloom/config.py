@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field, replace
 
-# The section titles and key names of the file format.
+# Section titles, key names, variables, month lengths and module names of the file format.
 SECTIONS = {
     "TIME SERIES VARIABLES": "forcing",
     "SURFACE PROPERTIES": "surface",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 
 def name_pattern(token: str) -> str:
+    # Fixed value: the form of the file names.
     return rf"^(?:.*_)?cl[i]?mforc\..*\.\Q{token}\E\.(\d{{4}})-(\d{{2}})\.nc$"
 
 
