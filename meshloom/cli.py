@@ -1,4 +1,4 @@
-"""python -m meshloom.cli extract|assemble|validate|replace --config FILE"""
+"""python -m meshloom.cli --config FILE prepare|extract|assemble|validate|replace"""
 
 from __future__ import annotations
 
@@ -22,6 +22,9 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--build", nargs="+", default=["all"])
     e.add_argument("--changed-only", action="store_true", help="keep modules whose sources have not changed")
     e.add_argument("--assemble", action="store_true")
+    f = sub.add_parser("prepare", help="build consolidated forcing from monthly files (datm mode)")
+    for c in (e, f):
+        c.add_argument("--force-rebuild-forcing", action="store_true")
     a = sub.add_parser("assemble", help="join artifacts into the final dataset")
     a.add_argument("--overwrite", action="store_true")
     v = sub.add_parser("validate", help="check the final dataset")
@@ -43,9 +46,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.forcing_mode:
         config = replace(config, mode=args.forcing_mode)
     spark = spark or SparkSession.builder.appName("meshloom").getOrCreate()
-    if args.command == "extract":
-        s = modules.Sources(spark, config)
-        built = runs.extract(s, "all" if args.build == ["all"] else args.build, not args.changed_only)
+    if args.command in ("prepare", "extract"):
+        s, wanted = modules.Sources(spark, config), "all" if args.command == "prepare" or args.build == ["all"] else args.build
+        if config.mode == "datm":
+            s = runs.with_prepared_forcing(s, wanted, args.force_rebuild_forcing)
+        if args.command == "prepare":
+            return 0
+        built = runs.extract(s, wanted, not args.changed_only)
         sinks.write_log(spark, config.output, [f"built {b}" for b in built] + s.warnings)
         if args.assemble:
             runs.write_dataset(spark, config, overwrite=True)

@@ -100,6 +100,35 @@ def prepare_forcing(spark: SparkSession, config: Config, raw: dict[str, tuple[Da
     return out
 
 
+def raw_forcing(spark: SparkSession, config: Config, variables: list[str]) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
+    """Steps, coordinates and paths of each variable, from its own path or from its folder in the forcing root."""
+    out = {}
+    for v in variables:
+        root = config.datm_paths.get(v) or f"{config.datm_root}/{v}"
+        if root == f"/{v}":
+            raise ValueError(f"neither a forcing root nor a path is set for {v}")
+        steps = tables.artifact(spark, root, "steps")
+        out[v] = steps, tables.artifact(spark, root, "cells"), steps.select("path").distinct()
+    return out
+
+
+def with_prepared_forcing(s: modules.Sources, wanted: list[str] | str = "all", force: bool = False) -> modules.Sources:
+    """s with the consolidated tables of the variables that the wanted modules need, prepared where they are not there yet."""
+    by_module = s.config.forcing_modules
+    names = list(by_module.values()) if wanted == "all" else [v for m, v in by_module.items() if m in wanted]
+    reference = s["ds2"].select(F.col("cell_idx").alias("cell"), "lat", "lon") if "ds2" in s and {"cell_idx", "lat", "lon"} <= set(s["ds2"].columns) else None
+    there = {v: tables.artifact_or_none(s.spark, f"{s.config.output}/forcing_{s.config.datm_start}_{s.config.datm_end}", v) is not None for v in names}
+    raw = raw_forcing(s.spark, s.config, [v for v in names if force or not there[v]])
+    prepare_forcing(s.spark, s.config, raw, reference, force)
+    made = {}
+    for m, v in by_module.items():
+        if v in names:
+            df = tables.artifact(s.spark, f"{s.config.output}/forcing_{s.config.datm_start}_{s.config.datm_end}", v)
+            made[m.split("_")[2]] = df.select(F.col("gridcell").cast("long").alias("forcing_idx"), F.col("series").alias(v))
+            made["ds4_mesh"] = df.select(F.col("gridcell").cast("long").alias("forcing_idx"), "lat", "lon")
+    return modules.Sources(s.spark, s.config, s.tables | made)
+
+
 def replace_forcing(final: DataFrame, lats: DataFrame, lons: DataFrame, cube: DataFrame, columns: dict[str, str]) -> DataFrame:
     """final with forcing columns taken from the nearest cell of a rectilinear cube (lat_idx, lon_idx, series columns); no averaging."""
     cells = final.select("__row_id", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"))

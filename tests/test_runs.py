@@ -124,3 +124,30 @@ def test_prepare_forcing(spark, tmp_path):
 def test_union_of_batches(spark):
     a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(1, 2)], "x int, y int")
     assert runs.union_of([a, b]).columns == ["x", "y"]
+
+
+def test_datm_run(spark, tmp_path):
+    """Monthly files to consolidated tables to artifacts, by index, through the command line."""
+    text = f"""BASE_OUTPUT_ROOT: {tmp_path}/out
+DS2_PATH: {tmp_path}/ds2
+FORCING_MODE: datm
+DATM_ROOT: {tmp_path}/raw
+DATM_START_YEAR: 2000
+DATM_END_YEAR: 2000
+DATM_QBOT_TOKEN: T
+"""
+    (tmp_path / "run.txt").write_text(text)
+    mesh = [(i, float(i), 10.0 * i, 1) for i in range(3)]
+    spark.createDataFrame(mesh, "cell_idx int, lat double, lon double, landmask int").write.parquet(f"{tmp_path}/ds2")
+    steps = [(f"/r/clmforc.v.T.2000-{m:02}.nc", t, c, float(m + t + c)) for m in range(1, 13) for t in range(2) for c in range(3)]
+    spark.createDataFrame(steps, "path string, time_idx int, cell long, value double").write.parquet(f"{tmp_path}/raw/QBOT/steps")
+    spark.createDataFrame([(i, 0.0, 0.0) for i in range(3)], "cell long, lat double, lon double").write.parquet(f"{tmp_path}/raw/QBOT/cells")
+    s = modules.Sources(spark, config.from_text(text), {"ds10_mesh": spark.createDataFrame([(i, float(i), 10.0 * i) for i in range(3)], "restart_idx long, lat double, lon double")})
+    ready = runs.with_prepared_forcing(s, ["A_forcing_ds7_qbot"])
+    assert runs.extract(ready, ["A_forcing_ds7_qbot"]) == ["A_forcing_ds7_qbot"]
+    got = tables.artifact(spark, runs.artifacts(s.config), "A_forcing_ds7_qbot").orderBy("__row_id").collect()
+    assert [r.QBOT[0] for r in got] == [1.5, 2.5, 3.5] and len(got[0].QBOT) == 12
+    index = tables.artifact(spark, runs.artifacts(s.config), modules.INDEX).collect()
+    assert all(r.nearest_forcing_index == r.nearest_restart_index == r.lat_idx == r.gridcell_id - 1 for r in index)
+    with pytest.raises(FileNotFoundError):
+        cli.main(["--config", str(tmp_path / "run.txt"), "prepare"], spark)
