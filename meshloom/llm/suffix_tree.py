@@ -206,22 +206,36 @@ def grow(docs: DataFrame, often: list[tuple[bytes, int]], tokens: int, floor: fl
     return ids, tree
 
 
-def advantages(tree: Tree, tokens: np.ndarray, root: list[float]) -> np.ndarray:
-    """For each place log10 of the tree's chance of the token over its base chance; 0 where no context applies."""
-    out, done = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
-    at = [tokens]
-    for level in tree.levels[:-1]:
-        at.append(lookup(extended(at[-1], tokens), level))
-    for k in range(len(tree.nodes) - 1, -1, -1):
-        known = np.array(sorted(tree.nodes[k]), np.int64)
-        before = at[k][:-1]
-        if k:  # a context of several tokens ends within the text
-            before = np.where(tokens[:-1] != 0, before, -1)
-        for i in (np.flatnonzero((lookup(before, known) >= 0) & ~done[1:]) + 1).tolist():
-            t, done[i] = int(tokens[i]), True
-            base = root[t] if t >= 0 else 1.0  # an unkept token only loses what the contexts keep for others
-            out[i] = log10(tree.chance(k, int(before[i - 1]), t, base) / base)
-    return out
+class Shares:
+    """A level of the tree as sorted arrays: contexts, what each leaves to the shorter one, and kept continuations."""
+
+    def __init__(self, nodes: dict[int, Node]):
+        self.runs = np.array(sorted(nodes), np.int64)
+        self.left = np.array([nodes[r].left for r in self.runs.tolist()])
+        own = sorted(((r << 32) | t, x) for r, n in nodes.items() for t, x in n.own.items())
+        self.keys, self.own = np.array([k for k, _ in own], np.int64), np.array([x for _, x in own])
+
+
+def advantages(tree: Tree, shares: list[Shares], tokens: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """For each place log10 of the tree's chance of the token over its base chance; 0 where no context applies.
+
+    Level by level, shortest contexts first: chance = own + left * (chance after the shorter context), all over the base chance.
+    An infrequent token is kept nowhere, so it only loses what the contexts keep for others.
+    """
+    over = np.ones(len(tokens))
+    at, after = tokens, tokens[1:]
+    for k, level in enumerate(shares):
+        before = at[:-1] if k == 0 else np.where(tokens[:-1] != 0, at[:-1], -1)  # longer contexts end within the text
+        node = lookup(before, level.runs)
+        here = np.flatnonzero(node >= 0)
+        if len(here):
+            own = lookup((before[here] << 32) | np.maximum(after[here], 0), level.keys)
+            kept = (own >= 0) & (after[here] >= 0)
+            gain = np.where(kept, level.own[own] / root[np.maximum(after[here], 0)], 0.0) if len(level.own) else 0.0
+            over[here + 1] = gain + level.left[node[here]] * over[here + 1]
+        if k + 1 < len(shares):
+            at = lookup(extended(at, tokens), tree.levels[k])
+    return np.log10(over)
 
 
 SCORED = "n_tokens long, n_head long, base_head double, advantage double, tail_hash array<long>, tail_n array<int>"
@@ -248,9 +262,10 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
         ids, tree, counts = sent.value
         root = [(n + 0.5) / floor for n in counts]
         logs, digest = [log10(x) for x in root], xxhash.xxh64_intdigest
+        base_of, shares = np.array(root), [Shares(n) for n in tree.nodes]
         for rids, keys, held, texts in slices(batches):
             tokens = numbered(texts, ids)
-            gains = np.concatenate(([0.0], np.cumsum(advantages(tree, tokens, root))))
+            gains = np.concatenate(([0.0], np.cumsum(advantages(tree, shares, tokens, base_of))))
             out, at = [], 1
             for rid, doc, is_held, raw in zip(rids, keys, held, texts, strict=True):
                 n_tokens, n_head, base, hashes, times = 1, int(counts[0] > 0), logs[0], [], []

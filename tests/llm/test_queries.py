@@ -75,8 +75,15 @@ def test_suffix_tree_sums_to_one(spark):
         for run in nodes:
             total = sum(tree.chance(k, run, t, root[t]) for t in range(len(root))) + tree.chance(k, run, -1, 0.5 / floor)
             assert total == pytest.approx(1.0)
-    assert len(st.advantages(tree, st.numbered([b"a b c"], ids), root)) == 5
-    assert np.isfinite(st.advantages(tree, st.numbered([b"a x b", None], ids), root)).all()
+    shares = [st.Shares(n) for n in tree.nodes]
+    tokens = st.numbered([b"a b c a b x a b d", None, b"x", b"b c a b a b"], ids)
+    got = st.advantages(tree, shares, tokens, np.array(root))
+    assert got[0] == 0 and len(got) == len(tokens)
+    for i in range(1, len(tokens)):
+        t, base = int(tokens[i]), root[tokens[i]] if tokens[i] >= 0 else 1.0
+        pair = int(st.lookup(np.array([(tokens[i - 2] << 32) | tokens[i - 1]]), tree.levels[0])[0]) if i > 1 and tokens[i - 1] > 0 and tokens[i - 2] >= 0 else -1
+        chance = tree.chance(1, pair, t, base) if pair in tree.nodes[1] else tree.chance(0, int(tokens[i - 1]), t, base)
+        assert got[i] == pytest.approx(math.log10(chance / base))
 
 
 def test_mixing(spark, tables, documents):
