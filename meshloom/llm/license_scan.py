@@ -11,7 +11,8 @@ columns other than those named are ignored. A text's detections meet in one task
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -192,7 +193,8 @@ def places(text: Column, low: Column, n_words: Column) -> Column:
 
 def detections(text: Column, low: Column, given: list[Rule]) -> Column:
     """array of (start, end, label, priority, confidence): all matches of the rules whose keys low contains."""
-    table = F.array(*[F.struct(F.array(*map(F.lit, r.keys)).alias("keys"), F.lit(r.pattern).alias("pattern"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence")) for r in given])
+    # one constant that is parsed while planning, instead of thousands of literals for the optimiser to walk through
+    table = F.from_json(F.lit(json.dumps([asdict(r) for r in given])), "array<struct<label:string,keys:array<string>,pattern:string,priority:int,confidence:double>>")
 
     def of(rule: Column) -> Column:
         found = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
