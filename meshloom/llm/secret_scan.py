@@ -18,10 +18,12 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,13 +63,13 @@ class Layer:
     """at[i] and to[i]: the span of the original text that character i came from; None in the first layer."""
 
     text: str
-    at: list[int] | None
-    to: list[int] | None
+    at: np.ndarray | None
+    to: np.ndarray | None
     #: spans of this layer's own text that decoding made; findings elsewhere were made before
     fresh: list[tuple[int, int]] | None
 
     def span(self, a: int, b: int) -> tuple[int, int]:
-        return (a, b) if self.at is None else (min(self.at[a:b]), max(self.to[a:b]))
+        return (a, b) if self.at is None else (int(self.at[a:b].min()), int(self.to[a:b].max()))
 
 
 def find(text: str) -> Iterator[tuple[str, int, int]]:
@@ -89,27 +91,32 @@ def find(text: str) -> Iterator[tuple[str, int, int]]:
                 yield kind, *m.span()
 
 
+def overlaps(spans: list[tuple[int, int]], a: int, b: int) -> bool:
+    """True if [a, b) meets one of the spans, which are in order and apart."""
+    i = bisect_left(spans, (b, -1))
+    return i > 0 and spans[i - 1][1] > a
+
+
 def rebuilt(layer: Layer, parts: Iterator[tuple[int, int, list[tuple[str, int, int]]]]) -> Layer:
     """layer with each part [a, b) replaced by characters that have spans in the layer."""
     text, at, to, fresh, last, n = [], [], [], [], 0, 0
 
     def keep(a: int, b: int) -> int:
         text.append(layer.text[a:b])
-        at.extend(range(a, b) if layer.at is None else layer.at[a:b])
-        to.extend(range(a + 1, b + 1) if layer.to is None else layer.to[a:b])
+        at.append(np.arange(a, b) if layer.at is None else layer.at[a:b])
+        to.append(np.arange(a + 1, b + 1) if layer.to is None else layer.to[a:b])
         return b - a
 
     for a, b, chars in parts:
         n += keep(last, a)
         fresh.append((n, n + len(chars)))
-        for c, x, y in chars:
-            text.append(c)
-            s, e = layer.span(x, y)
-            at.append(s)
-            to.append(e)
+        spans = [layer.span(x, y) for _, x, y in chars]
+        text += [c for c, _, _ in chars]
+        at.append(np.array([s for s, _ in spans], np.int64))
+        to.append(np.array([e for _, e in spans], np.int64))
         n, last = n + len(chars), b
     keep(last, len(layer.text))
-    return Layer("".join(text), at, to, fresh)
+    return Layer("".join(text), np.concatenate(at), np.concatenate(to), fresh)
 
 
 def url_parts(text: str):
@@ -196,7 +203,7 @@ def token_layers(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
                 byte += n
         else:
             at, to = [whole[0]] * len(text), [whole[1]] * len(text)
-        yield Layer(text, at, to, [(0, len(text))])
+        yield Layer(text, np.array(at, np.int64), np.array(to, np.int64), [(0, len(text))])
 
 
 def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -211,7 +218,7 @@ def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[st
             if layer.fresh is None:
                 base += [(kind, a, b)] * (kind in BASE)
                 found.add((kind, a, b))
-            elif any(a < y and x < b for x, y in layer.fresh):
+            elif overlaps(layer.fresh, a, b):
                 found.add((kind, *layer.span(a, b)))
         made: list[Layer] = []
         if "%" in layer.text and URL.search(layer.text):
