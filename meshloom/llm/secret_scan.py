@@ -1,7 +1,8 @@
 """Secret scans: a worklist of decoded layers, each rescanned, with spans mapped back to the text.
 
 The text is the first layer. URL escapes, Unicode escapes, base64 tokens and what these hold in compressed form each
-give a further layer, until nothing new comes out; a layer whose text was seen before is not scanned again, so cycles end.
+give a further layer, until nothing new comes out; a layer whose text was seen before at the same place is not scanned again, so
+cycles end: of decoded layers only compressed ones can be longer than what they come from, and these have one place throughout.
 Every character of a layer keeps the span of the original text that it came from.
 
 Defined cases: a null text counts as empty; bytes that are no UTF-8 count as U+FFFD; repeated rows are scanned alike; an
@@ -71,6 +72,13 @@ class Layer:
     def span(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.at is None else (int(self.at[a:b].min()), int(self.to[a:b].max()))
 
+    def key(self) -> tuple[str, bytes]:
+        """The text, and where it came from: equal tokens at two places give two layers."""
+        place = hashlib.blake2b(digest_size=16)
+        for x in (self.at, self.to):
+            place.update(b"" if x is None else x)
+        return self.text, place.digest()
+
 
 def find(text: str) -> Iterator[tuple[str, int, int]]:
     """What the patterns find in one layer; within each kind leftmost and non-overlapping."""
@@ -209,7 +217,7 @@ def token_layers(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
 def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
     """Base spans of the text itself, all spans, and the number of layers scanned."""
     order = {k: i for i, k in enumerate(KINDS)}
-    work, seen, base, found = deque([Layer(text, None, None, None)]), {text}, [], set()
+    work, seen, base, found = deque([Layer(text, None, None, None)]), set(), [], set()
     layers = 0
     while work:
         layer = work.popleft()
@@ -231,8 +239,8 @@ def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[st
             else:
                 found.add(("oversize", *x))
         for x in made:
-            if x.text not in seen:
-                seen.add(x.text)
+            if (key := x.key()) not in seen:
+                seen.add(key)
                 work.append(x)
     by = lambda s: (s[1], order[s[0]], s[2])
     return sorted(base, key=by), sorted(found, key=by), layers

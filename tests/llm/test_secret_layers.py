@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import lzma
+import re
 import zlib
 from urllib.parse import quote
 
@@ -53,5 +54,18 @@ def test_cycle_and_bomb():
     assert [k for k, *_ in found] == ["oversize"]
 
 
+@pytest.mark.parametrize("wrap", WRAPS)
+def test_token_twice(wrap):
+    """Each copy of a wrapped secret is found where it stands, at the top and within a layer."""
+    wrapped = WRAPS[wrap](SECRET)
+    text = f"one {wrapped} two {wrapped} three"
+    for outer in (text, WRAPS["quoted"](text), text + " " + WRAPS["base64"](text)):
+        _, found, _ = ss.scan_text(outer)
+        assert ss.redacted(outer, found, "[X]").count("[X]") >= 2
+        inner = outer.split("three")[0]
+        for m in re.finditer(re.escape(wrapped), inner):
+            assert any(k == "assign" and m.start() <= a < b <= m.end() for k, a, b in found), m
+
+
 def test_clean_text():
     assert ss.scan_text("nothing to see, 100% sure \\unlikely") == ([], [], 1)
