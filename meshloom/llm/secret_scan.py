@@ -19,7 +19,6 @@ import hashlib
 import lzma
 import re
 import zlib
-from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -66,8 +65,6 @@ class Layer:
     text: str
     at: np.ndarray | None
     to: np.ndarray | None
-    #: spans of this layer's own text that decoding made; findings elsewhere were made before
-    fresh: list[tuple[int, int]] | None
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.at is None else (int(self.at[a:b].min()), int(self.to[a:b].max()))
@@ -99,32 +96,24 @@ def find(text: str) -> Iterator[tuple[str, int, int]]:
                 yield kind, *m.span()
 
 
-def overlaps(spans: list[tuple[int, int]], a: int, b: int) -> bool:
-    """True if [a, b) meets one of the spans, which are in order and apart."""
-    i = bisect_left(spans, (b, -1))
-    return i > 0 and spans[i - 1][1] > a
-
-
 def rebuilt(layer: Layer, parts: Iterator[tuple[int, int, list[tuple[str, int, int]]]]) -> Layer:
     """layer with each part [a, b) replaced by characters that have spans in the layer."""
-    text, at, to, fresh, last, n = [], [], [], [], 0, 0
+    text, at, to, last = [], [], [], 0
 
-    def keep(a: int, b: int) -> int:
+    def keep(a: int, b: int) -> None:
         text.append(layer.text[a:b])
         at.append(np.arange(a, b) if layer.at is None else layer.at[a:b])
         to.append(np.arange(a + 1, b + 1) if layer.to is None else layer.to[a:b])
-        return b - a
 
     for a, b, chars in parts:
-        n += keep(last, a)
-        fresh.append((n, n + len(chars)))
+        keep(last, a)
         spans = [layer.span(x, y) for _, x, y in chars]
         text += [c for c, _, _ in chars]
         at.append(np.array([s for s, _ in spans], np.int64))
         to.append(np.array([e for _, e in spans], np.int64))
-        n, last = n + len(chars), b
+        last = b
     keep(last, len(layer.text))
-    return Layer("".join(text), np.concatenate(at), np.concatenate(to), fresh)
+    return Layer("".join(text), np.concatenate(at), np.concatenate(to))
 
 
 def url_parts(text: str):
@@ -211,23 +200,22 @@ def token_layers(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
                 byte += n
         else:
             at, to = [whole[0]] * len(text), [whole[1]] * len(text)
-        yield Layer(text, np.array(at, np.int64), np.array(to, np.int64), [(0, len(text))])
+        yield Layer(text, np.array(at, np.int64), np.array(to, np.int64))
 
 
 def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
     """Base spans of the text itself, all spans, and the number of layers scanned."""
     order = {k: i for i, k in enumerate(KINDS)}
-    work, seen, base, found = deque([Layer(text, None, None, None)]), set(), [], set()
+    work, seen, base, found = deque([Layer(text, None, None)]), set(), [], set()
     layers = 0
     while work:
         layer = work.popleft()
         layers += 1
         for kind, a, b in find(layer.text):
-            if layer.fresh is None:
+            if layer.at is None:
                 base += [(kind, a, b)] * (kind in BASE)
-                found.add((kind, a, b))
-            elif overlaps(layer.fresh, a, b):
-                found.add((kind, *layer.span(a, b)))
+            # all findings count: what decoding left as it was may be found only now, beside a decoded character
+            found.add((kind, *layer.span(a, b)))
         made: list[Layer] = []
         if "%" in layer.text and URL.search(layer.text):
             made.append(rebuilt(layer, url_parts(layer.text)))

@@ -67,5 +67,15 @@ def test_token_twice(wrap):
             assert any(k == "assign" and m.start() <= a < b <= m.end() for k, a, b in found), m
 
 
+@pytest.mark.parametrize("secret", ["ghp_" + "a1B2" * 10, "xoxb-1234567890-abcdef"])
+@pytest.mark.parametrize("before", ["Authorization%3A%20Bearer%20", "%22", "\\u0022", "\\x20", "%2522"])
+def test_starts_beside_escape(before, secret):
+    """The escape ends in a letter or digit, so the word starts only once it is decoded."""
+    text = f"x {before}{secret} y"
+    _, found, _ = ss.scan_text(text)
+    assert text.index(secret) in {a for k, a, _ in found if k in ("forge", "chat")}
+    assert secret not in ss.redacted(text, found, "[X]")
+
+
 def test_clean_text():
     assert ss.scan_text("nothing to see, 100% sure \\unlikely") == ([], [], 1)
