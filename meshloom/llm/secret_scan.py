@@ -48,7 +48,8 @@ OWN = (
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
-TOKEN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+#: 14 characters hold the shortest compressed finding (10 bytes, a Zstandard frame of one repeated hex digit), 19 the shortest plain one
+TOKEN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{14,}={0,2}")
 MAGIC = ((b"\x1f\x8b", "gzip"), (b"\x78\x01", "zlib"), (b"\x78\x5e", "zlib"), (b"\x78\x9c", "zlib"), (b"\x78\xda", "zlib"), (b"\x28\xb5\x2f\xfd", "zstd"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"))
 
 
@@ -143,27 +144,69 @@ def escape_parts(text: str):
         yield m.start(), m.end(), [("�" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in chars]
 
 
-def unpacked(raw: bytes, limit: int) -> bytes | None:
-    """What compressed bytes hold, None if they are not compressed; OverflowError beyond limit."""
-    kind = next((k for m, k in MAGIC if raw.startswith(m)), None)
-    try:
-        if kind is None:
-            return None
-        if kind in ("gzip", "zlib"):
-            out = zlib.decompressobj(47).decompress(raw, limit + 1)
-        elif kind == "bz2":
-            out = bz2.BZ2Decompressor().decompress(raw, limit + 1)
-        elif kind == "xz":
-            out = lzma.LZMADecompressor().decompress(raw, limit + 1)
-        else:
-            import zstandard
+class ZstdFrame:
+    """One frame, in the manner of the standard library's decompressors."""
 
-            out = zstandard.ZstdDecompressor().stream_reader(raw).read(limit + 1)
-    except Exception:  # noqa: BLE001  chance bytes that look like a header
-        return None
-    if len(out) > limit:
+    def __init__(self):
+        import zstandard
+
+        self.frame, self.eof, self.unused_data = zstandard.ZstdDecompressor().decompressobj(), False, b""
+
+    def decompress(self, raw: bytes, limit: int) -> bytes:
+        """Stops soon after limit bytes: a piece of 256 bytes holds at most 64 blocks of 128 KB."""
+        out, n = [], 0
+        for at in range(0, len(raw), 256):
+            out.append(self.frame.decompress(raw[at : at + 256]))
+            n += len(out[-1])
+            if self.frame.eof:
+                self.eof, self.unused_data = True, self.frame.unused_data + raw[at + 256 :]
+            if self.eof or n >= limit:
+                break
+        return b"".join(out)
+
+
+UNPACK = {"gzip": lambda: zlib.decompressobj(47), "zlib": lambda: zlib.decompressobj(47), "bz2": bz2.BZ2Decompressor, "xz": lzma.LZMADecompressor, "zstd": ZstdFrame}
+
+
+def unpacked(raw: bytes, limit: int) -> tuple[list[bytes], bytes]:
+    """What each member of compressed bytes holds, and the bytes after the last; no members if they are not compressed; OverflowError beyond limit."""
+    out: list[bytes] = []
+    n = 0
+    while raw and (kind := next((k for m, k in MAGIC if raw.startswith(m)), None)):
+        try:
+            member = UNPACK[kind]()
+            out.append(member.decompress(raw, limit + 1 - n))
+        except Exception:  # noqa: BLE001  chance bytes that look like a header
+            break
+        n += len(out[-1])
+        if n > limit:
+            raise OverflowError
+        raw = member.unused_data.lstrip(b"\0") if member.eof else b""
+    return out, raw
+
+
+def contents(raw: bytes, limit: int) -> Iterator[tuple[bytes, bool]]:
+    """(raw, False), or (what it holds, True) if it is compressed: all members together, each by itself, and what follows them.
+
+    OverflowError at the end if anything unpacks beyond limit.
+    """
+    work, seen, over = [raw], set(), False
+    while work:
+        x = work.pop()
+        if x in seen:
+            continue
+        seen.add(x)
+        try:
+            parts, rest = unpacked(x, limit)
+        except OverflowError:
+            over = True
+            continue
+        if parts:
+            work += [rest, *parts, b"".join(parts)]
+        else:
+            yield x, x is not raw
+    if over:
         raise OverflowError
-    return out
 
 
 def token_layers(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
@@ -174,33 +217,36 @@ def token_layers(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
             continue
         try:
             raw = base64.b64decode(body + "=" * (-len(body) % 4))
-            inner = unpacked(raw, limit)
-            while inner is not None and (more := unpacked(inner, limit)) is not None and more != inner:
-                inner = more
         except binascii.Error:
             continue
+        try:
+            for inner, packed in contents(raw, limit):
+                if (made := token_layer(layer, m, inner, packed)) is not None:
+                    yield made
         except OverflowError:
             yield layer.span(*m.span())
-            continue
-        try:
-            text = (raw if inner is None else inner).decode("utf-8")
-        except UnicodeDecodeError:
-            continue
-        if sum(c.isprintable() or c.isspace() for c in text) < 0.9 * len(text) or not text:
-            continue
-        whole = layer.span(*m.span())
-        if inner is None:
-            at, to, byte = [], [], 0
-            for c in text:
-                n = len(c.encode("utf-8"))
-                a, b = m.start() + byte * 4 // 3, min(m.end(), m.start() + -(-(byte + n) * 4 // 3))
-                s, e = layer.span(a, b)
-                at.append(s)
-                to.append(e)
-                byte += n
-        else:
-            at, to = [whole[0]] * len(text), [whole[1]] * len(text)
-        yield Layer(text, np.array(at, np.int64), np.array(to, np.int64))
+
+
+def token_layer(layer: Layer, m: re.Match, raw: bytes, packed: bool) -> Layer | None:
+    """The layer of what the token m holds, if that is text; characters of packed text come from the whole token."""
+    try:
+        text = raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    if sum(c.isprintable() or c.isspace() for c in text) < 0.9 * len(text) or not text:
+        return None
+    whole = layer.span(*m.span())
+    if packed:
+        return Layer(text, np.full(len(text), whole[0]), np.full(len(text), whole[1]))
+    at, to, byte = [], [], 0
+    for c in text:
+        n = len(c.encode("utf-8"))
+        a, b = m.start() + byte * 4 // 3, min(m.end(), m.start() + -(-(byte + n) * 4 // 3))
+        s, e = layer.span(a, b)
+        at.append(s)
+        to.append(e)
+        byte += n
+    return Layer(text, np.array(at, np.int64), np.array(to, np.int64))
 
 
 def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:

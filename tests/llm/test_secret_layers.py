@@ -77,5 +77,31 @@ def test_starts_beside_escape(before, secret):
     assert secret not in ss.redacted(text, found, "[X]")
 
 
+PACKS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstandard.ZstdCompressor().compress}
+
+
+@pytest.mark.parametrize("pack", PACKS)
+@pytest.mark.parametrize("members", [("plain ", SECRET), ("plain ", "b ", SECRET, " c"), (b"\xff\xfe", SECRET), (SECRET, b"\xff\xfe"), (SECRET[:14], SECRET[14:])])
+def test_members(pack, members):
+    """All members of compressed bytes are read, also beside one that holds no text."""
+    raw = b"".join(PACKS[pack](x if isinstance(x, bytes) else x.encode()) for x in members)
+    for tail in (b"", b"\0" * 8, b"\xffjunk", PACKS["gzip"](b"more")):
+        text = f"x {base64.b64encode(raw + tail).decode()} y"
+        assert "assign" in {k for k, *_ in ss.scan_text(text)[1]}
+
+
+def test_members_beyond_limit():
+    for pack in PACKS.values():
+        token = base64.b64encode(pack(b"a" * 600) + pack(b"b" * 600)).decode()
+        assert [k for k, *_ in ss.scan_text(token, ss.Settings(max_layer=1000))[1] if k != "hex"] == ["oversize"]
+
+
+@pytest.mark.parametrize("secret", [b"token=abcdefgh", zlib.compress(b"a" * 32), b"\x28\xb5\x2f\xfd\x20\x20\x03\x01\x00a"])
+def test_short_tokens(secret):
+    text = f"x {base64.b64encode(secret).decode()} y"
+    assert [s[0] for s in ss.scan_text(text)[1]] in (["assign"], ["hex"])
+    assert ss.scan_text(text.replace("=", ""))[1]
+
+
 def test_clean_text():
     assert ss.scan_text("nothing to see, 100% sure \\unlikely") == ([], [], 1)
