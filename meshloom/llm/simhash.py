@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, per_row
+from .common import materialise, per_row, row_id, spare
 from .components import components
 
 
@@ -134,13 +134,13 @@ def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def with_components(prints: DataFrame, key: str, settings: Settings = Settings()) -> DataFrame:
-    """prints(key, fp, ...) with component_id, the smallest key that links reach."""
+    """prints(key, fp, ...) with component, a fingerprint that stands for it, and component_id, the smallest key that links reach."""
     nodes = materialise(prints.groupBy("fp").agg(F.min(key).alias("least")), "simhash-nodes")
     found = materialise(components(links(nodes.select("fp"), settings)), "simhash-components")
     own = nodes.join(found, nodes.fp == found.node, "left").select(nodes.fp, "least", F.coalesce("component", nodes.fp).alias("component"))
     own = materialise(own, "simhash-own")
     least = materialise(own.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-least")
-    ids = materialise(own.join(least, "component").select("fp", "component_id"), "simhash-ids")
+    ids = materialise(own.join(least, "component").select("fp", "component", "component_id"), "simhash-ids")
     return prints.join(ids.withColumnRenamed("fp", "__fp"), F.col("fp") == F.col("__fp")).drop("__fp")
 
 
@@ -155,7 +155,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row of docs for each component: that of the smallest key, and of rows with that key one."""
-    found = near_duplicates(docs, key, text, settings)
-    first = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__first")).distinct()
-    return docs.join(first, F.col(key).eqNullSafe(F.col("__first")), "left_semi").dropDuplicates([key])
+    """One row of docs for each component: that of the smallest key, nulls last, and of rows with that key the first read."""
+    rid = spare(docs, "rid")
+    # written, so that every reading has the same row numbers
+    held = materialise(docs.withColumn(rid, row_id()), "simhash-docs")
+    prints = materialise(fingerprints(held, [rid, key], text, settings), "simhash-prints")
+    order = F.struct(F.col(key).isNull(), F.col(key), F.col(rid))
+    first = with_components(prints, key, settings).groupBy("component").agg(F.min_by(rid, order).alias(rid)).select(rid)
+    return held.join(first, rid, "left_semi").select(*docs.columns)

@@ -161,6 +161,22 @@ def test_simhash_small_tiles(spark, tables):
     assert got == {f: least[root(f)] for f in signed}
 
 
+def test_simhash_keeps_one_of_each(spark):
+    """One row of each component stays, whatever its doc_ids: null, or also on texts of other components."""
+    from meshloom.llm import simhash as sh
+
+    say = lambda k: " ".join(f"word{k}x{i}" for i in range(60))
+    ids = {
+        "a": [None, None], "b": [None], "c": [None],  # only null ids
+        "d": [3, 5, None], "e": [5],  # 5 on a copy of d and on a text of its own
+        "f": [7, 7], "g": [9, 8], "h": [8],
+    }
+    docs = spark.createDataFrame([(d, say(k), k) for k, ds in ids.items() for d in ds], "doc_id long, text string, rid string").repartition(3)
+    got = sh.keep_first(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.rid, r.doc_id) for r in got.collect()) == [("a", None), ("b", None), ("c", None), ("d", 3), ("e", 5), ("f", 7), ("g", 8), ("h", 8)]
+
+
 def test_quality(spark, tables, documents):
     got = rows(spark, "op8_quality_rules", tables)
     want = {d: brute.quality(t) for d, t in documents}
