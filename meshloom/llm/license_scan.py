@@ -38,12 +38,12 @@ class Rule:
     confidence: float
 
 
-#: label, SPDX identifiers, name as a regular expression, keyword of the name (lower case), page as a regular expression or ""
+#: label, SPDX identifiers, name as a regular expression, keyword of the name (lower case; one for each alternative where they share none), page as a regular expression or ""
 LICENSES = (
     ("apache-2.0", r"Apache-2\.0", r"Apache\s+(?:Software\s+)?Licen[cs]e,?\s*(?:\(?\s*(?:Version|v)?\.?\s*2(?:\.0)?\)?)", "apache", r"apache\.org/licenses/LICENSE-2\.0"),
     ("apache-1.1", r"Apache-1\.1", r"Apache\s+(?:Software\s+)?Licen[cs]e,?\s*(?:Version|v)?\.?\s*1\.1", "apache", r"apache\.org/licenses/LICENSE-1\.1"),
     ("apache-1.0", r"Apache-1\.0", r"Apache\s+(?:Software\s+)?Licen[cs]e,?\s*(?:Version|v)?\.?\s*1\.0", "apache", r"apache\.org/licenses/LICENSE-1\.0"),
-    ("mit", r"MIT", r"(?:the\s+)?MIT\s+Licen[cs]e", "mit ", r"opensource\.org/licen[cs]es?/mit"),
+    ("mit", r"MIT", r"(?:the\s+)?MIT\s+Licen[cs]e", "mit", r"opensource\.org/licen[cs]es?/mit"),
     ("mit-0", r"MIT-0", r"MIT\s+No\s+Attribution", "attribution", r"opensource\.org/licen[cs]es?/mit-0"),
     ("x11", r"X11", r"X11\s+Licen[cs]e", "x11", ""),
     ("isc", r"ISC", r"ISC\s+Licen[cs]e", "isc", r"opensource\.org/licen[cs]es?/isc"),
@@ -106,7 +106,7 @@ LICENSES = (
     ("odbl-1.0", r"ODbL-1\.0", r"Open\s+(?:Data\s+Commons\s+Open\s+)?Database\s+Licen[cs]e", "database", r"opendatacommons\.org/licenses/odbl"),
     ("odc-by-1.0", r"ODC-By-1\.0", r"Open\s+Data\s+Commons\s+Attribution", "commons", r"opendatacommons\.org/licenses/by"),
     ("pddl-1.0", r"PDDL-1\.0", r"Public\s+Domain\s+Dedication\s+and\s+Licen[cs]e", "dedication", r"opendatacommons\.org/licenses/pddl"),
-    ("cc0-1.0", r"CC0-1\.0", r"CC0(?:\s*1\.0)?|Creative\s+Commons\s+Zero", "cc0", r"creativecommons\.org/publicdomain/zero"),
+    ("cc0-1.0", r"CC0-1\.0", r"CC0(?:\s*1\.0)?|Creative\s+Commons\s+Zero", "cc0|zero", r"creativecommons\.org/publicdomain/zero"),
     ("cc-pdm-1.0", r"CC-PDM-1\.0", r"Public\s+Domain\s+Mark", "domain", r"creativecommons\.org/publicdomain/mark"),
     ("openrail", r"OpenRAIL(?:-M)?", r"(?:Open\s*)?RAIL(?:-M)?\s+Licen[cs]e", "rail", ""),
 )
@@ -115,22 +115,24 @@ LICENSES = (
 CC = (("cc-by", "BY"), ("cc-by-sa", "BY-SA"), ("cc-by-nd", "BY-ND"), ("cc-by-nc", "BY-NC"), ("cc-by-nc-sa", "BY-NC-SA"), ("cc-by-nc-nd", "BY-NC-ND"))
 CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
-#: statements that name no license: label, keyword, pattern
+#: statements that name no license: label, keyword (a part of one word, as any space may be a line's end), pattern
 NOTICES = (
-    ("reserved", "rights reserved", r"All\s+rights\s+reserved"),
+    ("reserved", "reserved", r"All\s+rights\s+reserved"),
     ("copyright", "copyright", r"Copyright\s*(?:\(c\)|©)?\s*(?:19|20)\d\d"),
     ("copyright", "©", r"©\s*(?:19|20)\d\d"),
-    ("public-domain", "public domain", r"(?:in|into|to)\s+the\s+public\s+domain"),
+    ("public-domain", "domain", r"(?:in|into|to)\s+the\s+public\s+domain"),
     ("proprietary", "confidential", r"proprietary\s+and\s+confidential|confidential\s+and\s+proprietary"),
-    ("proprietary", "reproduc", r"may\s+not\s+be\s+(?:copied|reproduced|distributed)"),
-    ("permissive", "hereby granted", r"Permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge"),
-    ("permissive", "with or without", r"Redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms,\s+with\s+or\s+without"),
+    ("proprietary", "copied", r"may\s+not\s+be\s+copied"),
+    ("proprietary", "reproduced", r"may\s+not\s+be\s+reproduced"),
+    ("proprietary", "distributed", r"may\s+not\s+be\s+distributed"),
+    ("permissive", "hereby", r"Permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge"),
+    ("permissive", "redistribution", r"Redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms,\s+with\s+or\s+without"),
     ("warranty", "warrant", r"without\s+warrant(?:y|ies)\s+of\s+any\s+kind|WITHOUT\s+ANY\s+WARRANTY"),
     ("gpl", "gnu", r"GNU\s+General\s+Public\s+Licen[cs]e"),
     ("lgpl", "lesser", r"GNU\s+Lesser\s+General\s+Public\s+Licen[cs]e"),
     ("bsd", "bsd", r"BSD[- ]\s*(?:style\s+)?Licen[cs]e"),
     ("cc", "commons", r"Creative\s+Commons(?:\s+Attribution)?"),
-    ("terms", "terms of", r"terms\s+of\s+(?:service|use)"),
+    ("terms", "terms", r"terms\s+of\s+(?:service|use)"),
 )
 
 
@@ -148,9 +150,10 @@ def rules() -> list[Rule]:
         out.append(Rule(label, ("spdx",), rf"(?i)SPDX-License-Identifier:\s*\(?(?:{spdx})(?![A-Za-z0-9.-])", 0, 1.0))
         if page:
             out.append(Rule(label, (page.split(r"\.")[0],), rf"(?i){page}", 1, 0.95))
-        keys = keys_of(keyword, name)
-        out.append(Rule(label, (*keys, " under"), rf"(?i){grant}(?:{name}){stop}", 2, 0.9))
-        out.append(Rule(label, keys, rf"(?i){edge}(?:{name}){stop}", 3, 0.7))
+        for key, part in zip(keyword.split("|"), name.split("|"), strict=True) if "|" in keyword else [(keyword, name)]:
+            keys = keys_of(key, part)
+            out.append(Rule(label, (*keys, "under"), rf"(?i){grant}(?:{part}){stop}", 2, 0.9))
+            out.append(Rule(label, keys, rf"(?i){edge}(?:{part}){stop}", 3, 0.7))
     for stem, clauses in CC:
         spaced = clauses.replace("-", "[- ]")
         for version in CC_VERSIONS:
@@ -158,7 +161,7 @@ def rules() -> list[Rule]:
             out.append(Rule(label, ("spdx",), rf"(?i)SPDX-License-Identifier:\s*CC-{clauses}-{v}", 0, 1.0))
             out.append(Rule(label, ("creativecommons",), rf"(?i)creativecommons\.org/licenses/{clauses}/{v}", 1, 0.95))
             for sep in " -":
-                out.append(Rule(label, (f"cc{sep}by", version, " under"), rf"(?i){grant}CC{sep}{spaced}[- ]{v}{stop}", 2, 0.9))
+                out.append(Rule(label, (f"cc{sep}by", version, "under"), rf"(?i){grant}CC{sep}{spaced}[- ]{v}{stop}", 2, 0.9))
                 out.append(Rule(label, (f"cc{sep}by", version), rf"(?i){edge}CC{sep}{spaced}[- ]{v}{stop}", 3, 0.8))
         out += [Rule(stem, (f"cc{sep}by",), rf"(?i){edge}CC{sep}{spaced}{stop}", 4, 0.6) for sep in " -"]
     out += [Rule(label, (keyword,), rf"(?i){edge}(?:{pattern}){stop}", 5, 0.4) for label, keyword, pattern in NOTICES]

@@ -207,6 +207,54 @@ def test_license_detections(spark):
     assert {x[2] for x in live} >= {"mit", "apache-2.0", "bsd-3-clause", "gpl-2.0", "cc-by-sa-3.0", "reserved"}
 
 
+def examples(pattern):
+    """Texts that a rule's pattern matches: each alternative, each optional part with and without, spaces as newlines."""
+    from itertools import product
+    from re import _constants as c
+    from re import _parser as parser
+
+    def of(tree):
+        out = [""]
+        for op, x in tree:
+            if op is c.LITERAL:
+                some = [chr(x)]
+            elif op is c.IN:
+                first = next((y for y in x if y[0] is not c.NEGATE), x[0])
+                some = ["\n"] if first == (c.CATEGORY, c.CATEGORY_SPACE) else ["1" if first[0] is c.CATEGORY and first[1] is c.CATEGORY_DIGIT else "x" if x[0][0] is c.NEGATE or first[0] is c.CATEGORY else chr(first[1] if first[0] is c.LITERAL else first[1][0])]
+            elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+                some = [e * n for n in sorted({x[0], max(x[0], min(x[1], 1))}) for e in of(x[2])]
+            elif op is c.SUBPATTERN:
+                some = of(x[3])
+            elif op is c.BRANCH:
+                some = [e for b in x[1] for e in of(b)]
+            else:
+                some = ["x"] if op in (c.ANY, c.NOT_LITERAL) else [""]
+            out = [a + b for a, b in product(out, dict.fromkeys(some))]
+        return out
+
+    return of(parser.parse(pattern))
+
+
+def test_license_keys(spark):
+    """What a rule's pattern matches holds the rule's keys and passes the gate of all rules."""
+    import re
+
+    from meshloom.llm import license_scan as ls
+
+    one = {}
+    for r in ls.rules():
+        held = [x for x in examples(r.pattern) if re.search(r.pattern, x)]
+        assert held, r
+        for x in held:
+            assert all(k in x.lower() for k in r.keys), (r, x)
+        one.setdefault(r.label, held[-1])
+    wrapped = {"permissive": "Permission is hereby\ngranted, free of charge", "permissive ": "Redistribution and use in source and binary forms, with or\nwithout", "terms": "terms\nof use", "public-domain": "into the public\ndomain", "mit": "the MIT\nLicense", "mit ": "licensed\nunder MIT\nLicense", "cc0-1.0": "Creative Commons\nZero", "proprietary": "may not be copied", "proprietary ": "may not be\ndistributed", "reserved": "All rights\nreserved"}
+    rows = [(k.strip(), x) for k, x in [*one.items(), *wrapped.items()]]
+    got = ls.scan(spark.createDataFrame([(i, x) for i, (_, x) in enumerate(rows)], "doc_id long, text string"), ["doc_id"]).collect()
+    assert {r.doc_id for r in got if rows[r.doc_id][0] not in r.labels.split(",")} == set()
+    assert next(r.score for r in got if rows[r.doc_id] == ("mit", wrapped["mit "])) == 0.9
+
+
 def test_secrets(spark, tables, documents):
     got = rows(spark, "op10_secret_scan", tables)
     assert by_id(got, "n_assign", "n_access", "n_hex", "base_sha256") == {d: brute.secrets(t) for d, t in documents}
