@@ -17,6 +17,8 @@ from ..sources.shared import materialise
 FEW_PAIRS = 2_000_000
 #: candidates that are broadcast at most
 SMALL = 100_000
+#: queries, or as many as axis values if these are more, that are sorted in one task
+SORTED = 100_000
 
 
 def best_of(pairs: DataFrame, key: str) -> DataFrame:
@@ -55,7 +57,8 @@ def nearest_on_axis(queries: DataFrame, axis: DataFrame, key: str, value: str =
     """(key, index) of the axis value nearest to each query; of two equally near the lower value; clamped at the ends.
 
     Both sides are sorted together and each query looks to the last axis value at or below and the first above: a sort, no join
-    of ranges. Buckets of the axis' width bound the windows.
+    of ranges. Buckets of the axis' width bound the windows, and a bucket of many queries is dealt to several, each with all its
+    axis values.
     """
     q = queries.select(F.col(key), F.col(value).alias("v"), F.lit(None).cast("double").alias("a"), F.lit(None).cast("long").alias("i"))
     a = axis.select(F.lit(None).cast(queries.schema[key].dataType).alias(key), F.col(value).alias("v"), F.col(value).cast("double").alias("a"), F.col(index).cast("long").alias("i"))
@@ -68,11 +71,15 @@ def nearest_on_axis(queries: DataFrame, axis: DataFrame, key: str, value: str =
     # the ends of the neighbouring buckets: one pair a bucket, a thousandth of the axis
     ends = a.withColumn("b", bucket).groupBy("b").agg(F.min(F.struct("a", "i")).alias("first"), F.max(F.struct("a", "i")).alias("last"))
     order = Window.orderBy("b")
-    ends = F.broadcast(a.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(ends, "b", "left").select("b", F.last("last", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.first("first", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after")))
+    sizes = q.unionByName(a).withColumn("b", bucket).groupBy("b").agg(F.ceil(F.count_if(F.col("i").isNull()) / F.greatest(F.count("i"), F.lit(SORTED))).cast("int").alias("deals"))
+    sizes = sizes.select("b", F.greatest("deals", F.lit(1)).alias("deals"))
+    ends = F.broadcast(a.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(ends, "b", "left").select("b", F.last("last", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.first("first", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after")).join(sizes, "b"))
     both = q.unionByName(a).withColumn("b", bucket).join(ends, "b")
+    dealt = F.when(F.col("i").isNull(), F.array(F.pmod(F.xxhash64(key, "v"), F.col("deals")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("deals") - 1))
+    both = both.withColumn("deal", F.explode(dealt))
     here = F.when(F.col("i").isNotNull(), F.struct("a", "i"))
-    down = Window.partitionBy("b").orderBy("v", F.col("i").isNull(), "i").rowsBetween(Window.unboundedPreceding, 0)
-    up = Window.partitionBy("b").orderBy(F.desc("v"), F.col("i").isNull(), F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("b", "deal").orderBy("v", F.col("i").isNull(), "i").rowsBetween(Window.unboundedPreceding, 0)
+    up = Window.partitionBy("b", "deal").orderBy(F.desc("v"), F.col("i").isNull(), F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
     near = both.select(key, "v", "i", F.coalesce(F.last(here, True).over(down), F.col("before")).alias("lo"), F.coalesce(F.last(here, True).over(up), F.col("after")).alias("hi")).where(F.col("i").isNull())
     lower = F.col("hi").isNull() | (F.col("lo").isNotNull() & (F.abs(F.col("v") - F.col("lo.a")) <= F.abs(F.col("hi.a") - F.col("v"))))
     return near.select(key, F.when(lower, F.col("lo.i")).otherwise(F.col("hi.i")).alias(index))

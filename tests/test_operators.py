@@ -70,6 +70,21 @@ def test_nearest_on_axis(spark, n):
     assert sorted((x.k, x.axis_idx) for x in got.collect()) == want
 
 
+def test_nearest_on_axis_spreads(spark, monkeypatch):
+    """Queries of one bucket, of one value even, are sorted in several tasks, each with the whole bucket's axis."""
+    monkeypatch.setattr(nearest, "SORTED", 20, raising=False)
+    axis = [(i, 0.5 * i) for i in range(40)]
+    queries = [(k, 7.1 if k % 2 else k % 60 * 0.37 - 1) for k in range(2000)]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = nearest.nearest_on_axis(spark.createDataFrame(queries, "k long, value double"), spark.createDataFrame(axis, "axis_idx long, value double"), "k").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sorted((x.k, x.axis_idx) for x in got) == sorted((k, min((abs(v - a), a, i) for i, a in axis)[2]) for k, v in queries)
+    assert len({x.task for x in got if x.k % 2}) > 1
+
+
 @pytest.mark.parametrize(("axis", "queries", "want"), [((0.0, 360.0), (-75.0, 10.0), (285.0, 10.0)), ((-180.0, 180.0), (200.0, 10.0), (-160.0, 10.0)), ((0.0, 180.0), (20.0, 10.0), (20.0, 10.0)), ((0.0, 180.0), (-20.0, 200.0), (340.0, 200.0))])
 def test_longitude(spark, axis, queries, want):
     a = spark.createDataFrame([(x,) for x in axis], "lon double")
