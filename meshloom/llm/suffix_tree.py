@@ -1,29 +1,30 @@
 """LM scoring by a probabilistic suffix tree over words.
 
-Symbols are the tokens: words in lower case and the end of a text, which also stands before the first word. The next token is
-predicted from the longest context in the tree that ends here; contexts hold up to ``depth`` tokens. Candidates are contexts and
-continuations that make up ``p_min`` of all tokens or more, so there are at most 1 / p_min of each length, whatever the corpus.
-A continuation is kept if it is ``ratio`` times as likely as after the context one token shorter, and a context if the divergence
-of its distribution from that of the shorter one, over all its occurrences, is ``min_bits`` bits or more. Kept counts are
-discounted, and what that leaves goes to the distribution of the next shorter context; at the root stands the base
-distribution, with one share for all unknown words. So the chances of all continuations add up to 1, and a text's score is
-its base score where no context applies.
-
-All counts cover all training texts: words, pairs and longer runs are counted by Spark jobs, and what reaches the driver are the
-frequent ones and the tree, bounded by p_min. Each token's training count is needed for the root: frequent words' are broadcast,
-all others are looked up by a join.
-
-Defined cases: a null text counts as empty; an empty text is its end alone; words of any length are whole tokens; repeated rows
-score alike, and count as often as they stand in the training rows; without training rows every token is unknown; an empty table
-gives no rows; other columns are ignored.
+Symbols are the tokens: words in lower case and the end of a text, which also stands before the first word. The tree's contexts hold
+up to ``depth`` tokens. Candidates are contexts and continuations that training texts hold ``least`` times or more, at every size of
+the corpus. A continuation is kept if it is ``ratio`` times as likely as after the context one token shorter, and a context if the
+divergence of its distribution from that of the shorter one, over all its occurrences, is ``min_bits`` bits or more. Kept counts are
+discounted, and what that leaves goes to the distribution of the next shorter context; at the root stands the base distribution, with
+one share for all unknown words. So the chances of all continuations add up to 1, a token is scored by the longest state in the tree
+that ends before it, and a text's score is its base score where no context applies.
+
+The tree lives in tables keyed by hashes of runs of tokens, one level after another, and grows with the corpus; no level is collected.
+A level's counting skips what can't reach ``least``, as a filter over the level before tells; the filter has a fixed size at most, and
+passes more in vain where it is full, with the same results. For scoring, the ``head`` values of the largest weight are broadcast, and
+all others are joined to the places where they apply; where the border lies changes no result.
+
+Words and runs are told apart by 64-bit hashes.
+
+Defined cases: a null text counts as empty; an empty text is its end alone; words of any length are whole tokens, and long texts go
+a stretch at a time; repeated rows score alike, and count as often as they stand in the training rows; without training rows every
+token is unknown; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log2, log10
+from math import log10
 
 import numpy as np
 import pyarrow as pa
@@ -31,214 +32,207 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import many_rows, materialise, row_id, slices, to_batch
+from .common import materialise, row_id, slices
+from .hashing import Filter, Tally, mixed, streams
 
 #: the end of a text, as a word that no text holds
-END = b""
+END = np.uint64(0x9AE16A3B2F90404F)
+TURN = 13
 
 
 @dataclass(frozen=True)
 class Settings:
-    depth: int = 2
-    p_min: float = 1e-6
+    depth: int = 4
     least: int = 8
     ratio: float = 4.0
     discount: float = 0.75
     min_bits: float = 64.0
-    #: distinct words, or runs of words, after which a task sends its counts on
-    flush: int = 400_000
-    flush_runs: int = 4_000_000
+    #: values that are broadcast for scoring, at most
+    head: int = 400_000
+    #: distinct keys after which a task sends its counts on
+    flush: int = 1_000_000
+    #: keys that one row names at most
+    named: int = 250_000
 
 
-def count_words(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(word, n) over all rows of docs(text); the empty word counts the texts."""
+def turned(run: np.ndarray) -> np.ndarray:
+    return (run << np.uint64(TURN)) | (run >> np.uint64(64 - TURN))
 
-    def make():
-        def run(it: Iterator[tuple]) -> Iterator[tuple]:
-            counts: Counter = Counter()
-            for (text,) in it:
-                counts.update(text.lower().split() if text else ())
-                counts[b""] += 1
-                if len(counts) > settings.flush:
-                    yield from counts.items()
-                    counts = Counter()
-            yield from counts.items()
 
-        return run
+def turned_column(run: str) -> Column:
+    return F.shiftleft(run, TURN).bitwiseOR(F.shiftrightunsigned(run, 64 - TURN))
 
-    return many_rows(docs, make, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
+def signed(x: int) -> int:
+    return int(x) - (1 << 64) if int(x) >> 63 else int(x)
 
-class Ids(dict):
-    """Numbers of frequent words; -1 for all others."""
 
-    def __missing__(self, word: bytes) -> int:
-        return -1
+def salt(kind: int) -> np.uint64:
+    """Sets the keys of a kind apart: 0 words, 2 k contexts of k tokens, 2 k + 1 their continuations."""
+    return mixed(np.array([kind + 1], np.uint64))[0]
 
 
-def numbered(texts: list[bytes | None], ids: Ids) -> np.ndarray:
-    """The tokens of texts one after another, each text between ends."""
-    out = [0]
-    for text in texts:
-        if text:
-            out.extend(map(ids.__getitem__, text.lower().split()))
-        out.append(0)
-    return np.array(out, np.int64)
+class Runs:
+    """Hashes of the runs that end at each token of a stream; the stretches of the stream come one after another.
 
+    A run's hash is that of the run without its last token, turned, and its last token's by exclusive-or. A run of three tokens or
+    more may begin or end with END, but not hold it within.
+    """
 
-def runs(tokens: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
-    """Numbers of the frequent runs of len(levels) + 1 tokens that end at each place of tokens; -1 where there is none.
+    def __init__(self, depth: int):
+        self.depth, self.last = depth, np.full(depth, END)
 
-    levels[k] holds the frequent (number of a run of k + 1 tokens) << 32 | next token, sorted.
-    """
-    at = tokens
-    for level in levels:
-        at = lookup(extended(at, tokens), level)
-    return at
+    def over(self, tokens: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """runs[m - 1] and whether they hold END only at an end, for m up to depth + 1, each with the depth tokens before in front."""
+        t = np.concatenate([self.last, tokens])
+        self.last = t[len(t) - self.depth :]
+        ends = np.maximum.accumulate(np.where(t == END, np.arange(len(t)), -1))
+        before = np.append(-1, ends[:-1])
+        runs, good = [t], [np.ones(len(t), bool)]
+        for m in range(2, self.depth + 2):
+            run = np.zeros(len(t), np.uint64)
+            run[1:] = turned(runs[-1][:-1]) ^ t[1:]
+            runs.append(run)
+            good.append(np.arange(len(t)) - (m - 1) >= np.maximum(before, 0))
+        return runs, good
 
 
-def extended(at: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """The run that ends one place before, and the token here; -1 unless both are frequent and the run is within one text."""
-    out = np.full(len(tokens), -1, np.int64)
-    good = (at[:-1] >= 0) & (tokens[1:] >= 0)
-    if at is not tokens:
-        good &= tokens[:-1] != 0
-    out[1:][good] = (at[:-1][good] << 32) | tokens[1:][good]
-    return out
+def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes | None]:
+    for (texts,) in slices(batches):
+        yield from texts
 
 
-def lookup(keys: np.ndarray, level: np.ndarray) -> np.ndarray:
-    if not len(level):
-        return np.full(len(keys), -1, np.int64)
-    i = np.minimum(np.searchsorted(level, keys), len(level) - 1)
-    return np.where(level[i] == keys, i, -1)
+def batch(arrays: tuple[np.ndarray, ...], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in arrays], names=names)
 
 
-def count_runs(docs: DataFrame, sent, settings: Settings) -> DataFrame:
-    """(run, n): frequent runs with a frequent next token, over all rows of docs(text); sent: (words' numbers, levels)."""
+def count_words(docs: DataFrame, settings: Settings) -> DataFrame:
+    """(run, n): the hashes of all tokens of docs(text) and how often they stand there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, levels = sent.value
-        held, n = [], 0
-
-        def out() -> pa.RecordBatch:
-            keys, times = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times.astype(np.int64))], names=["run", "n"])
-
-        for (texts,) in slices(batches):
-            tokens = numbered(texts, ids)
-            keys = extended(runs(tokens, levels), tokens)
-            held.append(keys[keys >= 0])
-            n += len(held[-1])
-            if n >= settings.flush_runs:
-                yield out()
-                held, n = [], 0
-        if n:
-            yield out()
+        tally = Tally(settings.flush)
+        for tokens, _ in streams(texts_of(batches), END):
+            for x in tally.add(tokens):
+                yield batch(x, ["run", "n"])
+        for x in tally.rest():
+            yield batch(x, ["run", "n"])
 
     return docs.mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Node:
-    """A context: the chance left to the shorter context, and of each kept next token its own share."""
-
-    left: float
-    own: dict[int, float]
-
-
-class Tree:
-    """levels[k]: sorted keys of frequent runs of k + 2 tokens. nodes[k]: by the number of a run of k + 1 tokens."""
-
-    def __init__(self, levels: list[np.ndarray], nodes: list[dict[int, Node]], suffix: list[list[int]]):
-        self.levels, self.nodes, self.suffix = levels, nodes, suffix
-
-    def chance(self, k: int, run: int, token: int, root: float) -> float:
-        """Of token after a run of k + 1 tokens; root: its base chance."""
-        if k < 0 or run < 0:
-            return root
-        shorter = self.suffix[k][run] if k else -1
-        node = self.nodes[k].get(run)
-        below = self.chance(k - 1, shorter, token, root)
-        return below if node is None else node.own.get(token, 0.0) + node.left * below
-
-
-def grow(docs: DataFrame, often: list[tuple[bytes, int]], tokens: int, floor: float, settings: Settings = Settings()) -> tuple[Ids, Tree]:
-    """The tree over docs(text). often: the frequent words and their counts, the end first."""
-    ids = Ids({w: i for i, (w, _) in enumerate(often)})
-    least = max(settings.least, settings.p_min * tokens)
-    root = [(n + 0.5) / floor for _, n in often]
-    totals = [n for _, n in often]
-    tree = Tree([], [], [])
-    # of each run: the number of the run one token shorter at its front
-    suffix: list[int] = []
-    for k in range(settings.depth):
-        sent = docs.sparkSession.sparkContext.broadcast((ids, tree.levels))
-        # at most 1 / p_min rows
-        found = sorted((r.run, r.n) for r in count_runs(docs, sent, settings).where(F.col("n") >= least).collect())
-        tree.suffix.append(suffix)
-        by: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for key, n in found:
-            by[key >> 32].append((key & 0xFFFFFFFF, n))
-        nodes: dict[int, Node] = {}
-        for run, after in by.items():
-            total = totals[run]
-            parent = suffix[run] if k else -1
-            below = {t: tree.chance(k - 1, parent, t, root[t]) for t, _ in after}
-            kept = {t: n for t, n in after if n >= settings.ratio * total * below[t]}
-            own = {t: (n - settings.discount) / total for t, n in kept.items()}
-            left = 1.0 - sum(own.values())
-            bits = sum(n * log2((own[t] + left * below[t]) / below[t]) for t, n in kept.items()) + (total - sum(kept.values())) * log2(max(left, 1e-12))
-            if kept and bits >= settings.min_bits:
-                nodes[run] = Node(left, own)
-        tree.nodes.append(nodes)
-        keys = np.array([key for key, _ in found], np.int64)
-        tree.levels.append(keys)
-        if not len(keys):
-            break
-        # the longest proper suffix of the run (a, b) is b, that of (a, b, c) is the run (b, c)
-        if k == 0:
-            suffix = [key & 0xFFFFFFFF for key, _ in found]
-        else:
-            fronts = np.array([suffix[key >> 32] for key, _ in found], np.int64)
-            suffix = lookup((fronts << 32) | (keys & 0xFFFFFFFF), tree.levels[k - 1]).tolist()
-        totals = [n for _, n in found]
-    return ids, tree
+def count_runs(docs: DataFrame, k: int, frequent, settings: Settings) -> DataFrame:
+    """(run, context, shorter, n) of runs of k tokens and one more; frequent: the filter of runs of k tokens that stand often enough.
+
+    context: the run's first k tokens; shorter: its last k.
+    """
+    names = ["context", "shorter", "n"] if k == 1 else ["run", "context", "shorter", "n"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes, tally, runs = Filter(frequent.value), Tally(settings.flush // 2), Runs(k)
 
-class Shares:
-    """A level of the tree as sorted arrays: contexts, what each leaves to the shorter one, and kept continuations."""
+        def out(x: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            key, n, context, shorter = x
+            return batch((context, shorter, n) if k == 1 else (key, context, shorter, n), names)
 
-    def __init__(self, nodes: dict[int, Node]):
-        self.runs = np.array(sorted(nodes), np.int64)
-        self.left = np.array([nodes[r].left for r in self.runs.tolist()])
-        own = sorted(((r << 32) | t, x) for r, n in nodes.items() for t, x in n.own.items())
-        self.keys, self.own = np.array([k for k, _ in own], np.int64), np.array([x for _, x in own])
+        for tokens, _ in streams(texts_of(batches), END):
+            found, good = runs.over(tokens)
+            may = passes.has(found[k - 1])
+            at = np.flatnonzero(good[k][k:] & may[k:] & may[k - 1 : -1]) + k
+            for x in tally.add(found[k][at], found[k - 1][at - 1], found[k - 1][at]):
+                yield out(x)
+        for x in tally.rest():
+            yield out(x)
 
+    counted = docs.mapInArrow(run, ", ".join(f"{c} long" for c in names)).groupBy(*names[:-1]).agg(F.sum("n").alias("n")).where(F.col("n") >= settings.least)
+    # of two tokens the hash follows from both
+    return counted.withColumn("run", turned_column("context").bitwiseXOR(F.col("shorter"))) if k == 1 else counted
 
-def advantages(tree: Tree, shares: list[Shares], tokens: np.ndarray, root: np.ndarray) -> np.ndarray:
-    """For each place log10 of the tree's chance of the token over its base chance; 0 where no context applies.
 
-    Level by level, shortest contexts first: chance = own + left * (chance after the shorter context), all over the base chance.
-    An infrequent token is kept nowhere, so it only loses what the contexts keep for others.
+def level(counted: DataFrame, before: DataFrame, k: int, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """The runs (run, n, p) of k + 1 tokens with the tree's chance of their last token, and the values (key, weight, gain) of the contexts of k tokens.
+
+    before: (run, n, p) of the runs of k tokens. counted: count_runs. A place's gain is the sum of the values whose key applies there:
+    each retained context gives log10 of what it leaves, and a kept continuation the rest of its advantage over the shorter context.
     """
-    over = np.ones(len(tokens))
-    at, after = tokens, tokens[1:]
-    for k, level in enumerate(shares):
-        before = at[:-1] if k == 0 else np.where(tokens[:-1] != 0, at[:-1], -1)  # longer contexts end within the text
-        node = lookup(before, level.runs)
-        here = np.flatnonzero(node >= 0)
-        if len(here):
-            own = lookup((before[here] << 32) | np.maximum(after[here], 0), level.keys)
-            kept = (own >= 0) & (after[here] >= 0)
-            gain = np.where(kept, level.own[own] / root[np.maximum(after[here], 0)], 0.0) if len(level.own) else 0.0
-            over[here + 1] = gain + level.left[node[here]] * over[here + 1]
-        if k + 1 < len(shares):
-            at = lookup(extended(at, tokens), tree.levels[k])
-    return np.log10(over)
+    total = before.select(F.col("run").alias("context"), F.col("n").alias("total"))
+    below = before.select(F.col("run").alias("shorter"), F.col("p").alias("below"))
+    known = counted.join(total, "context").join(below, "shorter").withColumn("kept", F.col("n") >= settings.ratio * F.col("total") * F.col("below"))
+    known = materialise(known.withColumn("own", F.when(F.col("kept"), (F.col("n") - settings.discount) / F.col("total")).otherwise(0.0)), f"tree-known-{k}")
+    left = known.where("kept").groupBy("context").agg(F.greatest(1.0 - F.sum("own"), F.lit(1e-12)).alias("left"), F.sum("n").alias("held"), F.max("total").alias("whole"))
+    left = materialise(left, f"tree-left-{k}")
+    gained = known.where("kept").join(left, "context").groupBy("context").agg(F.sum(F.col("n") * F.log2((F.col("own") + F.col("left") * F.col("below")) / F.col("below"))).alias("gained"))
+    bits = F.col("gained") + (F.col("whole") - F.col("held")) * F.log2("left")
+    retained = materialise(left.join(gained, "context").where(bits >= settings.min_bits).select("context", "left", "whole"), f"tree-contexts-{k}")
+    chance = F.when(F.col("left").isNull(), F.col("below")).otherwise(F.col("own") + F.col("left") * F.col("below"))
+    runs = materialise(known.join(retained.drop("whole"), "context", "left").select("run", "n", chance.alias("p"), "below", "left", "kept"), f"tree-runs-{k}")
+    tell = lambda c, kind: F.col(c).bitwiseXOR(F.lit(signed(salt(kind)))).alias("key")
+    contexts = retained.select(tell("context", 2 * k), F.col("whole").alias("weight"), F.log10("left").alias("gain"))
+    kept = runs.where("kept AND left IS NOT NULL").select(tell("run", 2 * k + 1), F.col("n").alias("weight"), F.log10(F.col("p") / F.col("below") / F.col("left")).alias("gain"))
+    return runs.select("run", "n", "p"), contexts.unionByName(kept)
+
+
+def grow(docs: DataFrame, words: DataFrame, floor: float, settings: Settings = Settings()) -> DataFrame | None:
+    """The tree over docs(text) as values (key, weight, gain). words: (run, n) of all tokens."""
+    before = words.where(F.col("n") >= settings.least).select("run", "n", ((F.col("n") + 0.5) / F.lit(floor)).alias("p"))
+    values = None
+    for k in range(1, settings.depth + 1):
+        frequent = docs.sparkSession.sparkContext.broadcast(Filter.from_table(before, "run").bits)
+        counted = materialise(count_runs(docs, k, frequent, settings), f"tree-counts-{k}")
+        if counted.isEmpty():
+            break
+        before, made = level(counted, before, k, settings)
+        values = made if values is None else values.unionByName(made)
+    return values
 
 
-SCORED = "n_tokens long, n_head long, base_head double, advantage double, tail_hash array<long>, tail_n array<int>"
+VALUES = "key long, weight long, base double, gain double, known int"
+
+
+def split(values: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """values with the largest weights, at most ``most``, and the others; the border lies between powers of the eighth root of two."""
+    size = F.floor(F.log2(F.col("weight").cast("double")) * 8)
+    border, n = 0, 0
+    for r in values.groupBy(size.alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("size")).collect():  # at most 8 * 64 rows
+        n += r.n
+        if n > most:
+            border = r["size"] + 1
+            break
+    return values.where(size >= border), values.where(size < border)
+
+
+class Values:
+    """The head's keys in order, with what they add to a place, and filters of the head's and the other keys."""
+
+    def __init__(self, keys: np.ndarray, base: np.ndarray, gain: np.ndarray, known: np.ndarray, others: np.ndarray):
+        self.keys, self.base, self.gain, self.known = keys, base, gain, known
+        self.mine, self.others = Filter.of(keys), Filter(others)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of keys that the head holds, their numbers there, and places whose keys may be among the others."""
+        at = np.flatnonzero(self.mine.has(keys)) if len(self.keys) else np.zeros(0, np.int64)
+        i = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1) if len(at) else at
+        same = self.keys[i] == keys[at] if len(at) else np.zeros(0, bool)
+        rest = self.others.has(keys)
+        rest[at[same]] = False
+        return at[same], i[same], np.flatnonzero(rest)
+
+
+def places(values: Values, runs: list[np.ndarray], good: list[np.ndarray], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(place, number in the head, other place, other key) of everything that applies to the tokens after the first ``depth``."""
+    n = len(runs[0])
+    keys = runs[0][depth:] ^ salt(0)
+    a, i, b = values.find(keys)
+    yield a, i, b, keys[b]
+    for k in range(1, depth + 1):
+        at = np.flatnonzero(good[k][depth:])
+        context = runs[k - 1][depth - 1 : n - 1][at] ^ salt(2 * k)
+        a, i, b = values.find(context)
+        yield at[a], i, at[b], context[b]
+        # a continuation has a value only where its context has one
+        at = at[np.union1d(a, b)]
+        run = runs[k][depth:][at] ^ salt(2 * k + 1)
+        a, i, b = values.find(run)
+        yield at[a], i, at[b], run[b]
 
 
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -248,48 +242,58 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     words = materialise(count_words(training, settings), "tree-words")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     floor = tokens + 0.5 * (kinds + 1)
-    least = max(settings.least, settings.p_min * tokens)
-    is_often = (F.col("n") >= least) | (F.col("word") == F.lit(END))
-    # at most 1 / p_min rows, and the end
-    often = sorted(((bytes(r.word), r.n) for r in words.where(is_often).collect()), key=lambda x: (x[0] != END, -x[1], x[0])) or [(END, 0)]
-    ids, tree = grow(training, often, tokens, floor, settings)
-    sent = docs.sparkSession.sparkContext.broadcast((ids, tree, [n for _, n in often]))
-    schema = T.StructType([T.StructField("__rid", T.LongType()), docs.schema[key], T.StructField("held_out", T.BooleanType()), *T.StructType.fromDDL(SCORED)])
+    unknown = log10(0.5 / floor)
+    base = words.select(F.col("run").bitwiseXOR(F.lit(signed(salt(0)))).alias("key"), F.col("n").alias("weight"), (F.log10((F.col("n") + 0.5) / F.lit(floor)) - F.lit(unknown)).alias("base"), F.lit(0.0).alias("gain"), F.lit(1).alias("known"))
+    tree = grow(training, words, floor, settings)
+    if tree is not None:
+        base = base.unionByName(tree.select("key", "weight", F.lit(0.0).alias("base"), "gain", F.lit(0).alias("known")))
+    values = materialise(base, "tree-values")
+    head, others = split(values, settings.head)
+    found = head.select("key", "base", "gain", "known").toArrow()  # at most settings.head rows
+    order = np.argsort(found["key"].to_numpy().view(np.uint64))
+    sent = docs.sparkSession.sparkContext.broadcast((found["key"].to_numpy().view(np.uint64)[order], *(found[c].to_numpy()[order] for c in ("base", "gain", "known")), Filter.from_table(others, "key").bits))
+    schema = T.StructType([T.StructField("__rid", T.LongType()), docs.schema[key], *T.StructType.fromDDL("held_out boolean, whole boolean, n_tokens long, n_known long, base double, gain double, others array<long>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        ids, tree, counts = sent.value
-        root = [(n + 0.5) / floor for n in counts]
-        logs, digest = [log10(x) for x in root], xxhash.xxh64_intdigest
-        base_of, shares = np.array(root), [Shares(n) for n in tree.nodes]
-        for rids, keys, held, texts in slices(batches):
-            tokens = numbered(texts, ids)
-            gains = np.concatenate(([0.0], np.cumsum(advantages(tree, shares, tokens, base_of))))
-            out, at = [], 1
-            for rid, doc, is_held, raw in zip(rids, keys, held, texts, strict=True):
-                n_tokens, n_head, base, hashes, times = 1, int(counts[0] > 0), logs[0], [], []
-                for w, n in Counter(raw.lower().split() if raw else ()).items():
-                    n_tokens += n
-                    if (t := ids[w]) >= 0:
-                        n_head += n
-                        base += n * logs[t]
-                    else:
-                        h = digest(w, 42)
-                        hashes.append(h - (1 << 64) if h >> 63 else h)
-                        times.append(n)
-                out.append((rid, doc, is_held, n_tokens, n_head, base, float(gains[at + n_tokens] - gains[at]), hashes, times))
-                at += n_tokens
-            yield to_batch(out, schema)
+        values, depth = Values(*sent.value), settings.depth
+        names = [f.name for f in schema]
+        for b in batches:
+            step = max(1, min(b.num_rows, b.num_rows * (2 << 20) // max(1, b.nbytes)))
+            for first in range(0, b.num_rows, step):
+                part = b.slice(first, step)
+                n, runs = part.num_rows, Runs(depth)
+                sums = {c: np.zeros(n) for c in ("base", "gain", "known", "tokens")}
+                named: list[tuple[np.ndarray, np.ndarray]] = []
+                n_named = 0
+
+                def rows(whole: bool, part=part, named=named, sums=sums, n=n):
+                    """The texts' sums so far are given once, with the last keys."""
+                    of, keys = (np.concatenate(c) for c in zip(*named, strict=True)) if named else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+                    order = np.argsort(of, kind="stable")
+                    ends = np.append(0, np.cumsum(np.bincount(of, minlength=n)))
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[order].view(np.int64)))
+                    ints = [pa.array(sums[c].astype(np.int64)) for c in ("tokens", "known")]
+                    return pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.full(n, whole)), *ints, pa.array(sums["base"]), pa.array(sums["gain"]), lists], names=names)
+
+                for tokens, of in streams((x.as_py() for x in part.column(3)), END):
+                    found, good = runs.over(tokens)
+                    sums["tokens"] += np.bincount(of, minlength=n)
+                    for at, i, other, keys in places(values, found, good, depth):
+                        for c, v in (("base", values.base), ("gain", values.gain), ("known", values.known)):
+                            sums[c] += np.bincount(of[at], weights=v[i], minlength=n)
+                        named.append((of[other], keys))
+                        n_named += len(keys)
+                    if n_named > settings.named:
+                        yield rows(False)
+                        named.clear()
+                        n_named = 0
+                yield rows(True)
 
     scored = materialise(source.select(row_id().alias("__rid"), key, "held_out", "__text").mapInArrow(run, schema), "tree-scored")
-    unknown = log10(0.5 / floor)
-    tail = scored.select("__rid", F.explode(F.arrays_zip("tail_hash", "tail_n")).alias("x")).select("__rid", F.col("x.tail_hash").alias("h"), F.col("x.tail_n").alias("times"))
-    counts = words.where(~is_often).select(F.xxhash64("word").alias("__h"), F.col("n").alias("c"))
-    # words that training never saw need no row: all tail words count as unknown at first
-    found = tail.join(counts, F.col("h") == F.col("__h")).groupBy("__rid").agg(F.sum("times").alias("n_tail"), F.sum(F.col("times") * (F.log10((F.col("c") + 0.5) / F.lit(floor)) - F.lit(unknown))).alias("gain"))
-    rest = F.aggregate("tail_n", F.lit(0).cast("long"), lambda a, x: a + x)
-    out = scored.withColumnRenamed("__rid", "__row").withColumn("n_rest", rest).drop("tail_hash", "tail_n").join(found, F.col("__row") == F.col("__rid"), "left")
-    out = out.withColumn("base_score", F.col("base_head") + F.col("n_rest") * F.lit(unknown) + F.coalesce("gain", F.lit(0.0)))
-    known = (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known")
-    return out.select(key, "held_out", "n_tokens", known, F.lit(int(tokens)).cast("long").alias("train_tokens"), "base_score", (F.col("base_score") + F.col("advantage")).alias("score"))
+    named = scored.select("__rid", F.explode("others").alias("k"))
+    more = named.join(others.withColumnRenamed("key", "k"), "k").groupBy("__rid").agg(*[F.sum(c).alias(f"more_{c}") for c in ("base", "gain", "known")])
+    out = scored.where("whole").drop("others").withColumnRenamed("__rid", "__row").join(more, F.col("__row") == F.col("__rid"), "left")
+    both = {c: F.col(c) + F.coalesce(F.col(f"more_{c}"), F.lit(0.0)) for c in ("base", "gain")}
+    out = out.withColumn("base_score", F.col("n_tokens") * F.lit(unknown) + both["base"])
+    known = (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known")
+    return out.select(key, "held_out", "n_tokens", known, F.lit(int(tokens)).cast("long").alias("train_tokens"), "base_score", (F.col("base_score") + both["gain"]).alias("score"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -140,3 +141,55 @@ def secrets(text):
     found = [(m.start(), i, m.end(), kind) for i, (kind, p, good) in enumerate(KINDS) for m in p.finditer(text or "") if good(m)]
     counts = Counter(k for *_, k in found)
     return *(counts[k] for k, *_ in KINDS), sha(",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found)))
+
+
+def tokens(text):
+    return [*WORD.findall(lower(text)), ""]
+
+
+def suffix_tree(training, depth, least, ratio, discount, min_bits):
+    """A function from a text to (base score, score), and the contexts of the tree, by plain counting over the training texts."""
+    streams = [["", *tokens(t)] for t in training]
+    words = Counter(w for s in streams for w in s[1:])
+    floor = sum(words.values()) + 0.5 * (len(words) + 1)
+    root = lambda w: (words[w] + 0.5) / floor
+    tree = {}  # context: what it leaves, chances of its kept continuations
+
+    def chance(context, w):
+        for k in range(len(context)):
+            if context[k:] in tree:
+                left, own = tree[context[k:]]
+                return own.get(w, 0.0) + left * chance(context[k + 1 :], w)
+        return root(w)
+
+    often = {(w,) for w, n in words.items() if n >= least}
+    for k in range(1, depth + 1):
+        after, grown = {}, {}
+        for s in streams:
+            for i in range(k, len(s)):
+                c = tuple(s[i - k : i])
+                if "" not in c[1:]:
+                    after.setdefault(c, Counter())[s[i]] += 1
+        for c, nexts in after.items():
+            total = sum(nexts.values())
+            kept = {w: n for w, n in nexts.items() if n >= least and c in often and n >= ratio * total * chance(c[1:], w)}
+            own = {w: (n - discount) / total for w, n in kept.items()}
+            left = 1 - sum(own.values())
+            bits = sum(n * math.log2((own[w] + left * chance(c[1:], w)) / chance(c[1:], w)) for w, n in kept.items()) + (total - sum(kept.values())) * math.log2(max(left, 1e-12))
+            if kept and bits >= min_bits:
+                grown[c] = (left, own)
+        tree.update(grown)
+        often = {(*c, w) for c, nexts in after.items() for w, n in nexts.items() if n >= least}
+
+    def score(text):
+        s = ["", *tokens(text)]
+        base = full = 0.0
+        for i in range(1, len(s)):
+            c = tuple(s[max(0, i - depth) : i])
+            while len(c) > 1 and "" in c[1:]:
+                c = c[1:]
+            base += math.log10(root(s[i]))
+            full += math.log10(chance(c, s[i]))
+        return base, full
+
+    return score, tree, chance

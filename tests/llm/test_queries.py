@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from meshloom.llm import common, token_counts
 from meshloom.llm.queries import QUERIES
@@ -57,33 +58,68 @@ def test_suffix_tree(spark, tables, documents):
     assert better > 0
 
 
-def test_suffix_tree_sums_to_one(spark):
+TREES = [{}, {"least": 2, "ratio": 1.5, "min_bits": 1.0, "head": 20}, {"least": 2, "ratio": 1.2, "min_bits": 4.0, "depth": 5, "head": 0, "named": 3}, {"least": 3, "depth": 1, "min_bits": 2.0}]
+
+
+@pytest.mark.parametrize("given", TREES)
+def test_suffix_tree_scores(spark, tables, documents, given):
+    """Every text's score against plain counting, whatever part of the values is broadcast and whatever is joined."""
+    import zlib
+
+    from meshloom.llm import suffix_tree as st
+
+    settings = st.Settings(**given)
+    say = [(5 * i + j, t) for i in range(30) for j, t in enumerate(("a b c a b d a b c", "A b c a b c", "d a b", None, "x a b c a b d d d d d d"))]
+    for rows_ in (documents, say):
+        held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d, _ in rows_}
+        score, tree, _ = brute.suffix_tree([t for d, t in rows_ if not held[d]], settings.depth, settings.least, settings.ratio, settings.discount, settings.min_bits)
+        docs = spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)
+        got = by_id(st.score(docs, common.is_remainder(F.col("doc_id"), 5, 1), settings=settings).collect(), "base_score", "score")
+        assert tree and (rows_ is documents or settings.depth == 1 or max(map(len, tree)) > 1)
+        for d, t in rows_:
+            assert got[d] == pytest.approx(score(t), rel=1e-9), d
+
+
+def test_suffix_tree_sums_to_one():
     """After any context the chances of all tokens, unknown ones together, add up to 1."""
+    training = ["a b c a b d a b c", "a b c a b c", "d a b"] * 5
+    _, tree, chance = brute.suffix_tree(training, 3, 2, 1.5, 0.75, 1.0)
+    words = {w for t in training for w in brute.tokens(t)}
+    assert max(map(len, tree)) > 1
+    for c in [*tree, ("c", "a"), ("x",), ("", "a")]:
+        assert sum(chance(c, w) for w in [*words, "unknown"]) == pytest.approx(1.0)
+
+
+def test_word_hashes_over_blocks(monkeypatch):
+    """Words that run over blocks hash as they do whole, and streams keep the borders of texts."""
     import numpy as np
 
-    from meshloom.llm import suffix_tree as st
+    from meshloom.llm import hashing
+
+    monkeypatch.setattr(hashing, "BLOCK", 16)
+    texts = [b"ab " * 40, b"x" * 500, b" " + b"y" * 16 + b" ", b"z" * 32 + b" q\n\nAB", None, b"", b"q ab", b"\t", b"one two three four five six"]
+    whole = {}
+    for t in texts:
+        words = (t or b"").lower().split()
+        hashes = hashing.word_hashes(t, lower=True).tolist()
+        assert len(words) == len(hashes)
+        assert all(whole.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(set(whole.values())) == len(whole)
+    end = np.uint64(1)
+    got = [(int(h), int(d)) for hs, ds in hashing.streams(texts, end) for h, d in zip(hs, ds, strict=True)]
+    assert got == [(h, i) for i, t in enumerate(texts) for h in [*(whole[w] for w in (t or b"").lower().split()), 1]]
+
+
+def test_filter_denies_no_key(spark):
+    import numpy as np
+
+    from meshloom.llm.hashing import Filter
 
-    settings = st.Settings(least=2, ratio=1.5, min_bits=1.0)
-    df = spark.createDataFrame([("a b c a b d a b c",), ("a b c a b c",), ("d a b",)] * 5, "t string").selectExpr("CAST(t AS binary) AS t")
-    counted = sorted(((bytes(r.word), r.n) for r in st.count_words(df, settings).collect()), key=lambda x: (x[0] != b"", -x[1]))
-    tokens = sum(n for _, n in counted)
-    floor = tokens + 0.5 * (len(counted) + 1)
-    ids, tree = st.grow(df, counted, tokens, floor, settings)
-    assert any(tree.nodes)
-    root = [(n + 0.5) / floor for _, n in counted]
-    for k, nodes in enumerate(tree.nodes):
-        for run in nodes:
-            total = sum(tree.chance(k, run, t, root[t]) for t in range(len(root))) + tree.chance(k, run, -1, 0.5 / floor)
-            assert total == pytest.approx(1.0)
-    shares = [st.Shares(n) for n in tree.nodes]
-    tokens = st.numbered([b"a b c a b x a b d", None, b"x", b"b c a b a b"], ids)
-    got = st.advantages(tree, shares, tokens, np.array(root))
-    assert got[0] == 0 and len(got) == len(tokens)
-    for i in range(1, len(tokens)):
-        t, base = int(tokens[i]), root[tokens[i]] if tokens[i] >= 0 else 1.0
-        pair = int(st.lookup(np.array([(tokens[i - 2] << 32) | tokens[i - 1]]), tree.levels[0])[0]) if i > 1 and tokens[i - 1] > 0 and tokens[i - 2] >= 0 else -1
-        chance = tree.chance(1, pair, t, base) if pair in tree.nodes[1] else tree.chance(0, int(tokens[i - 1]), t, base)
-        assert got[i] == pytest.approx(math.log10(chance / base))
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63, 5000)
+    made = Filter.from_table(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k")
+    assert made.has(keys.view(np.uint64)).all() and (made.bits == Filter.of(keys.view(np.uint64)).bits).all()
+    assert made.has(np.random.default_rng(2).integers(0, 2**63, 20_000).astype(np.uint64)).mean() < 0.05
+    assert not Filter.from_table(spark.createDataFrame([], "k long"), "k").has(keys.view(np.uint64)).any()
 
 
 def test_mixing(spark, tables, documents):
