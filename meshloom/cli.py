@@ -53,7 +53,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.command == "prepare":
             return 0
         built = runs.extract(s, wanted, not args.changed_only)
-        sinks.write_log(spark, config.output, [f"built {b}" for b in built] + s.warnings)
+        lines = [f"built {b}" for b in built] + s.warnings
+        sinks.write_log(spark, config.output, lines)
+        sinks.write_record(spark, config.output, sinks.source_lines(spark, runs.source_paths(config)) + lines)
         if args.assemble:
             runs.write_dataset(spark, config, overwrite=True)
         return 0
@@ -70,6 +72,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     lats, lons, cube = (spark.read.parquet(f"{args.forcing}/{n}") for n in ("lat", "lon", "cube"))
     columns = dict(c.split("=", 1) for c in args.column) or {v: tables.resolve(cube, v) for v in configs.FORCING}
     sinks.write_final(runs.replace_forcing(old, lats, lons, cube, columns), args.out, args.overwrite)
+    sources = [sinks.source_entry(spark, p) for p in (args.old, args.forcing)]
+    sinks.write_manifest(spark, f"{args.out.rstrip('/')}_manifest", "replace", sources, columns=columns, rows=spark.read.parquet(args.out).count())
     return 0
 
 

@@ -42,7 +42,7 @@ class Config:
     paths: dict[str, str] = field(default_factory=dict)
     targets_history: tuple[str, ...] = ()
     targets_restart: tuple[str, ...] = ()
-    mode: str = "legacy"
+    mode: str = "datm"
     lat_max: int = 90
     lat_min: int = -90
     lon_min: int = 0

@@ -1,8 +1,10 @@
 """Nearest-neighbour joins in degrees, without comparing all pairs.
 
-Both sides fall into square cells; a query meets the candidates of its cell and the eight around. Whatever lies outside those is
-more than a cell's width away on one axis, so a match nearer than that is the nearest. Queries without one try again with cells
-twice as wide. Ties go to the smallest candidate index. Distances are Euclidean in degrees, and longitudes don't wrap.
+Both sides fall into square cells, whose width follows from the density of the candidates where they are densest, so that no cell
+holds many. A query meets the candidates of its cell and the eight around; whatever lies outside those is more than a cell's width
+away on one axis, so a match nearer than that is the nearest. Queries without one go down a tree of cells: of the boxes that may hold
+the nearest candidate, those that are further away than the farthest corner of another are left, and the others are cut into four,
+until they hold few candidates. Ties go to the smallest candidate index. Distances are Euclidean in degrees; longitudes don't wrap.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ from ..sources.shared import materialise
 FEW_PAIRS = 2_000_000
 #: candidates that are broadcast at most
 SMALL = 100_000
-#: queries, or as many as axis values if these are more, that are sorted in one task
-SORTED = 100_000
+#: candidates of a cell at most, unless halving its width forty times leaves more
+CROWD = 64
+#: rows of an axis and its queries in one task, some
+SORTED = 1_000_000
 
 
 def best_of(pairs: DataFrame, key: str) -> DataFrame:
@@ -27,60 +31,104 @@ def best_of(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.min(F.struct(d2.alias("d2"), F.col("c_idx").alias("idx"))).alias("best")).select(key, "best.d2", "best.idx")
 
 
-def nearest_join(queries: DataFrame, candidates: DataFrame, key: str, index: str, width: float = 1.0, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """(key, d2, idx): for each query with coordinates the index of its nearest candidate. key must be unique."""
-    q = queries.select(F.col(key), F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon")).where("q_lat IS NOT NULL AND q_lon IS NOT NULL")
-    c = candidates.select(F.col(index).alias("c_idx"), F.col(lat).alias("c_lat"), F.col(lon).alias("c_lon")).where("c_lat IS NOT NULL AND c_lon IS NOT NULL")
+def cell_of(x: str | Column, low: float, width: float) -> Column:
+    return F.floor((F.col(x) if isinstance(x, str) else x) / F.lit(width) - F.lit(low / width)).cast("long")
+
+
+def nearest_join(queries: DataFrame, candidates: DataFrame, key: str, index: str, width: float | None = None, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """(key, d2, idx): for each query with coordinates the index of its nearest candidate. key must be unique; width: of the first cells, by density where none is given."""
+    finite = lambda *c: F.expr(" AND ".join(f"{x} IS NOT NULL AND NOT isnan({x}) AND abs({x}) < double('inf')" for x in c))
+    q = queries.select(F.col(key), F.col(lat).cast("double").alias("q_lat"), F.col(lon).cast("double").alias("q_lon")).where("q_lat IS NOT NULL AND q_lon IS NOT NULL")
+    # candidates at one place are one, with the smallest index
+    c = candidates.select(F.col(index).alias("c_idx"), F.col(lat).cast("double").alias("c_lat"), F.col(lon).cast("double").alias("c_lon")).where(finite("c_lat", "c_lon"))
     n_candidates = c.count()
     if not n_candidates:
         return q.select(key, F.lit(None).cast("double").alias("d2"), F.lit(None).cast("long").alias("idx")).limit(0)
     if n_candidates <= SMALL and n_candidates * q.count() <= FEW_PAIRS:
         return best_of(q.crossJoin(F.broadcast(c)), key)
-    done: DataFrame | None = None
-    left = q
+    c = materialise(c.groupBy("c_lat", "c_lon").agg(F.min("c_idx").alias("c_idx")), "nearest-points")
+    low_lat, high_lat, low_lon, high_lon, n = c.agg(F.min("c_lat"), F.max("c_lat"), F.min("c_lon"), F.max("c_lon"), F.count("*")).first()
+    side = max(high_lat - low_lat, high_lon - low_lon) or 1.0
+    if width is None:
+        width = max(side * 1e-9, ((high_lat - low_lat or side) * (high_lon - low_lon or side) * 4 / n) ** 0.5)
+    for _ in range(40):
+        at = [cell_of("c_lat", low_lat, width).alias("x"), cell_of("c_lon", low_lon, width).alias("y")]
+        if c.groupBy(*at).count().agg(F.max("count")).first()[0] <= CROWD:
+            break
+        width /= 2
+    ring = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
+    x, y = cell_of("q_lat", low_lat, width), cell_of("q_lon", low_lon, width)
+    cells = q.where(finite("q_lat", "q_lon")).withColumn("dx", ring).withColumn("dy", ring).select(key, "q_lat", "q_lon", (x + F.col("dx")).alias("x"), (y + F.col("dy")).alias("y"))
+    found = materialise(best_of(cells.join(c.select("c_idx", "c_lat", "c_lon", *at), ["x", "y"]), key).where(F.col("d2") < F.lit(width * width)), "nearest")
+    left = materialise(q.join(found, key, "left_anti"), "nearest-left")
+    if left.isEmpty():
+        return found
+    least = c.agg(F.min("c_idx")).first()[0]
+    # no distance is finite: the smallest index
+    lost = left.where(~finite("q_lat", "q_lon")).select(key, F.lit(None).cast("double").alias("d2"), F.lit(least).alias("idx"))
+    return found.unionByName(descend(left.where(finite("q_lat", "q_lon")), c, key, (low_lat, low_lon), side)).unionByName(lost)
+
+
+def boxes(points: DataFrame, low: tuple[float, float], width: float) -> DataFrame:
+    """(x, y, n, and the extent of its points) of each cell of the width that holds a point."""
+    at = [cell_of("c_lat", low[0], width).alias("x"), cell_of("c_lon", low[1], width).alias("y")]
+    return points.groupBy(*at).agg(F.count("*").alias("n"), F.min("c_lat").alias("a"), F.max("c_lat").alias("b"), F.min("c_lon").alias("c"), F.max("c_lon").alias("d"))
+
+
+def descend(queries: DataFrame, points: DataFrame, key: str, low: tuple[float, float], side: float) -> DataFrame:
+    """(key, d2, idx) by a tree of cells that halve their width; each level is a join of the boxes still open and one minimum a query."""
+    gap = lambda q, a, b: F.greatest(F.col(a) - F.col(q), F.col(q) - F.col(b), F.lit(0.0))
+    far = lambda q, a, b: F.greatest(F.abs(F.col(q) - F.col(a)), F.abs(F.col(q) - F.col(b)))
+    # the last bits of a sum of squares may differ from one way of computing it to another
+    nearest = (square(gap("q_lat", "a", "b")) + square(gap("q_lon", "c", "d"))) * F.lit(1 - 1e-12)
+    farthest = (square(far("q_lat", "a", "b")) + square(far("q_lon", "c", "d"))) * F.lit(1 + 1e-12)
+    width = side * (1 + 1e-9)
+    # the root is one cell, or four where the extent ends on a border
+    open_, done, level = queries.withColumn("px", F.lit(0).cast("long")).withColumn("py", F.lit(0).cast("long")), None, 0
     while True:
-        at = lambda x, w=width: F.floor(x / F.lit(w)).cast("long")
-        ring = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
-        cells = left.withColumn("dx", ring).withColumn("dy", ring).select(key, "q_lat", "q_lon", (at(F.col("q_lat")) + F.col("dx")).alias("x"), (at(F.col("q_lon")) + F.col("dy")).alias("y"))
-        dealt = c.select("c_idx", "c_lat", "c_lon", at(F.col("c_lat")).alias("x"), at(F.col("c_lon")).alias("y"))
-        found = materialise(best_of(cells.join(dealt, ["x", "y"]), key).where(F.col("d2") < F.lit(width * width)), "nearest")
-        done = found if done is None else done.unionByName(found)
-        left = materialise(left.join(found, key, "left_anti"), "nearest-left")
-        if left.isEmpty():
-            return done
-        if width > 1e6:  # all cells are one: whatever is left has no finite distance
-            return done.unionByName(best_of(left.crossJoin(F.broadcast(c.limit(1))), key))
-        width *= 2
+        cells = boxes(points, low, width).withColumn("px", F.floor(F.col("x") / (2 if level else 1 << 30)).cast("long")).withColumn("py", F.floor(F.col("y") / (2 if level else 1 << 30)).cast("long"))
+        seen = open_.join(cells, ["px", "py"]).select(key, "q_lat", "q_lon", "x", "y", "n", nearest.alias("near"), farthest.alias("far"))
+        seen = materialise(seen, "nearest-boxes")
+        bound = seen.groupBy(F.col(key).alias("__key")).agg(F.min("far").alias("bound"))
+        kept = materialise(seen.join(bound, F.col(key) == F.col("__key")).where("near <= bound").select(key, "q_lat", "q_lon", "x", "y", "n"), "nearest-open")
+        last = level >= 60
+        at = [cell_of("c_lat", low[0], width).alias("x"), cell_of("c_lon", low[1], width).alias("y")]
+        leaves = kept if last else kept.where(F.col("n") <= CROWD)
+        met = materialise(best_of(leaves.join(points.select("c_idx", "c_lat", "c_lon", *at), ["x", "y"]), key), "nearest-leaf")
+        done = met if done is None else done.unionByName(met)
+        open_ = kept.where(F.col("n") > CROWD).select(key, "q_lat", "q_lon", F.col("x").alias("px"), F.col("y").alias("py"))
+        if last or open_.isEmpty():
+            best = done.groupBy(key).agg(F.min(F.struct("d2", "idx")).alias("best"))
+            return best.select(key, "best.d2", "best.idx")
+        level, width = level + 1, width / 2
 
 
 def nearest_on_axis(queries: DataFrame, axis: DataFrame, key: str, value: str = "value", index: str = "axis_idx") -> DataFrame:
     """(key, index) of the axis value nearest to each query; of two equally near the lower value; clamped at the ends.
 
-    Both sides are sorted together and each query looks to the last axis value at or below and the first above: a sort, no join
-    of ranges. Buckets of the axis' width bound the windows, and a bucket of many queries is dealt to several, each with all its
-    axis values.
+    Both sides are sorted together and each query looks to the last axis value at or below and the first above: a sort, no join of
+    ranges. Partitions are cut by range and, within one value, by a hash, so neither crowded nor equal values pile up in a task;
+    what lies in the partitions before and after is told by one pair of axis values for each.
     """
-    q = queries.select(F.col(key), F.col(value).alias("v"), F.lit(None).cast("double").alias("a"), F.lit(None).cast("long").alias("i"))
-    a = axis.select(F.lit(None).cast(queries.schema[key].dataType).alias(key), F.col(value).alias("v"), F.col(value).cast("double").alias("a"), F.col(index).cast("long").alias("i"))
-    low, high, n = axis.agg(F.min(value), F.max(value), F.count("*")).first()
-    if not n:
+    q = queries.select(F.col(key), F.col(value).cast("double").alias("v"), F.lit(None).cast("double").alias("a"), F.lit(None).cast("long").alias("i"))
+    a = axis.select(F.lit(None).cast(queries.schema[key].dataType).alias(key), F.col(value).cast("double").alias("v"), F.col(value).cast("double").alias("a"), F.col(index).cast("long").alias("i")).where("a IS NOT NULL")
+    if a.isEmpty():
         return q.select(key, F.col("i").alias(index)).limit(0)
-    buckets = max(1, n // 1000)
-    step = (high - low) / buckets or 1.0
-    bucket = F.least(F.greatest(F.floor((F.col("v") - F.lit(low)) / F.lit(step)), F.lit(0)), F.lit(buckets - 1)).cast("int")
-    # the ends of the neighbouring buckets: one pair a bucket, a thousandth of the axis
-    ends = a.withColumn("b", bucket).groupBy("b").agg(F.min(F.struct("a", "i")).alias("first"), F.max(F.struct("a", "i")).alias("last"))
-    order = Window.orderBy("b")
-    sizes = q.unionByName(a).withColumn("b", bucket).groupBy("b").agg(F.ceil(F.count_if(F.col("i").isNull()) / F.greatest(F.count("i"), F.lit(SORTED))).cast("int").alias("deals"))
-    sizes = sizes.select("b", F.greatest("deals", F.lit(1)).alias("deals"))
-    ends = F.broadcast(a.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(ends, "b", "left").select("b", F.last("last", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.first("first", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after")).join(sizes, "b"))
-    both = q.unionByName(a).withColumn("b", bucket).join(ends, "b")
-    dealt = F.when(F.col("i").isNull(), F.array(F.pmod(F.xxhash64(key, "v"), F.col("deals")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("deals") - 1))
-    both = both.withColumn("deal", F.explode(dealt))
+    both = q.unionByName(a).withColumn("deal", F.when(F.col("i").isNotNull(), F.lit(None)).otherwise(F.xxhash64(key)))
+    n = max(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), both.count() // SORTED)
+    # axis values come before the queries that equal them; written once, as another run could cut other ranges
+    placed = materialise(both.repartitionByRange(n, F.col("v"), F.col("deal").asc_nulls_first()).withColumn("part", F.spark_partition_id()), "nearest-axis")
+    ends = placed.groupBy("part").agg(F.min(F.when(F.col("i").isNotNull(), F.struct("a", "i"))).alias("first"), F.max(F.when(F.col("i").isNotNull(), F.struct("a", F.negate("i").alias("i")))).alias("last"))
+    order = Window.orderBy("part")  # one row a partition
+    before, after = F.last("last", True).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.first("first", True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    ends = ends.select(F.col("part").alias("p"), F.struct(before["a"].alias("a"), F.negate(before["i"]).alias("i")).alias("before"), after.alias("after"))
     here = F.when(F.col("i").isNotNull(), F.struct("a", "i"))
-    down = Window.partitionBy("b", "deal").orderBy("v", F.col("i").isNull(), "i").rowsBetween(Window.unboundedPreceding, 0)
-    up = Window.partitionBy("b", "deal").orderBy(F.desc("v"), F.col("i").isNull(), F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
-    near = both.select(key, "v", "i", F.coalesce(F.last(here, True).over(down), F.col("before")).alias("lo"), F.coalesce(F.last(here, True).over(up), F.col("after")).alias("hi")).where(F.col("i").isNull())
+    down = Window.partitionBy("part").orderBy("v", F.col("i").isNull(), F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
+    up = Window.partitionBy("part").orderBy(F.desc("v"), F.col("i").isNull().desc(), F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
+    near = placed.withColumn("lo", F.last(here, True).over(down)).withColumn("hi", F.last(here, True).over(up)).where(F.col("i").isNull())
+    near = near.join(F.broadcast(ends), F.col("part") == F.col("p"))
+    lo, hi = F.coalesce("lo", F.when(F.col("before.a").isNotNull(), F.col("before"))), F.coalesce("hi", "after")
+    near = near.select(key, "v", lo.alias("lo"), hi.alias("hi"))
     lower = F.col("hi").isNull() | (F.col("lo").isNotNull() & (F.abs(F.col("v") - F.col("lo.a")) <= F.abs(F.col("hi.a") - F.col("v"))))
     return near.select(key, F.when(lower, F.col("lo.i")).otherwise(F.col("hi.i")).alias(index))
 

@@ -64,14 +64,14 @@ def max_difference(a: DataFrame, b: DataFrame, index: str) -> DataFrame:
     return a.join(b, index).agg(F.max(F.abs(F.col("lat") - F.col("b_lat"))).alias("max_d_lat"), F.max(F.abs(F.col("lon") - F.col("b_lon"))).alias("max_d_lon"))
 
 
-def same_index(cells: DataFrame, restart: DataFrame, forcing: DataFrame, cell: str = "cell_idx", tolerance: float = 1e-6) -> tuple[DataFrame, list[str]]:
-    """cells with restart_idx and forcing_idx equal to the cell's index, and warnings. Meshes of other sizes or a restart mesh elsewhere are errors; a forcing mesh elsewhere is a warning."""
+def same_index(cells: DataFrame, restart: DataFrame, forcing: DataFrame, cell: str = "cell_idx", tolerance: float = 1e-6, chosen: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """cells with restart_idx and forcing_idx equal to the cell's index, and warnings. Meshes of other sizes or a restart mesh elsewhere are errors; a forcing mesh elsewhere is a warning. Places are compared for the chosen cells (all by default)."""
     n = {r.mesh: r.n for r in sizes(cells=cells, restart=restart, forcing=forcing).collect()}
     if len(set(n.values())) > 1:
         raise MeshError(f"mesh sizes differ: {n}")
     warnings = []
     for name, mesh, idx in (("restart", restart, "restart_idx"), ("forcing", forcing, "forcing_idx")):
-        d = max(x or 0.0 for x in max_difference(cells, mesh.withColumnRenamed(idx, cell), cell).first())
+        d = max(x or 0.0 for x in max_difference(cells if chosen is None else chosen, mesh.withColumnRenamed(idx, cell), cell).first())
         if d > tolerance:
             if name == "restart":
                 raise MeshError(f"the restart mesh is off by {d}")

@@ -3,29 +3,82 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import assemble, gather, mesh, nearest, samemesh
+from ..sources import files
 from ..sources.tables import domain_grid, present, resolve
 
 INDEX = "A_index_core"
 
 
+#: table: where its path is configured, and its kind in that source
+TABLES = {
+    "ds1": ("ds1", "cells"), "ds1_layers": ("ds1", "layers"), "ds2": ("ds2", "mesh"), "ds2_history": ("ds2", "history"), "ds4_mesh": ("ds4", "mesh"),
+    "ds10_mesh": ("ds10", "mesh"), "ds10_pfts": ("ds10", "pfts"), "ds10_columns": ("ds10", "columns"),
+    "h0_list": ("h0_list", "history"), "r_pfts": ("r_list", "pfts"), "r_columns": ("r_list", "columns"), "clm_params": ("clm_params", "parameters"),
+    **{f"ds{n}": (f"ds{n}", "series") for n in range(4, 10)},
+}
+
+
 class Sources:
-    """Source tables by key, from the paths of a configuration (Parquet) or given as they are."""
+    """Source tables by key: given as they are, or from the files that a configuration names (NetCDF, or folders of Parquet tables)."""
 
     def __init__(self, spark: SparkSession, config: Config, tables: dict[str, DataFrame] | None = None):
         self.spark, self.config, self.tables = spark, config, tables or {}
         self.warnings: list[str] = []
+        self.files: dict[str, files.NetCDFFile] = {}
+
+    def path(self, key: str) -> str | None:
+        c, source = self.config, TABLES[key][0]
+        lists = {"h0_list": c.targets_history, "r_list": c.targets_restart}
+        return next(iter(lists[source]), None) if source in lists else c.paths.get(source)
 
     def __contains__(self, key: str) -> bool:
-        return key in self.tables or key in self.config.paths
+        return self.found(key) is not None
 
     def __getitem__(self, key: str) -> DataFrame:
-        return self.tables[key] if key in self.tables else self.spark.read.parquet(self.config.paths[key])
+        if (df := self.found(key)) is None:
+            raise KeyError(f"no table {key}: {self.path(key) or 'no path is configured'}")
+        return df
+
+    def found(self, key: str) -> DataFrame | None:
+        if key not in self.tables and (path := self.path(key)):
+            df = self.from_netcdf(key, path) if path.endswith(".nc") else files.parquet_table(self.spark, path, TABLES[key][1])
+            if df is None:
+                return None
+            self.tables = self.tables | {key: df}
+        return self.tables.get(key)
+
+    def from_netcdf(self, key: str, path: str) -> DataFrame | None:
+        c, kind = self.config, TABLES[key][1]
+        if path not in self.files:
+            self.files[path] = files.NetCDFFile(self.spark, path)
+        f = self.files[path]
+        if kind == "mesh":
+            return f.forcing_mesh() if key == "ds4_mesh" else f.mesh()
+        if kind == "cells":
+            return f.of_cells(list(c.surface_scalars), [])
+        if kind == "layers":
+            return f.of_cells(list(c.surface_layers), ["level"]).withColumnRenamed("level_idx", "level") if c.surface_layers else None
+        if kind == "history":
+            land = [v for v in ("landfrac", "LANDFRAC_PFT") if f.has(v)][:1]
+            names = [v for v in c.history if f.has(v)]
+            parts = [f.of_cells(vs, [], first) for vs, first in ((land, False), (names, True)) if vs]
+            return reduce(lambda a, b: a.join(b, ["lat_idx", "lon_idx"], "full"), parts) if parts else None
+        if kind == "series":
+            v = resolve(f.shapes, dict(zip((f"ds{n}" for n in range(4, 10)), c.forcing_modules.values(), strict=True))[key])
+            return gather.series_from_steps(f.series(v), ["forcing_idx"], "time_idx", "value", v)
+        if kind == "parameters":
+            return f.parameters(list(c.parameters))
+        # the targets' groups are those of the initial restart file, place by place
+        of = {"pfts": "pfts1d_gridcell_index", "columns": "cols1d_gridcell_index"}[kind] if key.startswith("ds10") else None
+        flat, layered = (c.pft, ()) if kind == "pfts" else (c.columns_flat, c.columns)
+        return f.groups(of, list(flat), list(layered)) if of or flat or layered else None
 
 
 def build_index(s: Sources) -> DataFrame:
@@ -37,7 +90,7 @@ def build_index(s: Sources) -> DataFrame:
     spine = mesh.index_cells(cells, c.batch_size, order)
     restart, forcing = s["ds10_mesh"], s["ds4_mesh"]
     if c.mode == "datm" and one_dimensional:
-        checked, warnings = samemesh.same_index(grid.select(F.col("lat_idx").alias("cell_idx"), "lat", "lon"), restart, forcing)
+        checked, warnings = samemesh.same_index(grid.select(F.col("lat_idx").alias("cell_idx"), "lat", "lon"), restart, forcing, chosen=cells.select(F.col("lat_idx").alias("cell_idx"), "lat", "lon"))
         s.warnings += warnings
         pairs = spine.select("__row_id", F.col("lat_idx").alias("restart_idx"), F.col("lat_idx").alias("forcing_idx"))
     elif c.mode == "datm":
@@ -83,25 +136,32 @@ def history_y(s: Sources, index: DataFrame) -> DataFrame:
     return slim(assemble.prefixed(gather.lookup_scalars(keyed(index), s["h0_list"], ["lat_idx", "lon_idx"], names), names, "Y_"))
 
 
-def restart_values(s: Sources, index: DataFrame, pfts: str, columns: str, prefix: str) -> DataFrame:
-    """Ragged groups by gridcell_id in file order; columns count only for gridcells that have PFTs."""
+def restart_values(s: Sources, index: DataFrame, source: str, prefix: str) -> DataFrame:
+    """Ragged groups by gridcell_id in file order; columns count only for gridcells that have PFTs. All variables must be there.
+
+    Which places belong to a gridcell is told by the initial restart file, for targets too.
+    """
     c, out = s.config, keyed(index)
-    names = present(s[pfts], list(c.pft), strict=False)
-    if names:
-        out = gather.lookup_groups(out, assemble.prefixed(gather.ragged_gather(s[pfts], "gridcell_id", "pos", names), names, prefix), "gridcell_id")
-    names = present(s[columns], [*c.columns, *c.columns_flat], strict=False) if columns in s else []
-    if names:
-        held = gather.only_groups_of(s[columns], s[pfts], "gridcell_id")
-        out = gather.lookup_groups(out, assemble.prefixed(gather.ragged_gather(held, "gridcell_id", "pos", names), names, prefix), "gridcell_id")
+    pfts, columns = s["ds10_pfts"], s["ds10_columns"] if "ds10_columns" in s else None
+    for kind, names, places in (("pfts", list(c.pft), pfts), ("columns", [*c.columns_flat, *c.columns], columns)):
+        if not names:
+            continue
+        rows = s[f"{source}_{kind}"]
+        present(rows, names, strict=True)
+        if source != "ds10":
+            rows = rows.select("pos", *names).join(places.select("pos", "gridcell_id"), "pos")
+        if kind == "columns":
+            rows = gather.only_groups_of(rows, pfts, "gridcell_id")
+        out = gather.lookup_groups(out, assemble.prefixed(gather.ragged_gather(rows, "gridcell_id", "pos", names), names, prefix), "gridcell_id")
     return slim(out)
 
 
 def restart_x(s: Sources, index: DataFrame) -> DataFrame:
-    return restart_values(s, index, "ds10_pfts", "ds10_columns", "")
+    return restart_values(s, index, "ds10", "")
 
 
 def restart_y(s: Sources, index: DataFrame) -> DataFrame:
-    return restart_values(s, index, "r_pfts", "r_columns", "Y_")
+    return restart_values(s, index, "r", "Y_")
 
 
 def forcing(key: str, variable: str) -> Callable[[Sources, DataFrame], DataFrame]:
@@ -114,7 +174,8 @@ def forcing(key: str, variable: str) -> Callable[[Sources, DataFrame], DataFrame
 
 
 def parameters(s: Sources, index: DataFrame) -> DataFrame:
-    return slim(gather.with_parameters(keyed(index), gather.valid_parameters(s["clm_params"]), list(s.config.parameters)))
+    given = s["clm_params"] if s.config.parameters else None
+    return slim(gather.with_parameters(keyed(index), gather.valid_parameters(given), list(s.config.parameters)) if given is not None else keyed(index))
 
 
 def registry(config: Config) -> dict[str, Callable[[Sources, DataFrame], DataFrame]]:

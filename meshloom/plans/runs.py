@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..config import FORCING, LAYERED, MODULES, Config
 from ..operators import assemble, calendar, nearest, samemesh, series, validate
-from ..sources import sinks, tables
+from ..operators.numbering import dense_row_id
+from ..sources import files, sinks, tables
 from . import modules
 
 
@@ -21,6 +22,12 @@ def manifests(config: Config) -> str:
     return f"{config.output}/manifests"
 
 
+def source_paths(config: Config) -> dict[str, str]:
+    """All configured sources by name."""
+    lists = {f"{name}_{i}": p for name, paths in (("h0_list", config.targets_history), ("r_list", config.targets_restart)) for i, p in enumerate(paths)}
+    return config.paths | lists
+
+
 def extract(s: modules.Sources, wanted: list[str] | str = "all", force: bool = True) -> list[str]:
     """Build the wanted modules, the index first where it is missing. Without force, modules whose sources have not changed are kept."""
     c, spark = s.config, s.spark
@@ -40,7 +47,10 @@ def extract(s: modules.Sources, wanted: list[str] | str = "all", force: bool = T
         if name == "A_h0_list_y" and "h0_list" not in s:
             s.warnings.append("no history targets are configured: A_h0_list_y is left out")
             continue
-        sources = [sinks.source_entry(spark, p) for p in sorted(c.paths.values())]
+        if name == "A_r_list_y" and "r_pfts" not in s and "r_columns" not in s:
+            s.warnings.append("no restart targets are configured: A_r_list_y is left out")
+            continue
+        sources = [sinks.source_entry(spark, p) for p in sorted(source_paths(c).values())]
         if not force and sinks.is_current(spark, manifests(c), name, sources):
             continue
         sinks.write_artifact(modules.build(s, name, index), artifacts(c), name)
@@ -78,7 +88,8 @@ def write_dataset(spark: SparkSession, config: Config, overwrite: bool = False)
 
 def monthly_forcing(steps: DataFrame, coordinates: DataFrame, files: DataFrame, reference: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Raw steps (path, time_idx, cell, value) of the files chosen for each month to (gridcell, lat, lon, series of monthly means)."""
-    months = calendar.numbered_months(files)
+    # a file that is named directly may have any name
+    months = calendar.numbered_months(files) if "month" in files.columns else dense_row_id(files.select("path"), ["path"], "step", 1)
     means = series.time_mean(steps.join(months.select("path", "step"), "path"), ["cell", "step"], "value")
     stacked = series.stacked(means, ["cell"], "step", "mean")
     points, warnings = coordinates, []
@@ -101,17 +112,34 @@ def prepare_forcing(spark: SparkSession, config: Config, raw: dict[str, tuple[Da
 
 
 def raw_forcing(spark: SparkSession, config: Config, variables: list[str]) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
-    """Steps, coordinates and paths of each variable, from its own path or from its folder in the forcing root."""
+    """Steps, coordinates and paths of each variable: tables of its own path or of its folder in the forcing root, or monthly NetCDF files."""
     out = {}
     for v in variables:
         root = config.datm_paths.get(v) or f"{config.datm_root}/{v}"
         if root == f"/{v}":
             raise ValueError(f"neither a forcing root nor a path is set for {v}")
-        steps = tables.artifact(spark, root, "steps")
-        out[v] = steps, tables.artifact(spark, root, "cells"), steps.select("path").distinct()
+        steps = tables.artifact_or_none(spark, root, "steps")
+        if steps is not None:
+            out[v] = steps, tables.artifact(spark, root, "cells"), steps.select("path").distinct()
+        else:
+            out[v] = monthly_files(spark, config, v)
     return out
 
 
+def monthly_files(spark: SparkSession, config: Config, variable: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Steps, coordinates and paths of a variable's monthly NetCDF files, one file a month."""
+    if path := config.datm_paths.get(variable):
+        paths = spark.createDataFrame([(path,)], "path string")
+    else:
+        listed = calendar.month_files(calendar.listed_files(spark, config.datm_root), config.datm_tokens.get(variable, ""), config.datm_start, config.datm_end)
+        paths = calendar.first_of_month(listed).select(F.regexp_replace("path", "^file:", "").alias("path"))
+    # at most one path a month
+    names = sorted(r.path for r in paths.collect())
+    if not names:
+        raise FileNotFoundError(f"no monthly files of {variable} in {config.datm_root}")
+    return files.monthly_steps(spark, names, variable), files.NetCDFFile(spark, names[0]).flat_cells(), paths
+
+
 def with_prepared_forcing(s: modules.Sources, wanted: list[str] | str = "all", force: bool = False) -> modules.Sources:
     """s with the consolidated tables of the variables that the wanted modules need, prepared where they are not there yet."""
     by_module = s.config.forcing_modules

@@ -1,20 +1,34 @@
 """A Spark data source for NetCDF variables, for sessions whose workers have netCDF4 (it is imported where the files are read).
 
 spark.dataSource.register(NetCDFSource)
-spark.read.format("netcdf").option("path", p).option("variable", v).option("dims", "time,gridcell").load()
+spark.read.format("netcdf").option("path", p).option("variables", "T,Q").option("dims", "time,cell").load()
 
-One row an element: an index column for each dimension and a double value, NULL where the file has its fill value. Blocks of the
-first dimension are the partitions.
+One row an element: an index column for each dimension and a double for each variable, all of the same dimensions; NULL where the
+file has its fill value. Blocks of the first dimension are the partitions, and batches of bounded size go to Spark. With the option
+``first`` only the first step of the first dimension is read, which then has no column. With ``files``, a JSON list of paths, each file
+is a partition, and its path a column.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+#: elements of one batch
+BATCH = 1 << 18
+
 
 class Block(InputPartition):
-    def __init__(self, start: int, stop: int):
-        super().__init__((start, stop))
+    """Steps of the first dimension of a file; to the end for a stop of -1."""
+
+    def __init__(self, path: str, start: int = 0, stop: int = -1):
+        super().__init__((path, start, stop))
+
+
+def names(raw: str) -> list[str]:
+    return [x.strip() for x in raw.split(",") if x.strip()]
 
 
 class NetCDFSource(DataSource):
@@ -23,7 +37,9 @@ class NetCDFSource(DataSource):
         return "netcdf"
 
     def schema(self) -> str:
-        return ", ".join([*(f"{d.strip()}_idx long" for d in self.options["dims"].split(",")), "value double"])
+        dims = names(self.options["dims"])[1 if "first" in self.options else 0 :]
+        path = ["path string"] if "files" in self.options else []
+        return ", ".join([*path, *(f"{d}_idx long" for d in dims), *(f"`{v}` double" for v in names(self.options["variables"]))])
 
     def reader(self, schema) -> DataSourceReader:
         return NetCDFReader(self.options)
@@ -31,22 +47,49 @@ class NetCDFSource(DataSource):
 
 class NetCDFReader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.variable, self.blocks = options["path"], options["variable"], int(options.get("blocks", 64))
+        self.files = json.loads(options["files"]) if "files" in options else None
+        self.path, self.variables, self.blocks = options.get("path"), names(options["variables"]), int(options.get("blocks", 64))
+        self.dims, self.first = names(options["dims"]), "first" in options
 
     def partitions(self):
         import netCDF4
 
+        if self.files is not None:
+            return [Block(p) for p in self.files]
         with netCDF4.Dataset(self.path) as ds:
-            n = ds.variables[self.variable].shape[0]
+            shape = ds.variables[self.variables[0]].shape
+        if len(shape) != len(self.dims):
+            raise ValueError(f"{self.variables[0]} has {len(shape)} dimensions, not {self.dims}")
+        n = shape[1 if self.first else 0]
         step = max(1, -(-n // self.blocks))
-        return [Block(a, min(n, a + step)) for a in range(0, n, step)]
+        return [Block(self.path, a, min(n, a + step)) for a in range(0, n, step)]
 
-    def read(self, partition):
+    def read(self, partition) -> Iterator:
         import netCDF4
         import numpy as np
-
-        start, stop = partition.value
-        with netCDF4.Dataset(self.path) as ds:
-            values = np.ma.asarray(ds.variables[self.variable][start:stop])
-        for at, x in np.ndenumerate(np.ma.filled(values.astype(float), np.nan)):
-            yield (at[0] + start, *at[1:], None if np.isnan(x) else float(x))
+        import pyarrow as pa
+
+        path, start, stop = partition.value
+        dims = self.dims[1:] if self.first else self.dims
+        with netCDF4.Dataset(path) as ds:
+            held = [ds.variables[v] for v in self.variables]
+            stop = held[0].shape[1 if self.first else 0] if stop < 0 else stop
+            width = int(np.prod(held[0].shape[2 if self.first else 1 :], dtype=np.int64))
+            step = max(1, BATCH // max(1, width))
+            for a in range(start, stop, step):
+                b = min(stop, a + step)
+                parts = [np.ma.asarray(v[0, a:b] if self.first else v[a:b]) for v in held]
+                at = np.unravel_index(np.arange(parts[0].size), parts[0].shape)
+                columns = [pa.array(x.astype(np.int64) + (a if k == 0 else 0)) for k, x in enumerate(at)]
+                columns += [pa.array(np.ma.getdata(x).ravel().astype(float), mask=np.ma.getmaskarray(x).ravel()) for x in parts]
+                if self.files is not None:
+                    columns.insert(0, pa.array([path] * parts[0].size))
+                yield pa.RecordBatch.from_arrays(columns, names=[*(["path"] if self.files is not None else []), *(f"{d}_idx" for d in dims), *self.variables])
+
+
+def shapes(path: str) -> dict[str, tuple[tuple[str, ...], tuple[int, ...]]]:
+    """Dimensions and sizes of each variable, from the file's header."""
+    import netCDF4
+
+    with netCDF4.Dataset(path) as ds:
+        return {name: (tuple(v.dimensions), tuple(v.shape)) for name, v in ds.variables.items()}

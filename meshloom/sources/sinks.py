@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 
 
 def write_artifact(df: DataFrame, root: str, module: str) -> str:
-    """One folder a module, one partition folder a batch. Batches of an earlier, larger run don't stay behind."""
+    """One folder a module, one partition folder a batch, one file in it. Batches of an earlier, larger run don't stay behind."""
     path = f"{root}/{module}"
-    df.write.mode("overwrite").option("compression", "zstd").partitionBy("batch_id").parquet(path)
+    df.repartition("batch_id").write.mode("overwrite").option("compression", "zstd").partitionBy("batch_id").parquet(path)
     return path
 
 
 def write_final(df: DataFrame, path: str, overwrite: bool = False) -> str:
-    """By batch; an existing dataset is an error unless overwrite is set."""
-    df.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").partitionBy("batch_id").parquet(path)
+    """By batch, one file each; an existing dataset is an error unless overwrite is set."""
+    df.repartition("batch_id").write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").partitionBy("batch_id").parquet(path)
     return path
 
 
@@ -59,5 +59,26 @@ def is_current(spark: SparkSession, root: str, module: str, sources: list[dict])
     return old is not None and old["sources"] == sources
 
 
+def source_lines(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+    """A line for each source with its newest change and its size, and its first columns where it is a table."""
+    from .files import parquet_table
+    from .tables import header
+
+    out = []
+    for name, path in sorted(paths.items()):
+        x = source_entry(spark, path)
+        out.append(f"source {name}: {path}, changed {x['mtime']}, {x['size']} bytes")
+        df = None if path.endswith(".nc") else parquet_table(spark, path, "mesh")
+        out += [f"source {name}: {line}" for line in header(df)] if df is not None else []
+    return out
+
+
+def write_record(spark: SparkSession, root: str, lines: list[str]) -> str:
+    """The record of one run, in a folder of its own."""
+    path = f"{root}/records/{datetime.now(timezone.utc).strftime('%Y%m%dT%H%M%S%f')}"
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return path
+
+
 def write_log(spark: SparkSession, root: str, lines: list[str]) -> None:
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{root}/log")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: variable to the names it may have in a source, best first
+# Variable to the names it may have in a source, best first.
 ALIASES = {"PSRF": ("PSRF", "PBOT"), "PRECTmms": ("PRECTmms", "PRECmms")}
 
 
@@ -52,12 +54,13 @@ def flat_coordinates(df: DataFrame) -> DataFrame:
     return first_step(df).select(F.col("cell"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
 
 
-def resolve(df: DataFrame, variable: str, aliases: dict[str, tuple[str, ...]] = ALIASES) -> str:
-    """The column that holds the variable: the first of its names that df has."""
+def resolve(df: DataFrame | Iterable[str], variable: str, aliases: dict[str, tuple[str, ...]] = ALIASES) -> str:
+    """The column that holds the variable: the first of its names that df (or a list of names) has."""
+    there = df.columns if isinstance(df, DataFrame) else list(df)
     for name in aliases.get(variable, (variable,)):
-        if name in df.columns:
+        if name in there:
             return name
-    raise KeyError(f"{variable} is not among {sorted(df.columns)}")
+    raise KeyError(f"{variable} is not among {sorted(there)}")
 
 
 def present(df: DataFrame, variables: list[str], strict: bool) -> list[str]:

@@ -11,6 +11,7 @@ N = 6
 CONFIG = """
 BASE_OUTPUT_ROOT: {out}
 DS2_PATH: {src}/ds2
+FORCING_MODE: legacy
 BATCH_SIZE: 4
 TIME_SERIES_LENGTH: 365
 STEPS_PER_DAY: 1
@@ -48,6 +49,7 @@ def run(spark, tmp_path_factory):
         "ds10_pfts": make([(p, p // 2 + 1, float(p)) for p in range(8)], "pos long, gridcell_id long, tlai double"),
         "ds10_columns": make([(p, p + 1, [1.0, 2.0]) for p in range(N)], "pos long, gridcell_id long, soil1c_vr array<double>"),
         "r_pfts": make([(0, 1, 5.0)], "pos long, gridcell_id long, tlai double"),
+        "r_columns": make([(0, [7.0, 8.0])], "pos long, soil1c_vr array<double>"),
         "clm_params": make([("leafcn", [1.0] * 20), ("bad", [None])], "name string, vals array<double>"),
     } | forcing
     s = modules.Sources(spark, config.from_text(text), given)
@@ -72,7 +74,7 @@ def test_whole_run(spark, run):
     assert (last.AREA, last.landfrac, last.GPP, last.Y_NPP) == (5.5, 0.5, 0.0, 2.0)
     assert (last.PCT_SAND_0, last.PCT_SAND_2, last.PCT_CLAY_0, last.PCT_CLAY_1) == (0.0, 2.0, 1.0, 0.0)
     assert last.tlai is None and last.soil1c_vr is None and got[0].tlai == [0.0, 1.0] and got[0].soil1c_vr == [[1.0, 2.0]]
-    assert got[0].Y_tlai == [5.0] and got[1].Y_tlai is None and len(last.pft_leafcn) == 17
+    assert got[0].Y_tlai == [5.0] and got[1].Y_tlai is None and got[0].Y_soil1c_vr == [[7.0, 8.0]] and len(last.pft_leafcn) == 17
     assert len(last.PSRF) == 12 and last.PSRF[0] == 20.0 and len(last.PRECTmms) == 12
     names = [c for c in df.columns if c != "batch_id"]
     assert names == sorted(names, key=lambda c: c.startswith("Y_"))
