@@ -6,14 +6,21 @@ rows (key, pos, value).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Config
 from ..functions import scalars
 from ..operators import assemble, calendar, gather, mesh, nearest, samemesh, series, validate
 from ..operators.numbering import batch_id, dense_row_id
+from ..sources import sinks, tables
+from ..sources.shared import shared_dir
+from ..streaming import monthly
+from . import modules, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -90,22 +97,18 @@ def flat_index_unravel(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", i.alias("i"), j.alias("j"))
 
 
-@query("SELECT region.r_regionkey AS lat_idx, n_nationkey AS lon_idx, r_regionkey * 10.0::DOUBLE - 20 AS lat, n_nationkey * 7.0::DOUBLE AS lon, CAST((r_regionkey + n_nationkey) % 3 > 0 AS INTEGER) AS mask FROM region, nation")
+@query("SELECT lat_idx, s_suppkey AS lon_idx, lat_idx * 3.0::DOUBLE - 80 AS lat, s_suppkey * 0.25::DOUBLE AS lon, CAST((lat_idx + s_suppkey) % 3 > 0 AS INTEGER) AS mask FROM (SELECT DISTINCT p_size AS lat_idx FROM part), supplier")
 def structured_mesh(spark, sf_dir):
-    from ..sources.tables import structured_grid
-
-    lats = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("lat_idx"), (F.col("r_regionkey") * F.lit(10.0) - 20).alias("lat"))
-    lons = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("lon_idx"), (F.col("n_nationkey") * F.lit(7.0)).alias("lon"))
-    grid = structured_grid(lats, lons)
+    lats = read(spark, sf_dir, "part").select(F.col("p_size").alias("lat_idx")).distinct().withColumn("lat", F.col("lat_idx") * F.lit(3.0) - 80)
+    lons = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("lon_idx"), (F.col("s_suppkey") * F.lit(0.25)).alias("lon"))
+    grid = tables.structured_grid(lats, lons)
     return grid.withColumn("mask", ((F.col("lat_idx") + F.col("lon_idx")) % 3 > 0).cast("int")).select("lat_idx", "lon_idx", "lat", "lon", "mask")
 
 
 @query("SELECT CAST(p_partkey AS BIGINT) AS lat_idx, CAST(p_partkey AS BIGINT) AS lon_idx, CAST(p_partkey * 37 % 1800 AS DOUBLE) / 10 - 90 AS lat, CAST(p_partkey * 91 % 3600 AS DOUBLE) / 10 AS lon, CAST(p_size > 25 AS INTEGER) AS mask FROM part")
 def surface_mesh(spark, sf_dir):
-    from ..sources.tables import domain_grid
-
     lat, lon = degrees("p_partkey", 37, 91)
-    return domain_grid(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("cell_idx"), lat.alias("LATIXY"), lon.alias("LONGXY"), (F.col("p_size") - 25).alias("LANDFRAC_PFT")))
+    return tables.domain_grid(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("cell_idx"), lat.alias("LATIXY"), lon.alias("LONGXY"), (F.col("p_size") - 25).alias("LANDFRAC_PFT")))
 
 
 def nearest_sql(candidates: str, idx: str) -> str:
@@ -280,12 +283,20 @@ def means(df: DataFrame, key: str, **settings) -> DataFrame:
 MONTH_OF = "CASE WHEN d < 31 THEN 0 WHEN d < 59 THEN 1 WHEN d < 90 THEN 2 WHEN d < 120 THEN 3 WHEN d < 151 THEN 4 WHEN d < 181 THEN 5 WHEN d < 212 THEN 6 WHEN d < 243 THEN 7 WHEN d < 273 THEN 8 WHEN d < 304 THEN 9 WHEN d < 334 THEN 10 ELSE 11 END"
 
 
-@query(f"""WITH {STEPS}, yearly AS (SELECT user_id, d, d % n AS pos FROM (SELECT DISTINCT user_id, n FROM steps), (SELECT unnest(generate_series(0, 364)) AS d))
-SELECT user_id, CAST({MONTH_OF} AS BIGINT) AS pos, round(avg(value), 6) AS value FROM yearly JOIN steps USING (user_id, pos) GROUP BY 1, 2""")
+def wrapped(spark, sf_dir, length: int) -> DataFrame:
+    """Each user's steps folded to a series of the length: values that meet are averaged, and a shorter series begins again."""
+    folded = user_series(spark, sf_dir).select("user_id", F.posexplode("series").alias("pos", "value")).groupBy("user_id", (F.col("pos") % length).alias("pos")).agg(F.avg("value").alias("value"))
+    s = gather.series_from_steps(folded, ["user_id"], "pos", "value")
+    return s.withColumn("series", F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda d: F.element_at("series", (d % F.size("series") + 1).cast("int"))))
+
+
+def wrapped_sql(length: int) -> str:
+    return f"folded AS (SELECT user_id, pos % {length} AS pos, avg(value) AS value, least(max(n), {length}) AS n FROM steps GROUP BY 1, 2), days AS (SELECT user_id, d, d % n AS pos FROM (SELECT user_id, min(n) AS n FROM folded GROUP BY 1), (SELECT unnest(generate_series(0, {length - 1})) AS d))"
+
+
+@query(f"""WITH {STEPS}, {wrapped_sql(365)} SELECT user_id, CAST({MONTH_OF} AS BIGINT) AS pos, round(avg(value), 6) AS value FROM days JOIN folded USING (user_id, pos) GROUP BY 1, 2""")
 def monthly_avg(spark, sf_dir):
-    s = user_series(spark, sf_dir)
-    year = s.withColumn("series", F.transform(F.sequence(F.lit(0), F.lit(364)), lambda d: F.element_at("series", (d % F.size("series") + 1).cast("int"))))
-    return means(year, "user_id", length=365, steps_per_day=1, years=1)
+    return means(wrapped(spark, sf_dir, 365), "user_id", length=365, steps_per_day=1, years=1)
 
 
 @query(f"WITH {STEPS} SELECT user_id, pos, round(value, 6) AS value FROM steps WHERE n % 12 = 0")
@@ -293,14 +304,12 @@ def monthly_avg_passthrough(spark, sf_dir):
     return means(user_series(spark, sf_dir), "user_id", length=365, steps_per_day=1, years=1)
 
 
-@query(f"""WITH {STEPS}, short AS (SELECT user_id, d, d % n AS pos FROM (SELECT DISTINCT user_id, n FROM steps), (SELECT unnest(generate_series(0, 99)) AS d)),
-m AS (SELECT user_id, CAST({MONTH_OF} AS BIGINT) AS month, avg(value) AS value FROM short JOIN steps USING (user_id, pos) GROUP BY 1, 2)
+@query(f"""WITH {STEPS}, {wrapped_sql(100)},
+m AS (SELECT user_id, CAST({MONTH_OF} AS BIGINT) AS month, avg(value) AS value FROM days JOIN folded USING (user_id, pos) GROUP BY 1, 2)
 SELECT u.user_id, u.month AS pos, round(value, 6) AS value FROM (SELECT DISTINCT user_id, unnest(generate_series(0, 11)) AS month FROM steps) u LEFT JOIN m USING (user_id, month)""")
 def monthly_avg_overrun(spark, sf_dir):
     """A series that ends in April: the months after are NaN, returned as NULL."""
-    s = user_series(spark, sf_dir)
-    short = s.withColumn("series", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda d: F.element_at("series", (d % F.size("series") + 1).cast("int"))))
-    out = means(short, "user_id", length=100, steps_per_day=1, years=1)
+    out = means(wrapped(spark, sf_dir, 100), "user_id", length=100, steps_per_day=1, years=1)
     return out.withColumn("value", scalars.no_nan(F.col("value")))
 
 
@@ -343,18 +352,21 @@ def coerce_numeric(spark, sf_dir):
     return assemble.coerced(x).select("event_id", "kind", F.col("GPP").alias("value"))
 
 
-@query("SELECT vec_id, " + ", ".join(f"coalesce(CAST(CASE WHEN {i} < vec_id % 9 THEN embedding[{i + 1}] END AS DOUBLE), 0) AS e_{i}" for i in range(8)) + " FROM embeddings")
+#: elements of an embedding
+WIDTH = 64
+
+
+@query("SELECT vec_id, " + ", ".join(f"coalesce(CAST(CASE WHEN vec_id % 9 > 0 AND (vec_id + {i}) % 7 > 0 THEN embedding[{i + 1}] END AS DOUBLE), 0) AS e_{i}" for i in range(WIDTH)) + " FROM embeddings")
 def expand_array(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", F.lit(1), (F.col("vec_id") % 9).cast("int")).alias("e"))
-    return assemble.expanded(e, ["e"])
+    """Whole embeddings, with arrays and elements that are missing or NaN."""
+    holed = F.transform("embedding", lambda x, i: F.when((F.col("vec_id") + i) % 14 == 0, F.lit(None)).when((F.col("vec_id") + i) % 7 == 0, float("nan")).otherwise(x))
+    return assemble.expanded(read(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 9 > 0, holed).alias("e")), ["e"])
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS \"PSRF\" FROM lineitem")
 def alias_resolve(spark, sf_dir):
-    from ..sources.tables import resolve
-
     rows = read(spark, sf_dir, "lineitem").withColumnRenamed("l_extendedprice", "PBOT")
-    return rows.select("l_orderkey", *LINE_ORDER, F.col(resolve(rows, "PSRF")).alias("PSRF"))
+    return rows.select("l_orderkey", *LINE_ORDER, F.col(tables.resolve(rows, "PSRF")).alias("PSRF"))
 
 
 @query('SELECT c_custkey, c_acctbal AS "X_b", c_nationkey AS "Y_a", c_name AS "Y_c" FROM customer')
@@ -363,14 +375,16 @@ def column_order(spark, sf_dir):
     return assemble.targets_last(assemble.prefixed(df, ["a", "c"], "Y_"))
 
 
-FILES = """paths AS (SELECT DISTINCT concat('/f/', x, 'clmforc.v1.', CASE WHEN o_orderkey % 11 = 0 THEN 'Solr' ELSE 'TPQWL' END, '.', strftime(o_orderdate, '%Y-%m'), '.nc') AS path
-FROM orders, (SELECT unnest(['a_', '']) AS x) WHERE o_custkey % 40 = 1),
+FILES = """paths AS (SELECT DISTINCT concat('/f/', o_orderpriority, '/', x, 'clmforc.v1.', CASE WHEN (year(o_orderdate) * 12 + month(o_orderdate)) % 7 = 3 THEN 'Solr' ELSE 'TPQWL' END, '.', strftime(o_orderdate, '%Y-%m'), '.nc') AS path
+FROM orders, (SELECT unnest(['a_', '']) AS x)),
 files AS (SELECT path, CAST(substr(path, length(path) - 9, 4) AS INTEGER) AS year, CAST(substr(path, length(path) - 4, 2) AS INTEGER) AS month FROM paths WHERE contains(path, '.TPQWL.') AND CAST(substr(path, length(path) - 9, 4) AS INTEGER) BETWEEN 1995 AND 2000)"""
 
 
 def files(spark, sf_dir) -> DataFrame:
-    o = read(spark, sf_dir, "orders").where("o_custkey % 40 = 1").select(F.when(F.col("o_orderkey") % 11 == 0, "Solr").otherwise("TPQWL").alias("token"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.explode(F.array(F.lit("a_"), F.lit(""))).alias("x"))
-    return calendar.month_files(o.select(F.concat(F.lit("/f/"), "x", F.lit("clmforc.v1."), "token", F.lit("."), "month", F.lit(".nc")).alias("path")).distinct(), "TPQWL", 1995, 2000)
+    """Paths of all orders' months; some months are named with another token."""
+    number = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+    o = read(spark, sf_dir, "orders").select("o_orderpriority", F.when(number % 7 == 3, "Solr").otherwise("TPQWL").alias("token"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.explode(F.array(F.lit("a_"), F.lit(""))).alias("x"))
+    return calendar.month_files(o.select(F.concat(F.lit("/f/"), "o_orderpriority", F.lit("/"), "x", F.lit("clmforc.v1."), "token", F.lit("."), "month", F.lit(".nc")).alias("path")).distinct(), "TPQWL", 1995, 2000)
 
 
 @query(f"WITH {FILES} SELECT path, year, month FROM files")
@@ -432,3 +446,247 @@ def coord_range(spark, sf_dir):
 def dense_numbering(spark, sf_dir):
     df = dense_row_id(read(spark, sf_dir, "lineitem"), ["l_shipdate", "l_orderkey", *LINE_ORDER])
     return df.select("__row_id", batch_id("__row_id", 2000).alias("batch_id"), "l_orderkey", "l_linenumber")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder for what a query writes and reads back."""
+    return f"{shared_dir(spark).rstrip('/')}/query-{uuid.uuid4().hex}"
+
+
+@query("SELECT (p_size - 1) * (SELECT count(*) FROM supplier) + s_suppkey - 1 AS forcing_idx, p_size * 3.0::DOUBLE - 80 AS lat, s_suppkey * 0.25::DOUBLE AS lon FROM (SELECT DISTINCT p_size FROM part), supplier")
+def forcing_mesh(spark, sf_dir):
+    """Axes of unequal sizes, of which the first step counts, are crossed in the order of the file."""
+    steps = F.explode(F.array(F.lit(0), F.lit(1))).alias("time_idx")
+    lats = read(spark, sf_dir, "part").select((F.col("p_size") - 1).alias("i")).distinct().select("i", steps).withColumn("lat", (F.col("i") + 1) * F.lit(3.0) - 80 + F.col("time_idx"))
+    lons = read(spark, sf_dir, "supplier").select((F.col("s_suppkey") - 1).alias("i"), (F.col("s_suppkey") * F.lit(0.25)).alias("lon"))
+    return tables.forcing_coordinates(lats, lons)
+
+
+@query(f"SELECT p_partkey AS cell, {degrees_sql('p_partkey', 37, 91)} FROM part")
+def forcing_points(spark, sf_dir):
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("cell"), *degrees("p_partkey", 37, 91), F.explode(F.array(F.lit(0), F.lit(1))).alias("time_idx"))
+    return tables.flat_coordinates(rows.withColumn("lat", F.col("lat") + F.col("time_idx")))
+
+
+@query(f"WITH {CELLS}, {INDEX} SELECT __row_id, batch_id FROM (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY __row_id) AS n FROM batched) WHERE n <= 7")
+def first_rows_of_batches(spark, sf_dir):
+    return validate.first_rows(index(spark, sf_dir).select("__row_id", "batch_id"), 7)
+
+
+@query(f"WITH {CELLS} SELECT c_custkey AS cell_idx, c_custkey AS restart_idx, c_custkey AS forcing_idx FROM cells")
+def same_index_map(spark, sf_dir):
+    c = cells(spark, sf_dir).select(F.col("c_custkey").alias("cell_idx"), "lat", "lon")
+    out, _ = samemesh.same_index(c, c.withColumnRenamed("cell_idx", "restart_idx"), c.withColumnRenamed("cell_idx", "forcing_idx").withColumn("lat", F.col("lat") + 1))
+    return out.select("cell_idx", "restart_idx", "forcing_idx")
+
+
+@query(f"WITH {RESTART}, other AS (SELECT s_suppkey AS restart_idx, {degrees_sql('s_suppkey', 54, 17)} FROM supplier) SELECT restart_idx, s_acctbal, other.lat, other.lon FROM restart JOIN other USING (restart_idx)")
+def reference_coordinates(spark, sf_dir):
+    other = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("restart_idx"), *degrees("s_suppkey", 54, 17))
+    return samemesh.with_reference_coordinates(restart(spark, sf_dir), other, "restart_idx")[0]
+
+
+@query(f"""WITH {CELLS}, {INDEX}, lats AS (SELECT DISTINCT p_size AS i, p_size * 3.5::DOUBLE - 90 AS a FROM part), lons AS (SELECT s_suppkey AS j, s_suppkey * 360.0::DOUBLE / (SELECT count(*) FROM supplier) AS a FROM supplier),
+i AS (SELECT __row_id, i FROM (SELECT __row_id, i, row_number() OVER (PARTITION BY __row_id ORDER BY abs(lat - a), a) AS n FROM batched, lats) WHERE n = 1),
+j AS (SELECT __row_id, j FROM (SELECT __row_id, j, row_number() OVER (PARTITION BY __row_id ORDER BY abs(lon - a), a) AS n FROM batched, lons) WHERE n = 1)
+SELECT __row_id, c_acctbal, k AS pos, (i * 1000 + j) * 1.0::DOUBLE + k AS value FROM batched JOIN i USING (__row_id) JOIN j USING (__row_id), (SELECT unnest([0, 1]) AS k)""")
+def forcing_from_axes(spark, sf_dir):
+    """Forcing columns of a dataset taken from the nearest cell of a rectilinear cube, as the replacement of a final dataset does."""
+    final = index(spark, sf_dir).select("__row_id", F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), "c_acctbal", F.array(F.lit(0.0)).alias("PSRF"))
+    suppliers = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("lon_idx"))
+    lats = read(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("lat_idx")).distinct()
+    cube = lats.crossJoin(suppliers).select("lat_idx", "lon_idx", F.transform(F.array(F.lit(0.0), F.lit(1.0)), lambda k: F.col("lat_idx") * 1000 + F.col("lon_idx") + k).alias("PBOT"))
+    axes = lats.withColumn("lat", F.col("lat_idx") * F.lit(3.5) - 90), suppliers.withColumn("lon", F.col("lon_idx") * F.lit(360.0) / F.lit(suppliers.count()))
+    out = runs.replace_forcing(final, *axes, cube, {"PSRF": "PBOT"})
+    return out.select("__row_id", "c_acctbal", F.posexplode("PSRF").alias("pos", "value"))
+
+
+def given_sources(spark, sf_dir) -> tuple[modules.Sources, DataFrame]:
+    """Sources made from customers, orders, parts and events, and an index whose cells are the selected customers."""
+    customers, orders = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    at = [F.col("c_custkey").alias("lat_idx"), F.col("c_custkey").alias("lon_idx")]
+    steps = F.explode(F.array(F.lit(0), F.lit(1))).alias("time_idx")
+    history = customers.select(*at, "c_nationkey", "c_acctbal", steps).select("lat_idx", "lon_idx", "time_idx", (F.col("c_nationkey") / F.lit(25.0)).alias("LANDFRAC_PFT"), (F.col("c_acctbal") + F.col("time_idx")).alias("GPP"))
+    groups = orders.select(F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("gridcell_id"), F.col("o_totalprice").alias("tlai"))
+    events = user_series(spark, sf_dir).select((F.col("user_id") % 1000).alias("forcing_idx"), F.col("series").alias("PBOT"))
+    parts = gather.ragged_gather(read(spark, sf_dir, "part").withColumnRenamed("p_brand", "name"), "name", "p_partkey", ["p_retailprice"]).withColumnRenamed("p_retailprice", "vals")
+    given = {
+        "ds1": customers.select(*at, F.col("c_acctbal").alias("AREA")),
+        "ds1_layers": orders.select(F.col("o_custkey").alias("lat_idx"), F.col("o_custkey").alias("lon_idx"), F.col("o_orderkey").alias("level"), F.col("o_totalprice").alias("PCT_SAND")),
+        "ds2_history": history, "h0_list": history.withColumn("GPP", -F.col("GPP")),
+        "ds10_pfts": groups, "ds10_columns": groups.select("pos", "gridcell_id", F.array("tlai", -F.col("tlai")).alias("soil1c_vr")),
+        "r_pfts": groups.select("pos", (F.col("tlai") * 2).alias("tlai")), "r_columns": groups.select("pos", F.array("tlai").alias("soil1c_vr")),
+        "ds5": events.groupBy("forcing_idx").agg(F.min("PBOT").alias("PBOT")), "clm_params": parts,
+    }
+    config = Config(mode="legacy", surface=("AREA", "PCT_SAND"), history=("GPP", "NPP"), pft=("tlai",), columns=("soil1c_vr",), parameters=("Brand#11", "absent"))
+    spine = index(spark, sf_dir).select("__row_id", "batch_id", F.col("c_custkey").alias("lat_idx"), F.col("c_custkey").alias("lon_idx"), (F.col("c_custkey") % 300).alias("nearest_forcing_index"), F.col("c_custkey").alias("gridcell_id"))
+    return modules.Sources(spark, config, given), spine
+
+
+def longer(df: DataFrame, array: str, *keep: str) -> DataFrame:
+    return df.select("__row_id", *keep, F.posexplode_outer(array).alias("pos", "value")).withColumn("pos", F.col("pos").cast("long"))
+
+
+#: orders of each selected cell in order of their keys; one row with NULLs for a cell without any
+ORDERED = "ordered AS (SELECT __row_id, batch_id, c_acctbal, c_nationkey, CASE WHEN o_orderkey IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) - 1 END AS pos, o_totalprice FROM batched LEFT JOIN orders ON o_custkey = c_custkey)"
+
+
+@query(f'WITH {CELLS}, {INDEX}, {ORDERED} SELECT __row_id, batch_id, c_acctbal AS "AREA", pos, o_totalprice AS value FROM ordered')
+def module_surface(spark, sf_dir):
+    s, spine = given_sources(spark, sf_dir)
+    return longer(modules.build(s, "A_ds1_surface", spine), "PCT_SAND", "batch_id", "AREA")
+
+
+@query(f'WITH {CELLS}, {INDEX} SELECT __row_id, batch_id, c_nationkey / 25.0::DOUBLE AS landfrac, c_acctbal AS "GPP" FROM batched')
+def module_history_x(spark, sf_dir):
+    """The first step; landfrac under its other name; a variable that is not there is left out."""
+    s, spine = given_sources(spark, sf_dir)
+    return modules.build(s, "A_ds2_history_x", spine)
+
+
+@query(f'WITH {CELLS}, {INDEX} SELECT __row_id, batch_id, -c_acctbal AS "Y_GPP" FROM batched')
+def module_history_y(spark, sf_dir):
+    s, spine = given_sources(spark, sf_dir)
+    s.config = replace(s.config, history=("GPP",))
+    return modules.build(s, "A_h0_list_y", spine)
+
+
+@query(f"WITH {CELLS}, {INDEX}, {ORDERED} SELECT __row_id, pos, o_totalprice AS value, -o_totalprice AS lower FROM ordered")
+def module_restart_x(spark, sf_dir):
+    """Groups of places, flat and layered, side by side."""
+    s, spine = given_sources(spark, sf_dir)
+    both = modules.build(s, "A_ds10_restart_x", spine).select("__row_id", F.arrays_zip("tlai", "soil1c_vr").alias("x"))
+    return both.select("__row_id", F.posexplode_outer("x").alias("pos", "x")).select("__row_id", F.col("pos").cast("long").alias("pos"), F.col("x.tlai").alias("value"), F.get(F.col("x.soil1c_vr"), F.lit(1)).alias("lower"))
+
+
+@query(f"WITH {CELLS}, {INDEX}, {ORDERED} SELECT __row_id, pos, o_totalprice * 2 AS value FROM ordered")
+def module_restart_y(spark, sf_dir):
+    """Values of the target, places of the initial file."""
+    s, spine = given_sources(spark, sf_dir)
+    return longer(modules.build(s, "A_r_list_y", spine), "Y_tlai")
+
+
+@query(f"""WITH {CELLS}, {INDEX}, p AS (SELECT list(p_retailprice ORDER BY p_partkey)[1:17] AS vals FROM part WHERE p_brand = 'Brand#11')
+SELECT __row_id, generate_subscripts(vals, 1) - 1 AS pos, unnest(vals) AS value FROM batched, p""")
+def module_parameters(spark, sf_dir):
+    s, spine = given_sources(spark, sf_dir)
+    return longer(modules.build(s, "A_clm_params_pft", spine), "pft_Brand#11")
+
+
+@query(f"WITH {CELLS}, {INDEX}, {STEPS}, found AS (SELECT user_id, list(value ORDER BY pos) AS vals FROM steps GROUP BY 1), least AS (SELECT user_id % 1000 AS place, min(vals) AS vals FROM found GROUP BY 1), spread AS (SELECT place, generate_subscripts(vals, 1) - 1 AS pos, unnest(vals) AS value FROM least) SELECT __row_id, pos, value FROM batched LEFT JOIN spread ON place = c_custkey % 300")
+def module_forcing(spark, sf_dir):
+    """A variable that the source holds under its other name."""
+    s, spine = given_sources(spark, sf_dir)
+    return longer(modules.build(s, "A_forcing_ds5_psrf", spine), "PSRF")
+
+
+@query(f"WITH {CELLS}, {INDEX} SELECT __row_id, c_custkey FROM batched WHERE batch_id = 1")
+def artifact_batch(spark, sf_dir):
+    """An artifact written by batch, of which one folder is read."""
+    root = scratch(spark)
+    sinks.write_artifact(index(spark, sf_dir).select("__row_id", "batch_id", "c_custkey"), root, "A")
+    return tables.artifact(spark, root, "A", 1).select("__row_id", "c_custkey")
+
+
+@query(f"WITH {CELLS}, {INDEX} SELECT 'A' AS module, count(*) AS rows, CAST(max(batch_id) AS BIGINT) AS batches, TRUE AS current FROM batched")
+def manifest_facts(spark, sf_dir):
+    """A manifest of an artifact's sources and counts, written and read back, and whether it is up to date."""
+    root, df, sources = scratch(spark), index(spark, sf_dir), [sinks.source_entry(spark, f"{sf_dir}/customer.parquet")]
+    row = mesh.index_summary(df).first()
+    sinks.write_manifest(spark, root, "A", sources, rows=row["rows"], batches=row["batches"])
+    held = sinks.read_manifest(spark, root, "A")
+    return spark.createDataFrame([(held["module"], held["rows"], held["batches"], sinks.is_current(spark, root, "A", sources))], "module string, rows long, batches long, current boolean")
+
+
+@query(f"WITH {CELLS}, {INDEX} SELECT __row_id, batch_id, c_acctbal FROM batched WHERE __row_id % 3 > 0")
+def final_dataset_written(spark, sf_dir):
+    """A final dataset written over an older, larger one, and read by pattern."""
+    root, df = scratch(spark), index(spark, sf_dir).select("__row_id", "batch_id", "c_acctbal")
+    sinks.write_final(df, root)
+    sinks.write_final(df.where("__row_id % 3 > 0"), root, overwrite=True)
+    return tables.final_dataset(spark, root, "*.parquet").select("__row_id", "batch_id", "c_acctbal")
+
+
+@query(f"WITH {STEPS} SELECT CAST(user_id AS INTEGER) AS gridcell, pos, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, 2000 AS start_year FROM steps")
+def forcing_written(spark, sf_dir):
+    """A consolidated forcing table, with 4-byte floats at rest."""
+    s = user_series(spark, sf_dir).select(F.col("user_id").alias("gridcell"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), "series")
+    path = sinks.write_forcing(s, scratch(spark), 2000, 2001)
+    out = spark.read.parquet(path).select("gridcell", F.posexplode("series").alias("pos", "value"), "start_year")
+    return out.select("gridcell", F.col("pos").cast("long").alias("pos"), F.col("value").cast("double").alias("value"), "start_year")
+
+
+#: a file for each day, as if days were months
+RAW = "raw AS (SELECT user_id AS cell, extract(day FROM ts) AS d, value, event_id FROM events)"
+
+
+def raw_steps(spark, sf_dir) -> DataFrame:
+    """(path, time_idx, cell, value) of files named by year and month: a day is a month, twelve of them a year."""
+    day = F.dayofmonth("ts") - 1
+    path = F.format_string("/f/clmforc.v.T.%d-%02d.nc", F.floor(day / 12) + 2000, day % 12 + 1)
+    return read(spark, sf_dir, "events").select(path.alias("path"), F.lit(0).alias("time_idx"), F.col("user_id").alias("cell"), F.when(F.col("event_id") % 9 == 0, float("nan")).otherwise(F.col("value")).alias("value"))
+
+
+@query(f"""WITH {RAW}, m AS (SELECT cell, d, avg(value) FILTER (WHERE event_id % 9 <> 0) AS value FROM raw GROUP BY 1, 2)
+SELECT cell AS gridcell, CAST(cell AS DOUBLE) AS lat, row_number() OVER (PARTITION BY cell ORDER BY d) - 1 AS pos, round(value, 6) AS value FROM m""")
+def prepared_forcing(spark, sf_dir):
+    """Monthly files in calendar order, averaged over their steps, with the coordinates of a reference mesh."""
+    steps = raw_steps(spark, sf_dir)
+    points = steps.select("cell").distinct().select("cell", F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
+    reference = points.select("cell", F.col("cell").cast("double").alias("lat"), F.lit(0.0).alias("lon"))
+    made, _ = runs.monthly_forcing(steps, points, calendar.month_files(steps.select("path").distinct(), "T", 2000, 2002), reference)
+    return made.select("gridcell", "lat", F.posexplode("series").alias("pos", "value")).select("gridcell", "lat", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
+
+
+@query(f"""WITH {RAW}, m AS (SELECT cell, d, avg(value) FILTER (WHERE event_id % 9 <> 0) AS value FROM raw GROUP BY 1, 2)
+SELECT cell, row_number() OVER (PARTITION BY cell ORDER BY d) - 1 AS pos, round(value, 6) AS value FROM m""")
+def streamed_forcing(spark, sf_dir):
+    """The same means, taken up as a stream of new files."""
+    root = scratch(spark)
+    # a file of steps holds whole months
+    steps = raw_steps(spark, sf_dir).select("path", F.col("time_idx").cast("int").alias("time_idx"), F.col("cell").cast("long").alias("cell"), "value")
+    steps.repartition(8, "path").write.parquet(f"{root}/steps")
+    monthly.ingest(spark, f"{root}/steps", f"{root}/means", f"{root}/checkpoint", "T", 2000, 2002, files_at_once=3).awaitTermination()
+    out = monthly.months(spark, f"{root}/means")
+    return out.select("cell", F.posexplode("series").alias("pos", "value")).select("cell", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
+
+
+@query(f"WITH {CELLS}, {INDEX} SELECT 'output' AS \"check\", batch_id, 'fail' AS severity, 'no output' AS detail FROM batched GROUP BY batch_id HAVING batch_id % 3 = 0")
+def validate_missing_batches(spark, sf_dir):
+    i = index(spark, sf_dir).select("__row_id", "batch_id")
+    return validate.missing_batches(i, i.where("batch_id % 3 > 0"))
+
+
+@query(f"""WITH {CELLS}, {INDEX}, b AS (SELECT batch_id, count(*) AS n, count(*) FILTER (WHERE __row_id % 5 > 0) AS found, count(*) FILTER (WHERE __row_id % 5 > 0 AND lat > 60) AS far FROM batched GROUP BY 1)
+SELECT 'output' AS "check", batch_id, 'fail' AS severity FROM b WHERE batch_id % 3 = 0
+UNION ALL SELECT 'rows', batch_id, 'fail' FROM b
+UNION ALL SELECT 'coordinates', batch_id, 'warn' FROM b WHERE batch_id % 3 > 0 AND far > 0
+UNION ALL SELECT 'series', batch_id, 'fail' FROM b WHERE batch_id % 3 > 0
+UNION ALL SELECT 'series', batch_id, 'fail' FROM b WHERE batch_id % 3 = 1
+UNION ALL SELECT 'numbers', batch_id, 'fail' FROM b WHERE batch_id % 3 = 2
+UNION ALL SELECT 'prefix', batch_id, 'warn' FROM b WHERE batch_id % 3 > 0""")
+def validate_report(spark, sf_dir):
+    """All checks of a dataset of which a third of the batches and a fifth of the rows are missing."""
+    i = index(spark, sf_dir)
+    final = i.where("batch_id % 3 > 0 AND __row_id % 5 > 0").select(
+        "__row_id", "batch_id", F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), F.lit(1).alias("Y_a"),
+        F.when(F.col("batch_id") % 3 == 1, F.array(F.lit(1.0))).otherwise(F.array(F.lit(1.0), F.lit(2.0))).alias("FLDS"),
+        F.when(F.col("batch_id") % 3 == 2, float("nan")).otherwise(F.col("c_acctbal")).alias("GPP"),
+    )
+    return validate.report(i, final, lat=(-60, 60), lon=(20, 340), series=["FLDS", "TBOT"], series_length=2, numbers=["GPP", "absent"]).select("check", "batch_id", "severity")
+
+
+@query(f"""WITH {CELLS}, {INDEX} SELECT __row_id, batch_id, lat AS "Latitude", lon AS "Longitude", c_acctbal AS "AREA", c_nationkey / 25.0::DOUBLE AS landfrac, c_acctbal AS "GPP", -c_acctbal AS "Y_GPP",
+coalesce((SELECT min(o_totalprice) FROM (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders) WHERE n = 1 AND o_custkey = c_custkey), 0) AS "PCT_SAND_0" FROM batched""")
+def assembled_dataset(spark, sf_dir):
+    """Modules built to artifacts, joined, coerced and expanded, written as the final dataset and read back."""
+    s, spine = given_sources(spark, sf_dir)
+    c = replace(s.config, output=scratch(spark), history=("GPP",))
+    s.config = c
+    places = index(spark, sf_dir).select("__row_id", F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"))
+    sinks.write_artifact(spine.join(places, "__row_id"), runs.artifacts(c), modules.INDEX)
+    for name in ("A_ds1_surface", "A_ds2_history_x", "A_h0_list_y"):
+        sinks.write_artifact(modules.build(s, name, tables.artifact(spark, runs.artifacts(c), modules.INDEX)), runs.artifacts(c), name)
+    runs.write_dataset(spark, c)
+    out = tables.final_dataset(spark, f"{c.output}/final_dataset")
+    return out.select("__row_id", "batch_id", "Latitude", "Longitude", "AREA", "landfrac", "GPP", "Y_GPP", "PCT_SAND_0")
