@@ -55,6 +55,20 @@ def per_row(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str
     return df.mapInArrow(rows, kind)
 
 
+#: what the tasks of this worker built last, by name: the broadcast value and what was made of it
+_BUILT: dict[str, tuple[object, object]] = {}
+
+
+def once_a_worker(name: str, value: object, build: Callable[[object], object]) -> object:
+    """build(value) of a broadcast value, made once by a worker process and kept until tasks with another value come."""
+    held = _BUILT.pop(name, None)
+    if held is None or held[0] is not value:
+        held = None  # the old one goes before the new one is built
+        held = (value, build(value))
+    _BUILT[name] = held
+    return held[1]
+
+
 def many_rows(df: DataFrame, make: Callable[[], Callable[[Iterator[tuple]], Iterator[tuple]]], schema: str | T.StructType, flush: int = 50_000) -> DataFrame:
     """make()() turns a task's iterator of rows into an iterator of output tuples, sent on in groups of flush."""
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -5,7 +5,8 @@ words move through it and the longest match ending at each word is tracked. A ma
 those words; an item shorter than the window counts where it stands whole.
 
 The items are broadcast in shards of at most ``shard_words`` words, each a job of its own over the documents, so what is
-broadcast is bounded by that parameter however large the benchmark is; usually there is one shard.
+broadcast is bounded by that parameter however large the benchmark is; usually there is one shard. The driver holds one shard at a
+time (two at the start), and a worker builds the automaton of a shard once for all its tasks.
 
 Defined cases: null texts have no words and are never hit; items without words match nothing; repeated item_ids count once;
 a null item_id is named as the empty string; repeated documents are judged alike; empty tables give no hits or no rows;
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .automaton import SuffixAutomaton
-from .common import ALNUM, materialise, per_row, row_id, spare, text_udf
+from .common import ALNUM, many_rows, materialise, once_a_worker, per_row, row_id, spare, text_udf
 
 
 @dataclass(frozen=True)
@@ -32,7 +34,8 @@ class Settings:
     window: int = 13
     #: contaminated if 100 * hit words >= percent * words
     percent: int = 5
-    shard_words: int = 1_000_000
+    #: an automaton of so many words takes some 250 MB while it is built
+    shard_words: int = 200_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -105,6 +108,10 @@ class Automaton(SuffixAutomaton):
         return hit, items
 
 
+def built(sent, settings: Settings) -> Automaton:
+    return once_a_worker("decontaminate", sent.value, lambda items: Automaton(items, settings.window))
+
+
 def shards(benchmark: DataFrame, settings: Settings, item: str = "item_id", text: str = "text") -> Iterator[list[tuple[str, list[bytes]]]]:
     """The distinct items, in shards of at most shard_words words (or one item)."""
     rows = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).cast("binary").alias("text")).where("text IS NOT NULL").distinct().orderBy("item", "text")
@@ -141,7 +148,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
 
     def one(sent):
         def make():
-            automaton = Automaton(sent.value, settings.window)
+            automaton = built(sent, settings)
 
             def f(*row):
                 words = words_of(row[n])
@@ -158,21 +165,26 @@ def hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
 
     def partial(sent):
         def make():
-            automaton = Automaton(sent.value, settings.window)
+            automaton = built(sent, settings)
 
-            def f(rid, words):
-                words = words_of(words)
-                hit, items = automaton.stream(words)
-                return rid, np.packbits(hit).tobytes(), [automaton.names[k] for k in items]
+            def run(it: Iterator[tuple]) -> Iterator[tuple]:
+                for rid, raw in it:
+                    hit, items = automaton.stream(words_of(raw))
+                    if items:
+                        yield rid, np.packbits(hit).tobytes(), [automaton.names[k] for k in items]
 
-            return f
+            return run
 
         return make
 
     numbered = materialise(source.withColumn("__rid", row_id()), "decontaminate-docs")
     found = None
-    for shard in [first, second, *parts]:
-        out = materialise(per_row(numbered.select("__rid", "__text"), partial(session.sparkContext.broadcast(shard)), "rid long, bits binary, items array<string>"), "decontaminate-shard")
+    for shard in chain([first, second], parts):
+        sent = session.sparkContext.broadcast(shard)
+        # rows without a hit are not written
+        out = many_rows(numbered.select("__rid", "__text"), partial(sent), "rid long, bits binary, items array<string>")
+        out = materialise(out, "decontaminate-shard")
+        sent.unpersist()
         found = out if found is None else found.unionByName(out)
     merged = found.groupBy("rid").agg(F.collect_list("bits").alias("bits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
@@ -197,7 +209,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         sent = docs.sparkSession.sparkContext.broadcast(first)
 
         def make():
-            automaton = Automaton(sent.value, settings.window)
+            automaton = built(sent, settings)
 
             def f(x: bytes | None) -> bool:
                 words = words_of(x)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import per_row
+from .common import once_a_worker, per_row
 
 #: start of a word, in vocabularies of this kind
 MARK = "▁".encode()
@@ -107,7 +107,7 @@ def count(docs: DataFrame, keep: list[str], text: str = "text", settings: Settin
     vocabulary = docs.sparkSession.sparkContext.broadcast(pieces(settings.model))
 
     def make():
-        counts, n = Counts(Automaton(vocabulary.value), settings.kept), len(keep)
+        counts, n = once_a_worker("token_counts", vocabulary.value, lambda v: Counts(Automaton(v), settings.kept)), len(keep)
 
         def f(*row):
             words = row[n].split() if row[n] else []
