@@ -1,13 +1,17 @@
 """Secret scans: a worklist of decoded layers, each rescanned, with spans mapped back to the text.
 
-The text is the first layer. URL escapes, Unicode escapes, base64 tokens and what these hold in compressed form each
-give a further layer, until nothing new comes out; a layer whose text was seen before at the same place is not scanned again, so
-cycles end: of decoded layers only compressed ones can be longer than what they come from, and these have one place throughout.
-Every character of a layer keeps the span of the original text that it came from.
+The text is the first layer. Its URL and Unicode escapes, base64 tokens and what these hold in compressed form each give a further
+layer, until nothing new comes out; a layer whose text was seen before at the same place is not scanned again, so cycles end: of
+decoded layers only compressed ones can be longer than what they come from, and these have one place throughout. A layer knows how
+its places map to those of the layer it was decoded from, and so on back to the text.
+
+Escapes that turn into escapes again give a layer for each of ``levels`` levels; what is nested deeper is then unwrapped to the end
+at once, into one more layer, so that the work is in proportion to the text however deep it is nested.
 
 Defined cases: a null text counts as empty; bytes that are no UTF-8 count as U+FFFD; repeated rows are scanned alike; an
-empty table gives no rows; other columns are ignored by ``scan`` and kept by ``redact``. A compressed layer that unpacks to
-more than ``max_layer`` bytes is reported whole as a finding of kind ``oversize``.
+empty table gives no rows; other columns are ignored by ``scan`` and kept by ``redact``. A token that unpacks to more than
+``max_layer`` bytes, or to more than is left of ``max_unpacked`` bytes for one text, is reported whole as a finding of kind
+``oversize``.
 """
 
 from __future__ import annotations
@@ -19,8 +23,9 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,9 +50,11 @@ OWN = (
     ("chat", "xox", re.compile(r"\bxox[abprs]-[A-Za-z0-9-]{10,}")),
 )
 
-URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
+ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
+#: control characters that texts don't hold
+CONTROLS = bytes(c for c in range(32) if not 9 <= c <= 13) + b"\x7f"
 #: 14 characters hold the shortest compressed finding (10 bytes, a Zstandard frame of one repeated hex digit), 19 the shortest plain one
 TOKEN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{14,}={0,2}")
 MAGIC = ((b"\x1f\x8b", "gzip"), (b"\x78\x01", "zlib"), (b"\x78\x5e", "zlib"), (b"\x78\x9c", "zlib"), (b"\x78\xda", "zlib"), (b"\x28\xb5\x2f\xfd", "zstd"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"))
@@ -56,32 +63,86 @@ MAGIC = ((b"\x1f\x8b", "gzip"), (b"\x78\x01", "zlib"), (b"\x78\x5e", "zlib"), (b
 @dataclass(frozen=True)
 class Settings:
     max_layer: int = 64 << 20
+    max_unpacked: int = 256 << 20
+    levels: int = 4
     mark: str = "[REDACTED]"
 
 
-@dataclass
 class Layer:
-    """at[i] and to[i]: the span of the original text that character i came from; None in the first layer."""
+    """A text, the layer that it was decoded from (None: it is the text itself), and how many levels of escapes were decoded in a row."""
 
-    text: str
-    at: np.ndarray | None
-    to: np.ndarray | None
+    def __init__(self, text: str, parent: Layer | None = None, local=None, level: int = 0):
+        self.text, self.parent, self.local, self.level = text, parent, local, level
 
     def span(self, a: int, b: int) -> tuple[int, int]:
-        return (a, b) if self.at is None else (int(self.at[a:b].min()), int(self.to[a:b].max()))
+        """The place in the original text that the characters from a to b come from."""
+        layer = self
+        while layer.parent is not None:
+            a, b = layer.local(a, b)
+            layer = layer.parent
+        return a, b
+
+    def key(self) -> tuple:
+        """Equal tokens at two places give two layers."""
+        return hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), *self.span(0, len(self.text))
+
+
+class Stitched:
+    """Places of a text of which some parts are decoded characters: begins[k] is where segment k begins, from[k] and to[k] what it comes from.
+
+    A decoded character is a segment of its own; any other segment is as long as what it comes from.
+    """
+
+    def __init__(self):
+        self.begins, self.source, self.ends, self.decoded, self.n = [], [], [], [], 0
+
+    def add(self, length: int, a: int, b: int, decoded: bool) -> None:
+        if length:
+            self.begins.append(self.n)
+            self.source.append(a)
+            self.ends.append(b)
+            self.decoded.append(decoded)
+            self.n += length
+
+    def __call__(self, a: int, b: int) -> tuple[int, int]:
+        k, m = bisect_right(self.begins, a) - 1, bisect_right(self.begins, b - 1) - 1
+        first = self.source[k] if self.decoded[k] else self.source[k] + a - self.begins[k]
+        last = self.ends[m] if self.decoded[m] else self.source[m] + b - self.begins[m]
+        return first, last
+
+
+class Token:
+    """Places of text that a base64 token holds: four characters of the token for three bytes."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.start, self.end = start, end
+        # bytes before each character, where they are not as many as characters
+        self.offsets = None if text.isascii() else np.append(0, np.cumsum([len(c.encode()) for c in text]))
+
+    def __call__(self, a: int, b: int) -> tuple[int, int]:
+        x, y = (a, b) if self.offsets is None else (int(self.offsets[a]), int(self.offsets[b]))
+        return self.start + x * 4 // 3, min(self.end, self.start + -(-y * 4 // 3))
+
+
+class Whole:
+    """Every place comes from one span."""
+
+    def __init__(self, start: int, end: int):
+        self.at = start, end
+
+    def __call__(self, a: int, b: int) -> tuple[int, int]:
+        return self.at
+
 
-    def key(self) -> tuple[str, bytes]:
-        """The text, and where it came from: equal tokens at two places give two layers."""
-        place = hashlib.blake2b(digest_size=16)
-        for x in (self.at, self.to):
-            place.update(b"" if x is None else x)
-        return self.text, place.digest()
+def holds_key(text: str, step: int = 1 << 20) -> bool:
+    """Whether the text may hold an assignment; long texts are lowered a part at a time."""
+    parts = (text[i : i + step + 8].lower() for i in range(0, len(text), step))
+    return any(k in part for part in parts for k in ASSIGN_KEYS)
 
 
 def find(text: str) -> Iterator[tuple[str, int, int]]:
     """What the patterns find in one layer; within each kind leftmost and non-overlapping."""
-    lower = text.lower()
-    if any(k in lower for k in ASSIGN_KEYS):
+    if holds_key(text):
         for m in ASSIGN.finditer(text):
             if m.end(2) - m.start(2) >= 8:
                 yield "assign", *m.span()
@@ -97,51 +158,105 @@ def find(text: str) -> Iterator[tuple[str, int, int]]:
                 yield kind, *m.span()
 
 
-def rebuilt(layer: Layer, parts: Iterator[tuple[int, int, list[tuple[str, int, int]]]]) -> Layer:
-    """layer with each part [a, b) replaced by characters that have spans in the layer."""
-    text, at, to, last = [], [], [], 0
-
-    def keep(a: int, b: int) -> None:
-        text.append(layer.text[a:b])
-        at.append(np.arange(a, b) if layer.at is None else layer.at[a:b])
-        to.append(np.arange(a + 1, b + 1) if layer.to is None else layer.to[a:b])
-
-    for a, b, chars in parts:
-        keep(last, a)
-        spans = [layer.span(x, y) for _, x, y in chars]
-        text += [c for c, _, _ in chars]
-        at.append(np.array([s for s, _ in spans], np.int64))
-        to.append(np.array([e for _, e in spans], np.int64))
-        last = b
-    keep(last, len(layer.text))
-    return Layer("".join(text), np.concatenate(at), np.concatenate(to))
-
-
-def url_parts(text: str):
-    for m in URL.finditer(text):
-        raw, p = bytes.fromhex(m[0].replace("%", "")), m.start()
+def unescaped(run: str, start: int) -> list[tuple[str, int, int]]:
+    """The characters of a run of escapes of one kind, with their places."""
+    if run[0] == "%":
+        raw = bytes.fromhex(run.replace("%", ""))
         try:
-            chars = []
+            out, p = [], start
             for c in raw.decode("utf-8"):
                 n = 3 * len(c.encode("utf-8"))
-                chars.append((c, p, p + n))
+                out.append((c, p, p + n))
                 p += n
+            return out
         except UnicodeDecodeError:
-            chars = [(chr(b), m.start() + 3 * i, m.start() + 3 * i + 3) for i, b in enumerate(raw)]
-        yield m.start(), m.end(), chars
-
-
-def escape_parts(text: str):
-    for m in ESCAPE.finditer(text):
-        chars: list[tuple[str, int, int]] = []
-        for x in ESCAPED.finditer(text, m.start(), m.end()):
-            code = int(x[1] or x[2], 16)
-            if 0xDC00 <= code < 0xE000 and chars and 0xD800 <= ord(chars[-1][0]) < 0xDC00:
-                high, a, _ = chars.pop()
-                chars.append((chr(0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00), a, x.end()))
+            return [(chr(b), start + 3 * i, start + 3 * i + 3) for i, b in enumerate(raw)]
+    chars: list[tuple[str, int, int]] = []
+    for x in ESCAPED.finditer(run):
+        code, a, b = int(x[1] or x[2], 16), start + x.start(), start + x.end()
+        if 0xDC00 <= code < 0xE000 and chars and 0xD800 <= ord(chars[-1][0]) < 0xDC00:
+            high, a, _ = chars.pop()
+            code = 0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00
+        chars.append((chr(code), a, b))
+    return [("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in chars]
+
+
+def one_level(layer: Layer) -> Layer | None:
+    """layer with its escapes decoded once; None if it has none."""
+    text, out, places, last = layer.text, [], Stitched(), 0
+    for m in ESCAPES.finditer(text):
+        out.append(text[last : m.start()])
+        places.add(m.start() - last, last, m.start(), False)
+        for c, a, b in unescaped(m[0], m.start()):
+            out.append(c)
+            places.add(1, a, b, True)
+        last = m.end()
+    if not last:
+        return None
+    out.append(text[last:])
+    places.add(len(text) - last, last, len(text), False)
+    return Layer("".join(out), layer, places, layer.level + 1)
+
+
+def all_levels(layer: Layer) -> Layer | None:
+    """layer with its escapes decoded until none is left, in one walk: each decoded character may complete an escape with those before it."""
+    if not ESCAPES.search(layer.text):
+        return None
+    # characters so far, their places, and whether they are decoded bytes
+    chars: list[str] = []
+    begins, ends, is_byte = [], [], []
+
+    def cut(n: int) -> int:
+        a = begins[-n]
+        for x in (chars, begins, ends, is_byte):
+            del x[-n:]
+        return a
+
+    for i, c in enumerate(layer.text):
+        a, b, byte = i, i + 1, False
+        while True:
+            chars.append(c)
+            begins.append(a)
+            ends.append(b)
+            is_byte.append(byte)
+            if c not in HEX_DIGITS:
+                break
+            if len(chars) >= 3 and chars[-3] == "%" and chars[-2] in HEX_DIGITS:
+                code, n, byte = int("".join(chars[-2:]), 16), 3, True
+            elif len(chars) >= 4 and chars[-4] == "\\" and chars[-3] == "x" and chars[-2] in HEX_DIGITS:
+                code, n, byte = int("".join(chars[-2:]), 16), 4, False
+            elif len(chars) >= 6 and chars[-6] == "\\" and chars[-5] == "u" and HEX_DIGITS.issuperset(chars[-4:]):
+                code, n, byte = int("".join(chars[-4:]), 16), 6, False
             else:
-                chars.append((chr(code), *x.span()))
-        yield m.start(), m.end(), [("�" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in chars]
+                break
+            a = cut(n)
+            if not byte and 0xDC00 <= code < 0xE000 and chars and 0xD800 <= ord(chars[-1]) < 0xDC00:
+                code = 0x10000 + ((ord(chars[-1]) - 0xD800) << 10) + code - 0xDC00
+                a = cut(1)
+            c = chr(code)
+    out, places, i = [], Stitched(), 0
+    while i < len(chars):
+        j = i
+        while j < len(chars) and is_byte[j] and chars[j] >= "\x80":
+            j += 1
+        if j == i:
+            plain = ends[i] - begins[i] == 1
+            out.append("\ufffd" if "\ud800" <= chars[i] < "\ue000" else chars[i])
+            places.add(1, begins[i], ends[i], not plain)
+            i += 1
+            continue
+        try:  # bytes in a row may be one character
+            for c in "".join(chars[i:j]).encode("latin-1").decode("utf-8"):
+                n = len(c.encode("utf-8"))
+                out.append(c)
+                places.add(1, begins[i], ends[i + n - 1], True)
+                i += n
+        except UnicodeDecodeError:
+            for k in range(i, j):
+                out.append(chars[k])
+                places.add(1, begins[k], ends[k], True)
+            i = j
+    return Layer("".join(out), layer, places, layer.level + 1)
 
 
 class ZstdFrame:
@@ -190,12 +305,13 @@ def contents(raw: bytes, limit: int) -> Iterator[tuple[bytes, bool]]:
 
     OverflowError at the end if anything unpacks beyond limit.
     """
-    work, seen, over = [raw], set(), False
+    work, seen, over, first = [raw], set(), False, True
+    del raw
     while work:
         x = work.pop()
-        if x in seen:
+        if (mark := hashlib.blake2b(x, digest_size=16).digest()) in seen:
             continue
-        seen.add(x)
+        seen.add(mark)
         try:
             parts, rest = unpacked(x, limit)
         except OverflowError:
@@ -204,13 +320,19 @@ def contents(raw: bytes, limit: int) -> Iterator[tuple[bytes, bool]]:
         if parts:
             work += [rest, *parts, b"".join(parts)]
         else:
-            yield x, x is not raw
+            yield x, not first
+        first = False
     if over:
         raise OverflowError
 
 
-def token_layers(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
-    """A layer for each base64 token that holds text, plain or compressed; a span if it unpacks beyond limit."""
+def is_text(raw: bytes) -> bool:
+    """Not empty, and at most a tenth control characters."""
+    return len(raw) > 0 and 10 * (len(raw) - len(raw.translate(None, CONTROLS))) <= len(raw)
+
+
+def token_layers(layer: Layer, limit: Callable[[], int]) -> Iterator[Layer | tuple[int, int]]:
+    """A layer for each base64 token that holds text, plain or compressed; a span if it unpacks beyond what limit() says then."""
     for m in TOKEN64.finditer(layer.text):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
@@ -219,57 +341,40 @@ def token_layers(layer: Layer, limit: int) -> Iterator[Layer | tuple[int, int]]:
             raw = base64.b64decode(body + "=" * (-len(body) % 4))
         except binascii.Error:
             continue
+        del body
         try:
-            for inner, packed in contents(raw, limit):
-                if (made := token_layer(layer, m, inner, packed)) is not None:
-                    yield made
+            for inner, packed in contents(raw, limit()):
+                if is_text(inner):
+                    try:
+                        text = inner.decode("utf-8")
+                    except UnicodeDecodeError:
+                        continue
+                    yield Layer(text, layer, Whole(*m.span()) if packed else Token(text, *m.span()))
         except OverflowError:
             yield layer.span(*m.span())
 
 
-def token_layer(layer: Layer, m: re.Match, raw: bytes, packed: bool) -> Layer | None:
-    """The layer of what the token m holds, if that is text; characters of packed text come from the whole token."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if sum(c.isprintable() or c.isspace() for c in text) < 0.9 * len(text) or not text:
-        return None
-    whole = layer.span(*m.span())
-    if packed:
-        return Layer(text, np.full(len(text), whole[0]), np.full(len(text), whole[1]))
-    at, to, byte = [], [], 0
-    for c in text:
-        n = len(c.encode("utf-8"))
-        a, b = m.start() + byte * 4 // 3, min(m.end(), m.start() + -(-(byte + n) * 4 // 3))
-        s, e = layer.span(a, b)
-        at.append(s)
-        to.append(e)
-        byte += n
-    return Layer(text, np.array(at, np.int64), np.array(to, np.int64))
-
-
 def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
     """Base spans of the text itself, all spans, and the number of layers scanned."""
     order = {k: i for i, k in enumerate(KINDS)}
-    work, seen, base, found = deque([Layer(text, None, None)]), set(), [], set()
-    layers = 0
+    work, seen, base, found = deque([Layer(text)]), set(), [], set()
+    layers, left = 0, settings.max_unpacked
     while work:
         layer = work.popleft()
         layers += 1
         for kind, a, b in find(layer.text):
-            if layer.at is None:
+            if layer.parent is None:
                 base += [(kind, a, b)] * (kind in BASE)
             # all findings count: what decoding left as it was may be found only now, beside a decoded character
             found.add((kind, *layer.span(a, b)))
         made: list[Layer] = []
-        if "%" in layer.text and URL.search(layer.text):
-            made.append(rebuilt(layer, url_parts(layer.text)))
-        if "\\" in layer.text and ESCAPE.search(layer.text):
-            made.append(rebuilt(layer, escape_parts(layer.text)))
-        for x in token_layers(layer, settings.max_layer):
+        if "%" in layer.text or "\\" in layer.text:
+            decoded = one_level(layer) if layer.level < settings.levels else all_levels(layer)
+            made += [decoded] if decoded else []
+        for x in token_layers(layer, lambda: min(settings.max_layer, left)):
             if isinstance(x, Layer):
                 made.append(x)
+                left -= len(x.text) if isinstance(x.local, Whole) else 0
             else:
                 found.add(("oversize", *x))
         for x in made:

@@ -105,3 +105,57 @@ def test_short_tokens(secret):
 
 def test_clean_text():
     assert ss.scan_text("nothing to see, 100% sure \\unlikely") == ([], [], 1)
+
+
+def test_deep_escapes():
+    """Nested escapes are unwrapped to the end in one walk, and what stands at the core is found where it stands."""
+    for core in ("70assword=abcdefgh1", "5cx70assword=abcdefgh1", "5cu0070assword=abcdefgh1"):
+        text = "x %" + "25" * 100_000 + core + " y"
+        _, found, layers = ss.scan_text(text)
+        assert layers < 12
+        assert ("assign", 2, len(text) - 2) in found
+    alternating = "%5cu0025" * 5_000 + "%5cx25" * 5_000 + "41"
+    assert ss.scan_text(alternating)[2] < 12
+
+
+def nested(text, times):
+    for k in range(times):
+        text = "".join(f"\\u{ord(c):04x}" if k % 2 else f"%{b:02X}" for c in text for b in c.encode("latin-1")[:1])
+    return text
+
+
+@pytest.mark.parametrize("levels", [0, 1, 4])
+@pytest.mark.parametrize("times", [1, 2, 3])
+def test_levels_agree(levels, times):
+    """One level after another or all at once: the same core, and the same place."""
+    text = "é " + nested("token=abcdefgh1", times) + " %C3%A9 \\ud83d\\ude00 %zz \\u00"
+    _, found, _ = ss.scan_text(text, ss.Settings(levels=levels))
+    assert ("assign", 2, 2 + len(nested("token=abcdefgh1", times))) in found
+    plain = "é token=abcdefgh1 é 😀 %zz \\u00"
+    layer = ss.Layer(text)
+    while (deeper := ss.one_level(layer)) is not None:
+        layer = deeper
+    assert layer.text == plain == ss.all_levels(ss.Layer(text)).text
+    for x in (layer, ss.all_levels(ss.Layer(text))):
+        assert x.span(0, 2) == (0, 2) and x.span(len(plain) - 8, len(plain)) == (len(text) - 8, len(text))
+        assert text[slice(*x.span(plain.index("😀"), plain.index("😀") + 1))] == "\\ud83d\\ude00"
+        assert text[slice(*x.span(plain.rindex("é"), plain.rindex("é") + 1))] == "%C3%A9"
+
+
+def test_large_layer():
+    """A layer of 60 MB: in seconds, and below 300 MB more than before."""
+    import resource
+    import time
+
+    token = base64.b64encode(gzip.compress(b"a b c d " * 7_500_000 + SECRET.encode())).decode()
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.perf_counter()
+    _, found, _ = ss.scan_text(f"x {token} y")
+    assert ("assign", 2, 2 + len(token)) in found
+    assert time.perf_counter() - began < 60 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+
+
+def test_many_large_layers():
+    """What one text unpacks to is bounded in all; tokens beyond it are reported."""
+    tokens = [base64.b64encode(gzip.compress(bytes([97 + i]) + b" word" * 2_000)).decode() for i in range(5)]
+    _, found, _ = ss.scan_text(" ".join(tokens), ss.Settings(max_unpacked=35_000))
+    assert sum(k == "oversize" for k, *_ in found) == 2
