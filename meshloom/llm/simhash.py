@@ -4,8 +4,9 @@ A fingerprint has a bit for each bit that is set in over half of the hashes of a
 ``radius`` (2) or fewer differing bits. Equal fingerprints are one node. The 64 bits are cut into radius + 2 blocks; two linked
 fingerprints agree in at least two of them, so each fingerprint goes to the bucket of every pair of its blocks and no link is
 missed. A bucket is compared in tiles sorted by population count; a tile pair whose counts differ beyond the radius is skipped.
-Buckets beyond ``tile`` fingerprints are split into parts, and each pair of parts is a group of its own, so no task gets a whole
-large bucket. A group of tiles returns links that span its components, not all its pairs.
+Buckets beyond ``tile`` fingerprints are split by population count, and counts of more than ``tile`` fingerprints into parts; each
+pair of parts whose counts differ by the radius at most is a group of its own, so no task gets a whole large bucket, and parts that
+can't link never meet. A group of tiles returns links that span its components, not all its pairs.
 
 Defined cases: null and empty texts have the fingerprint zero and link like any other; texts of one or two words hash as a whole;
 repeated rows and copies share a fingerprint and one component; rows with a null doc_id get the component of their fingerprint
@@ -82,55 +83,83 @@ def bucketed(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.select("fp", F.explode(F.array(*pairs)).alias("x")).select("fp", "x.pair", "x.k")
 
 
-def spanning(fps: np.ndarray, radius: int, tile: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the radius that join the components of fps; equal values give no link."""
-    fps = np.unique(fps.view(np.uint64))
-    ones = np.bitwise_count(fps)
-    order = np.argsort(ones, kind="stable")
-    fps, ones = fps[order], ones[order].astype(np.int16)
-    parent = np.arange(len(fps))
+class Forest:
+    """Links that join the components of numbered nodes."""
 
-    def root(i: int) -> int:
+    def __init__(self, n: int):
+        self.parent, self.left, self.right = list(range(n)), [], []
+
+    def root(self, i: int) -> int:
+        parent = self.parent
         while parent[i] != i:
             parent[i] = parent[parent[i]]
             i = parent[i]
         return i
 
-    left, right = [], []
-    for a in range(0, len(fps), tile):
-        x, most = fps[a : a + tile], ones[min(a + tile, len(fps)) - 1]
-        for b in range(a, len(fps), tile):
-            if ones[b] - most > radius:
+    def join(self, i: int, j: int) -> None:
+        p, q = self.root(i), self.root(j)
+        if p != q:
+            self.parent[q] = p
+            self.left.append(i)
+            self.right.append(j)
+
+
+def spanning(fps: np.ndarray, radius: int, tile: int, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the radius that join the components of fps (signed, distinct), or, with second (1 for some of fps), of those between its two parts."""
+    fps = fps.view(np.uint64)
+    ones = np.bitwise_count(fps)
+    order = np.argsort(ones, kind="stable")
+    fps, ones = fps[order], ones[order].astype(np.int16)
+    side = np.zeros(len(fps), np.int8) if second is None else second[order].astype(np.int8)
+    rows = np.flatnonzero(side == 0)
+    columns = rows if second is None else np.flatnonzero(side == 1)
+    forest = Forest(len(fps))
+    for a in range(0, len(rows), tile):
+        x = rows[a : a + tile]
+        for b in range(a if second is None else 0, len(columns), tile):
+            y = columns[b : b + tile]
+            # the tiles' population counts differ beyond the radius
+            if ones[y[0]] - ones[x[-1]] > radius:
                 break
-            y = fps[b : b + tile]
+            if ones[x[0]] - ones[y[-1]] > radius:
+                continue
             for r in range(0, len(x), 256):
-                for i, j in zip(*np.nonzero(np.bitwise_count(x[r : r + 256, None] ^ y[None, :]) <= radius), strict=True):
-                    i, j = a + r + int(i), b + int(j)
-                    if i < j and (p := root(i)) != (q := root(j)):
-                        parent[q] = p
-                        left.append(i)
-                        right.append(j)
-    return fps[left].view(np.int64), fps[right].view(np.int64)
+                close = np.bitwise_count(fps[x[r : r + 256], None] ^ fps[None, y]) <= radius
+                for i, j in zip(*np.nonzero(close), strict=True):
+                    i, j = int(x[r + i]), int(y[j])
+                    if i < j or (second is not None and i != j):
+                        forest.join(i, j)
+    return fps[forest.left].view(np.int64), fps[forest.right].view(np.int64)
 
 
 def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Distinct nodes(fp) to links (a, b) that join all fingerprints within the radius of one another."""
-    keyed = bucketed(nodes, settings.radius)
-    sizes = keyed.groupBy("pair", "k").agg(F.count("*").alias("size")).where("size > 1")
-    sizes = materialise(sizes, "simhash-buckets")
-    parts = F.ceil(F.col("size") / settings.tile).cast("int")
-    held = keyed.join(sizes, ["pair", "k"]).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    dealt = held.select("fp", "pair", "k", "part", other).select("fp", "pair", "k", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
     radius, tile = settings.radius, settings.tile
+    keyed = bucketed(nodes, radius).withColumn("ones", F.bit_count("fp"))
+    classes = keyed.groupBy("pair", "k", "ones").agg(F.count("*").alias("n"))
+    # at most 65 population counts a bucket
+    sizes = classes.groupBy("pair", "k").agg(F.sum("n").alias("size"), F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("parts"))).alias("classes")).where("size > 1")
+    sizes = materialise(sizes, "simhash-buckets")
+    held = keyed.join(sizes, ["pair", "k"])
+    own = F.filter("classes", lambda c: c["ones"] == F.col("ones"))[0]["parts"]
+    held = held.withColumn("part", F.pmod(F.xxhash64("fp"), own).cast("int"))
+    near = F.filter("classes", lambda c: F.abs(c["ones"] - F.col("ones")) <= radius)
+    others = F.flatten(F.transform(near, lambda c: F.transform(F.sequence(F.lit(0), c["parts"] - 1), lambda p: F.struct(c["ones"].alias("ones"), p.alias("part")))))
+    mine = F.struct("ones", "part")
+    groups = F.transform(others, lambda o: F.struct(F.least(mine, o).alias("low"), F.greatest(mine, o).alias("high")))
+    # a bucket of one tile or less is one group
+    none = F.struct(F.lit(-1).alias("ones"), F.lit(-1).alias("part"))
+    groups = F.when(F.col("size") <= tile, F.array(F.struct(none.alias("low"), none.alias("high")))).otherwise(groups)
+    dealt = held.withColumn("g", F.explode(groups)).select("fp", "pair", "k", "g.low", "g.high", ((F.col("g.low") != F.col("g.high")) & (F.col("g.high") == mine)).cast("int").alias("second"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        a, b = spanning(group["fp"].to_numpy(), radius, tile)
+        second = group["second"].to_numpy()
+        a, b = spanning(group["fp"].to_numpy(), radius, tile, second if second.any() else None)
         return pd.DataFrame({"a": a, "b": b})
 
     # dealt by number: groups are small in bytes but long in time, and would be put together in one task
-    dealt = dealt.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "pair", "k", "i", "j")
-    return dealt.groupBy("pair", "k", "i", "j").applyInPandas(compare, "a long, b long")
+    dealt = dealt.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "pair", "k", "low", "high")
+    return dealt.groupBy("pair", "k", "low", "high").applyInPandas(compare, "a long, b long")
 
 
 def with_components(prints: DataFrame, key: str, settings: Settings = Settings()) -> DataFrame:
