@@ -1,9 +1,9 @@
 """License scans: ordered signature rules behind a keyword prefilter, with column functions only.
 
-Every rule is a regular expression with a keyword that its matches must contain. A text without any keyword is left at once; of
-the others only the rules whose keyword occurs are tried. Each match is a detection with an interval; a detection inside another
-one's interval is suppressed, and of equal intervals the rule of the higher priority stays. Beside the rules, the base phrases are
-found word by word.
+Every rule is a regular expression with keywords that its matches must contain. A text without any keyword is left at once; of
+the others only the rules whose keywords occur are tried, group by group of their first one. Each match is a detection with an
+interval. Of overlapping detections of different priority the higher one stays; of equal priority one inside another is suppressed
+(of equal intervals the one whose label comes later). Beside the rules, the base phrases are found word by word.
 
 Defined cases: a null text counts as empty; texts are scanned whole; repeated rows are scanned alike; an empty table gives no rows;
 columns other than those named are ignored. A text's detections meet in one task, which one text bounds.
@@ -125,9 +125,39 @@ NOTICES = (
     ("proprietary", "copied", r"may\s+not\s+be\s+copied"),
     ("proprietary", "reproduced", r"may\s+not\s+be\s+reproduced"),
     ("proprietary", "distributed", r"may\s+not\s+be\s+distributed"),
+    ("proprietary", "unauthori", r"unauthori[sz]ed\s+(?:copying|reproduction|distribution)"),
+    ("proprietary", "secrets", r"trade\s+secrets\s+of"),
+    ("proprietary", "exclusive", r"exclusive\s+property\s+of"),
+    ("proprietary", "consent", r"without\s+(?:the\s+)?(?:prior\s+)?(?:express\s+)?written\s+consent"),
     ("permissive", "hereby", r"Permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge"),
     ("permissive", "redistribution", r"Redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms,\s+with\s+or\s+without"),
+    ("permissive", "sublicense", r"copy,\s+modify,\s+merge,\s+publish,\s+distribute,\s+sublicense"),
+    ("permissive", "restriction", r"deal\s+in\s+the\s+Software\s+without\s+restriction"),
+    ("permissive", "substantial", r"included\s+in\s+all\s+copies\s+or\s+substantial\s+portions\s+of\s+the\s+Software"),
+    ("permissive", "distribute", r"copy,\s+modify,?\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose\s+with\s+or\s+without\s+fee"),
+    ("permissive", "retain", r"must\s+retain\s+the\s+above\s+copyright\s+notice,\s+this\s+list\s+of\s+conditions"),
+    ("permissive", "reproduce", r"must\s+reproduce\s+the\s+above\s+copyright\s+notice"),
+    ("permissive", "endorse", r"used\s+to\s+endorse\s+or\s+promote\s+products\s+derived\s+from\s+this\s+software"),
+    ("permissive", "acknowledg", r"must\s+display\s+the\s+following\s+acknowledge?ment"),
+    ("permissive", "misrepresented", r"origin\s+of\s+this\s+software\s+must\s+not\s+be\s+misrepresented"),
+    ("permissive", "altered", r"Altered\s+source\s+versions\s+must\s+be\s+plainly\s+marked"),
+    ("copyleft", "redistribute", r"you\s+can\s+redistribute\s+it\s+and/or\s+modify\s+it"),
+    ("copyleft", "licen", r"of\s+the\s+Licen[cs]e,\s+or\s+\(at\s+your\s+option\)\s+any\s+later\s+version"),
+    ("copyleft", "gnu", r"should\s+have\s+received\s+a\s+copy\s+of\s+the\s+GNU"),
+    ("copyleft", "corresponding", r"complete\s+corresponding\s+(?:machine-readable\s+)?source\s+code"),
+    ("copyleft", "subject", r"Source\s+Code\s+Form\s+is\s+subject\s+to\s+the\s+terms"),
+    ("non-commercial", "commercial", r"for\s+(?:personal,\s+)?non-?commercial\s+(?:use|purposes)\s+only"),
+    ("no-derivatives", "derivative", r"no\s+derivative\s+works\s+(?:are\s+)?(?:permitted|allowed)"),
+    ("patent", "patent", r"(?:royalty-free|irrevocable)\s+patent\s+licen[cs]e"),
+    ("trademark", "trademark", r"registered\s+trademarks?\s+of"),
+    ("eula", "licen", r"End[- ]User\s+Licen[cs]e\s+Agreement"),
+    ("dual-licensed", "licen", r"dual[- ]licen[cs]ed"),
+    ("public-domain", "waive", r"waives\s+all\s+(?:copyright|of\s+(?:his|her|their)\s+rights)"),
     ("warranty", "warrant", r"without\s+warrant(?:y|ies)\s+of\s+any\s+kind|WITHOUT\s+ANY\s+WARRANTY"),
+    ("warranty", "merchantability", r"warrant(?:y|ies)\s+of\s+merchantability"),
+    ("warranty", "provided", r"SOFTWARE\s+IS\s+PROVIDED\s+.AS\s+IS"),
+    ("warranty", "basis", r"on\s+an\s+.AS\s+IS.\s+BASIS"),
+    ("warranty", "liable", r"in\s+no\s+event\s+shall\s+the\s+(?:authors?|copyright\s+holders?|regents)[^.;]{0,80}\s+be\s+liable"),
     ("gpl", "gnu", r"GNU\s+General\s+Public\s+Licen[cs]e"),
     ("lgpl", "lesser", r"GNU\s+Lesser\s+General\s+Public\s+Licen[cs]e"),
     ("bsd", "bsd", r"BSD[- ]\s*(?:style\s+)?Licen[cs]e"),
@@ -194,28 +224,33 @@ def places(text: Column, low: Column, n_words: Column) -> Column:
     return F.array(*[of(p, needs) for p, _, needs in PHRASES])
 
 
+DETECTIONS = "array<struct<rule:int,pos:int,gap:int,n:int,label:string,priority:int,confidence:double>>"
+
+
 def detections(text: Column, low: Column, given: list[Rule]) -> Column:
-    """array of (start, end, label, priority, confidence): all matches of the rules whose keys low contains."""
+    """array of (rule, pos, gap, n, label, priority, confidence): all matches of the rules whose keys low contains; gap: characters since the match before."""
+    groups: dict[str, list[dict]] = {}
+    for i, r in enumerate(given):
+        groups.setdefault(r.keys[0], []).append(asdict(r) | {"rule": i, "keys": r.keys[1:]})
     # one constant that is parsed while planning, instead of thousands of literals for the optimiser to walk through
-    table = F.from_json(F.lit(json.dumps([asdict(r) for r in given])), "array<struct<label:string,keys:array<string>,pattern:string,priority:int,confidence:double>>")
+    kind = "array<struct<key:string,rules:array<struct<rule:int,label:string,keys:array<string>,pattern:string,priority:int,confidence:double>>>>"
+    table = F.from_json(F.lit(json.dumps([{"key": k, "rules": r} for k, r in groups.items()])), kind)
 
     def of(rule: Column) -> Column:
         found = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
-        gaps = F.transform(F.split(text, rule["pattern"], -1), F.length)
-        spans = F.zip_with(gaps, F.transform(found, F.length), lambda g, n: F.struct(g.alias("gap"), n.alias("n")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-        step = lambda acc, x: F.struct((acc["at"] + x["gap"] + x["n"]).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["n"]).alias("end")))).alias("out"))
-        made = F.aggregate(F.filter(spans, lambda x: x["n"].isNotNull()), start, step, lambda acc: acc["out"])
-        return F.transform(made, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence")))
-
-    return F.flatten(F.transform(F.filter(table, lambda r: F.forall(r["keys"], lambda k: F.contains(low, k))), of))
-
+        lengths = F.transform(found, F.length)
+        # without a match nothing is split
+        gaps = F.when(F.size(found) > 0, F.transform(F.split(text, rule["pattern"], -1), F.length))
+        spans = F.filter(F.zip_with(gaps, lengths, lambda g, n: F.struct(g.alias("gap"), n.alias("n"))), lambda x: x["n"].isNotNull())
+        named = lambda x, i: F.struct(rule["rule"].alias("rule"), i.alias("pos"), x["gap"].alias("gap"), x["n"].alias("n"), rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"))
+        return F.coalesce(F.transform(spans, named), F.array().cast(DETECTIONS))
 
-DETECTIONS = "array<struct<start:int,end:int,label:string,priority:int,confidence:double>>"
+    tried = F.filter(F.flatten(F.transform(F.filter(table, lambda g: F.contains(low, g["key"])), lambda g: g["rules"])), lambda r: F.forall(r["keys"], lambda k: F.contains(low, k)))
+    return F.flatten(F.transform(tried, of))
 
 
 def spans(docs: DataFrame, keep: list[str], text: str = "text", given: list[Rule] | None = None) -> DataFrame:
-    """keep, __rid, n_words, phrases and one row for each detection (start is null where there is none), suppressed where contained."""
+    """keep, __rid, n_words, phrases and one row for each detection (start is null where there is none), hidden where another one suppresses it."""
     given = given or rules()
     needed = {"licen" if "licen" in r.keys else r.keys[0] for r in given}
     # a string that holds another one needs no test of its own
@@ -232,13 +267,29 @@ def spans(docs: DataFrame, keep: list[str], text: str = "text", given: list[Rule
 
     looked = counted.withColumn("x", once(F.lower(whole), look)).select(*keep, "__rid", "n_words", "x.phrases", "x.found")
     rows = looked.select(*keep, "__rid", "n_words", "phrases", F.explode_outer("found").alias("d")).select(*keep, "__rid", "n_words", "phrases", "d.*")
-    before = Window.partitionBy("__rid").orderBy("start", F.desc("end"), "priority", "label").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("contained", F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False)))
+    # one exchange serves all windows
+    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__rid")
+    so_far = Window.partitionBy("__rid", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(so_far)).withColumn("start", F.col("end") - F.col("n")).drop("rule", "pos", "gap", "n")
+    return rows.withColumn("hidden", hidden(sorted({r.priority for r in given})))
+
+
+def hidden(priorities: list[int]) -> Column:
+    """Whether a detection overlaps one of a higher priority, or lies within one of its own."""
+    earlier = Window.partitionBy("__rid").orderBy("start", F.desc("end"), "priority", "label").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("__rid").orderBy(F.desc("start"), "end", F.desc("priority"), F.desc("label")).rowsBetween(Window.unboundedPreceding, -1)
+    equal = Window.partitionBy("__rid", "priority").orderBy("start", F.desc("end"), "label").rowsBetween(Window.unboundedPreceding, -1)
+    out = F.max("end").over(equal) >= F.col("end")
+    for p in priorities[1:]:
+        higher = F.col("priority") < p
+        reached = (F.max(F.when(higher, F.col("end"))).over(earlier) > F.col("start")) | (F.min(F.when(higher, F.col("start"))).over(later) < F.col("end"))
+        out = F.coalesce(out, F.lit(False)) | ((F.col("priority") == p) & F.coalesce(reached, F.lit(False)))
+    return F.coalesce(out, F.lit(False))
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text", given: list[Rule] | None = None) -> DataFrame:
     """The columns of ``keep`` with phrase places, labels and a score, one row for each row of docs."""
-    live = ~F.col("contained")
+    live = ~F.col("hidden")
     grouped = spans(docs, keep, text, given).groupBy("__rid").agg(
         *[F.first(c).alias(c) for c in [*keep, "n_words", "phrases"]],
         F.collect_set(F.when(live, F.col("label"))).alias("found"),
