@@ -187,5 +187,4 @@ def score(docs: DataFrame, labels: DataFrame, held_out, settings: Settings = Set
     raw = lambda df: model.transform(df).withColumn("raw", vector_to_array("probability")[1])
     curve = IsotonicRegression(featuresCol="raw", labelCol="toxic").fit(raw(train.where("fold = 2")).select("raw", "toxic"))
     ready = curve.setPredictionCol("calibrated").transform(raw(ready).select("doc_id", "held_out", "raw"))
-    # the calibrated steps, and within a step the trees' own order
-    return final(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.95 * F.col("calibrated") + 0.05 * F.col("raw"))))
+    return final(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated"))))
