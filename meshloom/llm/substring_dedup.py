@@ -11,8 +11,8 @@ Shards are dealt by anchor and not broadcast, since all documents are reference
 task gets a group that grows with the corpus. Both ways give the same windows.
 
 Defined cases: null and empty texts have no words and keep none; a null doc_id is neither earlier nor later than any other, so its
-row keeps all words; rows that repeat a doc_id are the same document, and remove nothing from each other; very long texts are
-cut into pieces like any other; an empty table gives no rows; other columns are ignored.
+row keeps all words; a doc_id that is no integer is a TypeError; rows that repeat a doc_id are the same document, and remove nothing from each other; very long texts are
+cut into pieces a stretch at a time, and words of any length are hashed a block at a time; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,12 +30,7 @@ from pyspark.sql import types as T
 
 from .automaton import SuffixAutomaton
 from .common import many_rows, materialise, per_row, row_id, slices
-
-BASE = 0x9E3779B97F4A7C15 | 1
-BLOCK = 1 << 20
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
-
+from .hashing import Powers, mixed, sums, word_hashes
 
 @dataclass(frozen=True)
 class Settings:
@@ -45,55 +40,8 @@ class Settings:
     piece: int = 256
     #: a shard of near copies this large takes 15 MB and half a second, one of unrelated texts about four times as much
     shard_words: int = 100_000
-
-
-class Powers:
-    """Powers of an odd base modulo 2^64 and their inverses, as far as needed."""
-
-    up, down = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    @classmethod
-    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = 1 << (n - 1).bit_length()
-            for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-                x = np.full(size, base, np.uint64)
-                x[0] = 1
-                setattr(cls, name, np.multiply.accumulate(x))
-        return cls.up, cls.down
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def sums(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of values times powers: differences are hashes of ranges, up to a power."""
-    up, _ = Powers.to(len(values) + 1)
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=out[1:])
-    return out
-
-
-def word_hashes(text: bytes | None) -> np.ndarray:
-    """64-bit hashes of the words of text, in order; long texts in blocks that end at white space."""
-    out, at, text = [], 0, text or b""
-    while at < len(text):
-        end = min(len(text), at + BLOCK)
-        while end < len(text) and not SPACE[text[end]]:
-            end += 1
-        block = np.frombuffer(text, np.uint8, end - at, at)
-        gap = np.ones(len(block) + 2, np.int8)
-        gap[1:-1] = SPACE[block]
-        edges = np.flatnonzero(np.diff(gap))
-        a, b = edges[::2], edges[1::2]
-        total = sums(block.astype(np.uint64) + np.uint64(1))
-        out.append(mixed((total[b] - total[a]) * Powers.down[a] + (b - a).astype(np.uint64) * np.uint64(BASE)))
-        at = end
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    #: windows of one text that are cut into pieces at once
+    stretch: int = 1 << 19
 
 
 def ranges(total: np.ndarray, a: np.ndarray, n) -> np.ndarray:
@@ -128,6 +76,14 @@ def pieces(hashes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarr
     return anchors[starts].view(np.int64), starts, sizes, content.view(np.int64)
 
 
+def all_pieces(hashes: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """pieces, of a long text a stretch at a time."""
+    w, step = settings.window, settings.stretch
+    for at in range(0, len(hashes) - w + 1, step):
+        anchor, start, size, content = pieces(hashes[at : at + step + w - 1], settings)
+        yield anchor, start + at, size, content
+
+
 def cut_by_shard(rows: list[tuple[int, int, list[int]]], window: int) -> Iterator[tuple[int, list[int]]]:
     """rows: (content, doc, words) of one anchor. (content, ends of windows that an earlier document holds)."""
     automaton = SuffixAutomaton()
@@ -178,8 +134,7 @@ def repeats(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFra
             held = []
             for rid, doc, raw in zip(rids, ids, texts, strict=True):
                 if doc is not None and raw:
-                    anchor, start, size, content = pieces(word_hashes(raw), settings)
-                    if len(start):
+                    for anchor, start, size, content in all_pieces(word_hashes(raw), settings):
                         held.append((np.full(len(start), rid), np.full(len(start), doc), anchor, start, size, content))
             if held:
                 columns = [np.concatenate(c).astype(np.int64) for c in zip(*held, strict=True)]
@@ -226,8 +181,10 @@ def repeats(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, v, np.int64)) for v in (anchor, content, doc)] + [pa.array(np.arange(n) + w - 1), pa.array(h)], names=["anchor", "content", "doc", "last", "h"])
 
     single = materialise(fetched.where("large").select("anchor", "content", "doc", "words").mapInArrow(windows, "anchor long, content long, doc long, last long, h long"), "dedup-windows")
-    least = materialise(single.groupBy(F.col("h").alias("__h")).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most"), "dedup-least")
-    later = single.join(least, F.col("h") == F.col("__h")).where("doc > least")
+    # equal windows share their anchor too, so two hashes tell them apart
+    least = single.groupBy(F.col("anchor").alias("__anchor"), F.col("h").alias("__h")).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    least = materialise(least, "dedup-least")
+    later = single.join(least, (F.col("anchor") == F.col("__anchor")) & (F.col("h") == F.col("__h"))).where("doc > least")
     large = later.groupBy("anchor", "content").agg(F.collect_list(F.col("last").cast("int")).alias("a"))
     large = large.select("anchor", "content", F.transform("a", lambda e: e - (w - 1)).alias("a"), F.transform("a", lambda e: e + 1).alias("b"))
     cut = materialise(small.unionByName(large), "dedup-cuts").withColumnRenamed("anchor", "__anchor").withColumnRenamed("content", "__content")
@@ -241,7 +198,10 @@ def repeats(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFra
 
 def with_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """docs with rid and repeats, an array of the word ranges (a, b) that go (null: none)."""
-    numbered = docs.withColumn("rid", row_id())
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"{key} must be an integer, not {docs.schema[key].dataType.simpleString()}")
+    # written, so that every job reads the same row numbers, whatever executors there are then
+    numbered = materialise(docs.withColumn("rid", row_id()), "dedup-docs")
     ranges_of = repeats(numbered, key, text, settings).groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("repeats"))
     return numbered.join(ranges_of, "rid", "left")
 
