@@ -12,6 +12,7 @@ whatever their length; repeated rows count alike; an empty table gives no rows;
 from __future__ import annotations
 
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ def pieces(model: str) -> list[bytes]:
     """The ordinary pieces of a model file as bytes, and all single bytes."""
     import sentencepiece
 
+    if not Path(model).is_file():
+        raise FileNotFoundError(f"no vocabulary at {model}: name one by Settings(model=...)")
     p = sentencepiece.SentencePieceProcessor(model_file=model)
     plain = [p.id_to_piece(i).encode() for i in range(p.get_piece_size()) if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i) or p.is_unused(i))]
     return sorted({*plain, *(bytes([b]) for b in range(256))})
