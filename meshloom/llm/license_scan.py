@@ -177,9 +177,9 @@ def rules() -> list[Rule]:
     edge, stop = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
     grant = r"(?:licen[cs]ed|released|distributed|available|provided|published)\s+under\s+(?:the\s+|a\s+)?(?:terms\s+of\s+(?:the\s+)?)?"
     for label, spdx, name, keyword, page in LICENSES:
-        out.append(Rule(label, ("spdx",), rf"(?i)SPDX-License-Identifier:\s*\(?(?:{spdx})(?![A-Za-z0-9.-])", 0, 1.0))
+        out.append(Rule(label, ("spdx", "licen"), rf"(?i)SPDX-License-Identifier:\s*\(?(?:{spdx})(?![A-Za-z0-9.-])", 0, 1.0))
         if page:
-            out.append(Rule(label, (page.split(r"\.")[0],), rf"(?i){page}", 1, 0.95))
+            out.append(Rule(label, keys_of(page.split(r"\.")[0], page.lower()), rf"(?i){page}", 1, 0.95))
         for key, part in zip(keyword.split("|"), name.split("|"), strict=True) if "|" in keyword else [(keyword, name)]:
             keys = keys_of(key, part)
             out.append(Rule(label, (*keys, "under"), rf"(?i){grant}(?:{part}){stop}", 2, 0.9))
@@ -188,8 +188,8 @@ def rules() -> list[Rule]:
         spaced = clauses.replace("-", "[- ]")
         for version in CC_VERSIONS:
             v, label = version.replace(".", r"\."), f"{stem}-{version}"
-            out.append(Rule(label, ("spdx",), rf"(?i)SPDX-License-Identifier:\s*CC-{clauses}-{v}", 0, 1.0))
-            out.append(Rule(label, ("creativecommons",), rf"(?i)creativecommons\.org/licenses/{clauses}/{v}", 1, 0.95))
+            out.append(Rule(label, ("spdx", "licen"), rf"(?i)SPDX-License-Identifier:\s*CC-{clauses}-{v}", 0, 1.0))
+            out.append(Rule(label, ("creativecommons", "licen"), rf"(?i)creativecommons\.org/licenses/{clauses}/{v}", 1, 0.95))
             for sep in " -":
                 out.append(Rule(label, (f"cc{sep}by", version, "under"), rf"(?i){grant}CC{sep}{spaced}[- ]{v}{stop}", 2, 0.9))
                 out.append(Rule(label, (f"cc{sep}by", version), rf"(?i){edge}CC{sep}{spaced}[- ]{v}{stop}", 3, 0.8))
@@ -256,16 +256,13 @@ def spans(docs: DataFrame, keep: list[str], text: str = "text", given: list[Rule
     # a string that holds another one needs no test of its own
     gates = sorted(k for k in needed if not any(o != k and o in k for o in needed))
     read = docs.select(*keep, row_id().alias("__rid"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    counted = read.withColumn("n_words", words_in(F.col("__text")))
-    whole = F.col("__text")
-
-    def look(low: Column) -> Column:
-        any_gate = F.lit(False)
-        for g in gates:
-            any_gate = any_gate | F.contains(low, F.lit(g))
-        return F.struct(places(whole, low, F.col("n_words")).alias("phrases"), F.when(any_gate, detections(whole, low, given)).cast(DETECTIONS).alias("found"))
-
-    looked = counted.withColumn("x", once(F.lower(whole), look)).select(*keep, "__rid", "n_words", "x.phrases", "x.found")
+    # columns of their own, so that the tests below are compiled and the text is lowered and split once
+    whole, low = F.col("__text"), F.col("__low")
+    counted = read.withColumn("__low", F.lower("__text")).withColumn("n_words", F.size(F.array_remove(F.split("__text", f"{GAP}+", -1), "")).cast("long"))
+    any_gate = F.lit(False)
+    for g in gates:
+        any_gate = any_gate | F.contains(low, F.lit(g))
+    looked = counted.select(*keep, "__rid", "n_words", places(whole, low, F.col("n_words")).alias("phrases"), F.when(any_gate, detections(whole, low, given)).cast(DETECTIONS).alias("found"))
     rows = looked.select(*keep, "__rid", "n_words", "phrases", F.explode_outer("found").alias("d")).select(*keep, "__rid", "n_words", "phrases", "d.*")
     # one exchange serves all windows
     rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__rid")
