@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import discard
 from .automaton import SuffixAutomaton
 from .common import many_rows, materialise, per_row, row_id, slices
 from .hashing import Powers, mixed, sums, word_hashes
@@ -187,9 +188,12 @@ def repeats(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFra
     later = single.join(least, (F.col("anchor") == F.col("__anchor")) & (F.col("h") == F.col("__h"))).where("doc > least")
     large = later.groupBy("anchor", "content").agg(F.collect_list(F.col("last").cast("int")).alias("a"))
     large = large.select("anchor", "content", F.transform("a", lambda e: e - (w - 1)).alias("a"), F.transform("a", lambda e: e + 1).alias("b"))
-    cut = materialise(small.unionByName(large), "dedup-cuts").withColumnRenamed("anchor", "__anchor").withColumnRenamed("content", "__content")
+    matched = materialise(small.unionByName(large), "dedup-cuts")
+    discard(several, fetched, single, least)
+    cut = matched.withColumnRenamed("anchor", "__anchor").withColumnRenamed("content", "__content")
     marks = kinds.join(cut, (F.col("anchor") == F.col("__anchor")) & (F.col("content") == F.col("__content")), "left").where("last > first OR a IS NOT NULL")
     marks = materialise(marks.select(F.col("anchor").alias("__anchor"), F.col("content").alias("__content"), "first", "a", "b"), "dedup-marks")
+    discard(kinds, matched)
     marked = found.join(marks, (F.col("anchor") == F.col("__anchor")) & (F.col("content") == F.col("__content"))).where("doc > first OR a IS NOT NULL")
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size") + (w - 1)).alias("b")))
     part = F.transform(F.arrays_zip("a", "b"), lambda x: F.struct((F.col("start") + x["a"]).alias("a"), (F.col("start") + x["b"]).alias("b")))
