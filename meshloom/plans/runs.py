@@ -130,6 +130,8 @@ def monthly_files(spark: SparkSession, config: Config, variable: str) -> tuple[D
     """Steps, coordinates and paths of a variable's monthly NetCDF files, one file a month."""
     if path := config.datm_paths.get(variable):
         paths = spark.createDataFrame([(path,)], "path string")
+    elif not config.datm_tokens.get(variable, "").strip():
+        raise FileNotFoundError(f"{variable}: neither tables in {config.datm_root}/{variable} nor a token for monthly files")
     else:
         listed = calendar.month_files(calendar.listed_files(spark, config.datm_root), config.datm_tokens.get(variable, ""), config.datm_start, config.datm_end)
         paths = calendar.first_of_month(listed).select(F.regexp_replace("path", "^file:", "").alias("path"))
