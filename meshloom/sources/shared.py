@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -29,8 +30,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let shuffle files of finished jobs go: Spark deletes them once the driver's collector has seen that nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete the folders of tables that materialise wrote and that nothing reads any more."""
+    """Delete the folders of tables that materialise wrote and that nothing reads any more, and the shuffle files that they came from."""
     for df in tables:
         spark = df.sparkSession
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -38,3 +45,5 @@ def discard(*tables: DataFrame) -> None:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             if path.getParent().toUri().getPath() == jvm.org.apache.hadoop.fs.Path(shared_dir(spark)).toUri().getPath():
                 path.getFileSystem(conf).delete(path, True)
+    if tables:
+        release(tables[0].sparkSession)
