@@ -147,7 +147,7 @@ def tokens(text):
     return [*WORD.findall(lower(text)), ""]
 
 
-def suffix_tree(training, depth, least, ratio, discount, min_bits):
+def suffix_tree(training, depth, context_least, least, ratio, discount, min_bits):
     """A function from a text to (base score, score), and the contexts of the tree, by plain counting over the training texts."""
     streams = [["", *tokens(t)] for t in training]
     words = Counter(w for s in streams for w in s[1:])
@@ -162,7 +162,7 @@ def suffix_tree(training, depth, least, ratio, discount, min_bits):
                 return own.get(w, 0.0) + left * chance(context[k + 1 :], w)
         return root(w)
 
-    often = {(w,) for w, n in words.items() if n >= least}
+    often = {(w,): n for w, n in words.items() if n >= least}
     for k in range(1, depth + 1):
         after, grown = {}, {}
         for s in streams:
@@ -172,14 +172,14 @@ def suffix_tree(training, depth, least, ratio, discount, min_bits):
                     after.setdefault(c, Counter())[s[i]] += 1
         for c, nexts in after.items():
             total = sum(nexts.values())
-            kept = {w: n for w, n in nexts.items() if n >= least and c in often and n >= ratio * total * chance(c[1:], w)}
+            kept = {w: n for w, n in nexts.items() if n >= least and often.get(c, 0) >= context_least and n >= ratio * total * chance(c[1:], w)}
             own = {w: (n - discount) / total for w, n in kept.items()}
             left = 1 - sum(own.values())
             bits = sum(n * math.log2((own[w] + left * chance(c[1:], w)) / chance(c[1:], w)) for w, n in kept.items()) + (total - sum(kept.values())) * math.log2(max(left, 1e-12))
             if kept and bits >= min_bits:
                 grown[c] = (left, own)
         tree.update(grown)
-        often = {(*c, w) for c, nexts in after.items() for w, n in nexts.items() if n >= least}
+        often = {(*c, w): n for c, nexts in after.items() for w, n in nexts.items() if n >= least and often.get(c, 0) >= context_least}
 
     def score(text):
         s = ["", *tokens(text)]
