@@ -16,7 +16,7 @@ from ..functions.scalars import no_nan, square, wrap_positive, wrap_signed
 from ..sources.shared import materialise
 
 #: below so many pairs one comparison of all is cheaper than cells
-FEW_PAIRS = 2_000_000
+FEW_PAIRS = 10_000_000
 #: candidates that are broadcast at most
 SMALL = 100_000
 #: candidates of a cell at most, unless halving its width forty times leaves more
@@ -61,8 +61,11 @@ def nearest_join(queries: DataFrame, candidates: DataFrame, key: str, index: str
     cells = q.where(finite("q_lat", "q_lon")).withColumn("dx", ring).withColumn("dy", ring).select(key, "q_lat", "q_lon", (x + F.col("dx")).alias("x"), (y + F.col("dy")).alias("y"))
     found = materialise(best_of(cells.join(c.select("c_idx", "c_lat", "c_lon", *at), ["x", "y"]), key).where(F.col("d2") < F.lit(width * width)), "nearest")
     left = materialise(q.join(found, key, "left_anti"), "nearest-left")
-    if left.isEmpty():
+    n_left = left.count()
+    if not n_left:
         return found
+    if n <= SMALL and n_left * n <= FEW_PAIRS:
+        return found.unionByName(best_of(left.crossJoin(F.broadcast(c)), key))
     least = c.agg(F.min("c_idx")).first()[0]
     # no distance is finite: the smallest index
     lost = left.where(~finite("q_lat", "q_lon")).select(key, F.lit(None).cast("double").alias("d2"), F.lit(least).alias("idx"))

@@ -120,7 +120,7 @@ def nearest_sql(candidates: str, idx: str) -> str:
 
 @query(f"WITH {CELLS}, {RESTART} {nearest_sql('restart', 'restart_idx')}")
 def nearest_restart(spark, sf_dir):
-    return nearest.nearest_join(cells(spark, sf_dir), restart(spark, sf_dir), "c_custkey", "restart_idx", 5.0)
+    return nearest.nearest_join(cells(spark, sf_dir), restart(spark, sf_dir), "c_custkey", "restart_idx")
 
 
 FORCING_MESH = f"forcing AS (SELECT p_partkey AS forcing_idx, {degrees_sql('p_partkey', 53, 17)} FROM part)"
@@ -129,7 +129,7 @@ FORCING_MESH = f"forcing AS (SELECT p_partkey AS forcing_idx, {degrees_sql('p_pa
 @query(f"WITH {CELLS}, {FORCING_MESH} {nearest_sql('forcing', 'forcing_idx')}")
 def nearest_forcing(spark, sf_dir):
     mesh_ = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("forcing_idx"), *degrees("p_partkey", 53, 17))
-    return nearest.nearest_join(cells(spark, sf_dir), mesh_, "c_custkey", "forcing_idx", 2.0)
+    return nearest.nearest_join(cells(spark, sf_dir), mesh_, "c_custkey", "forcing_idx")
 
 
 @query(f"""WITH {CELLS}, {INDEX}, {RESTART}, near AS ({nearest_sql('restart', 'restart_idx')})
@@ -138,7 +138,7 @@ FROM batched JOIN near USING (c_custkey) LEFT JOIN (SELECT restart_idx, s_acctba
 def index_master(spark, sf_dir):
     """The flagship: select cells, number them, map them to the nearest restart cell and gather a value there."""
     spine = index(spark, sf_dir)
-    near = nearest.nearest_join(spine, restart(spark, sf_dir), "c_custkey", "restart_idx", 5.0)
+    near = nearest.nearest_join(spine, restart(spark, sf_dir), "c_custkey", "restart_idx")
     values = restart(spark, sf_dir).select(F.col("restart_idx").alias("idx"), F.round("s_acctbal", 2).alias("s_acctbal"))
     joined = spine.join(near, "c_custkey").join(values, "idx", "left")
     return joined.select("__row_id", "batch_id", F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), F.col("idx").alias("nearest_restart_index"), (F.col("idx") + 1).alias("gridcell_id"), "s_acctbal")
