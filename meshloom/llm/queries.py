@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, mixing, quality_rules, secret_scan, simhash, substring_dedup, suffix_tree, token_counts, toxicity
+from . import bpe, decontaminate, license_scan, mixing, quality_rules, secret_scan, simhash, spelling, substring_dedup, suffix_tree, token_counts, toxicity, vector_codes
 from .common import is_remainder, table
 
 
@@ -49,6 +51,23 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return tokens.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.quantise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    of_labels = codes.groupBy(F.col("label").alias("__label")).agg(F.sum("error").alias("label_error"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    out = codes.join(of_labels, F.col("label").eqNullSafe(F.col("__label")))
+    return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -60,6 +79,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
+    "op11_bpe": op11_bpe,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_spelling": op13_spelling,
 }
 
 OP4_SQL = r"""
@@ -89,4 +111,38 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM taken
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
+
+
+def op12_sql(rounds: int = 4) -> str:
+    """Lloyd's rounds written out: books, and what is nearest in them, by turns. All numbers are whole and exact in doubles."""
+    parts = """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), parts AS MATERIALIZED (
+  SELECT row, vec_id, position, v[position * len(v) // 4 + 1 : (position + 1) * len(v) // 4] AS part FROM kept, (SELECT unnest(range(4)) AS position)
+), book0 AS MATERIALIZED (
+  SELECT position, row_number() OVER (PARTITION BY position ORDER BY vec_id) - 1 AS entry, part FROM parts QUALIFY entry < 256
+)"""
+    near = """, near{k} AS MATERIALIZED (
+  SELECT row, position, least.entry AS entry, least.d AS d FROM (
+    SELECT row, p.position, min(struct_pack(d := list_inner_product(p.part, p.part) - 2 * list_inner_product(p.part, b.part) + list_inner_product(b.part, b.part), entry := b.entry)) AS least
+    FROM parts p JOIN book{k} b ON p.position = b.position GROUP BY row, p.position)
+)"""
+    book = """, mean{k} AS MATERIALIZED (
+  SELECT position, entry, list(x ORDER BY spot) AS part FROM (
+    SELECT position, entry, spot, floor(sum(x) / count(*)) AS x
+    FROM (SELECT n.position, n.entry, unnest(p.part) AS x, unnest(range(len(p.part))) AS spot FROM near{j} n JOIN parts p ON n.row = p.row AND n.position = p.position) GROUP BY position, entry, spot)
+  GROUP BY position, entry
+), book{k} AS MATERIALIZED (
+  SELECT position, entry, coalesce(m.part, b.part) AS part FROM book{j} b LEFT JOIN mean{k} m USING (position, entry)
+)"""
+    steps = "".join(near.format(k=k - 1) + book.format(j=k - 1, k=k) for k in range(1, rounds + 1)) + near.format(k=rounds)
+    return f"""WITH {parts}{steps}, coded AS (
+  SELECT row, string_agg(printf('%02x', entry), '' ORDER BY position) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY row
+), digest AS (
+  SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY position, entry, spot)) AS codebooks_sha256 FROM (SELECT position, entry, unnest(part) AS x, unnest(range(len(part))) AS spot FROM book{rounds})
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (row), digest"""
+
+
+ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op12_vector_codes": op12_sql()}

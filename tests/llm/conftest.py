@@ -33,6 +33,7 @@ def tables(spark, tmp_path_factory):
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(1, item), (2, None), (3, ""), (10, " ".join(item.split()[5:9])), (4, "nothing of the kind")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([(i, 1, int("idiot" in (t or ""))) for i, t, *_ in rows[::2]] + [(1, 1, None), (None, 1, 1), (999_999, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
     return d
 
 
@@ -45,7 +46,7 @@ def documents(spark, tables):
 def odd_tables(spark, tables, tmp_path_factory):
     """The same tables with repeated rows and null doc_ids, and empty ones."""
     d, e = str(tmp_path_factory.mktemp("repeated")), str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         df = spark.read.parquet(f"{tables}/{t}.parquet")
         more = df.selectExpr(*[f"CAST(NULL AS long) AS {c}" if c == "doc_id" else f"`{c}`" for c in df.columns]).limit(20)
         df.unionByName(df).unionByName(more).write.parquet(f"{d}/{t}.parquet")

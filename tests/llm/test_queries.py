@@ -24,7 +24,8 @@ def by_id(got, *columns):
 def test_odd_tables(spark, odd_tables, name):
     repeated, empty = odd_tables
     n = spark.read.parquet(f"{repeated}/documents.parquet").count()
-    assert len(rows(spark, name, repeated)) == n
+    if name != "op13_spelling":  # a row for each word
+        assert len(rows(spark, name, repeated)) == (0 if name == "op12_vector_codes" else n)
     assert rows(spark, name, empty) == []
 
 
