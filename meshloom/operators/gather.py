@@ -55,6 +55,24 @@ def series_from_steps(rows: DataFrame, cell: list[str], step: str | list[str], v
     return rows.groupBy(*cell).agg(field(packed, "v").alias(out))
 
 
+def blocks_from_steps(rows: DataFrame, cell: list[str], step: str, value: str, length: int, out: str = "values") -> DataFrame:
+    """Long rows (cell, step, value), steps counted from 0 without gaps, to one row for each cell and block of so many steps: (cell, first, values)."""
+    block = rows.withColumn("first", F.floor(F.col(step) / length).cast("long") * length)
+    return series_from_steps(block, [*cell, "first"], step, value, out)
+
+
+def series_from_blocks(blocks: DataFrame, cell: list[str], first: str, values: str, out: str = "series") -> DataFrame:
+    """Blocks to one array a cell: an ordered merge, which shuffles a row a block instead of a row a step."""
+    runs = F.array_sort(F.collect_list(F.struct(F.col(first).alias("p"), F.col(values).alias("v"))))
+    return blocks.groupBy(*cell).agg(F.flatten(field(runs, "v")).alias(out))
+
+
+def lookup_blocks(index: DataFrame, blocks: DataFrame, at: str, value: str, out: str, cell: str = "forcing_idx", first: str = "first") -> DataFrame:
+    """index with the blocks of the cell in column ``at``, a row for each; one row without a block where the cell has none."""
+    blocks = blocks.select(F.col(cell).alias("__cell"), F.col(first).alias("first"), F.col(value).cast("array<double>").alias(out))
+    return index.join(blocks, F.col(at) == F.col("__cell"), "left").drop("__cell")
+
+
 def valid_parameters(params: DataFrame, first: int = 17, name: str = "name", values: str = "vals") -> DataFrame:
     """Parameters cut to their first values; one with a NULL or NaN among them goes whole."""
     head = F.slice(values, 1, first)

@@ -313,6 +313,44 @@ def monthly_avg_overrun(spark, sf_dir):
     return out.withColumn("value", scalars.no_nan(F.col("value")))
 
 
+BLOCK = 48
+
+
+@query("SELECT event_id % 20 AS cell, event_id // 20 AS pos, value FROM events")
+def series_blocks(spark, sf_dir):
+    """Steps of a flat (time, cell) layout to blocks, and blocks to series: what is shuffled last is a row a block."""
+    steps = read(spark, sf_dir, "events").select((F.col("event_id") % 20).alias("cell"), F.floor(F.col("event_id") / 20).alias("step"), "value")
+    out = gather.series_from_blocks(gather.blocks_from_steps(steps, ["cell"], "step", "value", BLOCK), ["cell"], "first", "values")
+    return out.select("cell", F.posexplode("series").alias("pos", "value")).withColumn("pos", F.col("pos").cast("long"))
+
+
+def wrapped_blocks(spark, sf_dir, length: int) -> DataFrame:
+    days = wrapped(spark, sf_dir, length).select("user_id", F.posexplode("series").alias("step", "value"))
+    return gather.blocks_from_steps(days, ["user_id"], "step", "value", BLOCK)
+
+
+def block_means(blocks: DataFrame, **settings) -> DataFrame:
+    out = series.block_means(blocks, ["user_id"], "first", "values", steps_per_day=1, years=1, **settings)
+    return out.select("user_id", F.posexplode("series").alias("pos", "value")).select("user_id", F.col("pos").cast("long").alias("pos"), F.round(scalars.no_nan(F.col("value")), 6).alias("value"))
+
+
+@query(ORACLE_SQL["monthly_avg"])
+def monthly_avg_blocks(spark, sf_dir):
+    """Sums and counts of the blocks' shares of months: no array is longer than a block."""
+    return block_means(wrapped_blocks(spark, sf_dir, 365), length=365)
+
+
+@query(ORACLE_SQL["monthly_avg_overrun"])
+def monthly_avg_blocks_overrun(spark, sf_dir):
+    return block_means(wrapped_blocks(spark, sf_dir, 100), length=100)
+
+
+@query(ORACLE_SQL["monthly_avg_passthrough"])
+def monthly_avg_blocks_passthrough(spark, sf_dir):
+    steps = user_series(spark, sf_dir).select("user_id", F.posexplode("series").alias("step", "value"))
+    return block_means(gather.blocks_from_steps(steps, ["user_id"], "step", "value", BLOCK), length=365)
+
+
 @query("""WITH p AS (SELECT p_brand AS name, list(p_retailprice ORDER BY p_partkey)[1:17] AS vals, min(p_size) AS least FROM part GROUP BY 1)
 SELECT name, generate_subscripts(vals, 1) - 1 AS pos, unnest(vals) AS value FROM p WHERE least > 0""")
 def param_valid_filter(spark, sf_dir):

@@ -72,7 +72,7 @@ class Sources:
             return reduce(lambda a, b: a.join(b, ["lat_idx", "lon_idx"], "full"), parts) if parts else None
         if kind == "series":
             v = resolve(f.shapes, dict(zip((f"ds{n}" for n in range(4, 10)), c.forcing_modules.values(), strict=True))[key])
-            return gather.series_from_steps(f.series(v), ["forcing_idx"], "time_idx", "value", v)
+            return f.series_blocks(v)
         if kind == "parameters":
             return f.parameters(list(c.parameters))
         # the targets' groups are those of the initial restart file, place by place
@@ -168,6 +168,8 @@ def forcing(key: str, variable: str) -> Callable[[Sources, DataFrame], DataFrame
     def build(s: Sources, index: DataFrame) -> DataFrame:
         table = s[key]
         name = resolve(table, variable) if s.config.mode != "datm" else variable
+        if "first" in table.columns:  # blocks of steps stay blocks; assembly reduces them to months
+            return slim(gather.lookup_blocks(keyed(index), table, "nearest_forcing_index", name, variable))
         return slim(gather.lookup_series(keyed(index), table, "nearest_forcing_index", name, variable))
 
     return build

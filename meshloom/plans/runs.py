@@ -73,7 +73,8 @@ def assemble_final(spark: SparkSession, config: Config, strict: bool = False) ->
             continue
         df = df.drop("batch_id")
         if name in config.forcing_modules and (v := next((v for v in FORCING if v in df.columns), None)):
-            df = df.withColumn(v, series.monthly_means(F.col(v), config.series_length, config.steps_per_day, config.years, strict))
+            calendar_ = config.series_length, config.steps_per_day, config.years, strict
+            df = series.block_means(df, ["__row_id"], "first", v, *calendar_, v) if "first" in df.columns else df.withColumn(v, series.monthly_means(F.col(v), *calendar_))
         held.append(df)
     out = assemble.coerced(assemble.left_joined(spine, held))
     layers = [v for v in ("PCT_NAT_PFT", "PCT_SAND", "PCT_CLAY") if v in LAYERED]

@@ -31,7 +31,7 @@ class NetCDFFile:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        spark.dataSource.register(netcdf.NetCDFSource)
+        netcdf.register(spark)
         self.shapes = netcdf.shapes(path)
 
     def rank(self, variable: str) -> int:
@@ -103,13 +103,15 @@ class NetCDFFile:
             return tables.flat_coordinates(self.read([lat, lon], ["cell"], first).withColumnsRenamed({"cell_idx": "cell", lat: "lat", lon: "lon"}))
         return self.forcing_mesh().withColumnRenamed("forcing_idx", "cell")
 
-    def series(self, variable: str) -> DataFrame:
-        """(forcing_idx, time_idx, value) of a variable over time and cells, in either order, or over time, lat and lon."""
+    def series_blocks(self, variable: str, length: int = netcdf.LENGTH) -> DataFrame:
+        """(forcing_idx, first, variable) of a variable over time and cells, in either order, or over time, lat and lon: a row for each cell
+        and block of so many steps, with the number of its first step and the array of its values. No sample is a row of its own."""
         dims, sizes = self.shapes[variable]
-        if len(dims) == 3:
-            return self.read([variable], ["time", "lat", "lon"]).select((F.col("lat_idx") * sizes[-1] + F.col("lon_idx")).alias("forcing_idx"), "time_idx", F.col(variable).alias("value"))
-        order = ["time", "forcing"] if self.timed(variable) else ["forcing", "time"]
-        return self.read([variable], order).select("forcing_idx", "time_idx", F.col(variable).alias("value"))
+        order = ["time", "lat", "lon"] if len(dims) == 3 else ["time", "cell"] if self.timed(variable) else ["cell", "time"]
+        cell = F.col("lat_idx") * sizes[-1] + F.col("lon_idx") if len(dims) == 3 else F.col("cell_idx")
+        reader = self.spark.read.format("netcdf").option("path", self.path).option("variables", variable).option("dims", ",".join(order))
+        blocks = reader.option("along", "time").option("length", length).load()
+        return blocks.select(cell.alias("forcing_idx"), F.col("time_first").alias("first"), F.col(variable))
 
     def groups(self, index: str | None, flat: list[str], layered: list[str]) -> DataFrame:
         """(pos, gridcell_id, variables) in file order, without an index no gridcell_id; a layered variable is an array over its levels."""

@@ -156,6 +156,77 @@ def test_reader_in_batches(tmp_path, monkeypatch):
         netcdf.NetCDFReader({"path": path, "variables": "a", "dims": "time"}).partitions()
 
 
+def reader_of(path, **options):
+    return netcdf.NetCDFReader({"path": path, "variables": "a", "dims": "time,lat,lon", **options})
+
+
+def elements(slabs):
+    return sum(np.prod([b - a for a, b in p.value[1]]) for p in slabs)
+
+
+def test_reader_in_blocks(tmp_path, monkeypatch):
+    """Blocks along any dimension hold what lies there, in order; hyperslabs are cut until they are small."""
+    path, values = f"{tmp_path}/x.nc", np.arange(7 * 3 * 4.0).reshape(7, 3, 4)
+    values[5, 2, 3] = netCDF4.FILL
+    netCDF4.write(path, a=(["time", "lat", "lon"], values))
+    for slab in (1 << 20, 30):
+        monkeypatch.setattr(netcdf, "SLAB", slab)
+        for along, length in (("time", 3), ("lat", 2), ("lon", 4), ("time", 100)):
+            reader = reader_of(path, along=along, length=str(length), blocks="1")
+            slabs = reader.partitions()
+            assert elements(slabs) == 84 and (slab > 84 or len(slabs) > 1 or length == 100)
+            k = ["time", "lat", "lon"].index(along)
+            turned, got = np.moveaxis(values, k, -1), 0
+            for row in (r for p in slabs for b in reader.read(p) for r in b.to_pylist()):
+                *at, first, found = row.values()
+                want = [None if x == netCDF4.FILL else x for x in turned[tuple(at)][first : first + length]]
+                assert found == want and first % length == 0
+                got += len(found)
+            assert got == 84
+    with pytest.raises(ValueError, match="level"):
+        reader_of(path, along="level")
+
+
+def test_conditions_reach_the_reader(spark, tmp_path):
+    """A box or a range of steps plans and reads only its hyperslabs, with the result of a filter behind the scan."""
+    path, values = f"{tmp_path}/x.nc", np.arange(40 * 6 * 5.0).reshape(40, 6, 5)
+    netCDF4.write(path, a=(["time", "lat", "lon"], values))
+    netcdf.register(spark)
+
+    def both(where, **options):
+        source = lambda **o: spark.read.format("netcdf").options(path=path, variables="a", dims="time,lat,lon", **options, **o).load()
+        df = source().where(where)
+        plain = spark.createDataFrame(source().collect(), source().schema).where(where)
+        assert sorted(map(str, df.collect())) == sorted(map(str, plain.collect()))
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    plan = both("lat_idx BETWEEN 2 AND 3 AND lon_idx > 3 AND time_idx = 7")
+    assert "Filter (" not in plan
+    assert "Filter (" in both("lat_idx IN (1, 4) AND a > 10")  # the ends are taken up, the rest is tested again
+    assert both("lat_idx > 100") and both("lat_idx > 4 AND lat_idx < 2")
+    assert both("time_first >= 12 AND time_first < 33 AND lon_idx = 0", along="time", length="8")
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThan
+
+    reader = reader_of(path)
+    conditions = [GreaterThanOrEqual(("lat_idx",), 2), LessThan(("lat_idx",), 4), EqualTo(("lon_idx",), 1), EqualTo(("a",), 3.0)]
+    assert list(reader.pushFilters(conditions)) == conditions[3:]
+    assert elements(reader.partitions()) == 40 * 2 * 1
+    reader = reader_of(path, along="time", length="8")
+    assert list(reader.pushFilters([GreaterThanOrEqual(("time_first",), 9), LessThan(("time_first",), 25)])) == []
+    assert {p.value[1][0] for p in reader.partitions()} <= {(16, 24), (24, 32), (16, 32)} and elements(reader.partitions()) == 16 * 30
+
+
+def test_conditions_on_files(spark, tmp_path):
+    paths = [f"{tmp_path}/{k}.nc" for k in range(3)]
+    for k, p in enumerate(paths):
+        netCDF4.write(p, a=(["time", "cell"], np.arange((k + 2) * 4.0).reshape(k + 2, 4)))
+    df = files.monthly_steps(spark, paths, "a")
+    assert df.count() == 4 * (2 + 3 + 4)
+    some = df.where(f"path = '{paths[2]}' AND cell = 1")
+    assert sorted((r.time_idx, r.value) for r in some.collect()) == [(0, 1.0), (1, 5.0), (2, 9.0), (3, 13.0)]
+    assert df.where("path = 'none'").count() == 0
+
+
 def test_missing_sources_are_named(spark, tmp_path):
     s = modules.Sources(spark, config.from_text(f"DS1_PATH: {tmp_path}/none"))
     assert "ds1" not in s and "ds2" not in s
