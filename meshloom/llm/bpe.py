@@ -25,12 +25,13 @@ from itertools import pairwise, repeat
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import once_a_worker, text_udf
+from .common import once_a_worker, spare
 
 # Unicode as the tokenizer has it, where this Python's tables differ.
 #: letters and numbers of later versions, which count as neither
@@ -65,6 +66,8 @@ STRETCH = 1 << 18
 #: ids that are decoded at once
 IDS = 1 << 18
 NONE = 1 << 30
+#: bytes of a batch that are encoded or decoded before they go back
+SLICE = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -74,7 +77,7 @@ class Settings:
     #: bytes of a word that is merged in its array of ranks
     short: int = 128
     #: words, and as many runs between white space, whose ids a task keeps
-    kept: int = 1 << 19
+    kept: int = 1 << 18
 
 
 def load(file: str) -> dict:
@@ -104,7 +107,23 @@ def ranges(kind: str, top: int) -> str:
     return "".join(f"\\U{ord(x[0]):08x}-\\U{ord(x[-1]):08x}" for x in runs)
 
 
-class Codec:
+class Decoder:
+    def __init__(self, found: dict):
+        strings = {i: s.encode() for s, i in (found["vocab"] | found["special"]).items()}
+        self.strings = [strings.get(i) for i in range(max(strings) + 1)]
+
+    def decode(self, ids: bytes | None) -> bytes | None:
+        if ids is None:
+            return None
+        out, strings = [], self.strings
+        for at in range(0, len(ids), 4 * IDS):
+            found = [strings[i] for i in np.frombuffer(ids[at : at + 4 * IDS], "<u4").tolist() if i < len(strings)]
+            if found := [s for s in found if s is not None] if None in found else found:
+                out.append(b" ".join(found))
+        return b" ".join(out)
+
+
+class Encoder:
     def __init__(self, found: dict, settings: Settings):
         vocab, self.short_most = found["vocab"], settings.short
         self.inner = [vocab[c] for c in byte_letters()]
@@ -130,8 +149,6 @@ class Codec:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.kept_words = Kept(self.pieces, settings.kept)
         self.kept = Kept(lambda run: b"".join(map(self.kept_words.__getitem__, self.words(run))), settings.kept)
-        strings = {i: s.encode() for s, i in (vocab | self.special).items()}
-        self.strings = [strings.get(i) for i in range(max(strings) + 1)]
 
     def rank_array(self, parts: list[int]) -> list[int]:
         """Pieces of a short word: an entry of parts for each boundary, and the rank of each part with the next one, of the last with none."""
@@ -224,16 +241,6 @@ class Codec:
                 out.append(b"".join(map(self.kept.__getitem__, [piece] if CONTROL.search(piece) else piece.split())))
         return b"".join(out)
 
-    def decode(self, ids: bytes | None) -> str | None:
-        if ids is None:
-            return None
-        out, strings = [], self.strings
-        for at in range(0, len(ids), 4 * IDS):
-            found = [strings[i] for i in np.frombuffer(ids[at : at + 4 * IDS], "<u4").tolist() if i < len(strings)]
-            if found := [s for s in found if s is not None] if None in found else found:
-                out.append(b" ".join(found))
-        return b" ".join(out).decode()
-
 
 class Kept(dict):
     """Values of strings, kept up to a bound; those of long strings are not."""
@@ -264,19 +271,31 @@ def normal(text: str) -> str:
     return text.replace("Σ", "σ").lower()
 
 
-def codec(df: DataFrame, settings: Settings):
-    """A function that makes the codec once a worker. The vocabulary is a fixed public file, so its size does not follow the data."""
-    found = df.sparkSession.sparkContext.broadcast(load(settings.file))
-    return lambda: once_a_worker(f"bpe-{settings}", found.value, lambda v: Codec(v, settings))
+def added(df: DataFrame, column: str, out: str, make: Callable[[], Callable[[bytes | None], bytes | None]], kind: T.DataType, keep: list[str] | None) -> DataFrame:
+    """df, or its columns of keep, with what make()() makes of a column, a few megabytes at once."""
+    names = [c for c in (df.columns if keep is None else keep) if c != out]
+    schema = T.StructType([*(df.schema[c] for c in names), T.StructField(out, kind)])
+    to = pa.string() if isinstance(kind, T.StringType) else pa.binary()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = make()
+        for b in batches:
+            step = max(1, b.num_rows * SLICE // max(1, b.nbytes))
+            for at in range(0, b.num_rows, step):
+                part = b.slice(at, step)
+                made = pa.array([f(x.as_py()) for x in part.column(0)], pa.binary()).cast(to)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], made], names=[*names, out])
 
+    return df.select(F.col(column).cast("binary").alias(spare(df, "of")), *names).mapInArrow(run, schema)
 
-def encode(df: DataFrame, text: str = "text", out: str = "ids", settings: Settings = Settings()) -> DataFrame:
-    """df with the packed ids of a text column."""
-    made = codec(df, settings)
-    return df.withColumn(out, text_udf(lambda: made().encode, T.BinaryType())(F.col(text).cast("binary")))
+
+def encode(df: DataFrame, text: str = "text", out: str = "ids", keep: list[str] | None = None, settings: Settings = Settings()) -> DataFrame:
+    """df (or of its columns those of keep) with the packed ids of a text column. The vocabulary is a fixed public file, whose size does not follow the data."""
+    found = df.sparkSession.sparkContext.broadcast(load(settings.file))
+    return added(df, text, out, lambda: once_a_worker(f"bpe-{settings}", found.value, lambda v: Encoder(v, settings)).encode, T.BinaryType(), keep)
 
 
-def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", settings: Settings = Settings()) -> DataFrame:
-    """df with the text of a column of packed ids."""
-    made = codec(df, settings)
-    return df.withColumn(out, text_udf(lambda: made().decode, T.StringType())(F.col(ids)))
+def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None, settings: Settings = Settings()) -> DataFrame:
+    """df (or of its columns those of keep) with the text of a column of packed ids."""
+    found = df.sparkSession.sparkContext.broadcast(load(settings.file))
+    return added(df, ids, out, lambda: once_a_worker(f"bpe-pieces-{settings.file}", found.value, Decoder).decode, T.StringType(), keep)

@@ -52,7 +52,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"]))
     return tokens.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
