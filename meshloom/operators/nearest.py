@@ -1,26 +1,27 @@
 """Nearest-neighbour joins in degrees, without comparing all pairs.
 
-Both sides fall into square cells, whose width follows from the density of the candidates where they are densest, so that no cell
-holds many. A query meets the candidates of its cell and the eight around; whatever lies outside those is more than a cell's width
-away on one axis, so a match nearer than that is the nearest. Queries without one go down a tree of cells: of the boxes that may hold
-the nearest candidate, those that are further away than the farthest corner of another are left, and the others are cut into four,
-until they hold few candidates. Ties go to the smallest candidate index. Distances are Euclidean in degrees; longitudes don't wrap.
+Candidates are the leaves of a quadtree in Morton order: a place's number interleaves the bits of its two cell numbers, so that the boxes
+of each level are what shares a beginning of it. One pass gives every box of a level that has one its number of candidates and their
+extent, each level rolled up from the one below; the candidates are not read again. A query goes down from the root: of the boxes that
+may hold its nearest candidate those that are further away than the farthest corner of another are left, and the others are replaced by
+the boxes in them, several levels at a step, until they hold few candidates. Those are compared, one partial minimum a query. Ties go to
+the smallest candidate index. Distances are Euclidean in degrees; longitudes don't wrap.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import no_nan, square, wrap_positive, wrap_signed
-from ..sources.shared import materialise
-
-#: below so many pairs one comparison of all is cheaper than cells
-FEW_PAIRS = 10_000_000
-#: candidates that are broadcast at most
-SMALL = 100_000
-#: candidates of a cell at most, unless halving its width forty times leaves more
-CROWD = 64
+from ..sources.shared import discard, materialise
+
+#: bits of each cell number of the finest level, levels that a step goes down, and candidates of a box that are compared at once
+DEPTH, STEP, CROWD = 30, 2, 64
 #: rows of an axis and its queries in one task, some
 SORTED = 1_000_000
 
@@ -31,79 +32,101 @@ def best_of(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.min(F.struct(d2.alias("d2"), F.col("c_idx").alias("idx"))).alias("best")).select(key, "best.d2", "best.idx")
 
 
-def cell_of(x: str | Column, low: float, width: float) -> Column:
-    return F.floor((F.col(x) if isinstance(x, str) else x) / F.lit(width) - F.lit(low / width)).cast("long")
+def spread(x: Column) -> Column:
+    """The 30 bits of x, each with a zero before it."""
+    # The masks of the well-known bit spreading.
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def morton(lat: str, lon: str, low: tuple[float, float], side: float) -> Column:
+    """The place's number among the 4^30 cells of the square."""
+    cell = lambda c, a: F.least(F.floor((F.col(c) - F.lit(a)) / F.lit(side) * F.lit(float(1 << DEPTH))), F.lit((1 << DEPTH) - 1)).cast("long")
+    return spread(cell(lat, low[0])).bitwiseOR(F.shiftleft(spread(cell(lon, low[1])), 1))
+
 
+def box_tree(points: DataFrame) -> DataFrame:
+    """(level, box, parent, n, a, b, c, d) of the boxes with points at every STEP-th level: number of points, their extent, and the box a
+    step above that holds it. Below boxes of few points there are none, but where rows that follow on a box may lie in another batch.
 
-def nearest_join(queries: DataFrame, candidates: DataFrame, key: str, index: str, width: float | None = None, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """(key, d2, idx): for each query with coordinates the index of its nearest candidate. key must be unique; width: of the first cells, by density where none is given."""
+    points(code, seq, c_lat, c_lon) are sorted by code wherever seq counts on, so boxes of all levels are runs of rows.
+    """
+    depth, step, crowd = DEPTH, STEP, CROWD
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code, seq, lat, lon = (c.to_numpy() for c in batch.columns)
+            breaks = np.append(True, seq[1:] != seq[:-1] + 1)
+            above, open_ = np.zeros(len(code), np.int64), np.ones(1, bool)
+            for level in range(0, depth + 1, step):
+                box = code >> (2 * (depth - level))
+                starts = np.flatnonzero(breaks | np.append(True, box[1:] != box[:-1]))
+                n = np.diff(np.append(starts, len(code)))
+                kept = open_[above[starts]]
+                ends = np.append(starts[1:], len(code))
+                columns = [np.full(len(starts), level, np.int32), box[starts], n]
+                columns += [f.reduceat(x, starts) for x in (lat, lon) for f in (np.minimum, np.maximum)]
+                if kept.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in columns], names=["level", "box", "n", "a", "b", "c", "d"])
+                # what is below a run is told if it has many points, or if it may go on in another batch
+                open_ = kept & ((n > crowd) | breaks[starts] | np.append(breaks, True)[ends])
+                above = np.repeat(np.arange(len(starts)), n)
+
+    runs = points.select("code", "seq", "c_lat", "c_lon").mapInArrow(run, "level int, box long, n long, a double, b double, c double, d double")
+    boxes = runs.groupBy("level", "box").agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"), F.min("c").alias("c"), F.max("d").alias("d"))
+    return boxes.withColumn("parent", F.when(F.col("level") > 0, F.shiftright("box", 2 * STEP)).otherwise(F.lit(-1)))
+
+
+def nearest_join(queries: DataFrame, candidates: DataFrame, key: str, index: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """(key, d2, idx): for each query with coordinates the index of its nearest candidate. key must be unique."""
     finite = lambda *c: F.expr(" AND ".join(f"{x} IS NOT NULL AND NOT isnan({x}) AND abs({x}) < double('inf')" for x in c))
     q = queries.select(F.col(key), F.col(lat).cast("double").alias("q_lat"), F.col(lon).cast("double").alias("q_lon")).where("q_lat IS NOT NULL AND q_lon IS NOT NULL")
     # candidates at one place are one, with the smallest index
     c = candidates.select(F.col(index).alias("c_idx"), F.col(lat).cast("double").alias("c_lat"), F.col(lon).cast("double").alias("c_lon")).where(finite("c_lat", "c_lon"))
-    n_candidates = c.count()
-    if not n_candidates:
+    c = c.groupBy("c_lat", "c_lon").agg(F.min("c_idx").alias("c_idx"))
+    a, b, x, y, least = c.agg(F.min("c_lat"), F.max("c_lat"), F.min("c_lon"), F.max("c_lon"), F.min("c_idx")).first()
+    if a is None:
         return q.select(key, F.lit(None).cast("double").alias("d2"), F.lit(None).cast("long").alias("idx")).limit(0)
-    if n_candidates <= SMALL and n_candidates * q.count() <= FEW_PAIRS:
-        return best_of(q.crossJoin(F.broadcast(c)), key)
-    c = materialise(c.groupBy("c_lat", "c_lon").agg(F.min("c_idx").alias("c_idx")), "nearest-points")
-    low_lat, high_lat, low_lon, high_lon, n = c.agg(F.min("c_lat"), F.max("c_lat"), F.min("c_lon"), F.max("c_lon"), F.count("*")).first()
-    side = max(high_lat - low_lat, high_lon - low_lon) or 1.0
-    if width is None:
-        width = max(side * 1e-9, ((high_lat - low_lat or side) * (high_lon - low_lon or side) * 4 / n) ** 0.5)
-    for _ in range(40):
-        at = [cell_of("c_lat", low_lat, width).alias("x"), cell_of("c_lon", low_lon, width).alias("y")]
-        if c.groupBy(*at).count().agg(F.max("count")).first()[0] <= CROWD:
-            break
-        width /= 2
-    ring = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
-    x, y = cell_of("q_lat", low_lat, width), cell_of("q_lon", low_lon, width)
-    cells = q.where(finite("q_lat", "q_lon")).withColumn("dx", ring).withColumn("dy", ring).select(key, "q_lat", "q_lon", (x + F.col("dx")).alias("x"), (y + F.col("dy")).alias("y"))
-    found = materialise(best_of(cells.join(c.select("c_idx", "c_lat", "c_lon", *at), ["x", "y"]), key).where(F.col("d2") < F.lit(width * width)), "nearest")
-    left = materialise(q.join(found, key, "left_anti"), "nearest-left")
-    n_left = left.count()
-    if not n_left:
-        return found
-    if n <= SMALL and n_left * n <= FEW_PAIRS:
-        return found.unionByName(best_of(left.crossJoin(F.broadcast(c)), key))
-    least = c.agg(F.min("c_idx")).first()[0]
+    low, side = (a, x), max(b - a, y - x) or 1.0
+    # one sort in Morton order, so that boxes are added up where their points lie
+    placed = c.withColumn("code", morton("c_lat", "c_lon", low, side)).repartitionByRange("code").sortWithinPartitions("code")
+    placed = materialise(placed.withColumn("seq", F.monotonically_increasing_id()), "nearest-points")
+    tree = materialise(box_tree(placed), "nearest-tree", "level")
     # no distance is finite: the smallest index
-    lost = left.where(~finite("q_lat", "q_lon")).select(key, F.lit(None).cast("double").alias("d2"), F.lit(least).alias("idx"))
-    return found.unionByName(descend(left.where(finite("q_lat", "q_lon")), c, key, (low_lat, low_lon), side)).unionByName(lost)
-
+    lost = q.where(~finite("q_lat", "q_lon")).select(key, F.lit(None).cast("double").alias("d2"), F.lit(least).alias("idx"))
+    return descend(q.where(finite("q_lat", "q_lon")), placed, tree, key).unionByName(lost)
 
-def boxes(points: DataFrame, low: tuple[float, float], width: float) -> DataFrame:
-    """(x, y, n, and the extent of its points) of each cell of the width that holds a point."""
-    at = [cell_of("c_lat", low[0], width).alias("x"), cell_of("c_lon", low[1], width).alias("y")]
-    return points.groupBy(*at).agg(F.count("*").alias("n"), F.min("c_lat").alias("a"), F.max("c_lat").alias("b"), F.min("c_lon").alias("c"), F.max("c_lon").alias("d"))
 
-
-def descend(queries: DataFrame, points: DataFrame, key: str, low: tuple[float, float], side: float) -> DataFrame:
-    """(key, d2, idx) by a tree of cells that halve their width; each level is a join of the boxes still open and one minimum a query."""
+def descend(queries: DataFrame, points: DataFrame, tree: DataFrame, key: str) -> DataFrame:
+    """(key, d2, idx) by the tree; a step is one join with the boxes of its level and one bound a query."""
     gap = lambda q, a, b: F.greatest(F.col(a) - F.col(q), F.col(q) - F.col(b), F.lit(0.0))
     far = lambda q, a, b: F.greatest(F.abs(F.col(q) - F.col(a)), F.abs(F.col(q) - F.col(b)))
     # the last bits of a sum of squares may differ from one way of computing it to another
-    nearest = (square(gap("q_lat", "a", "b")) + square(gap("q_lon", "c", "d"))) * F.lit(1 - 1e-12)
-    farthest = (square(far("q_lat", "a", "b")) + square(far("q_lon", "c", "d"))) * F.lit(1 + 1e-12)
-    width = side * (1 + 1e-9)
-    # the root is one cell, or four where the extent ends on a border
-    open_, done, level = queries.withColumn("px", F.lit(0).cast("long")).withColumn("py", F.lit(0).cast("long")), None, 0
-    while True:
-        cells = boxes(points, low, width).withColumn("px", F.floor(F.col("x") / (2 if level else 1 << 30)).cast("long")).withColumn("py", F.floor(F.col("y") / (2 if level else 1 << 30)).cast("long"))
-        seen = open_.join(cells, ["px", "py"]).select(key, "q_lat", "q_lon", "x", "y", "n", nearest.alias("near"), farthest.alias("far"))
-        seen = materialise(seen, "nearest-boxes")
-        bound = seen.groupBy(F.col(key).alias("__key")).agg(F.min("far").alias("bound"))
-        kept = materialise(seen.join(bound, F.col(key) == F.col("__key")).where("near <= bound").select(key, "q_lat", "q_lon", "x", "y", "n"), "nearest-open")
-        last = level >= 60
-        at = [cell_of("c_lat", low[0], width).alias("x"), cell_of("c_lon", low[1], width).alias("y")]
-        leaves = kept if last else kept.where(F.col("n") <= CROWD)
-        met = materialise(best_of(leaves.join(points.select("c_idx", "c_lat", "c_lon", *at), ["x", "y"]), key), "nearest-leaf")
-        done = met if done is None else done.unionByName(met)
-        open_ = kept.where(F.col("n") > CROWD).select(key, "q_lat", "q_lon", F.col("x").alias("px"), F.col("y").alias("py"))
+    near = (square(gap("q_lat", "a", "b")) + square(gap("q_lon", "c", "d"))) * F.lit(1 - 1e-12)
+    far = (square(far("q_lat", "a", "b")) + square(far("q_lon", "c", "d"))) * F.lit(1 + 1e-12)
+    open_, leaves, held = queries.withColumn("parent", F.lit(-1).cast("long")), None, []
+    for level in range(0, DEPTH + 1, STEP):
+        boxes = tree.where(F.col("level") == level).drop("level")
+        seen = open_.join(boxes, "parent").select(key, "q_lat", "q_lon", "box", "n", near.alias("near"), far.alias("far"))
+        kept = seen.withColumn("bound", F.min("far").over(Window.partitionBy(key))).where("near <= bound").select(key, "q_lat", "q_lon", "box", "n")
+        kept = materialise(kept, "nearest-open")
+        held.append(kept)
+        last = level + STEP > DEPTH
+        few = (kept if last else kept.where(F.col("n") <= CROWD)).select(key, "q_lat", "q_lon", F.lit(level).alias("level"), "box")
+        leaves = few if leaves is None else leaves.unionByName(few)
+        open_ = kept.where(F.col("n") > CROWD).select(key, "q_lat", "q_lon", F.col("box").alias("parent"))
         if last or open_.isEmpty():
-            best = done.groupBy(key).agg(F.min(F.struct("d2", "idx")).alias("best"))
-            return best.select(key, "best.d2", "best.idx")
-        level, width = level + 1, width / 2
+            break
+    # each point stands once in each level that has boxes to compare; those whose box is not among them meet nothing
+    levels = sorted(r.level for r in leaves.select("level").distinct().collect())
+    each = points.select("code", "c_idx", "c_lat", "c_lon", F.explode(F.array(*map(F.lit, levels))).alias("level")) if levels else points.select("code", "c_idx", "c_lat", "c_lon", F.lit(0).alias("level"))
+    each = each.withColumn("box", F.expr(f"shiftright(code, CAST(2 * ({DEPTH} - level) AS INT))")).drop("code")
+    met = materialise(best_of(leaves.join(each, ["level", "box"]), key), "nearest")
+    discard(points, tree, *held)
+    return met
 
 
 def nearest_on_axis(queries: DataFrame, axis: DataFrame, key: str, value: str = "value", index: str = "axis_idx") -> DataFrame:

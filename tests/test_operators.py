@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,9 +45,10 @@ def brute_nearest(queries, candidates):
     return sorted((k, min(((a - x) ** 2 + (b - y) ** 2, i) for i, x, y in candidates)[1]) for k, a, b in queries)
 
 
-@pytest.mark.parametrize("width", [0.3, 5.0, 400.0])
-def test_nearest_join(spark, monkeypatch, width):
-    monkeypatch.setattr(nearest, "FEW_PAIRS", 0)
+@pytest.mark.parametrize(("crowd", "step"), [(1, 1), (4, 2), (64, 3)])
+def test_nearest_join(spark, monkeypatch, crowd, step):
+    monkeypatch.setattr(nearest, "CROWD", crowd)
+    monkeypatch.setattr(nearest, "STEP", step)
     r = random.Random(2)
     point = lambda: (r.randint(-180, 180) / 2, r.randint(0, 720) / 2)
     queries = [(k, *point()) for k in range(200)] + [(900, 0.0, 359.9), (901, -90.0, 1e4)]
@@ -54,10 +56,40 @@ def test_nearest_join(spark, monkeypatch, width):
     q = spark.createDataFrame(queries, "k long, lat double, lon double")
     c = spark.createDataFrame(candidates, "i long, lat double, lon double")
     want = brute_nearest(queries, candidates)
-    assert sorted((x.k, x.idx) for x in nearest.nearest_join(q, c, "k", "i", width).collect()) == want
-    monkeypatch.undo()
-    assert sorted((x.k, x.idx) for x in nearest.nearest_join(q, c, "k", "i", width).collect()) == want
+    assert sorted((x.k, x.idx) for x in nearest.nearest_join(q, c, "k", "i").collect()) == want
     assert nearest.nearest_join(q, c.limit(0), "k", "i").collect() == []
+    odd = spark.createDataFrame([(1, float("nan"), 0.0), (2, None, 0.0), (3, float("inf"), 1.0), (4, 1.0, 1.0)], "k long, lat double, lon double")
+    assert sorted((x.k, x.idx) for x in nearest.nearest_join(odd, c, "k", "i").collect() if x.k != 4) == [(1, 0), (3, 0)]
+
+
+def test_nearest_join_of_clusters(spark):
+    """Dense clusters far from most queries, places that repeat, and points in a row, against all pairs."""
+    r = np.random.default_rng(5)
+    c = np.concatenate([r.normal(0, 1e-4, (1500, 2)), r.normal(50, 1e-7, (700, 2)), r.uniform(-90, 90, (800, 2)), np.stack([np.arange(200) / 7, np.full(200, 8.0)], 1)])
+    c = np.concatenate([c, c[:300]])
+    q = np.concatenate([r.uniform(-90, 90, (300, 2)), r.normal(0, 2e-4, (200, 2)), c[1500:1600] + 1e-8, [[1e6, -1e6]]])
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(c)], "i long, lat double, lon double")
+    asked = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(q)], "k long, lat double, lon double")
+    want = [((q[k] - c) ** 2).sum(1).argmin() for k in range(len(q))]
+    got = nearest.nearest_join(asked, points, "k", "i").collect()
+    assert [x.idx for x in sorted(got)] == want
+
+
+def test_box_tree(spark):
+    """Boxes of a level add up to all points, a crowded box's boxes add up to it, and few boxes lie below those of few points."""
+    r = random.Random(9)
+    places = sorted({(r.gauss(0, 1), r.gauss(0, 1)) for _ in range(4000)})
+    df = spark.createDataFrame(places, "c_lat double, c_lon double")
+    placed = df.withColumn("code", nearest.morton("c_lat", "c_lon", (-9.0, -9.0), 18.0)).repartitionByRange(3, "code").sortWithinPartitions("code")
+    tree = nearest.box_tree(placed.withColumn("seq", F.monotonically_increasing_id())).collect()
+    below = {}
+    for x in tree:
+        below[x.level, x.parent] = below.get((x.level, x.parent), 0) + x.n
+    assert below[0, -1] == len(places) and len(tree) < len(places) / 4
+    crowded = [x for x in tree if x.n > nearest.CROWD and x.level < nearest.DEPTH]
+    assert len(crowded) > 10 and all(below[x.level + nearest.STEP, x.box] == x.n for x in crowded)
+    boxes = {(x.level, x.box): (x.a, x.b, x.c, x.d) for x in tree}
+    assert boxes[0, 0] == (min(a for a, _ in places), max(a for a, _ in places), min(b for _, b in places), max(b for _, b in places))
 
 
 @pytest.mark.parametrize("n", [1, 7, 2500])
