@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialise
+
 
 def field(structs: str | Column, name: str) -> Column:
     """One field of an array of structs, as an array."""
@@ -19,6 +21,26 @@ def ragged_gather(rows: DataFrame, group: str, position: str | list[str], variab
     return rest.select(group, *[field("__g", f"v{i}").alias(v) for i, v in enumerate(variables)])
 
 
+def ragged_parts(rows: DataFrame, group: str, position: str, variables: list[str], run: int = 4096, most: int = 1 << 16) -> DataFrame:
+    """(group, part, variables): groups as ``ragged_gather`` gives them, where a group of more than ``most`` rows stays in numbered parts.
+
+    Rows are sorted into runs first, of one group and a range of ``run`` positions, so a group of half of all rows is spread over as many
+    tasks as it has ranges; then the runs of a part are merged in order. Positions are whole numbers, and different within a group (rows
+    of equal position lie in one run, in the order of their values); a part holds ``most`` rows and less than a run more. Rows without a
+    position come first, in a run of their own.
+    """
+    packed = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(variables)])))
+    runs = rows.groupBy(F.col(group), F.floor(F.col(position) / run).alias("__run")).agg(packed.alias("__g")).withColumn("__n", F.size("__g"))
+    # written, as the numbers of parts follow from the runs' sizes alone and the values are not to be sorted for them
+    runs = materialise(runs, "ragged-runs")
+    before = Window.partitionBy(group).orderBy(F.col("__run").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = runs.select(F.col(group).alias("__group"), F.col("__run").alias("__range"), F.floor(F.coalesce(F.sum("__n").over(before), F.lit(0)) / most).cast("int").alias("part"))
+    merged = runs.join(numbered, [F.col(group).eqNullSafe(F.col("__group")), F.col("__run").eqNullSafe(F.col("__range"))])
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("__run").alias("r"), F.col("__g").alias("g"))))
+    whole = merged.groupBy(group, "part").agg(F.flatten(field(ordered, "g")).alias("__g"))
+    return whole.select(group, "part", *[field("__g", f"v{i}").alias(v) for i, v in enumerate(variables)])
+
+
 def only_groups_of(rows: DataFrame, other: DataFrame, group: str) -> DataFrame:
     """Rows whose group id occurs in the other table."""
     return rows.join(other.select(group).distinct(), group, "left_semi")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.scalars import rounded_key
+from ..sources.shared import materialise
 
 
 class MeshError(ValueError):
@@ -38,15 +39,27 @@ def beyond(pairs: DataFrame, tolerance: float = 1e-6) -> DataFrame:
 
 
 def same_mesh_join(queries: DataFrame, points: DataFrame, key: str, index: str, digits: int = 6, tolerance: float = 1e-6) -> DataFrame:
-    """(key, index): each query's point. MeshError for repeated keys, queries without a point and pairs beyond the tolerance."""
-    if not duplicate_keys(points, digits).isEmpty():
+    """(key, index): each query's point. MeshError for repeated keys, queries without a point and pairs beyond the tolerance.
+
+    One join does it all: how often keys repeat, how many queries have no point and how far pairs lie apart are observed while its result
+    is written, and the errors raised from them. The result is read back, so nothing is joined again.
+    """
+    here, there = Observation(), Observation()
+    # keys that repeat are counted where points are grouped, whether a query meets them or not
+    places = keyed(points, digits).groupBy("k_lat", "k_lon").agg(F.count("*").alias("n"), F.min(F.struct(F.col(index).alias("i"), "lat", "lon")).alias("p"))
+    places = places.observe(here, F.count_if(F.col("n") > 1).alias("repeated"))
+    q = keyed(queries, digits).select(F.col(key), F.col("lat").alias("q_lat"), F.col("lon").alias("q_lon"), "k_lat", "k_lon")
+    pairs = q.join(places, ["k_lat", "k_lon"], "left")
+    apart = (F.abs(F.col("q_lat") - F.col("p.lat")) > tolerance) | (F.abs(F.col("q_lon") - F.col("p.lon")) > tolerance)
+    pairs = pairs.observe(there, F.count_if(F.col("p").isNull()).alias("alone"), F.count_if(apart).alias("apart"))
+    out = materialise(pairs.select(key, F.col("p.i").alias(index)), "same-mesh")
+    if here.get.get("repeated"):
         raise MeshError("points repeat at the rounded coordinates")
-    if not unmatched(queries, points, digits).isEmpty():
+    if there.get.get("alone"):
         raise MeshError("queries without a point at their rounded coordinates")
-    pairs = matched(queries, points, key, index, digits)
-    if not beyond(pairs, tolerance).isEmpty():
+    if there.get.get("apart"):
         raise MeshError(f"matched points differ by more than {tolerance}")
-    return pairs.select(key, index)
+    return out
 
 
 def sizes(**meshes: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -215,6 +215,19 @@ def ragged_gather(spark, sf_dir):
     return joined.select(F.col("l_orderkey").alias("o_orderkey"), F.posexplode_outer("l_extendedprice").alias("pos", "value")).select("o_orderkey", F.col("pos").cast("long").alias("pos"), "value")
 
 
+@query("""WITH p AS (SELECT CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END AS grp, event_id, value FROM events)
+SELECT grp, pos, value, pos = 0 AS first FROM (SELECT grp, value, row_number() OVER (PARTITION BY grp ORDER BY event_id) - 1 AS pos FROM p)""")
+def ragged_parts(spark, sf_dir):
+    """One group holds half of all rows; its parts, one after another, are the group."""
+    rows = read(spark, sf_dir, "events").withColumn("grp", F.when(F.col("event_id") % 2 == 0, F.lit(-1).cast("long")).otherwise(F.col("user_id").cast("long")))
+    parts = gather.ragged_parts(rows, "grp", "event_id", ["value"], run=512, most=1024)
+    sizes = parts.select("grp", "part", F.size("value").alias("n"))
+    before = sizes.select("grp", "part", F.sum("n").over(Window.partitionBy("grp").orderBy("part")).alias("upto"), "n")
+    out = parts.join(before, ["grp", "part"]).select("grp", (F.col("upto") - F.col("n")).alias("from"), F.posexplode("value").alias("k", "value"))
+    pos = F.col("from") + F.col("k")
+    return out.select("grp", pos.alias("pos"), "value", (pos == 0).alias("first"))
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def ragged_semi_ids(spark, sf_dir):
     done = read(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))

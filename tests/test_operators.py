@@ -268,3 +268,22 @@ def test_manifests(spark):
     sinks.write_manifest(spark, root, "m", sources, rows=3)
     assert sinks.read_manifest(spark, root, "m")["rows"] == 3
     assert sinks.is_current(spark, root, "m", sources) and not sinks.is_current(spark, root, "m", [])
+
+
+def test_ragged_parts(spark):
+    """Parts follow one another, none is much longer than the bound, and groups below it are one part."""
+    r = random.Random(6)
+    rows = [("big", k, float(k)) for k in range(2000)] + [("small", k, -float(k)) for k in range(90)] + [(None, 7, 1.0), (None, 3, 2.0), ("none", None, 5.0)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "grp string, pos long, value double")
+    got = sorted(gather.ragged_parts(df, "grp", "pos", ["value", "pos"], run=50, most=300).collect(), key=str)
+    by = {}
+    for x in sorted(got, key=lambda x: x.part):
+        by.setdefault(x.grp, []).append(x)
+    assert [v for x in by["big"] for v in x.value] == [float(k) for k in range(2000)] and [x.part for x in by["big"]] == list(range(7))
+    assert all(300 <= len(x.value) < 350 for x in by["big"][:-1])
+    assert [(x.part, x.value, x.pos) for x in by["small"]] == [(0, [-float(k) for k in range(90)], list(range(90)))]
+    assert by[None][0].value == [2.0, 1.0] and by["none"][0].pos == [None]
+    whole = {x.grp: (x.value, x.pos) for x in gather.ragged_gather(df, "grp", "pos", ["value", "pos"]).collect()}
+    assert {x.grp: (x.value, x.pos) for x in gather.ragged_parts(df, "grp", "pos", ["value", "pos"]).collect()} == whole
+    assert gather.ragged_parts(df.limit(0), "grp", "pos", ["value"]).collect() == []
