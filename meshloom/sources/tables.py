@@ -27,7 +27,7 @@ def domain_grid(df: DataFrame) -> DataFrame:
     names = set(df.columns)
     index = [F.col("lat_idx"), F.col("lon_idx")] if {"lat_idx", "lon_idx"} <= names else [F.col("cell_idx").alias("lat_idx"), F.col("cell_idx").alias("lon_idx")]
     if {"lat", "lon", "landmask"} <= names:
-        return df.select(*index, "lat", "lon", F.col("landmask").cast("int").alias("mask"))
+        return df.select(*index, "lat", "lon", (F.col("landmask") == 1).cast("int").alias("mask"))  # land is 1 exactly
     if {"LATIXY", "LONGXY"} <= names:
         land = next((c for c in ("PFTDATA_MASK", "LANDFRAC_PFT") if c in names), None)
         if land:

@@ -287,3 +287,8 @@ def test_ragged_parts(spark):
     whole = {x.grp: (x.value, x.pos) for x in gather.ragged_gather(df, "grp", "pos", ["value", "pos"]).collect()}
     assert {x.grp: (x.value, x.pos) for x in gather.ragged_parts(df, "grp", "pos", ["value", "pos"]).collect()} == whole
     assert gather.ragged_parts(df.limit(0), "grp", "pos", ["value"]).collect() == []
+
+
+def test_land_is_one_exactly(spark):
+    df = spark.createDataFrame([(0, 1.0, 1.0, 1.0), (1, 1.0, 1.0, 1.4), (2, 1.0, 1.0, 0.0), (3, 1.0, 1.0, None)], "cell_idx long, lat double, lon double, landmask double")
+    assert sorted((r.lat_idx, r.mask) for r in tables.domain_grid(df).collect()) == [(0, 1), (1, 0), (2, 0), (3, None)]
