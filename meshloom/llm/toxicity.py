@@ -8,7 +8,7 @@ Training reads at most ``max_labelled`` labelled rows (an even share by hash of
 
 Defined cases: a null text counts as empty and is scored; null labels and labels of unknown documents are left out; of repeated
 labels of a document the largest counts; repeated documents score alike; without both classes among the training rows every score
-is the share of toxic ones; empty tables give no rows; other columns are ignored.
+is the share of toxic ones; without rows to calibrate on the trees' own probability is the score; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -185,6 +185,9 @@ def score(docs: DataFrame, labels: DataFrame, held_out, settings: Settings = Set
     trees = GBTClassifier(featuresCol="features", labelCol="toxic", maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.step, minInstancesPerNode=3, seed=1, checkpointInterval=-1)
     model = trees.fit(train.where("fold = 1").select("features", "toxic"))
     raw = lambda df: model.transform(df).withColumn("raw", vector_to_array("probability")[1])
+    if train.where("fold = 2").isEmpty():
+        ready = raw(ready)
+        return final(F.col("raw"))
     curve = IsotonicRegression(featuresCol="raw", labelCol="toxic").fit(raw(train.where("fold = 2")).select("raw", "toxic"))
     ready = curve.setPredictionCol("calibrated").transform(raw(ready).select("doc_id", "held_out", "raw"))
     return final(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated"))))

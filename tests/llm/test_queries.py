@@ -51,6 +51,20 @@ def test_toxicity_ignores_held_out_labels(spark, tables, tmp_path):
     assert by_id(rows(spark, "op2_toxicity", tables), "held_out", "score") == by_id(rows(spark, "op2_toxicity", str(tmp_path)), "held_out", "score")
 
 
+@pytest.mark.parametrize("fold", [0, 1, 2])
+def test_toxicity_of_few_labels(spark, tables, fold):
+    """Without labels, with those for the trees alone and with those for the calibration alone each text has a score."""
+    from meshloom.llm import toxicity
+
+    docs = common.table(spark, tables, "documents")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.length("text") % 2).alias("toxic"))
+    some = toxicity.labelled(labels, F.lit(True), toxicity.Settings()).where(F.col("fold") == fold).select("key").distinct()
+    few = labels.join(some, labels.doc_id == some.key, "left_semi")
+    got = toxicity.score(docs, few, F.lit(False)).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    assert (len({r.score for r in got}) > 1) == (fold == 1)  # the trees' own probability
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="no tables")
 def test_toxicity_on_held_out_rows(spark):
     """Held-out documents: nearly all toxic ones score above nearly all others, and scores are chances."""
