@@ -8,6 +8,13 @@ its places map to those of the layer it was decoded from, and so on back to the
 Escapes that turn into escapes again give a layer for each of ``levels`` levels; what is nested deeper is then unwrapped to the end
 at once, into one more layer, so that the work is in proportion to the text however deep it is nested.
 
+The bytes of a token are read as UTF-8, bytes that are none as U+FFFD, and also as UTF-16 wherever eight or more ASCII characters stand
+in it in a row. A token may run over lines: those of equal length of 14 or more, and a shorter one after them; indentation is skipped. Where that shorter one may be a word of
+its own, a span can reach into it.
+
+A layer's places are kept as segments, one for each run of characters that come from equally many, so that they take a few bytes a
+character at most.
+
 Defined cases: a null text counts as empty; bytes that are no UTF-8 count as U+FFFD; repeated rows are scanned alike; an
 empty table gives no rows; other columns are ignored by ``scan`` and kept by ``redact``. A token that unpacks to more than
 ``max_layer`` bytes, or to more than is left of ``max_unpacked`` bytes for one text, is reported whole as a finding of kind
@@ -23,6 +30,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -50,13 +58,18 @@ OWN = (
     ("chat", "xox", re.compile(r"\bxox[abprs]-[A-Za-z0-9-]{10,}")),
 )
 
-ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
-ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})++|(?:\\u[0-9A-Fa-f]{4})++|(?:\\x[0-9A-Fa-f]{2})++")
+#: all that nested escapes can be made of
+NESTED = re.compile(r"[%\\][0-9A-Fa-fux%\\]++")
 HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
-#: control characters that texts don't hold
-CONTROLS = bytes(c for c in range(32) if not 9 <= c <= 13) + b"\x7f"
+SURROGATES = re.compile("[\ud800-\udfff]")
+#: ASCII in UTF-16 of either byte order; every pattern, token and compressed or escaped form of one holds as many characters
+WIDE = (("utf-16-le", re.compile(rb"(?:[\x01-\x7f]\x00){8}")), ("utf-16-be", re.compile(rb"(?:\x00[\x01-\x7f]){8}")))
 #: 14 characters hold the shortest compressed finding (10 bytes, a Zstandard frame of one repeated hex digit), 19 the shortest plain one
 TOKEN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{14,}={0,2}")
+LINES64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{14,}+[ \t]*+\r?\n[ \t]*+)++(?:[A-Za-z0-9+/_-]++={0,2})?")
+LINE_END = re.compile(r"[ \t]*(?:[\r\n]|\Z)")
+LINE64 = re.compile(r"[A-Za-z0-9+/_-]+")
 MAGIC = ((b"\x1f\x8b", "gzip"), (b"\x78\x01", "zlib"), (b"\x78\x5e", "zlib"), (b"\x78\x9c", "zlib"), (b"\x78\xda", "zlib"), (b"\x28\xb5\x2f\xfd", "zstd"), (b"BZh", "bz2"), (b"\xfd7zXZ\x00", "xz"))
 
 
@@ -88,40 +101,57 @@ class Layer:
 
 
 class Stitched:
-    """Places of a text of which some parts are decoded characters: begins[k] is where segment k begins, from[k] and to[k] what it comes from.
-
-    A decoded character is a segment of its own; any other segment is as long as what it comes from.
-    """
+    """Places of a text in segments: each character of segment k comes from width[k] characters, the first of them from source[k] on."""
 
     def __init__(self):
-        self.begins, self.source, self.ends, self.decoded, self.n = [], [], [], [], 0
+        self.begins, self.source, self.width, self.n = array("q"), array("q"), array("q"), 0
 
-    def add(self, length: int, a: int, b: int, decoded: bool) -> None:
-        if length:
+    def add(self, length: int, source: int, width: int = 1) -> None:
+        if not length:
+            return
+        if not self.n or self.width[-1] != width or self.source[-1] + width * (self.n - self.begins[-1]) != source:
             self.begins.append(self.n)
-            self.source.append(a)
-            self.ends.append(b)
-            self.decoded.append(decoded)
-            self.n += length
+            self.source.append(source)
+            self.width.append(width)
+        self.n += length
 
     def __call__(self, a: int, b: int) -> tuple[int, int]:
         k, m = bisect_right(self.begins, a) - 1, bisect_right(self.begins, b - 1) - 1
-        first = self.source[k] if self.decoded[k] else self.source[k] + a - self.begins[k]
-        last = self.ends[m] if self.decoded[m] else self.source[m] + b - self.begins[m]
-        return first, last
+        return self.source[k] + (a - self.begins[k]) * self.width[k], self.source[m] + (b - self.begins[m]) * self.width[m]
+
+
+class Pieces:
+    """Text in parts, joined every few thousand."""
+
+    def __init__(self):
+        self.parts, self.done = [], []
+
+    def add(self, part: str) -> None:
+        self.parts.append(part)
+        if len(self.parts) == 4096:
+            self.done.append("".join(self.parts))
+            self.parts.clear()
+
+    def text(self) -> str:
+        return "".join([*self.done, *self.parts])
 
 
 class Token:
-    """Places of text that a base64 token holds: four characters of the token for three bytes."""
+    """Places of text that a base64 token holds: four characters of the token for three bytes.
 
-    def __init__(self, text: str, start: int, end: int):
-        self.start, self.end = start, end
-        # bytes before each character, where they are not as many as characters
-        self.offsets = None if text.isascii() else np.append(0, np.cumsum([len(c.encode()) for c in text]))
+    Lines of the token begin at starts and are width long, but for the last; offsets are the bytes before each character, where
+    they are not as many as characters.
+    """
+
+    def __init__(self, starts, width: int, offsets=None):
+        self.starts, self.width, self.offsets = starts, width, offsets
+
+    def at(self, i: int) -> int:
+        return self.starts[i // self.width] + i % self.width
 
     def __call__(self, a: int, b: int) -> tuple[int, int]:
         x, y = (a, b) if self.offsets is None else (int(self.offsets[a]), int(self.offsets[b]))
-        return self.start + x * 4 // 3, min(self.end, self.start + -(-y * 4 // 3))
+        return self.at(x * 4 // 3), self.at(-(-y * 4 // 3) - 1) + 1
 
 
 class Whole:
@@ -158,105 +188,145 @@ def find(text: str) -> Iterator[tuple[str, int, int]]:
                 yield kind, *m.span()
 
 
-def unescaped(run: str, start: int) -> list[tuple[str, int, int]]:
-    """The characters of a run of escapes of one kind, with their places."""
+def unescaped(run: str) -> tuple[str, np.ndarray | list[int] | int]:
+    """The characters of a run of escapes of one kind, and how many characters each comes from: one number where all are alike, a list if few."""
     if run[0] == "%":
         raw = bytes.fromhex(run.replace("%", ""))
         try:
-            out, p = [], start
-            for c in raw.decode("utf-8"):
-                n = 3 * len(c.encode("utf-8"))
-                out.append((c, p, p + n))
-                p += n
-            return out
+            text = raw.decode("utf-8")
         except UnicodeDecodeError:
-            return [(chr(b), start + 3 * i, start + 3 * i + 3) for i, b in enumerate(raw)]
-    chars: list[tuple[str, int, int]] = []
-    for x in ESCAPED.finditer(run):
-        code, a, b = int(x[1] or x[2], 16), start + x.start(), start + x.end()
-        if 0xDC00 <= code < 0xE000 and chars and 0xD800 <= ord(chars[-1][0]) < 0xDC00:
-            high, a, _ = chars.pop()
-            code = 0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00
-        chars.append((chr(code), a, b))
-    return [("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in chars]
+            return raw.decode("latin-1"), 3
+        if len(text) == len(raw):
+            return text, 3
+        if len(raw) < 100:
+            return text, [3 * len(c.encode()) for c in text]
+        first = np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)
+        return text, 3 * np.diff(first, append=len(raw))
+    if run[1] == "x":
+        return bytes.fromhex(run.replace("\\x", "")).decode("latin-1"), 4
+    if len(run) == 6 and (run[2] not in "dD" or run[3] < "8"):
+        return chr(int(run[2:], 16)), 6
+    codes = np.frombuffer(bytes.fromhex(run.replace("\\u", "")), ">u2").astype("<u4")
+    high, low = codes & 0xFC00 == 0xD800, codes & 0xFC00 == 0xDC00
+    if not (high.any() or low.any()):
+        return codes.tobytes().decode("utf-32-le"), 6
+    second = np.append(False, high[:-1] & low[1:])
+    paired = np.append(second[1:], False)
+    codes[(high & ~paired) | (low & ~second)] = 0xFFFD
+    at = np.flatnonzero(paired)
+    codes[at] = 0x10000 + ((codes[at] - 0xD800) << 10) + codes[at + 1] - 0xDC00
+    return codes[~second].tobytes().decode("utf-32-le"), np.where(paired, 12, 6)[~second]
 
 
 def one_level(layer: Layer) -> Layer | None:
     """layer with its escapes decoded once; None if it has none."""
-    text, out, places, last = layer.text, [], Stitched(), 0
+    text, out, places, last = layer.text, Pieces(), Stitched(), 0
     for m in ESCAPES.finditer(text):
-        out.append(text[last : m.start()])
-        places.add(m.start() - last, last, m.start(), False)
-        for c, a, b in unescaped(m[0], m.start()):
-            out.append(c)
-            places.add(1, a, b, True)
+        out.add(text[last : m.start()])
+        places.add(m.start() - last, last)
+        chars, widths = unescaped(m[0])
+        out.add(chars)
+        if isinstance(widths, int):
+            places.add(len(chars), m.start(), widths)
+        elif isinstance(widths, list):
+            at = m.start()
+            for w in widths:
+                places.add(1, at, w)
+                at += w
+        else:
+            ends = np.cumsum(widths)
+            cuts = np.append(0, np.flatnonzero(np.diff(widths)) + 1)
+            for k, n in zip(cuts, np.diff(cuts, append=len(widths)), strict=True):
+                places.add(int(n), m.start() + int(ends[k] - widths[k]), int(widths[k]))
         last = m.end()
     if not last:
         return None
-    out.append(text[last:])
-    places.add(len(text) - last, last, len(text), False)
-    return Layer("".join(out), layer, places, layer.level + 1)
+    out.add(text[last:])
+    places.add(len(text) - last, last)
+    return Layer(out.text(), layer, places, layer.level + 1)
 
 
 def all_levels(layer: Layer) -> Layer | None:
-    """layer with its escapes decoded until none is left, in one walk: each decoded character may complete an escape with those before it."""
-    if not ESCAPES.search(layer.text):
+    """layer with its escapes decoded until none is left. Only runs of characters that nested escapes can be made of are walked."""
+    text, out, places, last = layer.text, Pieces(), Stitched(), 0
+    for m in NESTED.finditer(text):
+        if ESCAPES.search(text, m.start(), m.end()):
+            out.add(text[last : m.start()])
+            places.add(m.start() - last, last)
+            unnested(text, m.start(), m.end(), out, places)
+            last = m.end()
+    if not last:
         return None
+    out.add(text[last:])
+    places.add(len(text) - last, last)
+    return Layer(out.text(), layer, places, layer.level + 1)
+
+
+def unnested(text: str, start: int, end: int, out: Pieces, places: Stitched) -> None:
+    """Decode one run in one walk: each decoded character may complete an escape with those before it."""
     # characters so far, their places, and whether they are decoded bytes
-    chars: list[str] = []
-    begins, ends, is_byte = [], [], []
+    codes, begins, ends, is_byte = array("I"), array("q"), array("q"), bytearray()
 
     def cut(n: int) -> int:
         a = begins[-n]
-        for x in (chars, begins, ends, is_byte):
+        for x in (codes, begins, ends, is_byte):
             del x[-n:]
         return a
 
-    for i, c in enumerate(layer.text):
-        a, b, byte = i, i + 1, False
+    marks, digits = {37, 92}, frozenset(map(ord, HEX_DIGITS))
+    i = start
+    while i < end:
+        code, a, b, byte = ord(text[i]), i, i + 1, 0
+        i += 1
         while True:
-            chars.append(c)
+            codes.append(code)
             begins.append(a)
             ends.append(b)
             is_byte.append(byte)
-            if c not in HEX_DIGITS:
+            if code not in digits:
                 break
-            if len(chars) >= 3 and chars[-3] == "%" and chars[-2] in HEX_DIGITS:
-                code, n, byte = int("".join(chars[-2:]), 16), 3, True
-            elif len(chars) >= 4 and chars[-4] == "\\" and chars[-3] == "x" and chars[-2] in HEX_DIGITS:
-                code, n, byte = int("".join(chars[-2:]), 16), 4, False
-            elif len(chars) >= 6 and chars[-6] == "\\" and chars[-5] == "u" and HEX_DIGITS.issuperset(chars[-4:]):
-                code, n, byte = int("".join(chars[-4:]), 16), 6, False
+            if len(codes) >= 3 and codes[-3] == 37 and codes[-2] in digits:
+                n, byte = 3, 1
+            elif len(codes) >= 4 and codes[-4] == 92 and codes[-3] == 120 and codes[-2] in digits:
+                n, byte = 4, 0
+            elif len(codes) >= 6 and codes[-6] == 92 and codes[-5] == 117 and digits.issuperset(codes[-4:]):
+                n, byte = 6, 0
             else:
                 break
+            code = int("".join(map(chr, codes[1 - n if n == 3 else 2 - n :])), 16)
             a = cut(n)
-            if not byte and 0xDC00 <= code < 0xE000 and chars and 0xD800 <= ord(chars[-1]) < 0xDC00:
-                code = 0x10000 + ((ord(chars[-1]) - 0xD800) << 10) + code - 0xDC00
+            if not byte and 0xDC00 <= code < 0xE000 and codes and 0xD800 <= codes[-1] < 0xDC00:
+                code = 0x10000 + ((codes[-1] - 0xD800) << 10) + code - 0xDC00
                 a = cut(1)
-            c = chr(code)
-    out, places, i = [], Stitched(), 0
-    while i < len(chars):
+        if marks.isdisjoint(codes[-6:]):  # nothing can be completed before the next mark
+            j = min((k for k in (text.find("%", i, end), text.find("\\", i, end)) if k >= 0), default=end)
+            codes.extend(map(ord, text[i:j]))
+            begins.extend(range(i, j))
+            ends.extend(range(i + 1, j + 1))
+            is_byte.extend(bytes(j - i))
+            i = j
+    i = 0
+    while i < len(codes):
         j = i
-        while j < len(chars) and is_byte[j] and chars[j] >= "\x80":
+        while j < len(codes) and is_byte[j] and codes[j] >= 0x80:
             j += 1
         if j == i:
-            plain = ends[i] - begins[i] == 1
-            out.append("\ufffd" if "\ud800" <= chars[i] < "\ue000" else chars[i])
-            places.add(1, begins[i], ends[i], not plain)
+            out.add("\ufffd" if 0xD800 <= codes[i] < 0xE000 else chr(codes[i]))
+            places.add(1, begins[i], ends[i] - begins[i])
             i += 1
             continue
+        raw = bytes(codes[i:j].tolist())
         try:  # bytes in a row may be one character
-            for c in "".join(chars[i:j]).encode("latin-1").decode("utf-8"):
+            for c in raw.decode("utf-8"):
                 n = len(c.encode("utf-8"))
-                out.append(c)
-                places.add(1, begins[i], ends[i + n - 1], True)
+                out.add(c)
+                places.add(1, begins[i], ends[i + n - 1] - begins[i])
                 i += n
         except UnicodeDecodeError:
+            out.add(raw.decode("latin-1"))
             for k in range(i, j):
-                out.append(chars[k])
-                places.add(1, begins[k], ends[k], True)
+                places.add(1, begins[k], ends[k] - begins[k])
             i = j
-    return Layer("".join(out), layer, places, layer.level + 1)
 
 
 class ZstdFrame:
@@ -326,32 +396,76 @@ def contents(raw: bytes, limit: int) -> Iterator[tuple[bytes, bool]]:
         raise OverflowError
 
 
-def is_text(raw: bytes) -> bool:
-    """Not empty, and at most a tenth control characters."""
-    return len(raw) > 0 and 10 * (len(raw) - len(raw.translate(None, CONTROLS))) <= len(raw)
+def readings(raw: bytes, placed: bool) -> Iterator[tuple[str, np.ndarray | None]]:
+    """The texts that bytes may be, each with the bytes before each character if wanted and not as many as characters."""
+    if not raw:
+        return
+    text = raw.decode("utf-8", "surrogateescape")
+    offsets = None
+    if placed and len(text) < len(raw):
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        widths = 1 + (codes >= 0x80).astype(np.uint8) + (codes >= 0x800) + (codes >= 0x10000)
+        widths[codes & 0xFFFFFF80 == 0xDC80] = 1
+        offsets = running(widths, 0)
+    yield SURROGATES.sub("\ufffd", text), offsets
+    for codec, pattern in WIDE:
+        for shift in sorted({m.start() % 2 for m in pattern.finditer(raw)}):
+            text = raw[shift : len(raw) - (len(raw) - shift) % 2].decode(codec, "surrogatepass")
+            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") if placed else None
+            yield SURROGATES.sub("\ufffd", text), running(2 + 2 * (codes >= 0x10000).astype(np.uint8), shift) if placed else None
+
+
+def running(widths: np.ndarray, first: int) -> np.ndarray:
+    out = np.full(len(widths) + 1, first, np.uint32)
+    out[1:] += np.cumsum(widths, dtype=np.uint32)
+    return out
+
+
+def tokens(text: str) -> Iterator[tuple[str, array, int, int]]:
+    """What may be base64: its characters, where its lines begin, how long they are but for the last, and where it ends."""
+    for m in TOKEN64.finditer(text):
+        body = m[0].rstrip("=")
+        yield body, array("q", [m.start()]), len(body), m.end()
+    for block in LINES64.finditer(text):
+        starts, ends = array("q"), array("q")
+
+        def token(a: int, b: int, starts=starts, ends=ends):
+            return "".join([text[x:y] for x, y in zip(starts[a:b], ends[a:b], strict=True)]), starts[a:b], ends[a] - starts[a], ends[b - 1]
+
+        for m in LINE64.finditer(text, block.start(), block.end()):
+            starts.append(m.start())
+            ends.append(m.end())
+        i = 0
+        while i < len(starts):
+            j, width = i + 1, ends[i] - starts[i]
+            while j < len(starts) and ends[j] - starts[j] == width:
+                j += 1
+            # a shorter line may be a word of its own
+            shorter = j < len(starts) and ends[j] - starts[j] < width
+            padded = shorter and text.startswith("=", ends[j])
+            if shorter and (padded or j > i + 1 or LINE_END.match(text, ends[j])):
+                yield token(i, j + 1)
+            if j > i + 1 and not padded:
+                yield token(i, j)
+            i = j
 
 
 def token_layers(layer: Layer, limit: Callable[[], int]) -> Iterator[Layer | tuple[int, int]]:
-    """A layer for each base64 token that holds text, plain or compressed; a span if it unpacks beyond what limit() says then."""
-    for m in TOKEN64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    """A layer for each text that a base64 token holds, plain or compressed; a span if it unpacks beyond what limit() says then."""
+    for body, starts, width, end in tokens(layer.text):
         if len(body) % 4 == 1:
             continue
         try:
-            raw = base64.b64decode(body + "=" * (-len(body) % 4))
+            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
         except binascii.Error:
             continue
         del body
         try:
             for inner, packed in contents(raw, limit()):
-                if is_text(inner):
-                    try:
-                        text = inner.decode("utf-8")
-                    except UnicodeDecodeError:
-                        continue
-                    yield Layer(text, layer, Whole(*m.span()) if packed else Token(text, *m.span()))
+                for text, offsets in readings(inner, not packed):
+                    yield Layer(text, layer, Whole(starts[0], end) if packed else Token(starts, width, offsets))
         except OverflowError:
-            yield layer.span(*m.span())
+            yield layer.span(starts[0], end)
 
 
 def scan_text(text: str, settings: Settings = Settings()) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:

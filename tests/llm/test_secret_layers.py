@@ -159,3 +159,93 @@ def test_many_large_layers():
     tokens = [base64.b64encode(gzip.compress(bytes([97 + i]) + b" word" * 2_000)).decode() for i in range(5)]
     _, found, _ = ss.scan_text(" ".join(tokens), ss.Settings(max_unpacked=35_000))
     assert sum(k == "oversize" for k, *_ in found) == 2
+
+
+LONG = 'api_key = "' + "k3Y9" * 12 + '" and password: correct-horse-battery'
+
+
+def lines(token, width, end="\n", indent=""):
+    return (end + indent).join(token[i : i + width] for i in range(0, len(token), width))
+
+
+@pytest.mark.parametrize(
+    "raw",
+    [
+        b"caf\xe9 " + LONG.encode(),
+        LONG.encode() + b" \xff\xfe",
+        LONG.encode("utf-16"),
+        LONG.encode("utf-16-le"),
+        LONG.encode("utf-16-be"),
+        b"\x01" + ("\u4e2d\U0001f600 " + LONG).encode("utf-16-le"),
+        b"\x01\x02\x03" * 40 + LONG.encode(),
+    ],
+)
+@pytest.mark.parametrize("pack", [bytes, zlib.compress])
+@pytest.mark.parametrize("wrap", [None, (64, "\n", ""), (76, "\r\n", ""), (20, "\n", "    ")])
+def test_no_layer_is_dropped(raw, pack, wrap):
+    """Bytes that are no UTF-8, UTF-16 of either order, control characters, and tokens over several lines."""
+    token = base64.b64encode(pack(raw)).decode()
+    token = token if wrap is None else lines(token, *wrap)
+    text = f"some words before\n{token}\nand others after"
+    _, found, _ = ss.scan_text(text)
+    at = text.index(token)
+    spans = {(a, b) for k, a, b in found if k == "assign"}
+    assert len(spans) >= (2 if pack is bytes else 1) and all(at <= a < b <= at + len(token) + (4 if wrap else 0) for a, b in spans)
+    # what is left of the token gives neither secret
+    left = ss.redacted(text, found, "[X]")
+    for whole in (left, *(x for m in ss.TOKEN64.finditer(left) for x in (base64.b64decode(m[0] + "=" * (-len(m[0]) % 4) if len(m[0]) % 4 != 1 else "").decode("latin-1"),))):
+        assert "horse-battery" not in whole.replace("\0", "") and "k3Y9" * 11 not in whole.replace("\0", "")
+
+
+@pytest.mark.parametrize("before", [b"", b"caf\xe9 ", "\u4e2d\u6587\U0001f600".encode()])
+@pytest.mark.parametrize("width", [16, 64])
+def test_places_within_a_token(before, width):
+    """A span in a token covers the characters that hold its bytes, also over line ends."""
+    raw = before + b"some words " * 5 + b"password=abcdefgh1 " + b"others follow " * 5
+    token = base64.b64encode(raw).decode()
+    text = "x " + lines(token, width) + "\n\ny"
+    at = raw.index(b"password")
+    want = {2 + i + i // width for i in range(at * 4 // 3, -(-(at + 18) * 4 // 3))}
+    assert ("assign", min(want), max(want) + 1) in ss.scan_text(text)[1]
+
+
+def test_lines_of_words_are_no_token():
+    text = "an extraordinarily\nlong-word stands\nincomprehensibly\nat the ends of\nincomprehensible\n"
+    assert ss.scan_text(text)[:2] == ([], [])
+
+
+def grown(f):
+    """Megabytes that f takes at most, in a process of its own, and seconds."""
+    import multiprocessing
+
+    def run(send):
+        import resource
+        import time
+
+        before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.perf_counter()
+        out = f()
+        send.send(((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024, time.perf_counter() - began, out))
+
+    take, send = multiprocessing.get_context("fork").Pipe(False)
+    p = multiprocessing.get_context("fork").Process(target=run, args=(send,))
+    p.start()
+    out = take.recv()
+    p.join()
+    return out
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda: "%41" * 6_666_000 + " %70assword=abcdefgh1",
+        lambda: "%" + "25" * 5 + "41 " + "plain words " * 750_000 + " %70assword=abcdefgh1",
+        lambda: "\\u0041" * 3_333_000 + " \\u0070assword=abcdefgh1",
+        lambda: "%C3%A9a" * 1_400_000 + " %70assword=abcdefgh1",
+    ],
+)
+def test_long_escapes(make):
+    """Texts of 9 to 20 MB of escapes, and with one deep escape, below 300 MB."""
+    text = make()
+    mb, _, found = grown(lambda: ss.scan_text(text)[1])
+    assert ("assign", text.index(" %70" if " %70" in text else " \\u0070") + 1, len(text)) in found
+    assert mb < 300, mb
