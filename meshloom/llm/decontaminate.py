@@ -68,7 +68,11 @@ class Automaton(SuffixAutomaton):
         self.holders = [tuple(x) for x in holders]
         #: nearest state on the way to the root, itself included, that ends a whole short item
         self.ends = [-1] * len(self.link)
+        #: the state on the way to the root whose strings include those of window words
+        self.holder = [-1] * len(self.link)
         for s in order:
+            if self.length[s] >= window:
+                self.holder[s] = s if self.length[self.link[s]] < window else self.holder[self.link[s]]
             self.ends[s] = s if s in self.short else self.ends[self.link[s]]
 
     def stream(self, words: list[bytes]) -> tuple[np.ndarray, set[int]]:
@@ -93,11 +97,8 @@ class Automaton(SuffixAutomaton):
             s = to
             n += 1
             if n >= window:
-                t = s
-                while length[link[t]] >= window:
-                    t = link[t]
                 hit[i - window + 1 : i + 1] = True
-                items.update(self.holders[t])
+                items.update(self.holders[self.holder[s]])
             if any_short and (e := self.ends[s]) > 0:
                 while e > 0:
                     for m, k in self.short[e]:
