@@ -250,7 +250,7 @@ def detections(text: Column, low: Column, given: list[Rule]) -> Column:
 
 
 def spans(docs: DataFrame, keep: list[str], text: str = "text", given: list[Rule] | None = None) -> DataFrame:
-    """keep, __rid, n_words, phrases and one row for each detection (start is null where there is none), hidden where another one suppresses it."""
+    """keep, __rid, n_words, phrases and one row for each detection (start is null where there is none), hidden where a kept one suppresses it."""
     given = given or rules()
     needed = {"licen" if "licen" in r.keys else r.keys[0] for r in given}
     # a string that holds another one needs no test of its own
@@ -268,20 +268,28 @@ def spans(docs: DataFrame, keep: list[str], text: str = "text", given: list[Rule
     rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__rid")
     so_far = Window.partitionBy("__rid", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(so_far)).withColumn("start", F.col("end") - F.col("n")).drop("rule", "pos", "gap", "n")
-    return rows.withColumn("hidden", hidden(sorted({r.priority for r in given})))
-
-
-def hidden(priorities: list[int]) -> Column:
-    """Whether a detection overlaps one of a higher priority, or lies within one of its own."""
-    earlier = Window.partitionBy("__rid").orderBy("start", F.desc("end"), "priority", "label").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("__rid").orderBy(F.desc("start"), "end", F.desc("priority"), F.desc("label")).rowsBetween(Window.unboundedPreceding, -1)
-    equal = Window.partitionBy("__rid", "priority").orderBy("start", F.desc("end"), "label").rowsBetween(Window.unboundedPreceding, -1)
-    out = F.max("end").over(equal) >= F.col("end")
-    for p in priorities[1:]:
-        higher = F.col("priority") < p
-        reached = (F.max(F.when(higher, F.col("end"))).over(earlier) > F.col("start")) | (F.min(F.when(higher, F.col("start"))).over(later) < F.col("end"))
-        out = F.coalesce(out, F.lit(False)) | ((F.col("priority") == p) & F.coalesce(reached, F.lit(False)))
-    return F.coalesce(out, F.lit(False))
+    return told_hidden(rows, sorted({r.priority for r in given}))
+
+
+def told_hidden(rows: DataFrame, priorities: list[int]) -> DataFrame:
+    """rows with hidden: whether a detection overlaps a kept one of a higher priority, or lies within a kept one of its own.
+
+    The priorities are settled one after another, so that what is hidden hides nothing.
+    """
+    order = "start", F.desc("end"), "priority", "label"
+    reverse = F.desc("start"), "end", F.desc("priority"), F.desc("label")
+    earlier, later = (Window.partitionBy("__rid").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1) for by in (order, reverse))
+    live, no = F.col("__live"), F.lit(False)
+    rows = rows.withColumn("__live", no)
+    for k, p in enumerate(priorities):
+        free = F.coalesce(F.col("priority") == p, no)
+        if k:
+            reached = (F.max(F.when(live, F.col("end"))).over(earlier) > F.col("start")) | (F.min(F.when(live, F.col("start"))).over(later) < F.col("end"))
+            free = free & ~F.coalesce(reached, no)
+        rows = rows.withColumn("__free", free)
+        within = F.max(F.when(F.col("__free"), F.col("end"))).over(earlier) >= F.col("end")
+        rows = rows.withColumn("__live", live | (F.col("__free") & ~F.coalesce(within, no)))
+    return rows.withColumn("hidden", ~live).drop("__live", "__free")
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text", given: list[Rule] | None = None) -> DataFrame:

@@ -274,6 +274,18 @@ def test_decontaminate(spark, tables, documents):
     assert by_id(rows(spark, "op6_decontaminate", tables), "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == want
 
 
+def test_decontaminate_one_word():
+    """A text and an item that repeat one word take time in proportion to their length."""
+    import time
+
+    from meshloom.llm import decontaminate as dc
+
+    began = time.perf_counter()
+    hit, items = dc.Automaton([("a", [b"x"] * 100_000), ("b", [b"x"] * 20)], 13).stream([b"y", *[b"x"] * 100_000])
+    assert not hit[0] and hit[1:].all() and items == {0, 1}
+    assert time.perf_counter() - began < 20
+
+
 def test_decontaminate_in_shards(spark, tables, documents):
     from meshloom.llm import decontaminate as dc
 
@@ -362,16 +374,16 @@ def test_licenses(spark, tables, documents):
 
 
 def license_spans(text, given):
-    """All matches of the rules (start, end, label, priority, confidence), and those that none suppresses, pair by pair."""
+    """All matches of the rules (start, end, label, priority, confidence), and those kept: taken in order, one goes if a kept one suppresses it."""
     import re
 
     found = [(m.start(), m.end(), r.label, r.priority, r.confidence) for r in given for m in re.finditer(r.pattern, text or "", re.ASCII) if all(k in text.lower() for k in r.keys)]
-    live = []
-    for i, (a, b, label, p, _) in enumerate(found):
-        over = any(c < b and a < d and q < p for c, d, _, q, _ in found)
-        within = any(i != j and c <= a and b <= d and q == p and ((c, d) != (a, b) or (other, j) < (label, i)) for j, (c, d, other, q, _) in enumerate(found))
-        if not over and not within:
-            live.append(found[i])
+    live: list = []
+    # by priority; within one, longer ones that begin first come first
+    for x in sorted(found, key=lambda x: (x[3], x[0], -x[1], x[2])):
+        a, b, _, p, _ = x
+        if not any((q < p and c < b and a < d) or (q == p and c <= a and b <= d) for c, d, _, q, _ in live):
+            live.append(x)
     return found, live
 
 
@@ -386,6 +398,17 @@ LICENSE_TEXTS = (
 )
 
 
+def test_license_chains(spark):
+    """What is hidden hides nothing."""
+    from meshloom.llm import license_scan as ls
+
+    given = [ls.Rule(x, (x.lower(),), p, k, 0.5) for k, (x, p) in enumerate([("a1", "a1 b1"), ("b1", "b1 c1"), ("c1", "c1 d1"), ("d1", "d1 e1")])]
+    given.append(ls.Rule("e1", ("e1",), "e1|d1", 3, 0.4))
+    for text, want in (("a1 b1 c1 d1 e1", "a1,c1,e1"), ("b1 c1 d1 e1", "b1,d1"), ("c1 d1 e1 d1 e1", "c1,d1,e1"), ("", "")):
+        assert ls.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["doc_id"], given=given).first().labels == want
+        assert ",".join(sorted({x[2] for x in license_spans(text, given)[1]})) == want
+
+
 def test_license_detections(spark, documents):
     """Against Python's re, match by match, with suppression told pair by pair; and labels and score of whole tables."""
     from meshloom.llm import license_scan as ls
