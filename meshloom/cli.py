@@ -21,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
     e = sub.add_parser("extract", help="build module artifacts")
     e.add_argument("--build", nargs="+", default=["all"])
     e.add_argument("--changed-only", action="store_true", help="keep modules whose sources have not changed")
+    e.add_argument("--batches", nargs="+", type=int, help="build only these batches of modules that are there")
     e.add_argument("--assemble", action="store_true")
     f = sub.add_parser("prepare", help="build consolidated forcing from monthly files (datm mode)")
     for c in (e, f):
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             s = runs.with_prepared_forcing(s, wanted, args.force_rebuild_forcing)
         if args.command == "prepare":
             return 0
-        built = runs.extract(s, wanted, not args.changed_only)
+        built = runs.extract(s, wanted, not args.changed_only, args.batches)
         lines = [f"built {b}" for b in built] + s.warnings
         sinks.write_log(spark, config.output, lines)
         sinks.write_record(spark, config.output, sinks.source_lines(spark, runs.source_paths(config)) + lines)

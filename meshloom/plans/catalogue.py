@@ -649,6 +649,28 @@ def manifest_facts(spark, sf_dir):
     return spark.createDataFrame([(held["module"], held["rows"], held["batches"], sinks.is_current(spark, root, "A", sources))], "module string, rows long, batches long, current boolean")
 
 
+@query("""WITH s AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events WHERE user_id % 2 = 0)
+SELECT CAST(user_id AS INT) AS gridcell, pos, CAST(value AS FLOAT)::DOUBLE AS value, 2002 AS start_year FROM s""")
+def forcing_versions(spark, sf_dir):
+    """A consolidated table that was replaced: the newest complete version is read, not an unfinished one."""
+    path = f"{scratch(spark)}/FLDS"
+    s = user_series(spark, sf_dir).select(F.col("user_id").alias("gridcell"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), "series")
+    sinks.write_forcing(s, path, 2000, 2001)
+    sinks.write_forcing(s.where("gridcell % 2 = 0"), path, 2002, 2003)
+    s.limit(1).write.parquet(f"{path}/v99999999-00000000")  # no mark: a job that was killed
+    out = tables.artifact(spark, *path.rsplit("/", 1)).select("gridcell", F.posexplode("series").alias("pos", "value"), "start_year")
+    return out.select("gridcell", F.col("pos").cast("long").alias("pos"), F.col("value").cast("double").alias("value"), "start_year")
+
+
+@query(f"WITH {CELLS}, {INDEX} SELECT __row_id, batch_id, CASE WHEN batch_id = 2 THEN c_custkey + 1 ELSE c_custkey END AS c_custkey FROM batched")
+def artifact_rebuilt_batch(spark, sf_dir):
+    """An artifact of which one batch was built anew, over the old one alone."""
+    root, df = scratch(spark), index(spark, sf_dir).select("__row_id", "batch_id", "c_custkey")
+    sinks.write_artifact(df, root, "A")
+    sinks.write_artifact(df.withColumn("c_custkey", F.col("c_custkey") + 1), root, "A", [2])
+    return tables.artifact(spark, root, "A").select("__row_id", F.col("batch_id").cast("long").alias("batch_id"), "c_custkey")
+
+
 @query(f"WITH {CELLS}, {INDEX} SELECT __row_id, batch_id, c_acctbal FROM batched WHERE __row_id % 3 > 0")
 def final_dataset_written(spark, sf_dir):
     """A final dataset written over an older, larger one, and read by pattern."""

@@ -32,6 +32,8 @@ class Sources:
         self.spark, self.config, self.tables = spark, config, tables or {}
         self.warnings: list[str] = []
         self.files: dict[str, files.NetCDFFile] = {}
+        #: keys of the tables that were asked for
+        self.read: set[str] = set()
 
     def path(self, key: str) -> str | None:
         c, source = self.config, TABLES[key][0]
@@ -47,6 +49,7 @@ class Sources:
         return df
 
     def found(self, key: str) -> DataFrame | None:
+        self.read.add(key)
         if key not in self.tables and (path := self.path(key)):
             df = self.from_netcdf(key, path) if path.endswith(".nc") else files.parquet_table(self.spark, path, TABLES[key][1])
             if df is None:
@@ -180,6 +183,23 @@ def parameters(s: Sources, index: DataFrame) -> DataFrame:
     return slim(gather.with_parameters(keyed(index), gather.valid_parameters(given), list(s.config.parameters)) if given is not None else keyed(index))
 
 
+#: module: the tables that it reads and the settings that it depends on; all but the index build on the index
+NEEDS = {
+    INDEX: (("ds2", "ds10_mesh", "ds4_mesh"), ("mode", "batch_size", "lat_min", "lat_max", "lon_min", "lon_max")),
+    "A_ds1_surface": (("ds1", "ds1_layers"), ("surface_scalars", "surface_layers")),
+    "A_ds2_history_x": (("ds2_history",), ("history",)),
+    "A_ds10_restart_x": (("ds10_pfts", "ds10_columns"), ("pft", "columns_flat", "columns")),
+    "A_h0_list_y": (("h0_list",), ("history",)),
+    "A_r_list_y": (("r_pfts", "r_columns", "ds10_pfts", "ds10_columns"), ("pft", "columns_flat", "columns")),
+    "A_clm_params_pft": (("clm_params",), ("parameters",)),
+}
+
+
+def needs(config: Config, module: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Keys of the tables that a module reads, and names of the settings that it depends on."""
+    return NEEDS[module] if module in NEEDS else ((module.split("_")[2],), ("mode",))
+
+
 def registry(config: Config) -> dict[str, Callable[[Sources, DataFrame], DataFrame]]:
     """Module name to builder, in the order of assembly; forcing last."""
     out = {"A_ds1_surface": surface, "A_ds2_history_x": history_x, "A_ds10_restart_x": restart_x, "A_h0_list_y": history_y, "A_r_list_y": restart_y, "A_clm_params_pft": parameters}

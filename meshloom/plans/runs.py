@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import FORCING, LAYERED, MODULES, Config
 from ..operators import assemble, calendar, nearest, samemesh, series, validate
 from ..operators.numbering import dense_row_id
-from ..sources import files, sinks, tables
+from ..sources import files, sinks, tables, versions
 from . import modules
 
 
@@ -28,18 +28,65 @@ def source_paths(config: Config) -> dict[str, str]:
     return config.paths | lists
 
 
-def extract(s: modules.Sources, wanted: list[str] | str = "all", force: bool = True) -> list[str]:
-    """Build the wanted modules, the index first where it is missing. Without force, modules whose sources have not changed are kept."""
+def forcing_path(config: Config, variable: str) -> str:
+    """Where a variable's consolidated table is."""
+    return f"{config.output}/forcing_{config.datm_start}_{config.datm_end}/{variable}"
+
+
+class Lineage:
+    """What modules are made from: their own sources as they are now, the settings that they depend on, and the index that they build on.
+
+    A module is rebuilt when one of these changed, and no other one is. Each source is looked at once.
+    """
+
+    def __init__(self, s: modules.Sources):
+        self.s, self.entries = s, {}
+
+    def paths(self, module: str) -> list[str]:
+        c, keys = self.s.config, modules.needs(self.s.config, module)[0]
+        out = {p for k in keys if (p := self.s.path(k))}
+        if c.mode == "datm":  # made from consolidated tables, where they were prepared
+            made = [c.forcing_modules[module]] if module in c.forcing_modules else list(c.forcing_modules.values()) if module == modules.INDEX else []
+            held = [p for v in made if (p := versions.current(self.s.spark, forcing_path(c, v)))]
+            out |= set(held[:1] if module == modules.INDEX else held)
+        return sorted(out)
+
+    def facts(self, module: str) -> dict:
+        """sources, settings and index, as they stand in the manifest."""
+        c, spark = self.s.config, self.s.spark
+        for p in self.paths(module):
+            if p not in self.entries:
+                self.entries[p] = sinks.source_entry(spark, p)
+        out = {"sources": [self.entries[p] for p in self.paths(module)], "settings": {k: getattr(c, k) for k in modules.needs(c, module)[1]}}
+        return out if module == modules.INDEX else out | {"index": {k: v for k, v in (sinks.read_manifest(spark, manifests(c), modules.INDEX) or {}).items() if k in ("sources", "settings")}}
+
+    def is_current(self, module: str) -> bool:
+        c, spark = self.s.config, self.s.spark
+        return tables.artifact_or_none(spark, artifacts(c), module) is not None and sinks.is_current(spark, manifests(c), module, **self.facts(module))
+
+
+def extract(s: modules.Sources, wanted: list[str] | str = "all", force: bool = True, batches: list[int] | None = None) -> list[str]:
+    """Build the wanted modules, the index first where it is missing or out of date. Without force, modules of which nothing changed are kept.
+
+    With batches only these are built anew, of modules that are there; the index is kept then.
+    """
     c, spark = s.config, s.spark
     names = list(MODULES) if wanted == "all" else list(wanted)
     unknown = [n for n in names if n != modules.INDEX and n not in modules.registry(c)]
     if unknown:
         raise ValueError(f"no modules {unknown}")
-    if modules.INDEX in names or tables.artifact_or_none(spark, artifacts(c), modules.INDEX) is None:
+    lineage = Lineage(s)
+    there = tables.artifact_or_none(spark, artifacts(c), modules.INDEX) is not None
+    if batches is not None:
+        lost = [n for n in [modules.INDEX, *names] if tables.artifact_or_none(spark, artifacts(c), n) is None]
+        if lost:
+            raise FileNotFoundError(f"no artifacts of {lost} to build batches of")
+    elif not there or (modules.INDEX in names and (force or not lineage.is_current(modules.INDEX))):
+        facts = lineage.facts(modules.INDEX)
         sinks.write_artifact(modules.build_index(s), artifacts(c), modules.INDEX)
         index = tables.artifact(spark, artifacts(c), modules.INDEX)
         row = index.agg(F.count("*").alias("rows"), F.max("batch_id").alias("batches")).first()
-        sinks.write_manifest(spark, manifests(c), modules.INDEX, [sinks.source_entry(spark, p) for k, p in sorted(c.paths.items()) if k in ("ds2", "ds4", "ds10")], rows=row.rows, batches=row.batches, mode=c.mode)
+        sinks.write_manifest(spark, manifests(c), modules.INDEX, **facts, rows=row.rows, batches=row.batches, mode=c.mode)
     index, built = tables.artifact(spark, artifacts(c), modules.INDEX), []
     for name in names:
         if name == modules.INDEX:
@@ -50,11 +97,14 @@ def extract(s: modules.Sources, wanted: list[str] | str = "all", force: bool = T
         if name == "A_r_list_y" and "r_pfts" not in s and "r_columns" not in s:
             s.warnings.append("no restart targets are configured: A_r_list_y is left out")
             continue
-        sources = [sinks.source_entry(spark, p) for p in sorted(source_paths(c).values())]
-        if not force and sinks.is_current(spark, manifests(c), name, sources):
+        # looked at before it is read: what changes meanwhile is built again next time
+        facts = lineage.facts(name)
+        if not force and lineage.is_current(name):
             continue
-        sinks.write_artifact(modules.build(s, name, index), artifacts(c), name)
-        sinks.write_manifest(spark, manifests(c), name, sources, mode=c.mode)
+        part = index if batches is None else index.where(F.col("batch_id").isin(batches))
+        sinks.write_artifact(modules.build(s, name, part), artifacts(c), name, batches)
+        if batches is None:  # the other batches are as old as before
+            sinks.write_manifest(spark, manifests(c), name, **facts, mode=c.mode)
         built.append(name)
     return built
 
@@ -100,15 +150,18 @@ def monthly_forcing(steps: DataFrame, coordinates: DataFrame, files: DataFrame,
 
 
 def prepare_forcing(spark: SparkSession, config: Config, raw: dict[str, tuple[DataFrame, DataFrame, DataFrame]], reference: DataFrame | None = None, force: bool = False) -> dict[str, str]:
-    """Consolidated tables of the given variables: (steps, coordinates, paths) each. One that exists is kept unless force is set."""
+    """Consolidated tables of the given variables: (steps, coordinates, paths) each. One that exists is kept unless force is set.
+
+    A new one takes the place of the old one only when it is complete.
+    """
     out = {}
     for variable, (steps, coordinates, paths) in raw.items():
-        path = f"{config.output}/forcing_{config.datm_start}_{config.datm_end}/{variable}"
+        path = forcing_path(config, variable)
         if force or tables.artifact_or_none(spark, *path.rsplit("/", 1)) is None:
             files = paths if variable in config.datm_paths else calendar.month_files(paths, config.datm_tokens.get(variable, ""), config.datm_start, config.datm_end)
             made, _ = monthly_forcing(steps, coordinates, files, reference)
             sinks.write_forcing(made, path, config.datm_start, config.datm_end)
-        out[variable] = path
+        out[variable] = versions.current(spark, path) or path
     return out
 
 
@@ -148,13 +201,13 @@ def with_prepared_forcing(s: modules.Sources, wanted: list[str] | str = "all", f
     by_module = s.config.forcing_modules
     names = list(by_module.values()) if wanted == "all" else [v for m, v in by_module.items() if m in wanted]
     reference = s["ds2"].select(F.col("cell_idx").alias("cell"), "lat", "lon") if "ds2" in s and {"cell_idx", "lat", "lon"} <= set(s["ds2"].columns) else None
-    there = {v: tables.artifact_or_none(s.spark, f"{s.config.output}/forcing_{s.config.datm_start}_{s.config.datm_end}", v) is not None for v in names}
+    there = {v: tables.artifact_or_none(s.spark, *forcing_path(s.config, v).rsplit("/", 1)) is not None for v in names}
     raw = raw_forcing(s.spark, s.config, [v for v in names if force or not there[v]])
     prepare_forcing(s.spark, s.config, raw, reference, force)
     made = {}
     for m, v in by_module.items():
         if v in names:
-            df = tables.artifact(s.spark, f"{s.config.output}/forcing_{s.config.datm_start}_{s.config.datm_end}", v)
+            df = tables.artifact(s.spark, *forcing_path(s.config, v).rsplit("/", 1))
             made[m.split("_")[2]] = df.select(F.col("gridcell").cast("long").alias("forcing_idx"), F.col("series").alias(v))
             made["ds4_mesh"] = df.select(F.col("gridcell").cast("long").alias("forcing_idx"), "lat", "lon")
     return modules.Sources(s.spark, s.config, s.tables | made)

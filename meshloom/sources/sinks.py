@@ -8,11 +8,19 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import versions
 
-def write_artifact(df: DataFrame, root: str, module: str) -> str:
-    """One folder a module, one partition folder a batch, one file in it. Batches of an earlier, larger run don't stay behind."""
+
+def write_artifact(df: DataFrame, root: str, module: str, batches: list[int] | None = None) -> str:
+    """One folder a module, one partition folder a batch, one file in it. Batches of an earlier, larger run don't stay behind.
+
+    With batches only these are written anew, each folder as a whole, and the others stay as they are.
+    """
     path = f"{root}/{module}"
-    df.repartition("batch_id").write.mode("overwrite").option("compression", "zstd").partitionBy("batch_id").parquet(path)
+    if batches is not None:
+        df = df.where(F.col("batch_id").isin(batches))
+    mode = "static" if batches is None else "dynamic"
+    df.repartition("batch_id").write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", "zstd").partitionBy("batch_id").parquet(path)
     return path
 
 
@@ -23,10 +31,9 @@ def write_final(df: DataFrame, path: str, overwrite: bool = False) -> str:
 
 
 def write_forcing(series: DataFrame, path: str, start: int, end: int) -> str:
-    """A consolidated forcing table (gridcell, lat, lon, series) with 4-byte floats at rest."""
+    """A consolidated forcing table (gridcell, lat, lon, series) with 4-byte floats at rest: a new version of it, whose folder is returned."""
     out = series.select(F.col("gridcell").cast("int"), F.col("lat").cast("double"), F.col("lon").cast("double"), F.col("series").cast("array<float>"), F.lit(start).alias("start_year"), F.lit(end).alias("end_year"))
-    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return path
+    return versions.write(out, path)
 
 
 def source_entry(spark: SparkSession, path: str) -> dict:
@@ -53,10 +60,10 @@ def read_manifest(spark: SparkSession, root: str, module: str) -> dict | None:
     return json.loads(row.value) if row else None
 
 
-def is_current(spark: SparkSession, root: str, module: str, sources: list[dict]) -> bool:
-    """True if the module was made from these sources as they are now."""
+def is_current(spark: SparkSession, root: str, module: str, sources: list[dict], **facts) -> bool:
+    """True if the module was made from these sources as they are now, with these facts (settings, the index it builds on)."""
     old = read_manifest(spark, root, module)
-    return old is not None and old["sources"] == sources
+    return old is not None and old["sources"] == sources and all(k in old and old[k] == v for k, v in json.loads(json.dumps(facts)).items())
 
 
 def source_lines(spark: SparkSession, paths: dict[str, str]) -> list[str]:

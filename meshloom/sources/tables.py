@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import versions
+
 # Variable to the names it may have in a source, best first.
 ALIASES = {"PSRF": ("PSRF", "PBOT"), "PRECTmms": ("PRECTmms", "PRECmms")}
 
@@ -72,9 +74,12 @@ def present(df: DataFrame, variables: list[str], strict: bool) -> list[str]:
 
 
 def artifact(spark: SparkSession, root: str, module: str, batch: int | None = None) -> DataFrame:
-    """A module's rows, or one batch of them (one partition folder is read); FileNotFoundError where there are none."""
+    """A module's rows, or one batch of them (one partition folder is read); FileNotFoundError where there are none.
+
+    Of a table kept in versions, the newest complete one.
+    """
     try:
-        df = spark.read.parquet(f"{root}/{module}")
+        df = spark.read.parquet(versions.current(spark, f"{root}/{module}") or f"{root}/{module}")
     except AnalysisException as e:
         raise FileNotFoundError(f"{root}/{module}") from e
     if batch is None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from meshloom import cli, config
 from meshloom.plans import modules, runs
-from meshloom.sources import sinks, tables
+from meshloom.sources import sinks, tables, versions
 
 N = 6
 CONFIG = """
@@ -82,6 +82,95 @@ def test_whole_run(spark, run):
     assert cli.main(["--config", path, "validate", "--max-batches", "1", "--sample-rows", "2"], spark) == 0
 
 
+def test_modules_read_what_they_declare(run):
+    s, _ = run
+    index = tables.artifact(s.spark, runs.artifacts(s.config), modules.INDEX)
+    s.read.clear()
+    modules.build_index(s)
+    assert s.read <= set(modules.needs(s.config, modules.INDEX)[0])
+    for name in modules.registry(s.config):
+        s.read.clear()
+        modules.build(s, name, index)
+        assert s.read and s.read <= set(modules.needs(s.config, name)[0]), name
+
+
+@pytest.fixture
+def from_files(spark, run, tmp_path):
+    """A function that gives sources anew from folders of Parquet tables under tmp_path; text is added to the run file."""
+    s, _ = run
+    d = str(tmp_path)
+    names = {"ds2": ("ds2", "mesh"), "ds1": ("ds1", "cells"), "ds1_layers": ("ds1", "layers"), "ds2_history": ("ds2", "history"), "ds10_mesh": ("ds10", "mesh"), "ds4_mesh": ("ds4", "mesh"), "ds10_pfts": ("ds10", "pfts"), "ds10_columns": ("ds10", "columns"), "clm_params": ("clm", "parameters"), **{f"ds{k}": (f"ds{k}", "series") for k in range(4, 10)}}
+    for key, (folder, kind) in names.items():
+        s[key].coalesce(1).write.parquet(f"{d}/src/{folder}/{kind}")
+    paths = "".join(f"DS{k}_PATH: {d}/src/ds{k}\n" for k in (1, 4, 5, 6, 7, 8, 9, 10)) + f"CLM_PARAMS_PATH: {d}/src/clm\n"
+
+    def make(text=lambda t: t):
+        whole = text(paths + CONFIG.format(out=f"{d}/out", src=f"{d}/src"))
+        return modules.Sources(spark, config.from_text(whole))
+
+    return make
+
+
+def test_only_what_changed_is_built(spark, from_files, tmp_path):
+    """One forcing file touches one module; a setting the modules that depend on it; the index all that build on it."""
+    s = from_files()
+    every = [m for m in config.MODULES if m != modules.INDEX and not m.endswith("_y")]
+    assert runs.extract(s, "all", force=False) == every
+    assert runs.extract(from_files(), "all", force=False) == []
+    kept = sinks.read_manifest(spark, runs.manifests(s.config), "A_forcing_ds6_fsds")
+    assert [x["path"] for x in kept["sources"]] == [f"{tmp_path}/src/ds6"]
+    s["ds7"].limit(0).coalesce(1).write.mode("append").parquet(f"{tmp_path}/src/ds7/series")
+    assert runs.extract(from_files(), "all", force=False) == ["A_forcing_ds7_qbot"]
+    fewer = lambda t: t.replace("AREA, PCT_SAND", "PCT_SAND")
+    assert runs.extract(from_files(fewer), "all", force=False) == ["A_ds1_surface"]
+    assert runs.extract(from_files(), "all", force=False) == ["A_ds1_surface"]
+    # of 5 cells in batches of 4
+    smaller = lambda t: t.replace("BATCH_SIZE: 4", "BATCH_SIZE: 3")
+    assert runs.extract(from_files(smaller), ["A_ds1_surface", modules.INDEX], force=False) == ["A_ds1_surface"]
+    assert {r.batch_id: r["count"] for r in tables.artifact(spark, runs.artifacts(s.config), "A_ds1_surface").groupBy("batch_id").count().collect()} == {1: 3, 2: 2}
+    # the index has changed under the others
+    assert runs.extract(from_files(smaller), "all", force=False) == [m for m in every if m != "A_ds1_surface"]
+
+
+def test_batches_alone_are_built(spark, from_files, tmp_path):
+    from pathlib import Path
+
+    with pytest.raises(FileNotFoundError, match="A_index_core"):
+        runs.extract(from_files(), ["A_ds1_surface"], batches=[2])
+    runs.extract(from_files(), ["A_ds1_surface"])
+    root = Path(tmp_path) / "out/artifacts/A_ds1_surface"
+    files = lambda b: sorted(p.name for p in (root / f"batch_id={b}").glob("*.parquet"))
+    before, rows = {b: files(b) for b in (1, 2)}, tables.artifact(spark, str(root.parent), root.name).orderBy("__row_id").collect()
+    assert runs.extract(from_files(), ["A_ds1_surface"], batches=[2]) == ["A_ds1_surface"]
+    assert files(1) == before[1] and files(2) != before[2]
+    assert tables.artifact(spark, str(root.parent), root.name).orderBy("__row_id").collect() == rows
+
+
+def test_forcing_is_replaced_whole(spark, tmp_path):
+    """A write that fails half-way changes nothing; plans made on the version before still run."""
+    import os
+
+    path = f"{tmp_path}/forcing/FLDS"
+    series = spark.range(100).select(F.col("id").alias("gridcell"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), F.array(F.lit(1.5)).alias("series"))
+    total = lambda df: df.agg(F.sum(F.col("series")[0])).first()[0]
+    assert tables.artifact_or_none(spark, f"{tmp_path}/forcing", "FLDS") is None and versions.current(spark, path) is None
+    first = sinks.write_forcing(series, path, 2000, 2001)
+    assert versions.current(spark, path) == first and os.path.exists(f"{first}/_complete")
+    planned = tables.artifact(spark, f"{tmp_path}/forcing", "FLDS")
+    broken = series.repartition(4, "gridcell").withColumn("series", F.when(F.col("gridcell") == 99, F.array(F.raise_error(F.lit("killed")).cast("double"))).otherwise(F.array(F.lit(9.0))))
+    with pytest.raises(Exception, match="killed"):
+        sinks.write_forcing(broken, path, 2000, 2001)
+    assert versions.current(spark, path) == first and total(tables.artifact(spark, f"{tmp_path}/forcing", "FLDS")) == 150.0
+    # killed after all files were there, before the mark
+    half = f"{path}/v00000007-0123abcd"
+    series.write.parquet(half)
+    assert versions.current(spark, path) == first
+    second = sinks.write_forcing(series.withColumn("series", F.array(F.lit(2.5))), path, 2000, 2001)
+    assert second > half and total(tables.artifact(spark, f"{tmp_path}/forcing", "FLDS")) == 250.0 and total(planned) == 150.0
+    third = sinks.write_forcing(series, path, 2000, 2001)
+    assert [f"{path}/{n}" for n, _ in versions.listed(spark, path)] == [second, third]
+
+
 def test_one_batch_is_one_folder(spark, run):
     s, _ = run
     one = tables.artifact(spark, runs.artifacts(s.config), modules.INDEX, 2)
