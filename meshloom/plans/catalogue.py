@@ -633,7 +633,7 @@ def module_forcing(spark, sf_dir):
 
 @query(f"WITH {CELLS}, {INDEX} SELECT __row_id, c_custkey FROM batched WHERE batch_id = 1")
 def artifact_batch(spark, sf_dir):
-    """An artifact written by batch, of which one folder is read."""
+    """An artifact in files of many batches, of which the row groups of one are read."""
     root = scratch(spark)
     sinks.write_artifact(index(spark, sf_dir).select("__row_id", "batch_id", "c_custkey"), root, "A")
     return tables.artifact(spark, root, "A", 1).select("__row_id", "c_custkey")

@@ -9,24 +9,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import versions
+from .shared import discard, materialise
 
 
-def write_artifact(df: DataFrame, root: str, module: str, batches: list[int] | None = None) -> str:
-    """One folder a module, one partition folder a batch, one file in it. Batches of an earlier, larger run don't stay behind.
+#: bytes of a file of many batches, and of a row group in it
+FILE, GROUP = 256 << 20, 32 << 20
 
-    With batches only these are written anew, each folder as a whole, and the others stay as they are.
+
+def dealt(staged: DataFrame, size: int = FILE) -> DataFrame:
+    """A written table with a batch_id, its rows dealt to files of about ``size`` bytes by ranges of batches and sorted in each.
+
+    A file's rows, and each of its row groups, are a run of batches, so a batch is found by the statistics in the footers. Batches have
+    the same number of rows, so ranges of equal length are of like size; rows without a batch_id lie in the first file.
+    """
+    spark = staged.sparkSession
+    batches = staged.agg(F.min("batch_id").alias("low"), F.max("batch_id").alias("high")).first()
+    if batches.low is None:
+        return staged.coalesce(1)
+    size_now = sum(fs.getFileStatus(p).getLen() for fs, p in (versions.hadoop(spark, f) for f in staged.inputFiles()))
+    n = batches.high - batches.low + 1
+    files = max(1, min(n, -(-size_now // size)))
+    span = -(-n // files)
+    place = F.coalesce(F.expr(f"(batch_id - {batches.low}) div {span}"), F.lit(0)).cast("int")
+    return staged.repartitionById(-(-n // span), place).sortWithinPartitions("batch_id", "__row_id")
+
+
+def write_artifact(df: DataFrame, root: str, module: str, batches: list[int] | None = None, size: int = FILE) -> str:
+    """A module's rows (__row_id, batch_id, ..) as a new version, in files of many batches; its folder is returned.
+
+    With batches only these are written anew, as a part over the version before, whose files stay as they are. A job that is killed
+    half-way leaves the artifact as it was. Rows are written once as they come, so that they are made once and their size is known.
     """
-    path = f"{root}/{module}"
+    spark, path = df.sparkSession, f"{root}/{module}"
     if batches is not None:
         df = df.where(F.col("batch_id").isin(batches))
-    mode = "static" if batches is None else "dynamic"
-    df.repartition("batch_id").write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", "zstd").partitionBy("batch_id").parquet(path)
-    return path
+    staged = materialise(df, "artifact")
+    out = versions.write(dealt(staged, size), path, batches=batches, **{"parquet.block.size": str(GROUP)})
+    discard(staged)
+    if len(versions.layers(spark, path)) > versions.PARTS + 1:
+        staged = materialise(versions.read(spark, path), "artifact")
+        out = versions.write(dealt(staged, size), path, **{"parquet.block.size": str(GROUP)})
+        discard(staged)
+    return out
 
 
-def write_final(df: DataFrame, path: str, overwrite: bool = False) -> str:
-    """By batch, one file each; an existing dataset is an error unless overwrite is set."""
-    df.repartition("batch_id").write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").partitionBy("batch_id").parquet(path)
+def write_final(df: DataFrame, path: str, overwrite: bool = False, size: int = FILE) -> str:
+    """In files of many batches, as artifacts are; an existing dataset is an error unless overwrite is set."""
+    spark = df.sparkSession
+    if not overwrite and versions.has(spark, path):
+        raise FileExistsError(f"{path} exists")
+    staged = materialise(df, "final")
+    dealt(staged, size).write.mode("overwrite" if overwrite else "errorifexists").options(compression="zstd", **{"parquet.block.size": str(GROUP)}).parquet(path)
+    discard(staged)
     return path
 
 

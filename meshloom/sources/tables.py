@@ -74,19 +74,20 @@ def present(df: DataFrame, variables: list[str], strict: bool) -> list[str]:
 
 
 def artifact(spark: SparkSession, root: str, module: str, batch: int | None = None) -> DataFrame:
-    """A module's rows, or one batch of them (one partition folder is read); FileNotFoundError where there are none.
+    """A module's rows, or one batch of them (of the files that may hold it, the row groups that do); FileNotFoundError where there are none.
 
-    Of a table kept in versions, the newest complete one.
+    Of a table kept in versions, the newest complete one, with the batches that were written over it.
     """
     try:
-        df = spark.read.parquet(versions.current(spark, f"{root}/{module}") or f"{root}/{module}")
+        df = versions.read(spark, f"{root}/{module}", batch)
+        df = spark.read.parquet(f"{root}/{module}") if df is None else df
     except AnalysisException as e:
         raise FileNotFoundError(f"{root}/{module}") from e
     if batch is None:
         return df
     df = df.where(F.col("batch_id") == batch)
     if df.isEmpty():
-        raise FileNotFoundError(f"{root}/{module}/batch_id={batch}")
+        raise FileNotFoundError(f"{root}/{module}: no batch {batch}")
     return df
 
 

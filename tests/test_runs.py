@@ -139,13 +139,59 @@ def test_batches_alone_are_built(spark, from_files, tmp_path):
         runs.extract(from_files(), ["A_ds1_surface"], batches=[2])
     runs.extract(from_files(), ["A_ds1_surface"])
     root = Path(tmp_path) / "out/artifacts/A_ds1_surface"
-    files = lambda b: sorted(p.name for p in (root / f"batch_id={b}").glob("*.parquet"))
-    before, rows = {b: files(b) for b in (1, 2)}, tables.artifact(spark, str(root.parent), root.name).orderBy("__row_id").collect()
+    files = lambda: {p for p in root.rglob("*.parquet")}
+    before, rows = files(), tables.artifact(spark, str(root.parent), root.name).orderBy("__row_id").collect()
     assert runs.extract(from_files(), ["A_ds1_surface"], batches=[2]) == ["A_ds1_surface"]
-    assert files(1) == before[1] and files(2) != before[2]
+    assert before < files()
+    [(part, held), (_, whole)] = versions.layers(spark, str(root))
+    assert held == [2] and whole is None and [r.batch_id for r in spark.read.parquet(part).collect()] == [2]
     assert tables.artifact(spark, str(root.parent), root.name).orderBy("__row_id").collect() == rows
 
 
+def numbered(spark, n, size, shift=0):
+    return spark.range(n).select(F.col("id").alias("__row_id"), (F.col("id") / size + 1).cast("int").alias("batch_id"), (F.col("id") + shift).alias("v"))
+
+
+def test_files_hold_ranges_of_batches(spark, tmp_path):
+    """Files follow bytes; each holds a run of batches that no other holds, and one batch reads one file."""
+    root = str(tmp_path)
+    df = numbered(spark, 20_000, 10).withColumn("text", F.sha2(F.col("v").cast("string"), 512)).repartition(7)
+    folder = sinks.write_artifact(df, root, "A", size=200_000)
+    held = spark.read.parquet(folder).groupBy(F.col("_metadata.file_name").alias("f")).agg(F.min("batch_id").alias("a"), F.max("batch_id").alias("b"), F.count("*").alias("n")).orderBy("a").collect()
+    assert 4 < len(held) < 20 and sum(r.n for r in held) == 20_000 and held[0].a == 1 and held[-1].b == 2000
+    assert all(x.b + 1 == y.a for x, y in zip(held, held[1:], strict=False)) and max(r.n for r in held) <= 2 * min(r.n for r in held[:-1])
+    one = tables.artifact(spark, root, "A", 1234)
+    assert one.agg(F.count("*"), F.min("__row_id"), F.max("__row_id")).first() == (10, 12330, 12339)
+    assert "PushedFilters: [IsNotNull(batch_id), EqualTo(batch_id,1234)]" in one._jdf.queryExecution().toString()
+    in_order = [r[0] for r in spark.read.parquet(f"{folder}/{held[2].f}").select("__row_id").collect()]
+    assert in_order == sorted(in_order)
+
+
+def test_parts_over_a_version(spark, tmp_path):
+    """The newest writing of a batch counts; parts are put together in the end; an unfinished part doesn't count; a batch may lose its rows."""
+    root, path = str(tmp_path), f"{tmp_path}/A"
+    with pytest.raises(FileNotFoundError, match="no whole version"):
+        sinks.write_artifact(numbered(spark, 8, 2), root, "A", [1])
+    sinks.write_artifact(numbered(spark, 8, 2), root, "A")
+    total = lambda: {r.batch_id: r.v for r in tables.artifact(spark, root, "A").groupBy("batch_id").agg(F.sum("v").alias("v")).collect()}
+    assert total() == {1: 1, 2: 5, 3: 9, 4: 13}
+    sinks.write_artifact(numbered(spark, 8, 2, 10), root, "A", [2, 3])
+    sinks.write_artifact(numbered(spark, 8, 2, 100), root, "A", [3, 4])
+    assert total() == {1: 1, 2: 25, 3: 209, 4: 213}
+    assert tables.artifact(spark, root, "A", 2).agg(F.sum("v")).first()[0] == 25 and tables.artifact(spark, root, "A", 1).count() == 2
+    numbered(spark, 8, 2, 1000).where("batch_id = 1").write.parquet(f"{path}/v00000099-00000000")
+    assert total() == {1: 1, 2: 25, 3: 209, 4: 213}
+    sinks.write_artifact(numbered(spark, 8, 2).where("batch_id <> 4").withColumn("more", F.lit(1)), root, "A", [2, 4])
+    assert total() == {1: 1, 2: 5, 3: 209} and tables.artifact(spark, root, "A").where("more = 1").count() == 2
+    with pytest.raises(FileNotFoundError, match="no batch 4"):
+        tables.artifact(spark, root, "A", 4)
+    for k in range(versions.PARTS - 2):
+        sinks.write_artifact(numbered(spark, 8, 2, k), root, "A", [1])
+    assert [b for _, b in versions.layers(spark, path)] == [None] and total() == {1: 2 * k + 1, 2: 5, 3: 209}
+    sinks.write_artifact(numbered(spark, 0, 2), root, "A")
+    assert total() == {} and tables.artifact(spark, root, "A").columns == ["__row_id", "batch_id", "v"]
+
+
 def test_forcing_is_replaced_whole(spark, tmp_path):
     """A write that fails half-way changes nothing; plans made on the version before still run."""
     import os
@@ -171,10 +217,10 @@ def test_forcing_is_replaced_whole(spark, tmp_path):
     assert [f"{path}/{n}" for n, _ in versions.listed(spark, path)] == [second, third]
 
 
-def test_one_batch_is_one_folder(spark, run):
+def test_one_batch_reaches_the_scan(spark, run):
     s, _ = run
     one = tables.artifact(spark, runs.artifacts(s.config), modules.INDEX, 2)
-    assert one.count() == 1 and "PartitionFilters: [isnotnull(batch_id" in one._jdf.queryExecution().toString()
+    assert one.count() == 1 and "PushedFilters: [IsNotNull(batch_id), EqualTo(batch_id,2)]" in one._jdf.queryExecution().toString()
     with pytest.raises(FileNotFoundError):
         tables.artifact(spark, runs.artifacts(s.config), modules.INDEX, 99)
     assert tables.artifact_or_none(spark, runs.artifacts(s.config), "A_none") is None
