@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import replace
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,9 +35,10 @@ def parser() -> argparse.ArgumentParser:
     r = sub.add_parser("replace", help="replace forcing columns of a final dataset")
     r.add_argument("--old", required=True)
     r.add_argument("--pattern", default="*")
-    r.add_argument("--forcing", required=True, help="folder with lat, lon and cube tables")
+    r.add_argument("--forcing", required=True, help="a NetCDF file (.nc) over time, lat and lon, or a folder with lat, lon and cube tables")
     r.add_argument("--column", action="append", default=[], metavar="NEW=OLD")
     r.add_argument("--out", required=True)
+    r.add_argument("--records", help="folder for the log and the record of the run, the run file's output root by default")
     r.add_argument("--overwrite", action="store_true")
     return p
 
@@ -70,11 +72,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"{r.severity}: batch {r.batch_id}, {r.check}: {r.detail}")
         return validate.exit_code(findings)
     old = tables.final_dataset(spark, args.old, args.pattern)
-    lats, lons, cube = (spark.read.parquet(f"{args.forcing}/{n}") for n in ("lat", "lon", "cube"))
-    columns = dict(c.split("=", 1) for c in args.column) or {v: tables.resolve(cube, v) for v in configs.FORCING}
-    sinks.write_final(runs.replace_forcing(old, lats, lons, cube, columns), args.out, args.overwrite)
-    sources = [sinks.source_entry(spark, p) for p in (args.old, args.forcing)]
-    sinks.write_manifest(spark, f"{args.out.rstrip('/')}_manifest", "replace", sources, columns=columns, rows=spark.read.parquet(args.out).count())
+    out, columns = runs.replace_from(spark, old, args.forcing, dict(c.split("=", 1) for c in args.column))
+    paths = {"final dataset": args.old, "forcing": args.forcing}
+    lines = sinks.source_lines(spark, paths, tuple(columns.values())) + [f"config {x}" for x in Path(args.config).read_text().splitlines() if x.strip()]
+    sources = [sinks.source_entry(spark, p) for p in paths.values()]
+    sinks.write_final(out, args.out, args.overwrite)
+    n = spark.read.parquet(args.out).count()
+    sinks.write_manifest(spark, f"{args.out.rstrip('/')}_manifest", "replace", sources, columns=columns, out=args.out, rows=n)
+    done = [f"replaced {new} by {there}" for new, there in columns.items()] + [f"wrote {n} rows to {args.out}"]
+    root = args.records or config.output
+    sinks.write_log(spark, root, done)
+    sinks.write_record(spark, root, lines + done)
     return 0
 
 

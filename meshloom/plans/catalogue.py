@@ -537,10 +537,13 @@ def reference_coordinates(spark, sf_dir):
     return samemesh.with_reference_coordinates(restart(spark, sf_dir), other, "restart_idx")[0]
 
 
-@query(f"""WITH {CELLS}, {INDEX}, lats AS (SELECT DISTINCT p_size AS i, p_size * 3.5::DOUBLE - 90 AS a FROM part), lons AS (SELECT s_suppkey AS j, s_suppkey * 360.0::DOUBLE / (SELECT count(*) FROM supplier) AS a FROM supplier),
+FROM_AXES = f"""WITH {CELLS}, {INDEX}, lats AS (SELECT DISTINCT p_size AS i, p_size * 3.5::DOUBLE - 90 AS a FROM part), lons AS (SELECT s_suppkey AS j, s_suppkey * 360.0::DOUBLE / (SELECT count(*) FROM supplier) AS a FROM supplier),
 i AS (SELECT __row_id, i FROM (SELECT __row_id, i, row_number() OVER (PARTITION BY __row_id ORDER BY abs(lat - a), a) AS n FROM batched, lats) WHERE n = 1),
 j AS (SELECT __row_id, j FROM (SELECT __row_id, j, row_number() OVER (PARTITION BY __row_id ORDER BY abs(lon - a), a) AS n FROM batched, lons) WHERE n = 1)
-SELECT __row_id, c_acctbal, k AS pos, (i * 1000 + j) * 1.0::DOUBLE + k AS value FROM batched JOIN i USING (__row_id) JOIN j USING (__row_id), (SELECT unnest([0, 1]) AS k)""")
+SELECT __row_id, c_acctbal, k AS pos, (i * 1000 + j) * 1.0::DOUBLE + k AS value FROM batched JOIN i USING (__row_id) JOIN j USING (__row_id), (SELECT unnest([0, 1]) AS k)"""
+
+
+@query(FROM_AXES)
 def forcing_from_axes(spark, sf_dir):
     """Forcing columns of a dataset taken from the nearest cell of a rectilinear cube, as the replacement of a final dataset does."""
     final = index(spark, sf_dir).select("__row_id", F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), "c_acctbal", F.array(F.lit(0.0)).alias("PSRF"))
@@ -552,6 +555,19 @@ def forcing_from_axes(spark, sf_dir):
     return out.select("__row_id", "c_acctbal", F.posexplode("PSRF").alias("pos", "value"))
 
 
+@query(FROM_AXES)
+def forcing_from_blocks(spark, sf_dir):
+    """The same replacement from blocks of one step along time, as a NetCDF file is read, of which only those of nearest cells are put together."""
+    final = index(spark, sf_dir).select("__row_id", F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"), "c_acctbal", F.array(F.lit(0.0)).alias("PSRF"))
+    suppliers = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("lon_idx"))
+    lats = read(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("lat_idx")).distinct()
+    steps = F.explode(F.array(F.lit(1), F.lit(0))).alias("first")
+    blocks = lats.crossJoin(suppliers).select("lat_idx", "lon_idx", steps).withColumn("PBOT", F.array((F.col("lat_idx") * 1000 + F.col("lon_idx") + F.col("first")).cast("float")))
+    axes = lats.withColumn("lat", F.col("lat_idx") * F.lit(3.5) - 90), suppliers.withColumn("lon", F.col("lon_idx") * F.lit(360.0) / F.lit(suppliers.count()))
+    out = runs.replace_forcing_blocks(final, *axes, {"PSRF": blocks})
+    return out.select("__row_id", "c_acctbal", F.posexplode("PSRF").alias("pos", "value"))
+
+
 def given_sources(spark, sf_dir) -> tuple[modules.Sources, DataFrame]:
     """Sources made from customers, orders, parts and events, and an index whose cells are the selected customers."""
     customers, orders = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")

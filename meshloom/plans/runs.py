@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FORCING, LAYERED, MODULES, Config
-from ..operators import assemble, calendar, nearest, samemesh, series, validate
+from ..operators import assemble, calendar, gather, nearest, samemesh, series, validate
 from ..operators.numbering import dense_row_id
 from ..sources import files, sinks, tables, versions
+from ..sources.shared import materialise
 from . import modules
 
 
@@ -213,16 +214,47 @@ def with_prepared_forcing(s: modules.Sources, wanted: list[str] | str = "all", f
     return modules.Sources(s.spark, s.config, s.tables | made)
 
 
-def replace_forcing(final: DataFrame, lats: DataFrame, lons: DataFrame, cube: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """final with forcing columns taken from the nearest cell of a rectilinear cube (lat_idx, lon_idx, series columns); no averaging."""
+def nearest_on_grid(final: DataFrame, lats: DataFrame, lons: DataFrame) -> DataFrame:
+    """(__row_id, lat_idx, lon_idx): the nearest cell of a rectilinear grid, longitudes in the range of its axis."""
     cells = final.select("__row_id", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"))
     cells = nearest.normalised_longitude(cells, lons)
     i = nearest.nearest_on_axis(cells.withColumnRenamed("lat", "value"), lats.withColumnRenamed("lat", "value"), "__row_id", "value", "lat_idx")
     j = nearest.nearest_on_axis(cells.withColumnRenamed("lon", "value"), lons.withColumnRenamed("lon", "value"), "__row_id", "value", "lon_idx")
-    found = i.join(j, "__row_id").join(cube, ["lat_idx", "lon_idx"]).drop("lat_idx", "lon_idx")
+    return i.join(j, "__row_id")
+
+
+def replace_forcing(final: DataFrame, lats: DataFrame, lons: DataFrame, cube: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """final with forcing columns taken from the nearest cell of a rectilinear cube (lat_idx, lon_idx, series columns); no averaging."""
+    found = nearest_on_grid(final, lats, lons).join(cube, ["lat_idx", "lon_idx"]).drop("lat_idx", "lon_idx")
     return assemble.replaced(final, found, columns)
 
 
+def replace_forcing_blocks(final: DataFrame, lats: DataFrame, lons: DataFrame, blocks: dict[str, DataFrame]) -> DataFrame:
+    """The same from blocks (lat_idx, lon_idx, first, values) of each new column, by its name; values is the last column.
+
+    Blocks of cells that are nearest to no row are left out before anything is shuffled by cell; the others become one series a cell, once
+    for all rows that share it.
+    """
+    places = materialise(nearest_on_grid(final, lats, lons), "places")
+    wanted, found = places.select("lat_idx", "lon_idx").distinct(), places
+    for column, df in blocks.items():
+        some = df.join(wanted, ["lat_idx", "lon_idx"], "left_semi")
+        whole = gather.series_from_blocks(some, ["lat_idx", "lon_idx"], "first", df.columns[-1], column)
+        found = found.join(whole.withColumn(column, F.col(column).cast("array<double>")), ["lat_idx", "lon_idx"], "left")
+    return assemble.replaced(final, found, {c: c for c in blocks})
+
+
+def replace_from(spark: SparkSession, final: DataFrame, forcing: str, columns: dict[str, str]) -> tuple[DataFrame, dict[str, str]]:
+    """final with its forcing replaced from a NetCDF file, or a folder of lat, lon and cube tables, and the names (new: there) that were used."""
+    if forcing.endswith(".nc"):
+        source = files.NetCDFFile(spark, forcing)
+        columns = columns or {v: tables.resolve(source.shapes, v) for v in FORCING}
+        return replace_forcing_blocks(final, *source.axes(), {new: source.grid_blocks(old) for new, old in columns.items()}), columns
+    lats, lons, cube = (spark.read.parquet(f"{forcing}/{n}") for n in ("lat", "lon", "cube"))
+    columns = columns or {v: tables.resolve(cube, v) for v in FORCING}
+    return replace_forcing(final, lats, lons, cube, columns), columns
+
+
 def validate_dataset(spark: SparkSession, config: Config, max_batches: int | None = None, sample_rows: int = 20) -> DataFrame:
     index = tables.artifact(spark, artifacts(config), modules.INDEX)
     final = spark.read.parquet(f"{config.output}/final_dataset")

@@ -113,6 +113,20 @@ class NetCDFFile:
         blocks = reader.option("along", "time").option("length", length).load()
         return blocks.select(cell.alias("forcing_idx"), F.col("time_first").alias("first"), F.col(variable))
 
+    def axes(self) -> tuple[DataFrame, DataFrame]:
+        """(lat_idx, lat) and (lon_idx, lon) of a rectilinear file."""
+        return self.read(["lat"], ["lat"]), self.read(["lon"], ["lon"])
+
+    def grid_blocks(self, variable: str, length: int = netcdf.LENGTH) -> DataFrame:
+        """(lat_idx, lon_idx, first, variable): blocks of a variable over time, lat and lon, as 4-byte floats; other dimensions are an error."""
+        if variable not in self.shapes:
+            raise KeyError(f"{variable} is not in {self.path}")
+        if self.shapes[variable][0] != ("time", "lat", "lon"):
+            raise ValueError(f"{variable} has the dimensions {self.shapes[variable][0]}, not time, lat and lon")
+        reader = self.spark.read.format("netcdf").option("path", self.path).option("variables", variable).option("dims", "time,lat,lon")
+        blocks = reader.option("along", "time").option("length", length).load()
+        return blocks.select("lat_idx", "lon_idx", F.col("time_first").alias("first"), F.col(variable).cast("array<float>").alias(variable))
+
     def groups(self, index: str | None, flat: list[str], layered: list[str]) -> DataFrame:
         """(pos, gridcell_id, variables) in file order, without an index no gridcell_id; a layered variable is an array over its levels."""
         if not index and not flat:

@@ -204,3 +204,17 @@ def shapes(path: str) -> dict[str, tuple[tuple[str, ...], tuple[int, ...]]]:
 
     with netCDF4.Dataset(path) as ds:
         return {name: (tuple(v.dimensions), tuple(v.shape)) for name, v in ds.variables.items()}
+
+
+def header(path: str, wanted: Iterable[str] = (), most: int = 10) -> list[str]:
+    """Lines about a file for the run log: its first dimensions, and dimensions, sizes and units of the wanted variables that it has."""
+    import netCDF4
+
+    with netCDF4.Dataset(path) as ds:
+        sizes = {d: n for v in ds.variables.values() for d, n in zip(v.dimensions, v.shape, strict=True)}
+        lines = [f"dimension {d}: {n}" for d, n in list(sizes.items())[:most]]
+        for name in wanted:
+            if name in ds.variables:
+                v = ds.variables[name]
+                lines.append(f"variable {name}: dimensions {tuple(v.dimensions)}, sizes {tuple(v.shape)}, units {getattr(v, 'units', '')!r}")
+        return lines

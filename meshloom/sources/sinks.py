@@ -100,8 +100,12 @@ def is_current(spark: SparkSession, root: str, module: str, sources: list[dict],
     return old is not None and old["sources"] == sources and all(k in old and old[k] == v for k, v in json.loads(json.dumps(facts)).items())
 
 
-def source_lines(spark: SparkSession, paths: dict[str, str]) -> list[str]:
-    """A line for each source with its newest change and its size, and its first columns where it is a table."""
+def source_lines(spark: SparkSession, paths: dict[str, str], wanted: tuple[str, ...] = ()) -> list[str]:
+    """A line for each source with its newest change and its size, and its first columns where it is a table.
+
+    Of a NetCDF file its dimensions and the wanted variables instead, in lines of their own kind.
+    """
+    from . import netcdf
     from .files import parquet_table
     from .tables import header
 
@@ -109,7 +113,10 @@ def source_lines(spark: SparkSession, paths: dict[str, str]) -> list[str]:
     for name, path in sorted(paths.items()):
         x = source_entry(spark, path)
         out.append(f"source {name}: {path}, changed {x['mtime']}, {x['size']} bytes")
-        df = None if path.endswith(".nc") else parquet_table(spark, path, "mesh")
+        if path.endswith(".nc"):
+            out += [f"header {name}: {line}" for line in netcdf.header(path, wanted)]
+            continue
+        df = parquet_table(spark, path, "mesh")
         out += [f"source {name}: {line}" for line in header(df)] if df is not None else []
     return out
 

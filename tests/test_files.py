@@ -240,3 +240,37 @@ def test_missing_sources_are_named(spark, tmp_path):
         f.of_cells(["x"], [])
     with pytest.raises(KeyError, match="y"):
         f.of_cells(["y"], [])
+
+
+def test_replace_from_netcdf(spark, tmp_path):
+    """Forcing columns of a written dataset from the nearest cells of a NetCDF file, with a manifest, a log and a record of the run."""
+    lat, lon = np.array([20.0, 10.0, 0.0]), np.array([0.0, 90.0, 180.0, 270.0])
+    values = {v: 1000.0 * k + 100 * np.arange(3.0)[:, None] + 10 * np.arange(4.0) + np.arange(5.0)[:, None, None] for k, v in enumerate(FORCING.values())}
+    values["TBOT"][2, 0, 3] = netCDF4.FILL
+    netCDF4.write(f"{tmp_path}/f.nc", lat=(["lat"], lat), lon=(["lon"], lon), **{v: (["time", "lat", "lon"], x) for v, x in values.items()})
+    rows = [(0, 1, 19.0, -80.0, [7.0], "a"), (1, 1, 2.0, 46.0, None, "b"), (2, 2, 15.0, 44.0, [1.0], None), (3, 2, 15.0, 44.0, [], "d")]
+    spark.createDataFrame(rows, "__row_id long, batch_id int, Latitude double, Longitude double, FLDS array<double>, other string").write.parquet(f"{tmp_path}/old")
+    (tmp_path / "run.txt").write_text(f"BASE_OUTPUT_ROOT: {tmp_path}/out\nFORCING_MODE: legacy\n")
+    call = ["--config", f"{tmp_path}/run.txt", "replace", "--old", f"{tmp_path}/old", "--forcing", f"{tmp_path}/f.nc", "--out", f"{tmp_path}/new"]
+    assert cli.main(call, spark) == 0
+    new = spark.read.parquet(f"{tmp_path}/new").orderBy("__row_id")
+    assert new.columns == ["__row_id", "batch_id", "Latitude", "Longitude", "FLDS", "other", "PSRF", "FSDS", "QBOT", "PRECTmms", "TBOT"]
+    got = new.collect()
+    # -80 is 280 east; of two latitudes equally near the lower one counts
+    for r, (i, j) in zip(got, [(0, 3), (2, 1), (1, 0), (1, 0)], strict=True):
+        assert r.FLDS == [float(x) for x in values["FLDS"][:, i, j]] and r.PRECTmms == [float(x) for x in values["PRECmms"][:, i, j]]
+    assert got[0].TBOT == [5030.0, 5031.0, None, 5033.0, 5034.0] and [r.other for r in got] == ["a", "b", None, "d"]
+    record = [r.value for r in spark.read.text(f"{tmp_path}/out/records/*").collect()]
+    assert "header forcing: dimension lat: 3" in record and any(x.startswith("header forcing: variable PBOT: dimensions ('time', 'lat', 'lon'), sizes (5, 3, 4)") for x in record)
+    assert "config FORCING_MODE: legacy" in record and "replaced PSRF by PBOT" in [r.value for r in spark.read.text(f"{tmp_path}/out/log").collect()]
+    with pytest.raises(FileExistsError):
+        cli.main(call, spark)
+    assert cli.main([*call, "--overwrite", "--column", "X=TBOT", "--records", f"{tmp_path}/kept"], spark) == 0
+    again = spark.read.parquet(f"{tmp_path}/new").orderBy("__row_id").collect()
+    assert again[0].X == got[0].TBOT and again[0].FLDS == [7.0] and "wrote 4 rows" in spark.read.text(f"{tmp_path}/kept/log").first().value + spark.read.text(f"{tmp_path}/kept/log").tail(1)[0].value
+    source = files.NetCDFFile(spark, f"{tmp_path}/f.nc")
+    with pytest.raises(ValueError, match="not time, lat and lon"):
+        source.grid_blocks("lat")
+    with pytest.raises(KeyError, match="NONE"):
+        source.grid_blocks("NONE")
+    assert [len(r.TBOT) for r in source.grid_blocks("TBOT", 2).where("lat_idx = 0 and lon_idx = 3").orderBy("first").collect()] == [2, 2, 1]
