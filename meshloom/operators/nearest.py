@@ -4,8 +4,9 @@ Candidates are the leaves of a quadtree in Morton order: a place's number interl
 of each level are what shares a beginning of it. One pass gives every box of a level that has one its number of candidates and their
 extent, each level rolled up from the one below; the candidates are not read again. A query goes down from the root: of the boxes that
 may hold its nearest candidate those that are further away than the farthest corner of another are left, and the others are replaced by
-the boxes in them, several levels at a step, until they hold few candidates. Those are compared, one partial minimum a query. Ties go to
-the smallest candidate index. Distances are Euclidean in degrees; longitudes don't wrap.
+the boxes in them, several levels at a step, until they hold few candidates. Those are compared: first for the least distance alone, whose
+partial minima need no sort, then for the index, in the boxes that reach that distance. Queries at one place are one. Tasks that sort grow
+in number with their rows, not in size. Ties go to the smallest candidate index. Distances are Euclidean in degrees; longitudes don't wrap.
 """
 
 from __future__ import annotations
@@ -22,14 +23,30 @@ from ..sources.shared import discard, materialise
 
 #: bits of each cell number of the finest level, levels that a step goes down, and candidates of a box that are compared at once
 DEPTH, STEP, CROWD = 30, 2, 64
-#: rows of an axis and its queries in one task, some
-SORTED = 1_000_000
+#: rows that are sorted in one task, some, and rows below which a task isn't worth its start
+SORTED, WORTH = 1_000_000, 10_000
+#: where queries are, and what is told of such a place on its way down
+PLACE = ["q_lat", "q_lon"]
+ROW = ["place", *PLACE]
 
 
-def best_of(pairs: DataFrame, key: str) -> DataFrame:
-    """(key, d2, idx) of the nearest candidate; partial minima are taken before the shuffle."""
+def by_place(df: DataFrame, most: int) -> DataFrame:
+    """df, of so many rows at most, with the rows of a place in one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(min(n, most // WORTH + 1), -(-most // SORTED)), "place")
+
+
+def best_of(leaves: DataFrame, points: DataFrame) -> DataFrame:
+    """(place, d2, idx) of the nearest point in the leaves' boxes.
+
+    A minimum of structs would sort all pairs before the shuffle; minima of numbers are hashed.
+    """
     d2 = square(F.col("q_lat") - F.col("c_lat")) + square(F.col("q_lon") - F.col("c_lon"))
-    return pairs.groupBy(key).agg(F.min(F.struct(d2.alias("d2"), F.col("c_idx").alias("idx"))).alias("best")).select(key, "best.d2", "best.idx")
+    least = materialise(leaves.join(points, ["level", "box"]).groupBy("place").agg(F.min(d2).alias("d2")), "nearest-least")
+    again = leaves.join(least, "place").where("near <= d2").join(points, ["level", "box"]).where(d2 == F.col("d2"))
+    best = materialise(again.groupBy("place").agg(F.min("d2").alias("d2"), F.min("c_idx").alias("idx")), "nearest-best")
+    discard(least)
+    return best
 
 
 def spread(x: Column) -> Column:
@@ -97,35 +114,40 @@ def nearest_join(queries: DataFrame, candidates: DataFrame, key: str, index: str
     tree = materialise(box_tree(placed), "nearest-tree", "level")
     # no distance is finite: the smallest index
     lost = q.where(~finite("q_lat", "q_lon")).select(key, F.lit(None).cast("double").alias("d2"), F.lit(least).alias("idx"))
-    return descend(q.where(finite("q_lat", "q_lon")), placed, tree, key).unionByName(lost)
+    found = q.where(finite("q_lat", "q_lon"))
+    return found.join(descend(found.select(*PLACE).distinct(), placed, tree), PLACE).select(key, "d2", "idx").unionByName(lost)
 
 
-def descend(queries: DataFrame, points: DataFrame, tree: DataFrame, key: str) -> DataFrame:
-    """(key, d2, idx) by the tree; a step is one join with the boxes of its level and one bound a query."""
+def descend(places: DataFrame, points: DataFrame, tree: DataFrame) -> DataFrame:
+    """(q_lat, q_lon, d2, idx) by the tree; a step is one join with the boxes of its level and one bound a place."""
     gap = lambda q, a, b: F.greatest(F.col(a) - F.col(q), F.col(q) - F.col(b), F.lit(0.0))
     far = lambda q, a, b: F.greatest(F.abs(F.col(q) - F.col(a)), F.abs(F.col(q) - F.col(b)))
     # the last bits of a sum of squares may differ from one way of computing it to another
     near = (square(gap("q_lat", "a", "b")) + square(gap("q_lon", "c", "d"))) * F.lit(1 - 1e-12)
     far = (square(far("q_lat", "a", "b")) + square(far("q_lon", "c", "d"))) * F.lit(1 + 1e-12)
-    open_, leaves, held = queries.withColumn("parent", F.lit(-1).cast("long")), None, []
+    # numbers, as a window over doubles would deal them anew; the root's table holds each place once
+    open_, leaves, held, rows = places.withColumn("place", F.monotonically_increasing_id()).withColumn("parent", F.lit(-1).cast("long")), None, [], 0
     for level in range(0, DEPTH + 1, STEP):
         boxes = tree.where(F.col("level") == level).drop("level")
-        seen = open_.join(boxes, "parent").select(key, "q_lat", "q_lon", "box", "n", near.alias("near"), far.alias("far"))
-        kept = seen.withColumn("bound", F.min("far").over(Window.partitionBy(key))).where("near <= bound").select(key, "q_lat", "q_lon", "box", "n")
-        kept = materialise(kept, "nearest-open")
+        kept = open_.join(boxes, "parent").select(*ROW, "box", "n", near.alias("near"), far.alias("far"))
+        if level:  # at the root a place meets one box
+            kept = by_place(kept, rows << 2 * STEP).withColumn("bound", F.min("far").over(Window.partitionBy("place"))).where("near <= bound")
+        kept = materialise(kept.select(*ROW, "box", "n", "near"), "nearest-open")
         held.append(kept)
+        rows = kept.count()
         last = level + STEP > DEPTH
-        few = (kept if last else kept.where(F.col("n") <= CROWD)).select(key, "q_lat", "q_lon", F.lit(level).alias("level"), "box")
+        few = (kept if last else kept.where(F.col("n") <= CROWD)).select(*ROW, F.lit(level).alias("level"), "box", "near")
         leaves = few if leaves is None else leaves.unionByName(few)
-        open_ = kept.where(F.col("n") > CROWD).select(key, "q_lat", "q_lon", F.col("box").alias("parent"))
+        open_ = kept.where(F.col("n") > CROWD).select(*ROW, F.col("box").alias("parent"))
         if last or open_.isEmpty():
             break
     # each point stands once in each level that has boxes to compare; those whose box is not among them meet nothing
     levels = sorted(r.level for r in leaves.select("level").distinct().collect())
     each = points.select("code", "c_idx", "c_lat", "c_lon", F.explode(F.array(*map(F.lit, levels))).alias("level")) if levels else points.select("code", "c_idx", "c_lat", "c_lon", F.lit(0).alias("level"))
     each = each.withColumn("box", F.expr(f"shiftright(code, CAST(2 * ({DEPTH} - level) AS INT))")).drop("code")
-    met = materialise(best_of(leaves.join(each, ["level", "box"]), key), "nearest")
-    discard(points, tree, *held)
+    best = best_of(leaves, each)
+    met = materialise(held[0].select(*ROW).join(best, "place").select(*PLACE, "d2", "idx"), "nearest")
+    discard(points, tree, best, *held)
     return met
 
 

@@ -75,6 +75,32 @@ def test_nearest_join_of_clusters(spark):
     assert [x.idx for x in sorted(got)] == want
 
 
+def test_nearest_join_spreads(spark, monkeypatch):
+    """Queries at one place go down once, more rows make more tasks, and no task sorts its pairs before the shuffle."""
+    made, write = [], nearest.materialise
+
+    def kept(df, name, *by):
+        plan, out = df._jdf.queryExecution().toString(), write(df, name, *by)
+        made.append((name, plan, [r[0] for r in out.groupBy(F.input_file_name()).count().select("count").collect()] if name == "nearest-open" else None))
+        return out
+
+    monkeypatch.setattr(nearest, "materialise", kept)
+    monkeypatch.setattr(nearest, "CROWD", 4)
+    monkeypatch.setattr(nearest, "SORTED", 200)
+    r = random.Random(8)
+    places = [(r.randint(-180, 180) / 2, r.randint(0, 720) / 2) for _ in range(100)] + [(-0.0, 0.0), (0.0, -0.0)]
+    queries = [(4 * k + i, *p) for k, p in enumerate(places) for i in range(4)]
+    candidates = [(i, r.randint(-180, 180) / 2, r.randint(0, 720) / 2) for i in range(300)] + [(300, 0.5, 0.0), (301, -0.5, 0.0)]
+    q = spark.createDataFrame(queries, "k long, lat double, lon double").repartition(3)
+    c = spark.createDataFrame(candidates, "i long, lat double, lon double")
+    got = sorted((x.k, x.idx) for x in nearest.nearest_join(q, c, "k", "i").collect())
+    assert got == brute_nearest(queries, candidates)
+    opened = [sizes for name, _, sizes in made if name == "nearest-open"]
+    assert len(opened) > 2 and sum(opened[0]) == 101
+    assert max(map(len, opened)) > 4 and all(max(sizes) < 200 for sizes in opened)
+    assert not any("SortAggregate" in plan for name, plan, _ in made if name.startswith("nearest"))
+
+
 def test_box_tree(spark):
     """Boxes of a level add up to all points, a crowded box's boxes add up to it, and few boxes lie below those of few points."""
     r = random.Random(9)
